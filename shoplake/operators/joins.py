@@ -1,0 +1,20 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shoplake.settings import BROADCAST_MAX_ROWS
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
+
+    The check runs ``limit(max_rows + 1).count()``: it stops reading once the
+    bound is passed, so its cost is bounded too. Beyond the bound the frame is
+    returned unhinted and the planner shuffles (AQE may still pick a broadcast
+    from run-time sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
