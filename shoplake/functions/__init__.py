@@ -1,6 +1,6 @@
 """Column expressions used by the operators (all JVM-side built-ins)."""
 
-from shoplake.functions.jsonio import parse_change, parse_log, to_json_compact
+from shoplake.functions.jsonio import parse_change, parse_log, parse_once, to_json_compact
 from shoplake.functions.maps import empty_text_map, keep_keys, overlay, put, stringify_values
 from shoplake.functions.predicates import is_entry, is_non_entry, present
 from shoplake.functions.timefmt import (
@@ -11,7 +11,7 @@ from shoplake.functions.timefmt import (
 )
 
 __all__ = [
-    "parse_change", "parse_log", "to_json_compact",
+    "parse_change", "parse_log", "parse_once", "to_json_compact",
     "empty_text_map", "keep_keys", "overlay", "put", "stringify_values",
     "is_entry", "is_non_entry", "present",
     "day_of_ms", "ms_of_datetime_text", "ms_of_timestamp", "timestamp_of_ms",

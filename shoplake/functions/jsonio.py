@@ -5,8 +5,9 @@ needs no inference pass. Malformed text yields an all-null struct (PERMISSIVE
 mode); callers decide whether to quarantine or fail.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shoplake.schemas import CHANGE_DDL, LOG_DDL
 
@@ -27,3 +28,23 @@ def to_json_compact(c: Column | str) -> Column:
     """Serialize a struct or map to JSON text, leaving out null entries."""
     c = F.col(c) if isinstance(c, str) else c
     return F.to_json(c, {"ignoreNullFields": "true"})
+
+
+def parse_once(
+    df: DataFrame,
+    schema: StructType | str,
+    value: Column | str = "value",
+    keep: tuple[str, ...] = ("seq",),
+    mode: str = "PERMISSIVE",
+) -> DataFrame:
+    """Parse JSON text into top-level columns, evaluating ``from_json`` once.
+
+    Catalyst pushes filters through projections by inlining aliases, so a
+    later filter on several parsed fields would repeat the parse per field.
+    Wrapping the parsed struct in a one-element ``inline`` makes it a
+    generator output: filters stay above it and each text is parsed once.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    parsed = F.from_json(v, schema, {"mode": mode})
+    row = F.struct(*[F.col(k) for k in keep], parsed.alias("_r"))
+    return df.select(F.inline(F.array(row))).select(*keep, "_r.*")

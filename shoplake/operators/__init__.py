@@ -16,6 +16,7 @@ from shoplake.operators.latest import earliest_per_key, flag_first_per_key, late
 from shoplake.operators.log_split import (
     detail_json,
     display_rows,
+    log_keys,
     malformed_log_rows,
     page_rows,
     parse_log_topic,
@@ -40,7 +41,7 @@ __all__ = [
     "topic_records", "topic_rows", "broadcast_if_bounded",
     "landing_day_of_arrival", "landing_day_of_event", "with_landing_day",
     "earliest_per_key", "flag_first_per_key", "latest_per_key",
-    "detail_json", "display_rows", "malformed_log_rows", "page_rows",
+    "detail_json", "display_rows", "log_keys", "malformed_log_rows", "page_rows",
     "parse_log_topic", "split_log", "start_rows",
     "add_dim", "enrich_dims", "interval_join", "parse_order_detail", "parse_order_info",
     "province_dim", "with_event_time",

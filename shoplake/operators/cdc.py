@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import parse_change
+from shoplake.functions.jsonio import parse_once
 from shoplake.functions.maps import keep_keys
 from shoplake.operators.joins import broadcast_if_bounded
-from shoplake.schemas import TABLE_PROCESS_COLUMNS
+from shoplake.schemas import CHANGE_DDL, TABLE_PROCESS_COLUMNS
 from shoplake.settings import BOOTSTRAP_PREFIX, KEPT_CHANGE_TYPES, SINK_TO_HBASE, SINK_TO_KAFKA
 
 
@@ -31,7 +31,7 @@ def strip_bootstrap(value: str = "value"):
 
 def clean_changes(raw: DataFrame) -> DataFrame:
     """``(value, seq)`` -> ``seq, database, table, type, ts, data`` of kept rows."""
-    r = raw.select(parse_change(strip_bootstrap("value")).alias("_r"), "seq").select("seq", "_r.*")
+    r = parse_once(raw, CHANGE_DDL, value=strip_bootstrap("value"))
     keep = (
         F.col("database").isNotNull()
         & F.col("table").isNotNull()

@@ -32,14 +32,22 @@ def earliest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> D
 
 
 def flag_first_per_key(
-    df: DataFrame, keys: list[str], order_cols: list[str], flag: str = "is_first"
+    df: DataFrame,
+    keys: list[str],
+    order_cols: list[str],
+    flag: str = "is_first",
+    key_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Every row of ``df`` plus a boolean: is it its key's least row?
 
     ``order_cols`` must identify a row within its key (end with ``seq``).
+    ``key_rows`` may give the same rows projected to ``keys + order_cols``
+    from a cheaper read (e.g. a narrow parse of the same text); by default
+    they come from ``df``.
     """
+    src = key_rows if key_rows is not None else df
     firsts = (
-        df.groupBy(*keys)
+        src.groupBy(*keys)
         .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_f"))
         .select(*keys, *[F.col(f"_f.{c}").alias(c) for c in order_cols])
         .withColumn(flag, F.lit(True))

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import parse_log
+from shoplake.functions.jsonio import parse_log, parse_once
 from shoplake.functions.maps import overlay
+from shoplake.schemas import LOG_DDL
 
 START, PAGE, DISPLAY = "start", "page", "display"
 
@@ -25,11 +26,24 @@ def parse_log_topic(raw: DataFrame) -> DataFrame:
     Rows without ``ts`` or ``common.mid`` (malformed text included) are
     dropped here; ``malformed_log_rows`` returns them for quarantine.
     """
-    parsed = raw.select(parse_log("value").alias("_r"), "seq").select("_r.*", "seq")
+    parsed = parse_once(raw, LOG_DDL)
     parsed = parsed.withColumn("mid", F.col("common")["mid"])
     return parsed.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
 
 
+LOG_KEY_DDL = "common struct<mid: string>, ts bigint"
+
+
+def log_keys(raw: DataFrame) -> DataFrame:
+    """``(value, seq)`` -> ``mid, ts, seq`` with a narrow parse.
+
+    Same row set as ``parse_log_topic``; the parser skips every other field.
+    """
+    k = parse_once(raw, LOG_KEY_DDL)
+    k = k.select(F.col("common.mid").alias("mid"), "ts", "seq")
+    return k.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
+
+
 def malformed_log_rows(raw: DataFrame) -> DataFrame:
     r = raw.select("value", "seq", parse_log("value").alias("_r"))
     return r.where(F.col("_r.ts").isNull() | F.col("_r.common")["mid"].isNull()).select("value", "seq")

@@ -33,7 +33,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repaired_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ods_log -> parsed -> new-visitor flag repaired (the log job's first half)."""
     raw = adapters.log_lines(_events(spark, sf_dir))
-    return visitors.repair_new_visitor(log_split.parse_log_topic(raw))
+    return visitors.repair_new_visitor(log_split.parse_log_topic(raw), log_split.log_keys(raw))
 
 
 def _common_cols(df: DataFrame) -> list:

@@ -35,6 +35,17 @@ PROVINCE_COUNT = 25
 SECONDS_PER_DAY = 86_400
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Stand in for a topic with at least one partition per core.
+
+    A scan coarser than the session's default parallelism (a test table in
+    one file) is spread round-robin; a large table scan already has far more
+    splits than cores and is left as it is (no shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -67,7 +78,7 @@ def log_lines(events: DataFrame) -> DataFrame:
         common.alias("common"), start.alias("start"), page.alias("page"),
         displays.alias("displays"), ms_of_timestamp("ts").alias("ts"),
     )
-    return events.select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
+    return spread(events).select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
 
 
 def change_lines(events: DataFrame) -> DataFrame:
@@ -83,7 +94,7 @@ def change_lines(events: DataFrame) -> DataFrame:
         ms_of_timestamp("ts").alias("ts"),
         data.alias("data"),
     )
-    return events.select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
+    return spread(events).select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
 
 
 def _shifted_datetime_text(ts_col: str, seconds: Column) -> Column:
@@ -107,7 +118,7 @@ def order_info_lines(orders: DataFrame) -> DataFrame:
         zero.alias("feight_fee"),
         _shifted_datetime_text("o_orderdate", F.col("o_orderkey") % SECONDS_PER_DAY).alias("create_time"),
     )
-    return orders.select(to_json_compact(record).alias("value"), F.col("o_orderkey").alias("seq"))
+    return spread(orders).select(to_json_compact(record).alias("value"), F.col("o_orderkey").alias("seq"))
 
 
 def order_detail_lines(lineitem: DataFrame) -> DataFrame:
@@ -125,4 +136,4 @@ def order_detail_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_discount").cast(MONEY).alias("split_activity_amount"),
         F.col("l_tax").cast(MONEY).alias("split_coupon_amount"),
     )
-    return lineitem.select(to_json_compact(record).alias("value"), detail_id.alias("seq"))
+    return spread(lineitem).select(to_json_compact(record).alias("value"), detail_id.alias("seq"))
