@@ -18,6 +18,7 @@ from shoplake.operators.log_split import (
     display_rows,
     log_keys,
     malformed_log_rows,
+    page_keys,
     page_rows,
     parse_log_topic,
     split_log,
@@ -41,7 +42,7 @@ __all__ = [
     "topic_records", "topic_rows", "broadcast_if_bounded",
     "landing_day_of_arrival", "landing_day_of_event", "with_landing_day",
     "earliest_per_key", "flag_first_per_key", "latest_per_key",
-    "detail_json", "display_rows", "log_keys", "malformed_log_rows", "page_rows",
+    "detail_json", "display_rows", "log_keys", "malformed_log_rows", "page_keys", "page_rows",
     "parse_log_topic", "split_log", "start_rows",
     "add_dim", "enrich_dims", "interval_join", "parse_order_detail", "parse_order_info",
     "province_dim", "with_event_time",

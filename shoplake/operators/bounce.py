@@ -23,7 +23,13 @@ from shoplake.settings import BOUNCE_GAP_MS
 STRICT, REENTRY = "strict", "reentry"
 
 
-def next_within(df: DataFrame, key: str, gap_ms: int, carry: list[str]) -> DataFrame:
+def next_within(
+    df: DataFrame,
+    key: str,
+    gap_ms: int,
+    carry: list[str],
+    head_rows: DataFrame | None = None,
+) -> DataFrame:
     """Add the strict successor of each row (same ``key``, ``(ts, seq)`` order)
     as ``next_ts``, ``next_seq`` and ``next_<c>``, or nulls when the
     successor is absent or ``gap_ms`` or more later.
@@ -33,16 +39,22 @@ def next_within(df: DataFrame, key: str, gap_ms: int, carry: list[str]) -> DataF
     next one. ``lead`` runs over (key, bucket) windows, and the last row of a
     bucket takes the first row of bucket + 1 through an equi-join on
     (key, bucket). A hot device is spread over its time buckets.
+
+    The first row of each bucket comes from a partial-aggregating ``min``;
+    ``head_rows`` may supply ``key, ts, seq, *carry`` from a cheaper read of
+    the same rows (a narrow parse), otherwise ``df`` is used.
     """
-    b = F.floor(F.col("ts") / F.lit(gap_ms)).cast("bigint")
-    x = df.withColumn("_b", b)
-    w = Window.partitionBy(key, "_b").orderBy("ts", "seq")
     nxt_cols = ["ts", "seq", *carry]
-    x = x.withColumn("_rn", F.row_number().over(w))
+    bucket = F.floor(F.col("ts") / F.lit(gap_ms)).cast("bigint")
+    w = Window.partitionBy(key, "_b").orderBy("ts", "seq")
+    x = df.withColumn("_b", bucket)
     for c in nxt_cols:
         x = x.withColumn(f"_l_{c}", F.lead(c).over(w))
-    heads = x.where(F.col("_rn") == 1).select(
-        F.col(key), (F.col("_b") - 1).alias("_b"), *[F.col(c).alias(f"_h_{c}") for c in nxt_cols]
+    src = (head_rows if head_rows is not None else df).withColumn("_b", bucket)
+    heads = (
+        src.groupBy(key, "_b")
+        .agg(F.min(F.struct(*[F.col(c) for c in nxt_cols])).alias("_h"))
+        .select(key, (F.col("_b") - 1).alias("_b"), *[F.col(f"_h.{c}").alias(f"_h_{c}") for c in nxt_cols])
     )
     y = x.join(heads, on=[key, "_b"], how="left")
     in_bucket = F.col("_l_ts").isNotNull()
@@ -52,16 +64,26 @@ def next_within(df: DataFrame, key: str, gap_ms: int, carry: list[str]) -> DataF
     within = F.col("next_ts").isNotNull() & ((F.col("next_ts") - F.col("ts")) < F.lit(gap_ms))
     for c in nxt_cols:
         out = out.withColumn(f"next_{c}", F.when(within, F.col(f"next_{c}")))
-    drop = ["_b", "_rn", *[f"_l_{c}" for c in nxt_cols], *[f"_h_{c}" for c in nxt_cols]]
+    drop = ["_b", *[f"_l_{c}" for c in nxt_cols], *[f"_h_{c}" for c in nxt_cols]]
     return out.drop(*drop)
 
 
-def bounces(pages: DataFrame, gap_ms: int = BOUNCE_GAP_MS, variant: str = REENTRY) -> DataFrame:
-    """Bounced entry rows of a page stream (``mid, ts, seq, page`` columns)."""
+def bounces(
+    pages: DataFrame,
+    gap_ms: int = BOUNCE_GAP_MS,
+    variant: str = REENTRY,
+    key_rows: DataFrame | None = None,
+) -> DataFrame:
+    """Bounced entry rows of a page stream (``mid, ts, seq, page`` columns).
+
+    ``key_rows`` (``mid, ts, seq, is_entry`` of the same rows, e.g. from
+    ``log_split.page_keys``) spares the bucket-head step a full parse.
+    """
     if variant not in (STRICT, REENTRY):
         raise ValueError(f"variant must be {STRICT!r} or {REENTRY!r}")
     rows = pages.withColumn("_entry", is_entry(F.col("page")["last_page_id"]))
-    nx = next_within(rows, "mid", gap_ms, carry=["_entry"])
+    heads = key_rows.withColumnRenamed("is_entry", "_entry") if key_rows is not None else None
+    nx = next_within(rows, "mid", gap_ms, carry=["_entry"], head_rows=heads)
     timed_out = F.col("next_ts").isNull()
     cond = timed_out if variant == STRICT else (timed_out | F.col("next__entry"))
     return nx.where(F.col("_entry") & cond).select(*pages.columns)

@@ -44,6 +44,21 @@ def log_keys(raw: DataFrame) -> DataFrame:
     return k.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
 
 
+PAGE_KEY_DDL = "common struct<mid: string>, start string, page struct<last_page_id: string>, ts bigint"
+
+
+def page_keys(raw: DataFrame) -> DataFrame:
+    """``(value, seq)`` -> ``mid, ts, seq, is_entry`` of the page rows, narrow parse.
+
+    Same row set as ``page_rows(parse_log_topic(raw))``.
+    """
+    k = parse_once(raw, PAGE_KEY_DDL)
+    k = k.where(F.col("ts").isNotNull() & F.col("common.mid").isNotNull()
+                & F.col("start").isNull() & F.col("page").isNotNull())
+    entry = F.coalesce(F.col("page.last_page_id"), F.lit("")) == ""
+    return k.select(F.col("common.mid").alias("mid"), "ts", "seq", entry.alias("is_entry"))
+
+
 def malformed_log_rows(raw: DataFrame) -> DataFrame:
     r = raw.select("value", "seq", parse_log("value").alias("_r"))
     return r.where(F.col("_r.ts").isNull() | F.col("_r.common")["mid"].isNull()).select("value", "seq")

@@ -101,8 +101,9 @@ def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bounce(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
-    pages = log_split.page_rows(log_split.parse_log_topic(adapters.log_lines(_events(spark, sf_dir))))
-    b = bnc.bounces(pages, BOUNCE_GAP_TEST_MS, variant)
+    raw = adapters.log_lines(_events(spark, sf_dir))
+    pages = log_split.page_rows(log_split.parse_log_topic(raw))
+    b = bnc.bounces(pages, BOUNCE_GAP_TEST_MS, variant, key_rows=log_split.page_keys(raw))
     return b.select("seq", "mid", "ts", F.col("page")["page_id"].alias("page_id"))
 
 

@@ -169,6 +169,11 @@ def test_db_detail_stream_equals_batch(spark, scratch):
     want = upsert.current_rows(upsert.upsert_rows(cdc.dim_rows(routed)))
     assert sorted((r.sink_table, tuple(r.pk), r.seq) for r in cur.collect()) == \
         sorted((r.sink_table, tuple(r.pk), r.seq) for r in want.collect())
+    from shoplake.sinks import dims as dim_sink
+    table = dim_sink.current_table(spark, f"{scratch}/out", "dim_user")
+    assert table.columns == ["user_id", "value"] and table.count() == want.count()
+    dim_sink.compact(spark, f"{scratch}/out", f"{scratch}/compacted")
+    assert spark.read.parquet(f"{scratch}/compacted").count() == want.count()
 
 
 def test_log_detail_fanout_and_landing(spark, scratch):
