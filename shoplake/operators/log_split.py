@@ -15,18 +15,20 @@ from pyspark.sql import functions as F
 
 from shoplake.functions.jsonio import parse_log, parse_once
 from shoplake.functions.maps import overlay
-from shoplake.schemas import LOG_DDL
+from shoplake.schemas import log_ddl
 
 START, PAGE, DISPLAY = "start", "page", "display"
 
 
-def parse_log_topic(raw: DataFrame) -> DataFrame:
+def parse_log_topic(raw: DataFrame, fields: tuple[str, ...] | None = None) -> DataFrame:
     """``(value, seq)`` -> ``common, start, page, displays, ts, seq, mid``.
 
+    ``fields`` limits the parse to the record fields a job reads (``common``
+    and ``ts`` are always parsed); the text is still parsed only once.
     Rows without ``ts`` or ``common.mid`` (malformed text included) are
     dropped here; ``malformed_log_rows`` returns them for quarantine.
     """
-    parsed = parse_once(raw, LOG_DDL)
+    parsed = parse_once(raw, log_ddl(fields))
     parsed = parsed.withColumn("mid", F.col("common")["mid"])
     return parsed.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
 

@@ -30,10 +30,14 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
-def repaired_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def repaired_log(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] | None = None) -> DataFrame:
     """ods_log -> parsed -> new-visitor flag repaired (the log job's first half)."""
     raw = adapters.log_lines(_events(spark, sf_dir))
-    return visitors.repair_new_visitor(log_split.parse_log_topic(raw), log_split.log_keys(raw))
+    return visitors.repair_new_visitor(log_split.parse_log_topic(raw, fields), log_split.log_keys(raw))
+
+
+START_FIELDS = ("common", "start", "ts")
+PAGE_FIELDS = ("common", "start", "page", "ts")
 
 
 def _common_cols(df: DataFrame) -> list:
@@ -45,7 +49,7 @@ def _common_cols(df: DataFrame) -> list:
 
 
 def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = log_split.start_rows(repaired_log(spark, sf_dir))
+    s = log_split.start_rows(repaired_log(spark, sf_dir, START_FIELDS))
     return s.select(
         *_common_cols(s),
         F.get_json_object("start", "$.entry").alias("start_entry"),
@@ -85,12 +89,12 @@ def q_log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_new_visitor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = repaired_log(spark, sf_dir)
+    log = repaired_log(spark, sf_dir, ("common", "ts"))
     return log.select("seq", "mid", "ts", F.col("common")["is_new"].alias("is_new"))
 
 
 def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = log_split.page_rows(repaired_log(spark, sf_dir))
+    pages = log_split.page_rows(repaired_log(spark, sf_dir, PAGE_FIELDS))
     uv = visitors.unique_visitors(pages)
     return uv.select(
         "mid", "visit_date", "seq", "ts",
@@ -102,7 +106,7 @@ def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bounce(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     raw = adapters.log_lines(_events(spark, sf_dir))
-    pages = log_split.page_rows(log_split.parse_log_topic(raw))
+    pages = log_split.page_rows(log_split.parse_log_topic(raw, PAGE_FIELDS))
     b = bnc.bounces(pages, BOUNCE_GAP_TEST_MS, variant, key_rows=log_split.page_keys(raw))
     return b.select("seq", "mid", "ts", F.col("page")["page_id"].alias("page_id"))
 

@@ -14,11 +14,21 @@ RAW_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
-# App log line (ods_log) after parsing.
-LOG_DDL = (
-    "common map<string,string>, start string, page map<string,string>, "
-    "displays array<map<string,string>>, ts bigint"
-)
+# App log line (ods_log) after parsing: field -> type, in record order.
+LOG_FIELDS = {
+    "common": "map<string,string>",
+    "start": "string",
+    "page": "map<string,string>",
+    "displays": "array<map<string,string>>",
+    "ts": "bigint",
+}
+LOG_DDL = ", ".join(f"{k} {v}" for k, v in LOG_FIELDS.items())
+
+
+def log_ddl(fields=None) -> str:
+    """DDL of a subset of the log fields (``common`` and ``ts`` always kept)."""
+    want = set(fields or LOG_FIELDS) | {"common", "ts"}
+    return ", ".join(f"{k} {v}" for k, v in LOG_FIELDS.items() if k in want)
 
 # Change record (ods_db) after parsing.
 CHANGE_DDL = "database string, `table` string, type string, ts bigint, data map<string,string>"
