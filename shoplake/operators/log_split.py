@@ -92,9 +92,20 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     return {START: start_rows(log), PAGE: page_rows(log), DISPLAY: display_rows(log)}
 
 
+def _no_nulls(m):
+    return F.map_filter(m, lambda k, v: v.isNotNull())
+
+
 def detail_json(df: DataFrame, kind: str) -> DataFrame:
-    """Serialize a detail stream to its topic text (nulls left out)."""
+    """Serialize a detail stream to its topic text; null entries are left out."""
     if kind == DISPLAY:
-        return df.select(F.to_json("display").alias("value"), "seq")
-    obj = F.struct(*[F.col(c) for c in ("common", "start", "page", "displays", "ts")])
+        return df.select(F.to_json(_no_nulls(F.col("display"))).alias("value"), "seq")
+    parts = {
+        "common": _no_nulls(F.col("common")),
+        "start": F.col("start"),
+        "page": _no_nulls(F.col("page")),
+        "displays": F.transform("displays", _no_nulls),
+        "ts": F.col("ts"),
+    }
+    obj = F.struct(*[c.alias(n) for n, c in parts.items() if n in df.columns])
     return df.select(F.to_json(obj, {"ignoreNullFields": "true"}).alias("value"), "seq")

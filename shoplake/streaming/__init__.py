@@ -1,22 +1,25 @@
 """Structured Streaming forms of the warehouse jobs and their stateful processors."""
 
 from shoplake.streaming.jobs import (
+    await_job,
     bounce_stream,
     compact_dims,
     order_wide_stream,
     read_dim_current,
     repaired_log_stream,
     start_db_detail,
+    start_job,
     start_landing,
     start_log_detail,
     start_to_parquet,
+    late_rows_dropped,
     unique_visitor_stream,
 )
-from shoplake.streaming.processors import BouncePattern, NewVisitorRepair, UniqueVisitor
+from shoplake.streaming.processors import BouncePattern, FirstWindowOfDay, NewVisitorRepair, UniqueVisitor
 
 __all__ = [
-    "bounce_stream", "compact_dims", "order_wide_stream", "read_dim_current",
+    "await_job", "bounce_stream", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
     "repaired_log_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
-    "BouncePattern", "NewVisitorRepair", "UniqueVisitor",
+    "BouncePattern", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",
 ]

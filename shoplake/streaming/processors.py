@@ -124,6 +124,32 @@ class UniqueVisitor(_WindowBuffer):
         return [Row(value=v, seq=s, ts=t, visit_date=day_text(t))]
 
 
+class FirstWindowOfDay(StatefulProcessor):
+    """Unique visitor over pre-reduced input: each input row is the least row
+    of one closed 5 s window of the device (reduced in the JVM by a windowed
+    ``min_by``). Emit it when it is the device's first window of its day.
+
+    Windows reach the processor in closing order; rows of one micro-batch
+    are sorted by ``(ts, seq)`` first. No timers are needed.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last_day = handle.getValueState("last_day", "day string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        out = []
+        last = self.last_day.get()[0] if self.last_day.exists() else None
+        for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
+            d = day_text(r.ts)
+            if d == last:
+                continue
+            last = d
+            out.append(Row(value=r.value, seq=r.seq, ts=r.ts, visit_date=d))
+        if last is not None:
+            self.last_day.update((last,))
+        return iter(out)
+
+
 class BouncePattern(StatefulProcessor):
     """Two-row pattern per device, strict next, limit ``gap_ms``.
 

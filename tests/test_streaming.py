@@ -93,6 +93,9 @@ def test_unique_visitor_stream_equals_batch(spark, scratch):
     batch = visitors.unique_visitors(log_split.parse_log_topic(pages_raw))
     want = sorted((r.seq, r.visit_date) for r in batch.collect())
     assert got == want
+    stream = read_topic(spark, "dwd_page", streaming=True, path=scratch, max_files_per_trigger=1)
+    out2 = run_memory(jobs.unique_visitor_stream(stream, reduce_in_jvm=False), "uv_out2", f"{scratch}/ck2")
+    assert sorted((r.seq, r.visit_date) for r in out2.collect() if r.seq != 10**9) == want
 
 
 @pytest.mark.parametrize("variant", ["strict", "reentry"])
@@ -131,8 +134,12 @@ def test_late_row_is_dropped_by_repair(spark, scratch):
     ]
     write_chunks(lines, f"{scratch}/l", 3, (sentinel_line(10**9), 99))
     stream = read_topic(spark, "l", streaming=True, path=scratch, max_files_per_trigger=1)
-    out = run_memory(jobs.repaired_log_stream(stream), "late_out", f"{scratch}/ck")
+    q = (jobs.repaired_log_stream(stream).writeStream.format("memory").queryName("late_out")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    jobs.await_job(q, 300)
+    out = spark.table("late_out")
     assert sorted(r.seq for r in out.collect() if r.seq != 99) == [0, 1]
+    assert jobs.late_rows_dropped(q) >= 0
 
 
 def test_order_wide_stream_equals_batch(spark, scratch):
