@@ -54,11 +54,13 @@ def build_session(
 def ensure_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable settings to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        if k == "spark.sql.streaming.stateStore.providerClass":
-            continue  # fixed at start-up on some deployments; set by build_session
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # transformWithState requires RocksDB; a new query takes the provider
+    # from the session (a restarted one keeps the one in its checkpoint)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return spark
 
 

@@ -49,6 +49,7 @@ class _WindowBuffer(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", BUFFER_DDL)
+        self.done = handle.getValueState("done_until", "wm bigint")
         self.init_state(handle)
 
     def init_state(self, handle: StatefulProcessorHandle) -> None:  # pragma: no cover
@@ -66,20 +67,28 @@ class _WindowBuffer(StatefulProcessor):
             ends.add(end)
         if fresh:
             self.buf.appendList(fresh)
-        for e in sorted(ends):
-            self.handle.registerTimer(e)
+            # one timer per key: the earliest open window; firing re-arms the next
+            self.handle.registerTimer(min(ends))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # Every timer at or below the batch watermark fires in this batch, so
+        # the first one closes all due windows in order; the others of the
+        # same batch find ``done_until`` and return without reading state.
         expiry = expiredTimerInfo.getExpiryTimeInMs()
+        if self.done.exists() and expiry <= self.done.get()[0]:
+            return iter([])
+        upto = max(expiry, timerValues.getCurrentWatermarkInMs())
+        self.done.update((upto,))
         rows = list(self.buf.get()) if self.buf.exists() else []
-        due = [r for r in rows if r[0] <= expiry]
+        due = [r for r in rows if r[0] <= upto]
         if not due:
             return iter([])
-        rest = [r for r in rows if r[0] > expiry]
+        rest = [r for r in rows if r[0] > upto]
         self.buf.clear()
         if rest:
             self.buf.put(rest)
+            self.handle.registerTimer(min(r[0] for r in rest))
         out: list[Row] = []
         for end in sorted({r[0] for r in due}):  # closed windows, oldest first
             window = sorted((r for r in due if r[0] == end), key=lambda r: (r[1], r[2]))
@@ -168,18 +177,22 @@ class BouncePattern(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", BOUNCE_INPUT_BUFFER)
         self.pending = handle.getValueState("pending", "ts bigint, seq bigint, value string")
+        self.done = handle.getValueState("done_until", "wm bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
         fresh = [(r.ts, r.seq, bool(r.is_entry), r.value) for r in rows if r.ts > wm]
         if fresh:
             self.buf.appendList(fresh)
-            for ts in sorted({f[0] for f in fresh}):
-                self.handle.registerTimer(ts)
+            self.handle.registerTimer(min(f[0] for f in fresh))  # earliest row; firing re-arms
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        expiry = expiredTimerInfo.getExpiryTimeInMs()
+        if self.done.exists() and expiry <= self.done.get()[0]:
+            return iter([])  # already consumed up to this batch's watermark
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiry)
+        self.done.update((wm,))
         rows = list(self.buf.get()) if self.buf.exists() else []
         ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
         rest = [r for r in rows if r[0] > wm]
@@ -187,6 +200,8 @@ class BouncePattern(StatefulProcessor):
             self.buf.clear()
             if rest:
                 self.buf.put(rest)
+        if rest:
+            self.handle.registerTimer(min(r[0] for r in rest))
         pending = self.pending.get() if self.pending.exists() else None
         out: list[Row] = []
         for ts, seq, entry, value in ready:
@@ -199,7 +214,6 @@ class BouncePattern(StatefulProcessor):
                 pending = None  # strict next: the partial match ends either way
             if entry:
                 pending = (ts, seq, value)
-                self.handle.registerTimer(ts + self.gap_ms)
         if pending is not None and pending[0] + self.gap_ms <= wm:
             out.append(Row(value=pending[2], seq=pending[1], ts=pending[0]))
             pending = None
@@ -207,4 +221,5 @@ class BouncePattern(StatefulProcessor):
             self.pending.clear()
         else:
             self.pending.update(pending)
+            self.handle.registerTimer(pending[0] + self.gap_ms)  # its timeout
         return iter(out)
