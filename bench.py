@@ -3,6 +3,10 @@
 Each query is executed fully with the ``noop`` sink (nothing is collected to
 the driver). Two queries run once untimed to warm up the JVM; each query is then timed
 $BENCH_REPEAT times (default 2) and the best time is kept. Prints one JSON line.
+
+With BENCH_STREAM=1 the streaming forms (``*_stream`` keys: topic written to
+the checkpoint folder, job run once with availableNow) are timed as well,
+reported under ``stream_queries`` and not added to ``value``.
 """
 
 from __future__ import annotations
@@ -47,6 +51,15 @@ def main() -> None:
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
 
+    stream_times: dict[str, float] = {}
+    if os.environ.get("BENCH_STREAM", "0") == "1":
+        from shoplake.plans.stream_queries import STREAM_QUERIES
+
+        for name, (fn, _) in STREAM_QUERIES.items():
+            t0 = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            stream_times[name] = round(time.perf_counter() - t0, 3)
+
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     out = {
         "metric": "total_seconds_all_queries",
@@ -56,6 +69,8 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }
+    if stream_times:
+        out["stream_queries"] = stream_times
     print(json.dumps(out))
     spark.stop()
 

@@ -76,7 +76,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shoplake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a core setting some deployments refuse at run time
+            pass
         spark.sparkContext.setCheckpointDir(d)
     return d
 
