@@ -1,10 +1,12 @@
-"""Stateful processors (``transformWithState``, event time) for the streaming
-forms of the new-visitor repair, the daily unique visitor and the bounce
-pattern.
+"""Stateful processors (``transformWithStateInPandas``, event time) for the
+streaming forms of the new-visitor repair, the daily unique visitor and the
+bounce pattern.
 
-Rows are kept in state as ``(ts, seq, value)``: the raw JSON text plus its
-event time in ms and arrival position. The text is parsed again downstream,
-so state stays small and typed. Each processor works per device key.
+Rows arrive and leave as pandas frames (Arrow batches); each step is
+vectorized over one key's rows of one micro-batch. Rows are kept in state as
+``(ts, seq, value)``: the raw JSON text plus its event time in ms and
+arrival position. The text is parsed again downstream, so state stays small
+and typed. Each processor works per device key.
 
 Timing follows the original's event-time rules:
 
@@ -14,34 +16,56 @@ Timing follows the original's event-time rules:
 * the pattern consumes rows in ``(ts, seq)`` order once the watermark passes
   them, and times an entry out when the watermark reaches entry + limit.
 
+Every timer at or below the batch watermark fires in the same micro-batch,
+so the first callback of a key handles all of them (in time order) and
+``done_until`` lets the others return at once. Only the earliest open
+window / row has a timer; firing re-arms the next one.
+
 Given no late rows, each processor emits exactly the rows of its batch form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timezone
 
-from pyspark.sql import Row
+import numpy as np
+import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shoplake.settings import BOUNCE_GAP_MS, WINDOW_MS
 
 BUFFER_DDL = "w_end bigint, ts bigint, seq bigint, value string"
+BUFFER_COLS = ["w_end", "ts", "seq", "value"]
 
 REPAIR_OUTPUT = "value string, seq bigint, ts bigint, is_new string"
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
-BOUNCE_INPUT_BUFFER = "ts bigint, seq bigint, is_entry boolean, value string"
+BOUNCE_BUFFER_DDL = "ts bigint, seq bigint, is_entry boolean, value string"
+BOUNCE_COLS = ["ts", "seq", "is_entry", "value"]
 BOUNCE_OUTPUT = "value string, seq bigint, ts bigint"
 
 
-def day_text(ms: int) -> str:
+def day_text(ms: pd.Series) -> pd.Series:
     """Epoch ms -> ``yyyy-MM-dd`` in UTC (the session zone of the jobs)."""
-    return datetime.fromtimestamp(ms / 1000.0, tz=timezone.utc).strftime("%Y-%m-%d")
+    return pd.to_datetime(ms.astype("int64"), unit="ms", utc=True).dt.strftime("%Y-%m-%d")
+
+
+def _concat(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    frames = [f for f in frames if len(f)]
+    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
+
+
+def _records(df: pd.DataFrame, cols: list[str]) -> list[tuple]:
+    return list(df[cols].itertuples(index=False, name=None))
+
+
+def _state_frame(state, cols: list[str]) -> pd.DataFrame:
+    rows = list(state.get()) if state.exists() else []
+    return pd.DataFrame(rows, columns=cols)
 
 
 class _WindowBuffer(StatefulProcessor):
-    """Buffers rows per tumbling window; subclasses handle a closed window."""
+    """Buffers rows per tumbling window; subclasses turn closed windows
+    (sorted by window end, ts, seq) into output rows."""
 
     def __init__(self, window_ms: int = WINDOW_MS) -> None:
         self.window_ms = window_ms
@@ -55,47 +79,36 @@ class _WindowBuffer(StatefulProcessor):
     def init_state(self, handle: StatefulProcessorHandle) -> None:  # pragma: no cover
         raise NotImplementedError
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        w = self.window_ms
-        fresh, ends = [], set()
-        for r in rows:
-            end = (r.ts // w + 1) * w
-            if end <= wm:  # its window already fired: late, dropped
-                continue
-            fresh.append((end, r.ts, r.seq, r.value))
-            ends.add(end)
-        if fresh:
-            self.buf.appendList(fresh)
-            # one timer per key: the earliest open window; firing re-arms the next
-            self.handle.registerTimer(min(ends))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if len(df):
+            w_end = (df["ts"] // self.window_ms + 1) * self.window_ms
+            fresh = df.assign(w_end=w_end)[w_end > timerValues.getCurrentWatermarkInMs()]
+            if len(fresh):  # rows of an already fired window are late and dropped
+                self.buf.appendList(_records(fresh, BUFFER_COLS))
+                self.handle.registerTimer(int(fresh["w_end"].min()))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # Every timer at or below the batch watermark fires in this batch, so
-        # the first one closes all due windows in order; the others of the
-        # same batch find ``done_until`` and return without reading state.
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         expiry = expiredTimerInfo.getExpiryTimeInMs()
         if self.done.exists() and expiry <= self.done.get()[0]:
             return iter([])
         upto = max(expiry, timerValues.getCurrentWatermarkInMs())
         self.done.update((upto,))
-        rows = list(self.buf.get()) if self.buf.exists() else []
-        due = [r for r in rows if r[0] <= upto]
-        if not due:
+        buf = _state_frame(self.buf, BUFFER_COLS)
+        due = buf[buf["w_end"] <= upto]
+        if not len(due):
             return iter([])
-        rest = [r for r in rows if r[0] > upto]
+        rest = buf[buf["w_end"] > upto]
         self.buf.clear()
-        if rest:
-            self.buf.put(rest)
-            self.handle.registerTimer(min(r[0] for r in rest))
-        out: list[Row] = []
-        for end in sorted({r[0] for r in due}):  # closed windows, oldest first
-            window = sorted((r for r in due if r[0] == end), key=lambda r: (r[1], r[2]))
-            out.extend(self.on_window(end - self.window_ms, window))
-        return iter(out)
-
-    def on_window(self, start_ms: int, rows: list[tuple]) -> list[Row]:  # pragma: no cover
+        if len(rest):
+            self.buf.put(_records(rest, BUFFER_COLS))
+            self.handle.registerTimer(int(rest["w_end"].min()))
+        due = due.sort_values(["w_end", "ts", "seq"], kind="stable").reset_index(drop=True)
+        out = self.on_windows(due)
+        return iter([out]) if len(out) else iter([])
+
+    def on_windows(self, due: pd.DataFrame) -> pd.DataFrame:  # pragma: no cover
         raise NotImplementedError
 
 
@@ -106,14 +119,27 @@ class NewVisitorRepair(_WindowBuffer):
     def init_state(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
-    def on_window(self, start_ms: int, rows: list[tuple]) -> list[Row]:
-        first = not self.seen.exists()
-        if first:
+    def on_windows(self, due: pd.DataFrame) -> pd.DataFrame:
+        flag = np.full(len(due), "0", dtype=object)
+        if not self.seen.exists():
+            flag[0] = "1"  # least row of the oldest closed window
             self.seen.update((True,))
-        return [
-            Row(value=v, seq=s, ts=t, is_new="1" if (first and i == 0) else "0")
-            for i, (_, t, s, v) in enumerate(rows)
-        ]
+        return pd.DataFrame({"value": due["value"], "seq": due["seq"], "ts": due["ts"], "is_new": flag})
+
+
+def _first_per_day(firsts: pd.DataFrame, last_day: str | None) -> tuple[pd.DataFrame, str | None]:
+    """Rows in time order, one per closed window: keep those whose day differs
+    from the previous row's day (the first compared with ``last_day``)."""
+    days = day_text(firsts["ts"]).to_numpy(dtype=object)
+    prev = np.concatenate([np.array([last_day], dtype=object), days[:-1]])
+    keep = days != prev
+    out = pd.DataFrame({
+        "value": firsts["value"].to_numpy()[keep],
+        "seq": firsts["seq"].to_numpy()[keep],
+        "ts": firsts["ts"].to_numpy()[keep],
+        "visit_date": days[keep],
+    })
+    return out, (days[-1] if len(days) else last_day)
 
 
 class UniqueVisitor(_WindowBuffer):
@@ -122,15 +148,13 @@ class UniqueVisitor(_WindowBuffer):
     def init_state(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day string")
 
-    def on_window(self, start_ms: int, rows: list[tuple]) -> list[Row]:
-        today = day_text(start_ms)
-        if self.last_day.exists() and self.last_day.get()[0] != today:
-            self.last_day.clear()
-        if self.last_day.exists():
-            return []
-        _, t, s, v = rows[0]
-        self.last_day.update((day_text(t),))
-        return [Row(value=v, seq=s, ts=t, visit_date=day_text(t))]
+    def on_windows(self, due: pd.DataFrame) -> pd.DataFrame:
+        firsts = due.drop_duplicates("w_end", keep="first")
+        last = self.last_day.get()[0] if self.last_day.exists() else None
+        out, last = _first_per_day(firsts, last)
+        if last is not None:
+            self.last_day.update((str(last),))
+        return out
 
 
 class FirstWindowOfDay(StatefulProcessor):
@@ -145,18 +169,16 @@ class FirstWindowOfDay(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        out = []
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if not len(df):
+            return iter([])
+        df = df.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
         last = self.last_day.get()[0] if self.last_day.exists() else None
-        for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
-            d = day_text(r.ts)
-            if d == last:
-                continue
-            last = d
-            out.append(Row(value=r.value, seq=r.seq, ts=r.ts, visit_date=d))
+        out, last = _first_per_day(df, last)
         if last is not None:
-            self.last_day.update((last,))
-        return iter(out)
+            self.last_day.update((str(last),))
+        return iter([out]) if len(out) else iter([])
 
 
 class BouncePattern(StatefulProcessor):
@@ -165,6 +187,11 @@ class BouncePattern(StatefulProcessor):
     ``strict``: entry -> non-entry; only timeouts are emitted.
     ``reentry``: entry -> entry; matches and timeouts are emitted.
     A next row at or beyond entry + ``gap_ms`` times the entry out first.
+
+    Rows at or below the watermark are consumed in ``(ts, seq)`` order after
+    the pending entry (at most one). Each entry's fate depends only on its
+    strict successor, so a batch is decided with one shift; the last entry
+    stays pending until its successor arrives or its limit passes.
     """
 
     def __init__(self, variant: str = "reentry", gap_ms: int = BOUNCE_GAP_MS) -> None:
@@ -175,51 +202,66 @@ class BouncePattern(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", BOUNCE_INPUT_BUFFER)
+        self.buf = handle.getListState("buf", BOUNCE_BUFFER_DDL)
         self.pending = handle.getValueState("pending", "ts bigint, seq bigint, value string")
         self.done = handle.getValueState("done_until", "wm bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        fresh = [(r.ts, r.seq, bool(r.is_entry), r.value) for r in rows if r.ts > wm]
-        if fresh:
-            self.buf.appendList(fresh)
-            self.handle.registerTimer(min(f[0] for f in fresh))  # earliest row; firing re-arms
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if len(df):
+            fresh = df[df["ts"] > timerValues.getCurrentWatermarkInMs()]
+            if len(fresh):
+                fresh = fresh.assign(is_entry=fresh["is_entry"].astype(bool))
+                self.buf.appendList(_records(fresh, BOUNCE_COLS))
+                self.handle.registerTimer(int(fresh["ts"].min()))
         return iter([])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         expiry = expiredTimerInfo.getExpiryTimeInMs()
         if self.done.exists() and expiry <= self.done.get()[0]:
-            return iter([])  # already consumed up to this batch's watermark
+            return iter([])
         wm = max(timerValues.getCurrentWatermarkInMs(), expiry)
         self.done.update((wm,))
-        rows = list(self.buf.get()) if self.buf.exists() else []
-        ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
-        rest = [r for r in rows if r[0] > wm]
-        if ready:
+        buf = _state_frame(self.buf, BOUNCE_COLS)
+        ready = buf[buf["ts"] <= wm].sort_values(["ts", "seq"], kind="stable")
+        rest = buf[buf["ts"] > wm]
+        if len(ready):
             self.buf.clear()
-            if rest:
-                self.buf.put(rest)
-        if rest:
-            self.handle.registerTimer(min(r[0] for r in rest))
-        pending = self.pending.get() if self.pending.exists() else None
-        out: list[Row] = []
-        for ts, seq, entry, value in ready:
-            if pending is not None and ts - pending[0] >= self.gap_ms:
-                out.append(Row(value=pending[2], seq=pending[1], ts=pending[0]))  # timed out
-                pending = None
-            if pending is not None:
-                if self.variant == "reentry" and entry:
-                    out.append(Row(value=pending[2], seq=pending[1], ts=pending[0]))  # matched
-                pending = None  # strict next: the partial match ends either way
-            if entry:
-                pending = (ts, seq, value)
-        if pending is not None and pending[0] + self.gap_ms <= wm:
-            out.append(Row(value=pending[2], seq=pending[1], ts=pending[0]))
-            pending = None
-        if pending is None:
-            self.pending.clear()
+            if len(rest):
+                self.buf.put(_records(rest, BOUNCE_COLS))
+        if len(rest):
+            self.handle.registerTimer(int(rest["ts"].min()))
+
+        rows = ready
+        if self.pending.exists():
+            p_ts, p_seq, p_val = self.pending.get()
+            head = pd.DataFrame([(p_ts, p_seq, True, p_val)], columns=BOUNCE_COLS)
+            rows = pd.concat([head, ready], ignore_index=True) if len(ready) else head
+        if not len(rows):
+            return iter([])
+        ts = rows["ts"].to_numpy(dtype="int64")
+        entry = rows["is_entry"].to_numpy(dtype=bool)
+        n = len(rows)
+        has_next = np.arange(n) < n - 1
+        next_ts = np.append(ts[1:], 0)
+        next_entry = np.append(entry[1:], False)
+        timed_out = has_next & (next_ts - ts >= self.gap_ms)
+        emit = entry & timed_out
+        if self.variant == "reentry":
+            emit |= entry & has_next & ~timed_out & next_entry
+        # the last row: an entry without successor times out now or stays pending
+        last_entry = bool(entry[-1])
+        last_due = last_entry and int(ts[-1]) + self.gap_ms <= wm
+        if last_due:
+            emit[-1] = True
+        if last_entry and not last_due:
+            self.pending.update((int(ts[-1]), int(rows["seq"].iloc[-1]), rows["value"].iloc[-1]))
+            self.handle.registerTimer(int(ts[-1]) + self.gap_ms)  # its timeout
         else:
-            self.pending.update(pending)
-            self.handle.registerTimer(pending[0] + self.gap_ms)  # its timeout
-        return iter(out)
+            self.pending.clear()
+        out = pd.DataFrame({
+            "value": rows["value"].to_numpy()[emit],
+            "seq": rows["seq"].to_numpy()[emit],
+            "ts": ts[emit],
+        })
+        return iter([out]) if len(out) else iter([])
