@@ -165,7 +165,7 @@ LEFT JOIN part p ON w.sku_id = p.p_partkey
 """,
     "raw_landing_daily": """
 SELECT strftime(ts, '%Y-%m-%d') AS landing_date, count(*) AS n_lines,
-       min(event_id) AS first_seq, max(event_id) AS last_seq
+       min(epoch_us(ts) // 1000) AS first_ts, max(epoch_us(ts) // 1000) AS last_ts
 FROM events GROUP BY 1
 """,
 }

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from shoplake.operators import bounce as bnc
 from shoplake.operators import cdc, log_split, order_wide, upsert, visitors
-from shoplake.operators.landing import landing_day_of_event, with_landing_day
+from shoplake.operators.landing import landing_day_of_event
 from shoplake.plans.routing import routing_config
+from shoplake.session import scratch_dir
+from shoplake.sinks.landing import write_landing
 from shoplake.sources import adapters
 from shoplake.sources.tables import read_table
 
@@ -228,13 +230,18 @@ def q_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_raw_landing_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the raw log as daily text folders (day of the event stands in for
+    the arrival day), then read the landed lines back and summarize per day."""
     raw = adapters.log_lines(_events(spark, sf_dir))
-    landed = with_landing_day(raw, landing_day_of_event("value"))
+    path = scratch_dir(spark, "landing")
+    write_landing(raw, path, landing_day_of_event("value"))
+    landed = spark.read.text(path)
+    ts = F.get_json_object("value", "$.ts").cast("bigint")
     return landed.groupBy("landing_date").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
-    )
+        F.min(ts).alias("first_ts"),
+        F.max(ts).alias("last_ts"),
+    ).select(F.col("landing_date").cast("string").alias("landing_date"), "n_lines", "first_ts", "last_ts")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
