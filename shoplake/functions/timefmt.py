@@ -25,5 +25,6 @@ def day_of_ms(ms: Column | str) -> Column:
 
 
 def ms_of_datetime_text(text: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text -> epoch milliseconds."""
-    return F.unix_millis(F.to_timestamp(_c(text), DATETIME_FORMAT))
+    """``yyyy-MM-dd HH:mm:ss`` text -> epoch milliseconds; null when malformed
+    (also under ANSI mode), so the caller can drop the row."""
+    return F.unix_millis(F.try_to_timestamp(_c(text), F.lit(DATETIME_FORMAT)))
