@@ -15,11 +15,17 @@ from shoplake.streaming.jobs import (
     late_rows_dropped,
     unique_visitor_stream,
 )
-from shoplake.streaming.processors import BouncePattern, FirstWindowOfDay, NewVisitorRepair, UniqueVisitor
+from shoplake.streaming.processors import (
+    BouncePattern,
+    FirstWindowFlag,
+    FirstWindowOfDay,
+    NewVisitorRepair,
+    UniqueVisitor,
+)
 
 __all__ = [
     "await_job", "bounce_stream", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
     "repaired_log_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
-    "BouncePattern", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",
+    "BouncePattern", "FirstWindowFlag", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",
 ]

@@ -38,6 +38,7 @@ BUFFER_DDL = "w_end bigint, ts bigint, seq bigint, value string"
 BUFFER_COLS = ["w_end", "ts", "seq", "value"]
 
 REPAIR_OUTPUT = "value string, seq bigint, ts bigint, is_new string"
+FLAG_OUTPUT = "seq bigint, flag_time timestamp, is_first boolean"
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
 BOUNCE_BUFFER_DDL = "ts bigint, seq bigint, is_entry boolean, value string"
 BOUNCE_COLS = ["ts", "seq", "is_entry", "value"]
@@ -127,6 +128,28 @@ class NewVisitorRepair(_WindowBuffer):
         return pd.DataFrame({"value": due["value"], "seq": due["seq"], "ts": due["ts"], "is_new": flag})
 
 
+class FirstWindowFlag(StatefulProcessor):
+    """New-visitor flag over pre-reduced input: each input row is the least
+    ``(ts, seq)`` of one closed window of the device, stamped with the
+    window's ``flag_time``. The first such row ever is the device's new-visitor
+    row. Every input row is passed on with ``is_first``, so the output's event
+    time keeps pace with the input (its watermark never holds the query back)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if not len(df):
+            return iter([])
+        df = df.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
+        first = np.zeros(len(df), dtype=bool)
+        if not self.seen.exists():
+            first[0] = True
+            self.seen.update((True,))
+        return iter([pd.DataFrame({"seq": df["seq"], "flag_time": df["flag_time"], "is_first": first})])
+
+
 def _first_per_day(firsts: pd.DataFrame, last_day: str | None) -> tuple[pd.DataFrame, str | None]:
     """Rows in time order, one per closed window: keep those whose day differs
     from the previous row's day (the first compared with ``last_day``)."""

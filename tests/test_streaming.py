@@ -75,6 +75,11 @@ def test_repair_stream_equals_batch(spark, scratch):
     batch = visitors.repair_new_visitor(log_split.parse_log_topic(raw))
     want = sorted((r.seq, r.n) for r in batch.select("seq", F.col("common")["is_new"].alias("n")).collect())
     assert got == want and len(got) == raw.count()
+    stream = read_topic(spark, "ods_log", streaming=True, path=scratch, max_files_per_trigger=1)
+    out2 = run_memory(jobs.repaired_log_stream(stream, skew_safe=True), "repair_out2", f"{scratch}/ck2")
+    got2 = sorted((r.seq, r.n) for r in out2.where(F.col("mid") != SENTINEL)
+                  .select("seq", F.col("common")["is_new"].alias("n")).collect())
+    assert got2 == want
 
 
 def _page_topic(spark):
