@@ -7,6 +7,7 @@ from shoplake.sources.adapters import (
     order_info_lines,
 )
 from shoplake.sources.config_source import (
+    changelog_config_loader,
     config_frame,
     config_latest,
     keep_additions,
@@ -18,7 +19,7 @@ from shoplake.sources.topics import read_topic, read_topics
 
 __all__ = [
     "change_lines", "log_lines", "order_detail_lines", "order_info_lines",
-    "config_frame", "config_latest", "keep_additions", "read_config",
+    "changelog_config_loader", "config_frame", "config_latest", "keep_additions", "read_config",
     "INLINE_PAGE_LINES", "inline_topic", "read_table", "read_tables",
     "read_topic", "read_topics",
 ]

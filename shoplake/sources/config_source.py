@@ -52,6 +52,17 @@ def config_latest(changes: DataFrame, op_col: str = "op", seq_col: str = "seq")
     return latest_per_key(adds, CONFIG_KEY, seq_col).select(*TABLE_PROCESS_COLUMNS)
 
 
+def changelog_config_loader(spark: SparkSession, path: str, op_col: str = "op", seq_col: str = "seq"):
+    """A config loader for ``start_db_detail`` that re-reads a folder of
+    config change records (columns of the config + ``op`` + ``seq``) and
+    folds it each micro-batch: the change form, so deleted rows stay active."""
+
+    def load() -> DataFrame:
+        return config_latest(spark.read.parquet(path), op_col, seq_col)
+
+    return load
+
+
 def config_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """Config rows given inline (tests, small deployments)."""
     return spark.createDataFrame(rows, TABLE_PROCESS_SCHEMA)

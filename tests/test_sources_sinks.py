@@ -52,3 +52,16 @@ def test_empty_config_routes_nothing(spark):
     raw = adapters.change_lines(read_table(spark, SF_SMOKE, "events"))
     empty = config_frame(spark, [])
     assert cdc.route_changes(cdc.clean_changes(raw), empty).count() == 0
+
+
+def test_changelog_config_loader_keeps_deleted_rows(spark, scratch):
+    from shoplake.sources.config_source import changelog_config_loader
+
+    schema = ("source_table string, operate_type string, sink_type string, sink_table string, "
+              "sink_columns string, sink_pk string, sink_extend string, op string, seq bigint")
+    rows = [(*r, "insert", i) for i, r in enumerate(ROUTING_ROWS)]
+    rows.append((*ROUTING_ROWS[2], "delete", 9))
+    spark.createDataFrame(rows, schema).write.parquet(f"{scratch}/tp_changes")
+    cfg = changelog_config_loader(spark, f"{scratch}/tp_changes")()
+    assert cfg.count() == 5
+    assert cfg.where(F.col("sink_table") == "dim_user").count() == 2
