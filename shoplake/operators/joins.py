@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 from shoplake.settings import BROADCAST_MAX_ROWS
 
 
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Exact, bounded-cost row-count check: is there no row past ``max_rows``?
+
+    ``offset(n).isEmpty()`` runs as an incremental take: partitions are
+    scanned a few at a time until row ``n + 1`` is found, and at most one row
+    reaches the driver. A huge table therefore costs about ``n`` rows read,
+    not a pass over every split (which ``limit(n).count()`` would start).
+    """
+    return df.offset(max_rows).isEmpty()
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
 
-    The check runs ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is passed, so its cost is bounded too. Beyond the bound the frame is
-    returned unhinted and the planner shuffles (AQE may still pick a broadcast
-    from run-time sizes).
+    Beyond the bound the frame is returned unhinted and the planner shuffles
+    (AQE may still pick a broadcast from run-time sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

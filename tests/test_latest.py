@@ -34,3 +34,15 @@ def test_earliest_and_latest_per_key(spark):
     last = {r.k: (r.seq, r.v) for r in latest_per_key(df, ["k"], "seq").collect()}
     lp = pdf.sort_values("seq").groupby("k").tail(1).set_index("k")
     assert last == {k: (int(r.seq), r.v) for k, r in lp.iterrows()}
+
+
+def test_bounded_broadcast_check(spark):
+    from shoplake.operators.joins import broadcast_if_bounded, has_at_most
+
+    df = spark.range(0, 1000)
+    assert has_at_most(df, 1000) and not has_at_most(df, 999)
+    small = broadcast_if_bounded(spark.range(10), 100)
+    big = broadcast_if_bounded(spark.range(1000), 100)
+    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in plan(small).lower()
+    assert "broadcast" not in plan(big).lower()
