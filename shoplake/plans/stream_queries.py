@@ -38,9 +38,13 @@ RUN_TIMEOUT_S = 1800
 
 
 def _job_session(spark: SparkSession) -> SparkSession:
-    s = spark.newSession()
+    try:
+        s = spark.newSession()
+        parallelism = spark.sparkContext.defaultParallelism
+    except Exception:  # no classic SparkContext: run in the caller's session as configured
+        return ensure_session(spark)
     ensure_session(s)
-    s.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    s.conf.set("spark.sql.shuffle.partitions", str(parallelism))
     return s
 
 

@@ -73,14 +73,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no classic SparkContext
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="shoplake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # a core setting some deployments refuse at run time
             pass
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d
 
 

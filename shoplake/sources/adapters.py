@@ -42,8 +42,12 @@ def spread(df: DataFrame) -> DataFrame:
     one file) is spread round-robin; a large table scan already has far more
     splits than cores and is left as it is (no shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no classic SparkContext (e.g. a remote session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _props_k() -> Column:
