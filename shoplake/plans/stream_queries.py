@@ -117,9 +117,10 @@ def _bounce_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     pages = log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(raw)), log_split.PAGE)
     _write_topic(pages, root, "dwd_page")
     src = read_topic(s, "dwd_page", streaming=True, path=root)
-    _run(jobs.start_to_parquet(jobs.bounce_stream(src, variant, BOUNCE_GAP_TEST_MS), f"{root}/out",
-                               f"{root}/ck", f"bounce_{variant}", trigger={"availableNow": True}))
-    b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out"), ("common", "page", "ts"))
+    # the skew-safe form: the batch operator per micro-batch over a carried table
+    _run(jobs.start_bounce_by_batches(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS,
+                                      trigger={"availableNow": True}))
+    b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/bounces"), ("common", "page", "ts"))
     return b.where(F.col("mid") != SENTINEL_MID).select(
         "seq", "mid", "ts", F.col("page")["page_id"].alias("page_id"))
 

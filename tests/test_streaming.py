@@ -267,3 +267,44 @@ def test_out_of_order_within_watermark(spark, scratch):
         stream = read_topic(spark, "p", streaming=True, path=scratch, max_files_per_trigger=1)
         out = run_memory(jobs.bounce_stream(stream, variant), f"ooo_{variant}", f"{scratch}/ck_{variant}")
         assert sorted(r.ts for r in out.collect() if r.seq != 99) == want
+
+
+@pytest.mark.parametrize("variant", ["strict", "reentry"])
+def test_bounce_by_batches_equals_batch(spark, scratch, variant):
+    gap = 6 * 3600 * 1000
+    pages_raw = _page_topic(spark)
+    recs = [(r.value, r.seq) for r in pages_raw.collect()]
+    write_chunks(recs, f"{scratch}/dwd_page", 4, (sentinel_line(_max_ts(spark) + 10 * gap), 10**9))
+    stream = read_topic(spark, "dwd_page", streaming=True, path=scratch, max_files_per_trigger=1)
+    q = jobs.start_bounce_by_batches(stream, f"{scratch}/out", f"{scratch}/ck", variant, gap,
+                                     trigger={"availableNow": True})
+    jobs.await_job(q, 300)
+    got = sorted(r.seq for r in spark.read.parquet(f"{scratch}/out/bounces").collect() if r.seq != 10**9)
+    want = sorted(r.seq for r in bounce.bounces(log_split.parse_log_topic(pages_raw), gap, variant).collect())
+    assert got == want and len(want) > 0
+
+
+def test_bounce_by_batches_inline_out_of_order(spark, scratch):
+    lines = [
+        (json.dumps({"common": {"mid": "101"}, "page": {"page_id": "home"}, "ts": 11000}), 1),
+        (json.dumps({"common": {"mid": "101"}, "page": {"page_id": "home"}, "ts": 10000}), 0),
+        (json.dumps({"common": {"mid": "102"}, "page": {"page_id": "good_list", "last_page_id": "home"},
+                     "ts": 14000}), 3),
+        (json.dumps({"common": {"mid": "102"}, "page": {"page_id": "home"}, "ts": 12000}), 2),
+        (json.dumps({"common": {"mid": "102"}, "page": {"page_id": "good_list", "last_page_id": "detail"},
+                     "ts": 50000}), 4),
+    ]
+    folder = f"{scratch}/p"
+    os.makedirs(folder)
+    t0 = time.time() - 100
+    for i, ch in enumerate([lines[0:2], lines[2:4], lines[4:], [(sentinel_line(10**9), 99)]]):
+        p = os.path.join(folder, f"c{i}.parquet")
+        pq.write_table(pa.table({"value": [c[0] for c in ch], "seq": pa.array([c[1] for c in ch], pa.int64())}), p)
+        os.utime(p, (t0 + i, t0 + i))
+    for variant, want in (("strict", [11000]), ("reentry", [10000, 11000])):
+        stream = read_topic(spark, "p", streaming=True, path=scratch, max_files_per_trigger=1)
+        q = jobs.start_bounce_by_batches(stream, f"{scratch}/o_{variant}", f"{scratch}/ck_{variant}", variant,
+                                         trigger={"availableNow": True})
+        jobs.await_job(q, 300)
+        got = sorted(r.ts for r in spark.read.parquet(f"{scratch}/o_{variant}/bounces").collect() if r.seq != 99)
+        assert got == want
