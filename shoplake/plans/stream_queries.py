@@ -67,12 +67,16 @@ def _log_topic(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def _stream_log_detail(spark: SparkSession, sf_dir: str) -> str:
-    """ods_log -> streaming log detail job -> dwd_start / dwd_page / dwd_display folders."""
+    """ods_log -> streaming log detail job -> dwd_start / dwd_page / dwd_display folders.
+
+    Uses the micro-batch form (no per-device state); ``new_visitor_repair_stream``
+    covers the stateful-processor form.
+    """
     s = _job_session(spark)
     root = scratch_dir(s, "stream-log")
     _log_topic(s, sf_dir, root)
     src = read_topic(s, "ods_log", streaming=True, path=root)
-    _run(jobs.start_log_detail(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
+    _run(jobs.start_log_detail_by_batches(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
     return root
 
 

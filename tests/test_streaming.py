@@ -308,3 +308,36 @@ def test_bounce_by_batches_inline_out_of_order(spark, scratch):
         jobs.await_job(q, 300)
         got = sorted(r.ts for r in spark.read.parquet(f"{scratch}/o_{variant}/bounces").collect() if r.seq != 99)
         assert got == want
+
+
+def test_log_detail_by_batches_equals_batch(spark, scratch):
+    raw = _raw_log(spark)
+    recs = [(r.value, r.seq) for r in raw.collect()]
+    write_chunks(recs, f"{scratch}/ods_log", 3, (sentinel_line(_max_ts(spark) + 86_400_000), 10**9))
+    stream = read_topic(spark, "ods_log", streaming=True, path=scratch, max_files_per_trigger=1)
+    q = jobs.start_log_detail_by_batches(stream, f"{scratch}/dwd", f"{scratch}/ck", trigger={"availableNow": True})
+    jobs.await_job(q, 300)
+    parts = log_split.split_log(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
+    page = spark.read.parquet(f"{scratch}/dwd/dwd_page").where(F.col("seq") != 10**9)
+    got = sorted((r.seq, r.n) for r in log_split.parse_log_topic(page).select(
+        "seq", F.col("common")["is_new"].alias("n")).collect())
+    want = sorted((r.seq, r.n) for r in parts["page"].select("seq", F.col("common")["is_new"].alias("n")).collect())
+    assert got == want
+    for name, kind in (("dwd_start", "start"), ("dwd_display", "display")):
+        n = spark.read.parquet(f"{scratch}/dwd/{name}").where(F.col("seq") != 10**9).count()
+        assert n == parts[kind].count(), name
+
+
+def test_log_detail_by_batches_drops_late_rows(spark, scratch):
+    lines = [
+        (json.dumps({"common": {"mid": "1"}, "page": {"page_id": "a"}, "ts": 100_000}), 0),
+        (json.dumps({"common": {"mid": "2"}, "page": {"page_id": "a"}, "ts": 200_000}), 1),
+        (json.dumps({"common": {"mid": "1"}, "page": {"page_id": "a"}, "ts": 100_001}), 2),
+    ]
+    write_chunks(lines, f"{scratch}/l", 3, (sentinel_line(10**9), 99))
+    stream = read_topic(spark, "l", streaming=True, path=scratch, max_files_per_trigger=1)
+    q = jobs.start_log_detail_by_batches(stream, f"{scratch}/dwd", f"{scratch}/ck", trigger={"availableNow": True})
+    jobs.await_job(q, 300)
+    page = log_split.parse_log_topic(spark.read.parquet(f"{scratch}/dwd/dwd_page"))
+    got = sorted((r.seq, r.common["is_new"]) for r in page.collect() if r.seq != 99)
+    assert got == [(0, "1"), (1, "1")]
