@@ -30,6 +30,8 @@ def _args(argv=None):
     p.add_argument("--variant", default="reentry", choices=("strict", "reentry"), help="bounce variant")
     p.add_argument("--gap-ms", type=int, default=settings.BOUNCE_GAP_MS)
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
+    p.add_argument("--by-batches", action="store_true",
+                   help="log-detail / bounce: micro-batch form without per-device state")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -44,7 +46,9 @@ def main(argv=None) -> None:
 
     ck = a.checkpoint or scratch_dir(spark, f"ck-{a.job}")
     trigger = {"availableNow": True} if a.once else None
-    if a.job == "log-detail":
+    if a.job == "log-detail" and a.by_batches:
+        q = jobs.start_log_detail_by_batches(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
+    elif a.job == "log-detail":
         q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
     elif a.job == "db-detail":
         if not a.config_path:
@@ -54,6 +58,9 @@ def main(argv=None) -> None:
     elif a.job == "unique-visitor":
         q = jobs.start_to_parquet(jobs.unique_visitor_stream(topic(settings.TOPIC_DWD_PAGE)),
                                   a.out, ck, "unique_visitor", trigger=trigger)
+    elif a.job == "bounce" and a.by_batches:
+        q = jobs.start_bounce_by_batches(topic(settings.TOPIC_DWD_PAGE), a.out, ck, a.variant, a.gap_ms,
+                                         trigger=trigger)
     elif a.job == "bounce":
         q = jobs.start_to_parquet(jobs.bounce_stream(topic(settings.TOPIC_DWD_PAGE), a.variant, a.gap_ms),
                                   a.out, ck, f"bounce_{a.variant}", trigger=trigger)
