@@ -371,3 +371,18 @@ def test_log_detail_by_batches_restart(spark, scratch):
     batch = log_split.page_rows(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
     want = sorted((r.seq, r.common["is_new"]) for r in batch.collect())
     assert got == want
+
+
+def test_log_detail_by_batches_with_seen_snapshots(spark, scratch, monkeypatch):
+    monkeypatch.setattr(jobs, "SEEN_SNAPSHOT_EVERY", 2)
+    raw = _raw_log(spark)
+    recs = [(r.value, r.seq) for r in raw.collect()]
+    write_chunks(recs, f"{scratch}/ods_log", 6, (sentinel_line(_max_ts(spark) + 86_400_000), 10**9))
+    stream = read_topic(spark, "ods_log", streaming=True, path=scratch, max_files_per_trigger=1)
+    q = jobs.start_log_detail_by_batches(stream, f"{scratch}/dwd", f"{scratch}/ck", trigger={"availableNow": True})
+    jobs.await_job(q, 300)
+    assert os.path.isdir(f"{scratch}/dwd/_state/seen_snapshot/upto=2")
+    page = log_split.parse_log_topic(spark.read.parquet(f"{scratch}/dwd/dwd_page")).where(F.col("seq") != 10**9)
+    got = sorted((r.seq, r.common["is_new"]) for r in page.collect())
+    batch = log_split.page_rows(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
+    assert got == sorted((r.seq, r.common["is_new"]) for r in batch.collect())
