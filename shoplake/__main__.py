@@ -31,7 +31,7 @@ def _args(argv=None):
     p.add_argument("--gap-ms", type=int, default=settings.BOUNCE_GAP_MS)
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
     p.add_argument("--by-batches", action="store_true",
-                   help="log-detail / bounce: micro-batch form without per-device state")
+                   help="log-detail / bounce / order-wide: micro-batch form without per-key state")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -64,6 +64,9 @@ def main(argv=None) -> None:
     elif a.job == "bounce":
         q = jobs.start_to_parquet(jobs.bounce_stream(topic(settings.TOPIC_DWD_PAGE), a.variant, a.gap_ms),
                                   a.out, ck, f"bounce_{a.variant}", trigger=trigger)
+    elif a.job == "order-wide" and a.by_batches:
+        q = jobs.start_order_wide_by_batches(topic(settings.TOPIC_DWD_ORDER_INFO),
+                                             topic(settings.TOPIC_DWD_ORDER_DETAIL), a.out, ck, trigger=trigger)
     elif a.job == "order-wide":
         wide = jobs.order_wide_stream(topic(settings.TOPIC_DWD_ORDER_INFO), topic(settings.TOPIC_DWD_ORDER_DETAIL))
         q = jobs.start_to_parquet(wide, a.out, ck, "order_wide", trigger=trigger)

@@ -11,6 +11,7 @@ from shoplake.streaming.jobs import (
     start_db_detail,
     start_job,
     start_log_detail_by_batches,
+    start_order_wide_by_batches,
     start_landing,
     start_log_detail,
     start_to_parquet,
@@ -26,7 +27,7 @@ from shoplake.streaming.processors import (
 )
 
 __all__ = [
-    "await_job", "bounce_stream", "start_bounce_by_batches", "start_log_detail_by_batches", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
+    "await_job", "bounce_stream", "start_bounce_by_batches", "start_log_detail_by_batches", "start_order_wide_by_batches", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
     "repaired_log_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
     "BouncePattern", "FirstWindowFlag", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",

@@ -386,3 +386,41 @@ def test_log_detail_by_batches_with_seen_snapshots(spark, scratch, monkeypatch):
     got = sorted((r.seq, r.common["is_new"]) for r in page.collect())
     batch = log_split.page_rows(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
     assert got == sorted((r.seq, r.common["is_new"]) for r in batch.collect())
+
+
+def test_order_wide_by_batches_equals_batch(spark, scratch):
+    win = 30 * 86_400_000
+    o_raw = adapters.order_info_lines(read_table(spark, SF_SMOKE, "orders"))
+    d_raw = adapters.order_detail_lines(read_table(spark, SF_SMOKE, "lineitem"))
+    # arrival in create-time order, several files per side
+    from shoplake.operators import order_wide as ow
+    o_sorted = ow.parse_order_info(o_raw).select("create_ts").toPandas()
+    o_recs = sorted(((r.value, r.seq) for r in o_raw.collect()), key=lambda r: json.loads(r[0])["create_time"])
+    d_recs = sorted(((r.value, r.seq) for r in d_raw.collect()), key=lambda r: json.loads(r[0])["create_time"])
+    assert len(o_sorted) == len(o_recs)
+
+    def write_sorted(recs, folder, n):
+        os.makedirs(folder, exist_ok=True)
+        size = (len(recs) + n - 1) // n
+        t0 = time.time() - 1000
+        for i in range(n):
+            ch = recs[i * size:(i + 1) * size]
+            p = os.path.join(folder, f"c{i:03d}.parquet")
+            pq.write_table(pa.table({"value": [c[0] for c in ch], "seq": pa.array([c[1] for c in ch], pa.int64())}), p)
+            os.utime(p, (t0 + i, t0 + i))
+
+    write_sorted(o_recs, f"{scratch}/o", 3)
+    write_sorted(d_recs, f"{scratch}/d", 3)
+    cust = read_table(spark, SF_SMOKE, "customer")
+    os_ = read_topic(spark, "o", streaming=True, path=scratch, max_files_per_trigger=1)
+    ds_ = read_topic(spark, "d", streaming=True, path=scratch, max_files_per_trigger=1)
+    # each side arrives in time order, so the 3 s delay drops nothing; carried
+    # rows are evicted as the watermark (minimum of both sides) passes them
+    q = jobs.start_order_wide_by_batches(os_, ds_, f"{scratch}/out", f"{scratch}/ck", {"user": cust},
+                                         -win, win, trigger={"availableNow": True})
+    jobs.await_job(q, 300)
+    got = sorted((r.order_id, r.detail_id, r.user_name) for r in spark.read.parquet(f"{scratch}/out/wide").collect())
+    b = ow.enrich_dims(ow.interval_join(ow.with_event_time(ow.parse_order_info(o_raw)),
+                                        ow.with_event_time(ow.parse_order_detail(d_raw)), -win, win), user=cust)
+    want = sorted((r.order_id, r.detail_id, r.user_name) for r in b.collect())
+    assert got == want and len(want) > 0
