@@ -65,3 +65,16 @@ def test_changelog_config_loader_keeps_deleted_rows(spark, scratch):
     cfg = changelog_config_loader(spark, f"{scratch}/tp_changes")()
     assert cfg.count() == 5
     assert cfg.where(F.col("sink_table") == "dim_user").count() == 2
+
+
+def test_job_launcher_runs_log_detail(spark, scratch):
+    from shoplake.__main__ import main
+
+    raw = adapters.log_lines(read_table(spark, SF_SMOKE, "events"))
+    topic_sink.write_topic(raw, "ods_log", path=f"{scratch}/topics")
+    main(["log-detail", "--topics-dir", f"{scratch}/topics", "--out", f"{scratch}/dwd",
+          "--checkpoint", f"{scratch}/ck", "--once", "--by-batches"])
+    pages = spark.read.parquet(f"{scratch}/dwd/dwd_page").count()
+    starts = spark.read.parquet(f"{scratch}/dwd/dwd_start").count()
+    # the last open windows stay open without later events
+    assert 0 < pages + starts <= raw.count()
