@@ -32,6 +32,8 @@ def _args(argv=None):
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
     p.add_argument("--by-batches", action="store_true",
                    help="log-detail / bounce / order-wide: micro-batch form without per-key state")
+    p.add_argument("--kafka-out", action="store_true",
+                   help="log-detail / db-detail: write the topics to Kafka (--kafka-bootstrap)")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -49,12 +51,13 @@ def main(argv=None) -> None:
     if a.job == "log-detail" and a.by_batches:
         q = jobs.start_log_detail_by_batches(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
     elif a.job == "log-detail":
-        q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
+        q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger,
+                                  kafka=kafka if a.kafka_out else None)
     elif a.job == "db-detail":
         if not a.config_path:
             raise SystemExit("db-detail needs --config-path")
         q = jobs.start_db_detail(topic(settings.TOPIC_ODS_DB), lambda: read_config(spark, path=a.config_path),
-                                 a.out, ck, trigger=trigger)
+                                 a.out, ck, trigger=trigger, kafka=kafka if a.kafka_out else None)
     elif a.job == "unique-visitor":
         q = jobs.start_to_parquet(jobs.unique_visitor_stream(topic(settings.TOPIC_DWD_PAGE)),
                                   a.out, ck, "unique_visitor", trigger=trigger)
