@@ -60,3 +60,26 @@ def test_repair_and_unique_visitor_equal_sequential_rule(spark, recs):
     df["day"] = df["ts"] // 86_400_000
     got_uv = sorted(r.seq for r in visitors.unique_visitors(log_split.page_rows(log)).collect())
     assert got_uv == sorted(df.groupby(["mid", "day"]).head(1)["seq"])
+
+
+maps_strategy = st.one_of(
+    st.none(),
+    st.dictionaries(st.sampled_from(["a", "b", "c", "ts", "mid"]), st.text(max_size=3), max_size=4),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(maps_strategy, min_size=1, max_size=4))
+def test_overlay_equals_dict_merge(spark, maps):
+    from pyspark.sql import functions as F
+
+    from shoplake.functions.maps import overlay
+
+    cols = [f"m{i}" for i in range(len(maps))]
+    schema = ", ".join(f"{c} map<string,string>" for c in cols)
+    df = spark.createDataFrame([tuple(maps)], schema)
+    got = df.select(overlay(*cols).alias("o")).first()["o"]
+    want = {}
+    for m in maps:
+        want.update(m or {})
+    assert dict(got) == want
