@@ -42,7 +42,7 @@ START_FIELDS = ("common", "start", "ts")
 PAGE_FIELDS = ("common", "start", "page", "ts")
 
 
-def _common_cols(df: DataFrame) -> list:
+def _common_cols() -> list:
     return [
         F.col("seq"),
         F.col("mid"),
@@ -53,7 +53,7 @@ def _common_cols(df: DataFrame) -> list:
 def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = log_split.start_rows(repaired_log(spark, sf_dir, START_FIELDS))
     return s.select(
-        *_common_cols(s),
+        *_common_cols(),
         F.get_json_object("start", "$.entry").alias("start_entry"),
         F.get_json_object("start", "$.loading_time").cast("bigint").alias("loading_time"),
         F.col("ts"),
@@ -63,7 +63,7 @@ def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = log_split.page_rows(repaired_log(spark, sf_dir))
     return p.select(
-        *_common_cols(p),
+        *_common_cols(),
         F.col("page")["page_id"].alias("page_id"),
         F.col("page")["last_page_id"].alias("last_page_id"),
         F.col("page")["during_time"].cast("bigint").alias("during_time"),
