@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplake.llm.common import table
+from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
+from shoplake.llm.packing import pack_documents
 from shoplake.llm.sharding import shard_digests
 from shoplake.llm.warc import archive_pages
 
@@ -22,7 +24,24 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_warc, op4_sharding)}
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_warc,
+        op4_sharding,
+        op6_benchmark_decontamination,
+        op10_packing,
+    )
+}
 
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
