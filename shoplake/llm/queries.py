@@ -9,6 +9,7 @@ from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.packing import pack_documents
 from shoplake.llm.sharding import shard_digests
+from shoplake.llm.suffix_dedup import remove_repeats
 from shoplake.llm.warc import archive_pages
 
 
@@ -20,6 +21,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ QUERIES = {
     for f in (
         op1_exact_dedup,
         op2_warc,
+        op3_suffix_dedup,
         op4_sharding,
         op6_benchmark_decontamination,
         op10_packing,
