@@ -9,6 +9,7 @@ from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.packing import pack_documents
 from shoplake.llm.sharding import shard_digests
+from shoplake.llm.simhash import component_digests
 from shoplake.llm.suffix_dedup import remove_repeats
 from shoplake.llm.warc import archive_pages
 
@@ -33,6 +34,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return component_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES = {
         op3_suffix_dedup,
         op4_sharding,
         op6_benchmark_decontamination,
+        op9_simhash,
         op10_packing,
     )
 }
