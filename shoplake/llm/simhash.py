@@ -233,10 +233,9 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD, cou
         return empty
     rows = None
     for i, (group, t) in enumerate(allocate(n, both, max_bits, counts)):
-        masks = flips(group, t)
-        own = F.col("fp").bitwiseAND(F.lit(_mask(group)))
-        keys = F.explode(F.transform(F.lit(masks), lambda m, own=own: F.struct(own.bitwiseXOR(m).alias("key"), (m != 0).alias("probe"))))
-        r = fps.select(F.lit(i).alias("part"), "fp", keys.alias("x")).select("part", "x.key", "fp", "x.probe")
+        own = F.col("fp").bitwiseAND(F.lit(_mask(group)).cast("bigint"))
+        r = fps.select(F.lit(i).alias("part"), "fp", own.alias("own"), F.explode(F.lit(flips(group, t)).cast("array<bigint>")).alias("m"))
+        r = r.select("part", F.col("own").bitwiseXOR(F.col("m")).alias("key"), "fp", (F.col("m") != 0).alias("probe"))
         rows = r if rows is None else rows.unionByName(r)
     rows = written(rows, "probes")
     size = rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.bool_and("probe").alias("idle")).where("n > 1 and not idle")
