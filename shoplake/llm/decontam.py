@@ -92,7 +92,7 @@ def _chunks(low: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def _words_of_bytes(raw: bytes):
+def words_of_bytes(raw: bytes):
     low = _LOWER[np.frombuffer(raw, dtype=np.uint8)]
     parts = [(s + a, e + a, h) for a, b in _chunks(low) for s, e, h in [words_of(low[a:b])]]
     if not parts:
@@ -265,7 +265,7 @@ def shard_hits(s: np.ndarray, phrases: Phrases, shard_words: int = SHARD_WORDS)
 def scan(texts: list[bytes], phrases: Phrases, shard_words: int = SHARD_WORDS):
     """Per text: words, hit words, byte spans of merged hits, ids of the items found."""
     raw = b"\0".join(texts)  # NUL ends every word
-    low, start, end, h = _words_of_bytes(raw)
+    low, start, end, h = words_of_bytes(raw)
     bound = np.cumsum([0] + [len(t) + 1 for t in texts])
     first = np.searchsorted(start, bound)  # first word of each text
     words = np.diff(first)

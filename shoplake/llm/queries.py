@@ -8,9 +8,11 @@ from shoplake.llm.common import table
 from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.packing import pack_documents
+from shoplake.llm.pii import pii_digests
 from shoplake.llm.sharding import shard_digests
 from shoplake.llm.simhash import component_digests
 from shoplake.llm.suffix_dedup import remove_repeats
+from shoplake.llm.toxicity import score_toxicity
 from shoplake.llm.warc import archive_pages
 
 
@@ -34,6 +36,14 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return component_digests(table(spark, sf_dir, "documents"))
 
@@ -50,6 +60,8 @@ QUERIES = {
         op3_suffix_dedup,
         op4_sharding,
         op6_benchmark_decontamination,
+        op7_toxicity,
+        op8_pii,
         op9_simhash,
         op10_packing,
     )
