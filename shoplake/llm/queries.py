@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplake.llm.common import table
 from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
+from shoplake.llm.licences import licence_scan
 from shoplake.llm.packing import pack_documents
 from shoplake.llm.pii import pii_digests
 from shoplake.llm.sharding import shard_digests
@@ -32,6 +33,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +64,7 @@ QUERIES = {
         op2_warc,
         op3_suffix_dedup,
         op4_sharding,
+        op5_licence_scan,
         op6_benchmark_decontamination,
         op7_toxicity,
         op8_pii,
