@@ -207,7 +207,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
                 out[c] = [None if v is None or v != v else str(int(v)) for v in out[c]]
             yield out
 
-    files = manifest.repartition(F.col("file"))
+    files = manifest.repartition(max(1, manifest.count()), "file")  # a task per file
     got = files.mapInPandas(as_text, schema + (", payload binary" if with_payload else ""))
     return got.withColumns({c: F.col(c).cast("bigint") for c in ("page_id", "refers_to")})
 
