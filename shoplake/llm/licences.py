@@ -35,7 +35,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import text_or_empty, written
+from shoplake.llm.common import bounded_sample, text_or_empty, written
 
 #: Public licence names and notices.
 NAMES = {
@@ -129,8 +129,7 @@ class LicenceModel:
 
 
 def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) -> LicenceModel:
-    own = paragraphs(docs).select("paragraph").distinct()
-    pool = written(own.orderBy(F.xxhash64("paragraph"), "paragraph").limit(2 * background), "licence-background")
+    pool = written(bounded_sample(paragraphs(docs), 2 * background, "paragraph"), "licence-background")
     known = spark.createDataFrame([(FAMILIES.index(f), t) for f, t in templates()], "label int, paragraph string")
     # corpus paragraphs that carry most of a template are no examples of the unknown class
     own_pairs = pool.select("paragraph", F.explode(_pairs(_words(F.col("paragraph")))).alias("pair"))
