@@ -1,0 +1,425 @@
+"""The training-data operators against plain references, with odd rows in every column."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from shoplake.llm import decontam, exact_dedup, licences, packing, pii, sharding, simhash, suffix_dedup, toxicity, warc
+from shoplake.llm.common import bounded_sample
+from shoplake.llm.components import connected
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, perm string, toxic int, k long, `n` string"
+WORDS = "the of and ti on re er é ß 12 x-1 idiot moron lorem ipsum dolor".split()
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) + rng.choice(["", "", ".", ",", "\n"]) for _ in range(n))
+
+
+def odd_texts():
+    rng = random.Random(5)
+    out = [None, "", "   \n\t", "a", "word", "a" * 3000, "x y " * 20000]
+    base = [prose(rng, rng.randint(3, 300)) for _ in range(40)]
+    out += base + base[:6] + [t + " tail" for t in base[:6]] + [t.replace(" ", "  ") for t in base[6:9]]
+    return out
+
+
+def frame(spark, texts, ids=None):
+    ids = ids if ids is not None else range(len(texts))
+    rows = [(i, t, None, "s" if j % 2 else None, None, "z", None, 1, 7, "n") for j, (i, t) in enumerate(zip(ids, texts))]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    texts = odd_texts()
+    ids = [None if i in (3, 9) else i for i in range(len(texts))]
+    ids[12] = 11  # two texts under one id
+    return frame(spark, [*texts, texts[20]], [*ids, 20]).repartition(3), [*texts, texts[20]], [*ids, 20]
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [])
+
+
+# -- exact dedup ----------------------------------------------------------------------------------
+
+
+def dedup_reference(texts, ids):
+    norm = [re.sub(r"[\x20\x09-\x0D]", "", t or "") for t in texts]
+    groups = {}
+    for t, n, i in zip(texts, norm, ids):
+        groups.setdefault(n, []).append((-len(t or ""), i is None, i if i is not None else 0))
+    out = []
+    for t, n, i in zip(texts, norm, ids):
+        best = min(groups[n])
+        keep = None if best[1] else best[2]
+        out.append((i, keep, len(groups[n]), i == keep and len(t or "") == -best[0], hashlib.sha256(n.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits", [64, 4])  # 4: nearly all chunk hashes clash and are refined
+def test_exact_dedup(docs, empty, bits):
+    df, texts, ids = docs
+    got = [tuple(r)[:5] for r in exact_dedup.exact_dedup(df, key_bits=bits).collect()]
+    assert sorted(got, key=repr) == dedup_reference(texts, ids)
+    assert exact_dedup.exact_dedup(empty).count() == 0
+
+
+def test_chunks_join_to_the_text(spark):
+    rng = random.Random(1)
+    t = "".join(rng.choice("abcsxhSH é\U0001F600") for _ in range(20000))
+    c = spark.createDataFrame([(t,)], "t string").select(exact_dedup.chunks_of(F.col("t")).alias("c")).first().c
+    assert "".join(c) == t and max(map(len, c)) <= exact_dedup.MAX_CHUNK
+    shifted = spark.createDataFrame([("zz" + t,)], "t string").select(exact_dedup.chunks_of(F.col("t")).alias("c")).first().c
+    assert len(set(c) & set(shifted)) > len(c) // 2  # cuts follow the content
+
+
+# -- WARC -----------------------------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark, tmp_path):
+    big = "<html>" + "é" * 700
+    rows = [(1, "http://a/ü\r\nX: y", "<p>x</p>"), (2, None, None), (3, "u", big), (7, "u", big), (5, "v", big), (5, "v", big), (None, "w", big), (8, "u", "<p>x</p>")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, sha1 string")
+    got = sorted([tuple(r) for r in warc.archive_pages(pages).collect()], key=repr)
+    want = []
+    for i, _, h in rows:
+        b = (h or "").encode()
+        again = len(b) >= 1000 and i != 7
+        want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if again else "response", 7 if again else None))
+    assert got == sorted(want, key=repr)
+    assert warc.archive_pages(pages.limit(0)).count() == 0
+    # the archive itself: dictionary frame first, payloads come back whole
+    folder = f"file://{tmp_path}"
+    manifest = warc.write_archives(warc.plan_records(pages), folder)
+    back = {r.payload.decode() for r in warc.read_archives(manifest, folder).where("record_type = 'response'").collect()}
+    assert back == {"", "<p>x</p>", big}
+    name = next(tmp_path.glob("*.warc.zst"))
+    assert int.from_bytes(name.read_bytes()[:4], "little") == warc.DICT_MAGIC
+
+
+def test_warc_revisit_order(spark):
+    big = "y" * 1000
+    pages = spark.createDataFrame([(i, "u", big) for i in range(50)], "page_id long, url string, html string")
+    got = warc.archive_pages(pages).groupBy("record_type", "refers_to").count().collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == [("response", None, 1), ("revisit", 49, 49)]
+
+
+# -- suffix dedup ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("length,digit,block", [(40, 12, 8), (25, 5, 16)])
+def test_suffix_dedup(spark, docs, empty, length, digit, block):
+    rng = random.Random(length)
+    shared = [prose(rng, 30) for _ in range(5)]
+    texts = [None, "", "short", "ab" * 300, "a" * 500]
+    for _ in range(50):
+        t = ""
+        for _ in range(rng.randint(1, 4)):
+            p, a = rng.choice(shared), rng.randint(0, 60)
+            t += p[a : a + rng.randint(10, 120)] + prose(rng, rng.randint(0, 6))
+        texts.append(t)
+    texts += texts[8:11]
+    df = frame(spark, texts)
+    got = {r[0]: tuple(r)[1:5] for r in suffix_dedup.remove_repeats(df, length, digit, block).collect()}
+    assert [got[i] for i in range(len(texts))] == suffix_dedup.brute_force(texts, length)
+    assert suffix_dedup.remove_repeats(empty).count() == 0
+
+
+def test_suffix_dedup_odd_rows(docs):
+    df, texts, ids = docs
+    got = sorted(((r.doc_id, *tuple(r)[1:5]) for r in suffix_dedup.remove_repeats(df).collect()), key=repr)
+    assert got == sorted(((i, *w) for i, w in zip(ids, suffix_dedup.brute_force(texts))), key=repr)
+
+
+# -- sharding -------------------------------------------------------------------------------------
+
+
+def test_sharding(docs, empty):
+    df, texts, ids = docs
+    rows = sharding.shard_digests(df, bucket_bytes=20_000).collect()
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in rows), key=repr) == sorted(
+        ((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in zip(ids, texts)), key=repr
+    )
+    by = {}
+    for r in rows:
+        by.setdefault(r.shard, []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    sizes = [len(by.get(s, [])) for s in range(sharding.SHARDS)]
+    assert max(sizes) - min(sizes) <= 1
+    again = {(r.doc_id, r.text_crc32, r.shard, r["slot"]) for r in sharding.shard_digests(df, bucket_bytes=20_000).collect()}
+    assert {(r.doc_id, r.text_crc32, r.shard, r["slot"]) for r in rows} == again
+    assert sharding.shard_digests(empty).count() == 0
+
+
+# -- licences -------------------------------------------------------------------------------------
+
+
+def test_licences(spark, empty):
+    rng = random.Random(3)
+    notes = {"mit": "Published under the MIT License.", "cc-by-nc": "Licensed under CC BY-NC 4.0", "apache-2.0": "available under the Apache License, Version 2.0", "gpl": "This work is licensed under the GNU General Public License, version 3."}
+    texts, want = [None, "", "\n\n"], ["", "", ""]
+    for _ in range(12):
+        for family, note in notes.items():
+            texts.append("\n".join([prose(rng, 20).replace("\n", " "), note]))
+            want.append(family)
+    for t in ("He got his driver license in April.", "The MIT team met the public.", prose(rng, 4000)):
+        texts.append(t)
+        want.append("")
+    got = {r.doc_id: r.families for r in licences.licence_scan(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert licences.licence_scan(empty).count() == 0
+
+
+# -- benchmark decontamination --------------------------------------------------------------------
+
+
+def bench_items():
+    rng = random.Random(9)
+    return [(1, prose(rng, 30)), (2, prose(rng, 4)), (10, prose(rng, 12)), (3, None), (4, "..."), (None, prose(rng, 11)), (2, prose(rng, 15)), (5, "Idiot, MORON")]
+
+
+@pytest.mark.parametrize("block_bytes,shard_words", [(1 << 20, 1 << 20), (60, 37)])
+def test_decontamination(spark, docs, empty, block_bytes, shard_words):
+    _, texts, _ = docs
+    items = bench_items()
+    texts = [*texts, items[0][1], "q " + items[2][1].upper() + " z", items[5][1] + " " + items[0][1], " ".join((items[0][1]).split()[:14])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.find_leaks(frame(spark, texts), bench, block_bytes=block_bytes, shard_words=shard_words).orderBy("doc_id").collect()
+    for r, t in zip(got, texts):
+        n, hit, found, sha, _ = decontam.brute_force(t, items)
+        assert (r.n_words, r.n_hit, len(r["items"])) == (n, hit, found), t[:80]
+        assert hashlib.sha256(",".join(r["items"]).encode()).hexdigest() == sha
+    clean = decontam.find_leaks(frame(spark, texts), bench, cut=True, block_bytes=block_bytes).orderBy("doc_id").collect()
+    for r, before, t in zip(clean, got, texts):
+        assert r.text == t if not before.n_hit else len(r.text) < len(t)
+        assert (r.n_chars is None) if not before.n_hit else r.n_chars == len(r.text)
+    assert decontam.find_leaks(empty, bench).count() == 0
+    assert decontam.find_leaks(frame(spark, texts), bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+def test_fm_index_finds_every_occurrence():
+    rng = np.random.default_rng(2)
+    for top in (2, 5):
+        s = rng.integers(0, top + 1, 3000)
+        s[500:900] = 1  # a long run, and a copy
+        s[2000:2300] = s[100:400]
+        index = decontam.FMIndex(s, top)
+        for m in (1, 3, 6):
+            keys = rng.integers(1, top + 1, (20, m))
+            lo, hi = index.search(keys)
+            for key, a, b in zip(keys, lo, hi):
+                want = [i for i in range(len(s) - m + 1) if (s[i : i + m] == key).all()]
+                assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+# -- toxicity -------------------------------------------------------------------------------------
+
+
+def test_block_max_search_equals_a_full_scan():
+    rng = np.random.default_rng(4)
+    x = rng.random((300, 30)).astype(np.float32) * (rng.random((300, 30)) < 0.15)
+    x = x[x.any(axis=1)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q = x[rng.permutation(len(x))[:60]]
+    sims, who = toxicity.BlockMaxIndex(x, 8).search(q, 7)
+    full = np.sort(q @ x.T, axis=1)[:, ::-1][:, :7]
+    assert np.allclose(sims, np.maximum(full, 0), atol=1e-5)
+    assert np.allclose(np.take_along_axis(q @ x.T, np.maximum(who, 0), 1)[who >= 0], sims[who >= 0], atol=1e-5)
+
+
+def test_toxicity(spark, docs, empty):
+    rng = random.Random(8)
+    texts, labels = [], []
+    for i in range(400):
+        bad = i % 5 == 0
+        body = [rng.choice(["sun", "sea", "sky", "tree", "bird", "road", "house"]) for _ in range(60)]
+        if bad:
+            body[rng.randint(0, 59)] = rng.choice(["Blorf", "SNARG"])
+        texts.append(" ".join(body))
+        labels.append((i, int(bad), 0))
+    df = frame(spark, [*texts, None, ""])
+    lab = spark.createDataFrame([*labels, (None, 1, 1), (5, None, 1)], "doc_id long, toxic int, quality int")
+    rows = toxicity.score_toxicity(df, lab).collect()
+    assert len(rows) == 402 and all(0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id < 400]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert [r.predicted for r in held] == [int(r.doc_id % 5 == 0) for r in held]
+    used = {e.doc_id for r in rows for e in r.evidence}
+    assert used and not any(zlib.crc32(str(i).encode()) % 3 == 1 for i in used)  # examples are never held out
+    assert toxicity.score_toxicity(empty, lab).count() == 0
+    assert {r.predicted for r in toxicity.score_toxicity(docs[0], lab.limit(0)).collect()} == {0}
+
+
+def test_bounded_sample(spark):
+    df = spark.range(5000).selectExpr("id % 1000 as x")
+    assert 50 <= bounded_sample(df, 100, "x").count() <= 100
+    assert bounded_sample(df, 5000, "x").count() == 1000
+
+
+# -- personal data --------------------------------------------------------------------------------
+
+KIND = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(d):
+    return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def base_reference(t):
+    out = []
+    for rank, (kind, p) in enumerate(KIND.items()):
+        for m in re.finditer(p, t or ""):
+            d = re.sub("[^0-9]", "", m.group())
+            if {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in m.group().split(".")), "card": 14 <= len(d) <= 19 and _luhn(d), "phone": 10 <= len(d) <= 15}[kind]:
+                out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return [x[2] for x in sorted(out)]
+
+
+def test_pii_base_spans(spark, docs, empty):
+    rng = random.Random(3)
+    parts = ["a@b.c", "x", "@", ".", "-", " ", "1.2.3.4", "4111 1111 1111 1111", "4111111111111111", "+1 (555) 123-4567", "9", "12", "é", "\U0001F600", "_x@d.e", "256.1.1.1", "  ", "\n", "+", "00.1.2.255"]
+    texts = [*docs[1], "1 " * 9000, "9" * 2000, "1.2.3.4 " * 500] + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    got = {r.doc_id: r for r in pii.pii_digests(frame(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        want = base_reference(t)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), t[:200]
+        assert [got[i][f"n_{k}"] for k in KIND] == [sum(s.startswith(k) for s in want) for k in KIND]
+        assert set(want) <= set(got[i].spans.split(",")) | {""}
+    assert pii.pii_digests(empty).count() == 0
+
+
+def test_pii_added_spans(spark):
+    texts = ["please call 212-555-0187 today", "my SSN: 219-09-1234.", "mail: jo.doe (at) mail (dot) com", "order no. 212-555-0187", "version 219-09-1234 of it", "nothing here 17"] * 20
+    got = {r.doc_id: r.spans for r in pii.pii_digests(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(3)] == ["phone:12:24", "national_id:8:19", "email:6:32"]
+    assert got[5] == ""
+
+
+def test_reliabilities_prefer_agreement():
+    code = lambda votes: ((((0 * 3 + votes[0] + 1) * 3 + votes[1] + 1) * 3 + votes[2] + 1) * 3 + votes[3] + 1) * 3
+    post = pii.reliabilities({code((1, 1, 1, 1)): 50, code((-1, -1, -1, -1)): 50, code((1, 1, 1, -1)): 5})
+    assert post[code((1, 1, 1, 1))] > 0.95 > 0.5 > post[code((-1, -1, -1, -1))]
+
+
+# -- SimHash --------------------------------------------------------------------------------------
+
+
+def fp_reference(t):
+    t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def components_reference(fps, ids, bits=4):
+    up = list(range(len(fps)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= bits:
+                up[find(i)] = find(j)
+    least = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return [least.get(find(i)) for i in range(len(fps))]
+
+
+def test_simhash(docs, empty):
+    df, texts, ids = docs
+    fps = [fp_reference(t) for t in texts]
+    want = sorted(zip(ids, (f"{f:016x}" for f in fps), components_reference(fps, ids)), key=repr)
+    assert sorted((tuple(r) for r in simhash.component_digests(df).collect()), key=repr) == want
+    assert simhash.component_digests(empty).count() == 0
+
+
+@pytest.mark.parametrize("counts,crowd", [((5,), 4096), ((4,), 3), ((3,), 4096), ((2,), 3)])
+def test_pigeonhole_loses_no_link(spark, counts, crowd):
+    rng = random.Random(crowd)
+    fps = []
+    for _ in range(25):
+        f = rng.getrandbits(64)
+        for _ in range(6):
+            fps.append(f)
+            for _ in range(rng.randint(0, 6)):
+                f ^= 1 << rng.randrange(64)
+    fps = sorted(set(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), crowd=crowd, counts=counts)
+    root = {r.node: r.root for r in connected(links).collect()}
+    groups = lambda labels: sorted(sorted(f for f, l in zip(signed, labels) if l == x) for x in set(labels))  # noqa: E731,E741
+    assert groups([root.get(f, f) for f in signed]) == groups(components_reference(fps, signed))
+
+
+def test_connected_components(spark):
+    chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (200, 203), (203, 201)]
+    root = {r.node: r.root for r in connected(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(root[i] == 0 for i in range(61)) and root[101] == 100 and root[203] == root[201] == 200
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# -- packing --------------------------------------------------------------------------------------
+
+
+def test_packing(spark, docs, empty):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    df, texts, ids = docs
+    odd = ["<|endoftext|> x", "  \U0001F600 ́é", "it's  we'll\r\n\t 3.14", "ﬀ中文字"]
+    df = df.unionByName(frame(spark, odd, [1000 + i for i in range(len(odd))]))
+    rows = packing.pack_documents(df, with_ids=True).collect()
+    seqs = {}
+    for r in rows:
+        seqs.setdefault(r.sequence_id, []).append(r)
+        assert r.ids_crc32 == zlib.crc32(r.ids) and len(r.ids) == 4 * r.length
+    for group in seqs.values():
+        at = 0
+        for r in sorted(group, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.WINDOW
+    whole = {}
+    for r in sorted(rows, key=lambda r: r.start):
+        whole.setdefault((r.doc_id, r.doc_tokens), []).append((r.start, r.ids))
+    want = [(i, [*tok.encode(t or "", add_special_tokens=False).ids, 0]) for i, t in zip([*ids, *range(1000, 1004)], [*texts, *odd])]
+    for i, ids_ in want:
+        parts = whole[(i, len(ids_))]
+        assert np.array(ids_, dtype="<u4").tobytes() in ("".encode().join(p for _, p in parts), *[p for _, p in parts])
+    assert sum(r.length for r in rows) == sum(len(x) for _, x in want)
+    assert packing.pack_documents(empty).count() == 0
+
+
+def test_level_array_keeps_windows_whole():
+    rng = random.Random(1)
+    levels, fill = packing.LevelArray(64), {}
+    for _ in range(5000):
+        n = rng.randint(1, 64)
+        w, at = levels.place(n)
+        assert fill.get(w, 0) == at and at + n <= 64
+        fill[w] = at + n
+    assert sum(fill.values()) / (64 * len(fill)) > 0.97
+    assert int(levels.count.sum()) == sum(1 for v in fill.values() if v < 64)
