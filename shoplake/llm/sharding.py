@@ -43,23 +43,23 @@ def shuffle_to_shards(
     """
     keep = [c for c in docs.columns if c.lower() not in OWN]
     docs = docs.select(*keep)
-    bucket, mark, idx, place = (fresh(n, keep) for n in ("bucket", "mark", "idx", "place"))
+    bucket, mark, idx, place, before, perm, n_rows = (fresh(n, keep) for n in ("bucket", "mark", "idx", "place", "before", "perm", "n_rows"))
     size = F.coalesce(F.octet_length(text), F.lit(0)) + 1
     n, total = docs.select(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
     buckets = max(1, -(-(total or 0) // bucket_bytes))
     hashable = [f.name for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
     marked = docs.withColumn(mark, F.xxhash64(F.lit(seed), *hashable))
     marked = marked.withColumn(bucket, F.pmod(mark, F.lit(buckets)).cast("int"))
-    counts = marked.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+    counts = marked.groupBy(bucket).agg(F.count(F.lit(1)).alias(n_rows))
     # one row per bucket: total bytes / bucket_bytes rows in one window
-    before = F.sum("n").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    sums = F.sum(n_rows).over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
     perms = (
-        counts.withColumn("before", F.coalesce(before, F.lit(0)))
+        counts.withColumn(before, F.coalesce(sums, F.lit(0)))
         .repartitionById(buckets, F.col(bucket))  # partition = bucket, so the seed of a permutation is seed + bucket
-        .select(F.col(bucket), "before", F.shuffle(F.sequence(F.lit(1).cast("bigint"), F.col("n")), F.lit(seed)).alias("perm"))
+        .select(F.col(bucket), before, F.shuffle(F.sequence(F.lit(1).cast("bigint"), F.col(n_rows)), F.lit(seed)).alias(perm))
     )
     numbered = marked.withColumn(idx, F.row_number().over(Window.partitionBy(bucket).orderBy(mark)))
-    p = (F.col("before") + F.element_at("perm", F.col(idx))).alias(place)  # 1 .. N
+    p = (F.col(before) + F.element_at(perm, F.col(idx))).alias(place)  # 1 .. N
     placed = numbered.join(perms, bucket).select(*keep, p)
     big = F.lit(n).cast("decimal(20,0)")
     shard = F.floor((F.col(place).cast("decimal(20,0)") * shards - 1) / big) if n else F.lit(0)

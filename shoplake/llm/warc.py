@@ -113,7 +113,7 @@ class _ArchiveFile:
     def _start(self) -> None:
         d = train_dictionary(self.waiting)
         self.packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=d)
-        self.out = self.fs.open_output_stream(self.name)
+        self.out = self.fs.open_output_stream(self.name, compression=None)
         raw = d.as_bytes()
         self._put(struct.pack("<II", DICT_MAGIC, len(raw)) + raw)
         for rec in self.waiting:
@@ -183,7 +183,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
         for b in batches:
             for name in b.file:
                 rows, held = [], 0
-                with fs.open_input_stream(f"{base}/{name}") as stream:
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
                     for head, block in read_records(stream):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         stated = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
