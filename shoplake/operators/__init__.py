@@ -10,7 +10,6 @@ from shoplake.operators.cdc import (
     topic_records,
     topic_rows,
 )
-from shoplake.operators.joins import broadcast_if_bounded
 from shoplake.operators.landing import landing_day_of_arrival, landing_day_of_event, with_landing_day
 from shoplake.operators.latest import earliest_per_key, flag_first_per_key, latest_per_key
 from shoplake.operators.log_split import (
@@ -39,7 +38,7 @@ from shoplake.operators.visitors import repair_new_visitor, unique_visitors
 __all__ = [
     "REENTRY", "STRICT", "bounces", "next_within",
     "clean_changes", "dim_rows", "route_changes", "split_routes", "strip_bootstrap",
-    "topic_records", "topic_rows", "broadcast_if_bounded",
+    "topic_records", "topic_rows",
     "landing_day_of_arrival", "landing_day_of_event", "with_landing_day",
     "earliest_per_key", "flag_first_per_key", "latest_per_key",
     "detail_json", "display_rows", "log_keys", "malformed_log_rows", "page_keys", "page_rows",

@@ -5,8 +5,8 @@ updates with a non-empty ``data`` -> inner join with the config on
 (table, type) -> keep only the configured columns -> split by ``sink_type``
 (kafka: topic rows, hbase: dimension rows, anything else: dropped).
 
-The config join broadcasts the config only after checking its size; the
-change stream itself is never shuffled by this module.
+The planner picks the config join from run-time sizes (a config table is
+small, so it is broadcast and the change stream is not shuffled).
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from shoplake.functions.jsonio import parse_once
 from shoplake.functions.maps import keep_keys
-from shoplake.operators.joins import broadcast_if_bounded
 from shoplake.schemas import CHANGE_DDL, TABLE_PROCESS_COLUMNS
 from shoplake.settings import BOOTSTRAP_PREFIX, KEPT_CHANGE_TYPES, SINK_TO_HBASE, SINK_TO_KAFKA
 
@@ -42,13 +41,22 @@ def clean_changes(raw: DataFrame) -> DataFrame:
     return r.where(keep)
 
 
+def one_per_key(config: DataFrame) -> DataFrame:
+    """One config row per (``source_table``, ``operate_type``)."""
+    rest = [c for c in TABLE_PROCESS_COLUMNS if c not in ("source_table", "operate_type")]
+    top = config.groupBy("source_table", "operate_type").agg(F.max(F.struct(*rest)).alias("_row"))
+    return top.select("source_table", "operate_type", "_row.*").select(*TABLE_PROCESS_COLUMNS)
+
+
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach each change's config row; unmatched changes are dropped.
 
     Only ``seq`` and ``data`` go on (the envelope is dropped); ``data`` keeps
-    only the keys in ``sink_columns``.
+    only the keys in ``sink_columns``. Config rows that repeat a key count
+    once, so a change is never doubled: of a snapshot, which has no order, the
+    greatest row by its columns.
     """
-    tp = broadcast_if_bounded(config.select(*TABLE_PROCESS_COLUMNS))
+    tp = one_per_key(config)
     cond = (changes["table"] == tp["source_table"]) & (changes["type"] == tp["operate_type"])
     joined = changes.join(tp, cond, "inner")
     return joined.select(
@@ -72,7 +80,6 @@ def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def topic_records(rows: DataFrame) -> DataFrame:
-    """Topic-sink form: ``topic`` = the config's ``sink_table``, ``value`` = data JSON."""
-    return rows.select(
-        F.col("sink_table").alias("topic"), F.to_json("data").alias("value"), "seq"
-    )
+    """Topic-sink form: ``topic`` = the config's ``sink_table``, ``value`` = data JSON without null fields."""
+    known = F.map_filter("data", lambda _, v: v.isNotNull())
+    return rows.select(F.col("sink_table").alias("topic"), F.to_json(known).alias("value"), "seq")

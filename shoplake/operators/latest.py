@@ -1,5 +1,8 @@
 """First / last row per key, written to survive a hot key.
 
+``flag_first_per_key`` orders by one decimal made of the order columns: hash
+aggregation updates it in place, where a struct would sort every input row.
+
 All three helpers are aggregations with a map-side partial step, so a key
 that holds a third of all rows costs one partial row per map task at the
 final step, never one task holding the whole group. ``flag_first_per_key``
@@ -46,11 +49,21 @@ def flag_first_per_key(
     they come from ``df``.
     """
     src = key_rows if key_rows is not None else df
-    firsts = (
-        src.groupBy(*keys)
-        .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_f"))
-        .select(*keys, *[F.col(f"_f.{c}").alias(c) for c in order_cols])
-        .withColumn(flag, F.lit(True))
-    )
-    joined = df.join(firsts, on=[*keys, *order_cols], how="left")
+    order = _order_code(order_cols)
+    firsts = src.groupBy(*keys).agg(F.min(order).alias("_order")).withColumn(flag, F.lit(True))
+    joined = df.withColumn("_order", order).join(firsts, on=[*keys, "_order"], how="left")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*df.columns, flag)
+
+
+def _order_code(order_cols: list[str]) -> Column:
+    """Bigint columns as one decimal in lexicographic order.
+
+    Two columns at most; the first within +-5e18 (event times are), the second any bigint.
+    """
+    if len(order_cols) > 2:
+        raise ValueError("at most two order columns")
+    code = F.col(order_cols[0]).cast("decimal(19,0)")
+    if len(order_cols) == 2:
+        step = F.lit("18446744073709551616").cast("decimal(20,0)")
+        code = (code * step + F.col(order_cols[1]).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return code

@@ -1,11 +1,11 @@
 """Dimension tables kept by upsert: key extraction, latest row, table schema.
 
-A dimension row replaces the whole stored row of its key (every configured
-column, absent ones as null). All values are text. The key is the config's
+An upsert sets the columns its config row lists (absent ones to null); other
+columns keep what is stored. All values are text. The key is the config's
 ``sink_pk`` (comma list allowed), ``id`` when null.
 
-"Latest per key" is a partial-aggregating ``max_by`` on ``seq``, so a hot key
-never gathers in one task.
+The last value is a partial-aggregating ``max_by`` per key and column, so a
+hot key never gathers in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions.maps import stringify_values
-from shoplake.operators.latest import earliest_per_key, latest_per_key
+from shoplake.operators.latest import earliest_per_key
 from shoplake.settings import DEFAULT_DIM_PK
 
 
@@ -31,9 +31,25 @@ def upsert_rows(dim_rows: DataFrame) -> DataFrame:
     )
 
 
-def current_rows(upserts: DataFrame) -> DataFrame:
-    """The stored table: last upsert per (sink_table, pk)."""
-    return latest_per_key(upserts, ["sink_table", "pk"], "seq")
+def current_rows(upserts: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The stored table: per (sink_table, pk) and column, the value of the last upsert that lists the column.
+
+    ``order`` names the columns that rank upserts, ``seq`` by default.
+    """
+    rank = F.struct(*(order or ["seq"]))
+    last = lambda c: F.max_by(c, "_rank").alias(c)
+    ranked = upserts.withColumn("_rank", rank)
+    cells = ranked.select(
+        "sink_table", "pk", "seq", "_rank", "sink_columns", "sink_pk", "data",
+        F.explode(F.array_distinct(F.split("sink_columns", ","))).alias("_column"),
+    ).withColumn("_value", F.col("data")[F.col("_column")])
+    cells = cells.groupBy("sink_table", "pk", "_column").agg(
+        last("_value"), last("seq"), last("sink_columns"), last("sink_pk"), F.max("_rank").alias("_r")
+    ).withColumnRenamed("_r", "_rank")
+    return cells.groupBy("sink_table", "pk").agg(
+        last("seq"), F.map_from_entries(F.collect_list(F.struct("_column", "_value"))).alias("data"),
+        last("sink_columns"), last("sink_pk"),
+    )
 
 
 def table_schemas(dim_rows: DataFrame) -> DataFrame:

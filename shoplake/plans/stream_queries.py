@@ -34,7 +34,6 @@ from shoplake.streaming import jobs
 SENTINEL_MID = "~flush"
 SENTINEL_SEQ = -1
 SENTINEL_TS = 4_102_444_800_000  # 2100-01-01, after any test event
-RUN_TIMEOUT_S = 1800
 
 
 def _job_session(spark: SparkSession) -> SparkSession:
@@ -57,8 +56,8 @@ def _write_topic(raw: DataFrame, root: str, topic: str) -> None:
     raw.select("value", "seq").write.mode("overwrite").parquet(f"{root}/{topic}")
 
 
-def _run(query, timeout_s: float = RUN_TIMEOUT_S) -> None:
-    jobs.await_job(query, timeout_s)
+def _run(query) -> None:
+    jobs.await_job(query)
 
 
 def _log_topic(spark: SparkSession, sf_dir: str, root: str) -> None:

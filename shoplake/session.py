@@ -68,8 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, changelogs and lineage cuts.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder
-    there). Only when it is unset, as in local tests, a fresh scratch folder
-    is created and registered.
+    there). Only when it is unset on a local master, as in tests, a fresh
+    scratch folder is created and registered; elsewhere executors would write
+    to their own disks, so it must be set.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -78,6 +79,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # no classic SparkContext
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="shoplake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

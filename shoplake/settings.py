@@ -35,8 +35,3 @@ TRIGGER_INTERVAL = "3 seconds"    # checkpoint / micro-batch period
 # --- fixed values: date formats --------------------------------------------
 DAY_FORMAT = "yyyy-MM-dd"
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-# Largest row count a side may have and still be broadcast (checked at run time).
-# Dimension rows here are a key plus a few short strings, so this keeps a
-# broadcast in the tens of MB.
-BROADCAST_MAX_ROWS = 250_000

@@ -61,8 +61,12 @@ def append_changelog(upserts: DataFrame, root: str, batch_id: int | None = None)
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The stored rows. A later micro-batch wins over ``seq``: positions of different
+    topic partitions say nothing about which row came first."""
     log = spark.read.parquet(f"{root.rstrip('/')}/dim_changelog")
-    return upsert.current_rows(log.select("sink_table", "pk", "seq", "data", "sink_columns", "sink_pk"))
+    cols = ["sink_table", "pk", "seq", "data", "sink_columns", "sink_pk"]
+    batched = "batch_id" in log.columns
+    return upsert.current_rows(log.select(*cols, *(["batch_id"] if batched else [])), ["batch_id", "seq"] if batched else None)
 
 
 def compact(spark: SparkSession, root: str, target: str) -> None:

@@ -36,13 +36,9 @@ def test_earliest_and_latest_per_key(spark):
     assert last == {k: (int(r.seq), r.v) for k, r in lp.iterrows()}
 
 
-def test_bounded_broadcast_check(spark):
-    from shoplake.operators.joins import broadcast_if_bounded, has_at_most
-
-    df = spark.range(0, 1000)
-    assert has_at_most(df, 1000) and not has_at_most(df, 999)
-    small = broadcast_if_bounded(spark.range(10), 100)
-    big = broadcast_if_bounded(spark.range(1000), 100)
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(small).lower()
-    assert "broadcast" not in plan(big).lower()
+def test_first_flag_is_a_hash_aggregate(spark):
+    df = spark.createDataFrame([("a", 5, 2), ("a", 5, 1), ("a", -7, -3), ("b", 1, 9)], "k string, ts bigint, seq bigint")
+    out = flag_first_per_key(df, ["k"], ["ts", "seq"])
+    assert {(r.k, r.ts, r.seq) for r in out.where("is_first").collect()} == {("a", -7, -3), ("b", 1, 9)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
