@@ -9,19 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shoplake.schemas import CHANGE_DDL, LOG_DDL
+from shoplake.schemas import RECORD_DDL
 
 
-def parse_log(value: Column | str = "value", mode: str = "PERMISSIVE") -> Column:
-    """App log text -> struct(common, start, page, displays, ts)."""
-    return F.from_json(F.col(value) if isinstance(value, str) else value,
-                       LOG_DDL, {"mode": mode})
-
-
-def parse_change(value: Column | str = "value", mode: str = "PERMISSIVE") -> Column:
-    """Change record text -> struct(database, table, type, ts, data)."""
-    return F.from_json(F.col(value) if isinstance(value, str) else value,
-                       CHANGE_DDL, {"mode": mode})
+def is_object(value: Column | str = "value") -> Column:
+    """The text is one JSON object."""
+    return F.from_json(F.col(value) if isinstance(value, str) else value, RECORD_DDL).isNotNull()
 
 
 def to_json_compact(c: Column | str) -> Column:
@@ -43,8 +36,10 @@ def parse_once(
     later filter on several parsed fields would repeat the parse per field.
     Wrapping the parsed struct in a one-element ``inline`` makes it a
     generator output: filters stay above it and each text is parsed once.
+    A map schema gives one column, ``record``.
     """
     v = F.col(value) if isinstance(value, str) else value
     parsed = F.from_json(v, schema, {"mode": mode})
     row = F.struct(*[F.col(k) for k in keep], parsed.alias("_r"))
-    return df.select(F.inline(F.array(row))).select(*keep, "_r.*")
+    fields = F.col("_r").alias("record") if str(schema).startswith("map<") else "_r.*"
+    return df.select(F.inline(F.array(row))).select(*keep, fields)

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplake.functions.maps import text_of
 from shoplake.functions.predicates import is_entry
 from shoplake.settings import BOUNCE_GAP_MS
 
@@ -81,7 +82,7 @@ def bounces(
     """
     if variant not in (STRICT, REENTRY):
         raise ValueError(f"variant must be {STRICT!r} or {REENTRY!r}")
-    rows = pages.withColumn("_entry", is_entry(F.col("page")["last_page_id"]))
+    rows = pages.withColumn("_entry", is_entry(text_of("page", "last_page_id")))
     heads = key_rows.withColumnRenamed("is_entry", "_entry") if key_rows is not None else None
     nx = next_within(rows, "mid", gap_ms, carry=["_entry"], head_rows=heads)
     timed_out = F.col("next_ts").isNull()

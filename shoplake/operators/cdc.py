@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions.jsonio import parse_once
-from shoplake.functions.maps import keep_keys
-from shoplake.schemas import CHANGE_DDL, TABLE_PROCESS_COLUMNS
+from shoplake.functions.maps import keep_keys, without_nulls
+from shoplake.schemas import CHANGE_DDL, CHANGE_TEXT_DDL, TABLE_PROCESS_COLUMNS
 from shoplake.settings import BOOTSTRAP_PREFIX, KEPT_CHANGE_TYPES, SINK_TO_HBASE, SINK_TO_KAFKA
 
 
@@ -29,8 +29,8 @@ def strip_bootstrap(value: str = "value"):
 
 
 def clean_changes(raw: DataFrame) -> DataFrame:
-    """``(value, seq)`` -> ``seq, database, table, type, ts, data`` of kept rows."""
-    r = parse_once(raw, CHANGE_DDL, value=strip_bootstrap("value"))
+    """``(value, seq)`` -> ``seq, value, database, table, type, ts, data`` of kept rows (``value``: the stripped text)."""
+    r = parse_once(raw.withColumn("value", strip_bootstrap("value")), CHANGE_DDL, keep=("seq", "value"))
     keep = (
         F.col("database").isNotNull()
         & F.col("table").isNotNull()
@@ -51,8 +51,8 @@ def one_per_key(config: DataFrame) -> DataFrame:
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach each change's config row; unmatched changes are dropped.
 
-    Only ``seq`` and ``data`` go on (the envelope is dropped); ``data`` keeps
-    only the keys in ``sink_columns``. Config rows that repeat a key count
+    ``seq``, ``value`` and ``data`` go on; ``data`` keeps only the keys in
+    ``sink_columns``. Config rows that repeat a key count
     once, so a change is never doubled: of a snapshot, which has no order, the
     greatest row by its columns.
     """
@@ -61,17 +61,22 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     joined = changes.join(tp, cond, "inner")
     return joined.select(
         "seq",
+        "value",
         keep_keys("data", "sink_columns").alias("data"),
         *[tp[c] for c in TABLE_PROCESS_COLUMNS],
     )
 
 
 def topic_rows(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col("sink_type") == SINK_TO_KAFKA)
+    return routed.where(F.col("sink_type") == SINK_TO_KAFKA).drop("value")
 
 
 def dim_rows(routed: DataFrame) -> DataFrame:
-    return routed.where(F.col("sink_type") == SINK_TO_HBASE)
+    """Rows for dimension tables. Cells are text as written in the record (``3.0`` stays ``3.0``),
+    so these rows, the fewer ones, are parsed again for it."""
+    rows = routed.where(F.col("sink_type") == SINK_TO_HBASE)
+    cells = F.from_json("value", CHANGE_TEXT_DDL)["data"]
+    return rows.withColumn("data", keep_keys(cells, "sink_columns")).drop("value")
 
 
 def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -80,6 +85,5 @@ def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def topic_records(rows: DataFrame) -> DataFrame:
-    """Topic-sink form: ``topic`` = the config's ``sink_table``, ``value`` = data JSON without null fields."""
-    known = F.map_filter("data", lambda _, v: v.isNotNull())
-    return rows.select(F.col("sink_table").alias("topic"), F.to_json(known).alias("value"), "seq")
+    """Topic-sink form: ``topic`` = the config's ``sink_table``, ``value`` = data JSON, JSON types kept, without null fields."""
+    return rows.select(F.col("sink_table").alias("topic"), F.to_json(without_nulls("data")).alias("value"), "seq")

@@ -6,16 +6,24 @@ of ``displays``. A display row is the display object overlaid with ``ts``,
 then all ``common`` keys, then all ``page`` keys (later wins).
 
 All three outputs are filters / an explode over one parsed frame: no shuffle.
+
+Values keep their JSON types, and top-level fields this module does not know
+(or of a type it does not expect) pass through in ``extra``. Published text
+leaves out nulls of the record and of its ``common``, ``page`` and display
+objects; objects nested deeper stay as they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import parse_log, parse_once
-from shoplake.functions.maps import overlay
-from shoplake.schemas import log_ddl
+from shoplake.functions.jsonio import is_object, parse_once
+from shoplake.functions.maps import known, overlay, without_nulls
+from shoplake.functions.predicates import is_entry
+from shoplake.schemas import LOG_FIELDS, RECORD_DDL
 
 START, PAGE, DISPLAY = "start", "page", "display"
 
@@ -23,47 +31,78 @@ START, PAGE, DISPLAY = "start", "page", "display"
 def parse_log_topic(raw: DataFrame, fields: tuple[str, ...] | None = None) -> DataFrame:
     """``(value, seq)`` -> ``common, start, page, displays, ts, seq, mid``.
 
-    ``fields`` limits the parse to the record fields a job reads (``common``
-    and ``ts`` are always parsed); the text is still parsed only once.
+    Without ``fields`` the whole record is kept: ``extra`` holds every other
+    field. ``fields`` limits the parse to the record fields a job reads
+    (``common`` and ``ts`` are always parsed). The text is parsed only once.
     Rows without ``ts`` or ``common.mid`` (malformed text included) are
     dropped here; ``malformed_log_rows`` returns them for quarantine.
     """
-    parsed = parse_once(raw, log_ddl(fields))
-    parsed = parsed.withColumn("mid", F.col("common")["mid"])
-    return parsed.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
+    return parse_records(raw, fields)
+
+
+def parse_records(raw: DataFrame, fields: tuple[str, ...] | None = None, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """As ``parse_log_topic``, with the columns ``keep`` of ``raw``."""
+    if fields is None:
+        src = parse_once(raw, RECORD_DDL, keep=keep)
+        field = lambda name: F.col("record")[name]
+        names = list(LOG_FIELDS)
+    else:
+        names = [n for n in LOG_FIELDS if n in {*fields, "common", "ts"}]
+        src = parse_once(raw, ", ".join(f"{n} variant" for n in names), keep=keep)
+        field = F.col
+    src = src.where(_has_keys(field))
+    cols = {n: _field(field(n), n) for n in names}
+    out = [c.alias(n) for n, c in cols.items()]
+    if fields is None:
+        typed = F.array(*[F.when(c.isNotNull(), F.lit(n)) for n, c in cols.items()])
+        # bound by a one-element transform, so it is not computed again for every key
+        rest = F.transform(F.array(F.array_compact(typed)), lambda t: F.map_filter("record", lambda k, _: ~F.array_contains(t, k)))
+        out.append(F.element_at(rest, 1).alias("extra"))
+    return src.select(*keep, *out, _mid(field).alias("mid"))
+
+
+def _field(value: Column, name: str) -> Column:
+    return known(value) if LOG_FIELDS[name] == "variant" else F.try_variant_get(value, "$", LOG_FIELDS[name])
 
 
-LOG_KEY_DDL = "common struct<mid: string>, ts bigint"
+def _mid(field: Callable[[str], Column]) -> Column:
+    return F.try_variant_get(field("common"), "$.mid", "string")
 
 
-def log_keys(raw: DataFrame) -> DataFrame:
-    """``(value, seq)`` -> ``mid, ts, seq`` with a narrow parse.
+def _has_keys(field: Callable[[str], Column]) -> Column:
+    return _field(field("ts"), "ts").isNotNull() & _mid(field).isNotNull()
+
+
+LOG_KEY_DDL = "common variant, ts variant"
+
+
+def log_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """``(value, seq)`` -> ``mid, ts`` and the columns ``keep``, with a narrow parse.
 
     Same row set as ``parse_log_topic``; the parser skips every other field.
     """
-    k = parse_once(raw, LOG_KEY_DDL)
-    k = k.select(F.col("common.mid").alias("mid"), "ts", "seq")
-    return k.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
+    k = parse_once(raw, LOG_KEY_DDL, keep=keep).where(_has_keys(F.col))
+    return k.select(_mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep)
 
 
-PAGE_KEY_DDL = "common struct<mid: string>, start string, page struct<last_page_id: string>, ts bigint"
+PAGE_KEY_DDL = "common variant, start variant, page variant, ts variant"
 
 
-def page_keys(raw: DataFrame) -> DataFrame:
-    """``(value, seq)`` -> ``mid, ts, seq, is_entry`` of the page rows, narrow parse.
+def page_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """``(value, seq)`` -> ``mid, ts``, the columns ``keep`` and ``is_entry`` of the page rows, narrow parse.
 
     Same row set as ``page_rows(parse_log_topic(raw))``.
     """
-    k = parse_once(raw, PAGE_KEY_DDL)
-    k = k.where(F.col("ts").isNotNull() & F.col("common.mid").isNotNull()
-                & F.col("start").isNull() & F.col("page").isNotNull())
-    entry = F.coalesce(F.col("page.last_page_id"), F.lit("")) == ""
-    return k.select(F.col("common.mid").alias("mid"), "ts", "seq", entry.alias("is_entry"))
+    k = parse_once(raw, PAGE_KEY_DDL, keep=keep).where(_has_keys(F.col))
+    k = k.where(known(F.col("start")).isNull() & _field(F.col("page"), "page").isNotNull())
+    entry = is_entry(F.try_variant_get("page", "$.last_page_id", "string"))
+    return k.select(_mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep, entry.alias("is_entry"))
 
 
 def malformed_log_rows(raw: DataFrame) -> DataFrame:
-    r = raw.select("value", "seq", parse_log("value").alias("_r"))
-    return r.where(F.col("_r.ts").isNull() | F.col("_r.common")["mid"].isNull()).select("value", "seq")
+    """Rows that ``parse_log_topic`` drops: no JSON object, or no device or time."""
+    r = parse_once(raw, LOG_KEY_DDL, keep=("value", "seq"))
+    return r.where(~is_object("value") | ~_has_keys(F.col)).select("value", "seq")
 
 
 def start_rows(log: DataFrame) -> DataFrame:
@@ -80,7 +119,7 @@ def display_rows(log: DataFrame) -> DataFrame:
     ex = src.select("seq", "ts", "common", "page", F.posexplode("displays").alias("pos", "d"))
     flat = overlay(
         "d",
-        F.create_map(F.lit("ts"), F.col("ts").cast("string")),
+        F.create_map(F.lit("ts"), F.col("ts").cast("variant")),
         "common",
         "page",
     )
@@ -92,20 +131,18 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     return {START: start_rows(log), PAGE: page_rows(log), DISPLAY: display_rows(log)}
 
 
-def _no_nulls(m):
-    return F.map_filter(m, lambda k, v: v.isNotNull())
-
-
 def detail_json(df: DataFrame, kind: str) -> DataFrame:
-    """Serialize a detail stream to its topic text; null entries are left out."""
+    """Serialize a detail stream to its topic text, ``extra`` fields included; null entries are left out."""
     if kind == DISPLAY:
-        return df.select(F.to_json(_no_nulls(F.col("display"))).alias("value"), "seq")
+        return df.select(F.to_json(without_nulls("display")).alias("value"), "seq")
     parts = {
-        "common": _no_nulls(F.col("common")),
+        "common": F.to_variant_object(without_nulls("common")),
         "start": F.col("start"),
-        "page": _no_nulls(F.col("page")),
-        "displays": F.transform("displays", _no_nulls),
-        "ts": F.col("ts"),
+        "page": F.to_variant_object(without_nulls("page")),
+        "displays": F.to_variant_object(F.transform("displays", without_nulls)),
+        "ts": F.col("ts").cast("variant"),
     }
-    obj = F.struct(*[c.alias(n) for n, c in parts.items() if n in df.columns])
-    return df.select(F.to_json(obj, {"ignoreNullFields": "true"}).alias("value"), "seq")
+    record = F.create_map(*[x for n, c in parts.items() if n in df.columns for x in (F.lit(n), c)])
+    if "extra" in df.columns:
+        record = overlay("extra", without_nulls(record))
+    return df.select(F.to_json(without_nulls(record)).alias("value"), "seq")

@@ -78,6 +78,9 @@ w AS (
    AND epoch_ms(d.ct) BETWEEN epoch_ms(o.ct) - {_JOIN_MS} AND epoch_ms(o.ct) + {_JOIN_MS})
 """
 
+_KINDS = """'STRING' AS mid_kind, 'BIGINT' AS vc_kind, 'OBJECT' AS geo_kind, false AS has_null, 'BIGINT' AS ts_kind"""
+_REST = "'OBJECT' AS err_kind, 'BIGINT' AS code_kind, 'STRING' AS msg_kind, 'ARRAY' AS actions_kind"
+
 ORACLE_SQL: dict[str, str] = {
     "log_start": _LOG + """
 SELECT seq, mid, is_new, 'icon' AS start_entry, CAST(k AS BIGINT) AS loading_time, ts
@@ -96,6 +99,25 @@ SELECT seq, CAST(i - 1 AS INTEGER) AS display_pos, mid, is_new, event_type AS pa
        CAST(k * 10 + i AS VARCHAR) AS item, CAST(i AS INTEGER) AS display_order,
        CAST(k AS BIGINT) AS during_time, ts
 FROM x
+""",
+    "published_start": _LOG + f"""
+SELECT seq, is_new, k + 0.5::DOUBLE AS lat, {_KINDS}, 'OBJECT' AS start_kind, 'BIGINT' AS time_kind, {_REST}
+FROM rep WHERE event_type = 'signup'
+""",
+    "published_page": _LOG + f"""
+SELECT seq, is_new, k + 0.5::DOUBLE AS lat, {_KINDS}, 'BIGINT' AS during_kind,
+       CASE WHEN k % 4 > 0 THEN 'BIGINT' END AS order_kind, CASE WHEN k % 4 > 0 THEN 'STRING' END AS item_kind, {_REST}
+FROM rep WHERE event_type <> 'signup'
+""",
+    "published_display": _LOG + f""",
+x AS (SELECT *, unnest(generate_series(1, k % 4)) AS i FROM rep WHERE event_type <> 'signup')
+SELECT seq, is_new, k + 0.5::DOUBLE AS lat, {_KINDS}, 'BIGINT' AS during_kind, 'BIGINT' AS order_kind, 'STRING' AS item_kind
+FROM x
+""",
+    "published_topic": _CHANGES + """
+SELECT sink_table AS topic, seq, event_id, value, true AS event_id_is_number,
+       CASE WHEN user_id IS NOT NULL THEN true END AS user_id_is_number, CASE WHEN value IS NOT NULL THEN true END AS value_is_number
+FROM routed WHERE sink_type = 'kafka'
 """,
     "new_visitor_repair": _LOG + """
 SELECT seq, mid, ts, is_new FROM rep

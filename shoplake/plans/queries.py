@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplake.functions.maps import double_of, long_of, text_of
 from shoplake.operators import bounce as bnc
 from shoplake.operators import cdc, log_split, order_wide, upsert, visitors
 from shoplake.operators.landing import landing_day_of_event
@@ -42,11 +43,65 @@ START_FIELDS = ("common", "start", "ts")
 PAGE_FIELDS = ("common", "start", "page", "ts")
 
 
+def _kind(v, path: str):
+    """JSON type at ``path`` of a published record; null when it is absent or null."""
+    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), "^[A-Z]+", 0)
+
+
+def published_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The published text of one detail topic, read back: known and unknown fields with their JSON types."""
+    raw = adapters.log_lines(_events(spark, sf_dir), rich=True)
+    log = visitors.repair_new_visitor(log_split.parse_log_topic(raw), log_split.log_keys(raw))
+    text = log_split.detail_json(log_split.split_log(log)[kind], kind)
+    at = "$" if kind == log_split.DISPLAY else "$.common"
+    v = F.parse_json("value")
+    rows = text.select(
+        "seq",
+        F.try_variant_get(v, f"{at}.is_new", "string").alias("is_new"),
+        F.try_variant_get(v, f"{at}.geo.lat", "double").alias("lat"),
+        *[_kind(v, f"{at}.{f}").alias(f"{f}_kind") for f in ("mid", "vc", "geo")],
+        F.contains("value", F.lit('null')).alias("has_null"),
+        *[_kind(v, p).alias(n) for n, p in PUBLISHED_KINDS[kind].items()],
+    )
+    return rows
+
+
+PUBLISHED_KINDS = {
+    log_split.START: {"ts_kind": "$.ts", "start_kind": "$.start", "time_kind": "$.start.loading_time", "err_kind": "$.err", "code_kind": "$.err.code", "msg_kind": "$.err.msg", "actions_kind": "$.actions"},
+    log_split.PAGE: {"ts_kind": "$.ts", "during_kind": "$.page.during_time", "order_kind": "$.displays[0].order", "item_kind": "$.displays[0].item", "err_kind": "$.err", "code_kind": "$.err.code", "msg_kind": "$.err.msg", "actions_kind": "$.actions"},
+    log_split.DISPLAY: {"ts_kind": "$.ts", "during_kind": "$.during_time", "order_kind": "$.order", "item_kind": "$.item"},
+}
+
+
+def q_published_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_log(spark, sf_dir, log_split.START)
+
+
+def q_published_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_log(spark, sf_dir, log_split.PAGE)
+
+
+def q_published_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return published_log(spark, sf_dir, log_split.DISPLAY)
+
+
+def q_published_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed change records as published, read back with their JSON types."""
+    text = cdc.topic_records(cdc.topic_rows(routed_changes(spark, sf_dir)))
+    v = F.parse_json("value")
+    return text.select(
+        "topic", "seq",
+        F.try_variant_get(v, "$.event_id", "bigint").alias("event_id"),
+        F.try_variant_get(v, "$.value", "double").alias("value"),
+        *[(_kind(v, f"$.{f}") != "STRING").alias(f"{f}_is_number") for f in ("event_id", "user_id", "value")],
+    )
+
+
 def _common_cols() -> list:
     return [
         F.col("seq"),
         F.col("mid"),
-        F.col("common")["is_new"].alias("is_new"),
+        text_of("common", "is_new").alias("is_new"),
     ]
 
 
@@ -54,8 +109,8 @@ def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = log_split.start_rows(repaired_log(spark, sf_dir, START_FIELDS))
     return s.select(
         *_common_cols(),
-        F.get_json_object("start", "$.entry").alias("start_entry"),
-        F.get_json_object("start", "$.loading_time").cast("bigint").alias("loading_time"),
+        F.try_variant_get("start", "$.entry", "string").alias("start_entry"),
+        F.try_variant_get("start", "$.loading_time", "bigint").alias("loading_time"),
         F.col("ts"),
     )
 
@@ -64,9 +119,9 @@ def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = log_split.page_rows(repaired_log(spark, sf_dir))
     return p.select(
         *_common_cols(),
-        F.col("page")["page_id"].alias("page_id"),
-        F.col("page")["last_page_id"].alias("last_page_id"),
-        F.col("page")["during_time"].cast("bigint").alias("during_time"),
+        text_of("page", "page_id").alias("page_id"),
+        text_of("page", "last_page_id").alias("last_page_id"),
+        long_of("page", "during_time").alias("during_time"),
         F.when(F.col("displays").isNull(), F.lit(0)).otherwise(F.size("displays")).alias("n_displays"),
         F.col("ts"),
     )
@@ -78,21 +133,21 @@ def q_log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         F.col("seq"),
         F.col("pos").alias("display_pos"),
-        m["mid"].alias("mid"),
-        m["is_new"].alias("is_new"),
-        m["page_id"].alias("page_id"),
-        m["last_page_id"].alias("last_page_id"),
-        m["display_type"].alias("display_type"),
-        m["item"].alias("item"),
-        m["order"].cast("int").alias("display_order"),
-        m["during_time"].cast("bigint").alias("during_time"),
-        m["ts"].cast("bigint").alias("ts"),
+        text_of(m, "mid").alias("mid"),
+        text_of(m, "is_new").alias("is_new"),
+        text_of(m, "page_id").alias("page_id"),
+        text_of(m, "last_page_id").alias("last_page_id"),
+        text_of(m, "display_type").alias("display_type"),
+        text_of(m, "item").alias("item"),
+        long_of(m, "order").cast("int").alias("display_order"),
+        long_of(m, "during_time").alias("during_time"),
+        long_of(m, "ts").alias("ts"),
     )
 
 
 def q_new_visitor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = repaired_log(spark, sf_dir, ("common", "ts"))
-    return log.select("seq", "mid", "ts", F.col("common")["is_new"].alias("is_new"))
+    return log.select("seq", "mid", "ts", text_of("common", "is_new").alias("is_new"))
 
 
 def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,9 +155,9 @@ def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     uv = visitors.unique_visitors(pages)
     return uv.select(
         "mid", "visit_date", "seq", "ts",
-        F.col("page")["page_id"].alias("page_id"),
-        F.col("page")["last_page_id"].alias("last_page_id"),
-        F.col("common")["is_new"].alias("is_new"),
+        text_of("page", "page_id").alias("page_id"),
+        text_of("page", "last_page_id").alias("last_page_id"),
+        text_of("common", "is_new").alias("is_new"),
     )
 
 
@@ -110,7 +165,7 @@ def _bounce(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     raw = adapters.log_lines(_events(spark, sf_dir))
     pages = log_split.page_rows(log_split.parse_log_topic(raw, PAGE_FIELDS))
     b = bnc.bounces(pages, BOUNCE_GAP_TEST_MS, variant, key_rows=log_split.page_keys(raw))
-    return b.select("seq", "mid", "ts", F.col("page")["page_id"].alias("page_id"))
+    return b.select("seq", "mid", "ts", text_of("page", "page_id").alias("page_id"))
 
 
 def q_bounce_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,10 +191,10 @@ def q_cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         "seq",
         F.col("table").alias("table_name"),
         F.col("type").alias("op_type"),
-        d["event_id"].cast("bigint").alias("event_id"),
-        d["user_id"].cast("bigint").alias("user_id"),
-        d["value"].cast("double").alias("value"),
-        d["props"].alias("props"),
+        long_of(d, "event_id").alias("event_id"),
+        long_of(d, "user_id").alias("user_id"),
+        double_of(d, "value").alias("value"),
+        text_of(d, "props").alias("props"),
     )
 
 
@@ -149,9 +204,9 @@ def q_cdc_route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(
         F.col("sink_table").alias("topic"),
         "seq",
-        d["event_id"].cast("bigint").alias("event_id"),
-        d["user_id"].cast("bigint").alias("user_id"),
-        d["value"].cast("double").alias("value"),
+        long_of(d, "event_id").alias("event_id"),
+        long_of(d, "user_id").alias("user_id"),
+        double_of(d, "value").alias("value"),
     )
 
 
@@ -248,6 +303,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_start": q_log_start,
     "log_page": q_log_page,
     "log_display": q_log_display,
+    "published_start": q_published_start,
+    "published_page": q_published_page,
+    "published_display": q_published_display,
+    "published_topic": q_published_topic,
     "new_visitor_repair": q_new_visitor_repair,
     "unique_visitor_daily": q_unique_visitor_daily,
     "bounce_strict": q_bounce_strict,

@@ -19,11 +19,11 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import parse_once
+from shoplake.functions.maps import double_of, long_of, text_of
 from shoplake.operators import log_split
 from shoplake.plans.queries import BOUNCE_GAP_TEST_MS, ORDER_JOIN_TEST_MS, WIDE_OUTPUT, _typed
 from shoplake.plans.routing import routing_config
-from shoplake.schemas import log_ddl
+from shoplake.schemas import RECORD_DDL
 from shoplake.session import ensure_session, scratch_dir
 from shoplake.sources import adapters
 from shoplake.sources.tables import read_table
@@ -85,7 +85,7 @@ def q_new_visitor_repair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     _log_topic(s, sf_dir, root)
     src = read_topic(s, "ods_log", streaming=True, path=root)
     out = jobs.repaired_log_stream(src).select(
-        "seq", "mid", "ts", F.col("common")["is_new"].alias("is_new"))
+        "seq", "mid", "ts", text_of("common", "is_new").alias("is_new"))
     _run(jobs.start_to_parquet(out, f"{root}/out", f"{root}/ck", "repair",
                                trigger={"availableNow": True}))
     return spark.read.parquet(f"{root}/out").where(F.col("mid") != SENTINEL_MID)
@@ -101,13 +101,13 @@ def q_unique_visitor_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame
     src = read_topic(s, "dwd_page", streaming=True, path=f"{root}/dwd")
     _run(jobs.start_to_parquet(jobs.unique_visitor_stream(src), f"{root}/uv", f"{root}/ck_uv", "uv",
                                trigger={"availableNow": True}))
-    uv = parse_once(spark.read.parquet(f"{root}/uv"), log_ddl(("common", "page", "ts")),
-                    keep=("seq", "visit_date"))
-    return uv.where(F.col("common")["mid"] != SENTINEL_MID).select(
-        F.col("common")["mid"].alias("mid"), "visit_date", "seq", "ts",
-        F.col("page")["page_id"].alias("page_id"),
-        F.col("page")["last_page_id"].alias("last_page_id"),
-        F.col("common")["is_new"].alias("is_new"),
+    uv = log_split.parse_records(spark.read.parquet(f"{root}/uv"), ("common", "page", "ts"),
+                                 keep=("seq", "visit_date"))
+    return uv.where(F.col("mid") != SENTINEL_MID).select(
+        "mid", "visit_date", "seq", "ts",
+        text_of("page", "page_id").alias("page_id"),
+        text_of("page", "last_page_id").alias("last_page_id"),
+        text_of("common", "is_new").alias("is_new"),
     )
 
 
@@ -125,7 +125,7 @@ def _bounce_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
                                       trigger={"availableNow": True}))
     b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/bounces"), ("common", "page", "ts"))
     return b.where(F.col("mid") != SENTINEL_MID).select(
-        "seq", "mid", "ts", F.col("page")["page_id"].alias("page_id"))
+        "seq", "mid", "ts", text_of("page", "page_id").alias("page_id"))
 
 
 def q_bounce_strict_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,12 +162,12 @@ def _db_detail_root(spark: SparkSession, sf_dir: str) -> str:
 def q_cdc_route_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _db_detail_root(spark, sf_dir)
     t = spark.read.parquet(f"{root}/out/topics")
-    data = F.from_json("value", "map<string,string>")
+    data = F.from_json("value", RECORD_DDL)
     return t.select("topic", "seq", data.alias("d")).select(
         "topic", "seq",
-        F.col("d")["event_id"].cast("bigint").alias("event_id"),
-        F.col("d")["user_id"].cast("bigint").alias("user_id"),
-        F.col("d")["value"].cast("double").alias("value"),
+        long_of("d", "event_id").alias("event_id"),
+        long_of("d", "user_id").alias("user_id"),
+        double_of("d", "value").alias("value"),
     )
 
 
@@ -185,21 +185,21 @@ def q_dim_upsert_latest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_log_display_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stream_log_detail(spark, sf_dir)
-    m = F.from_json("value", "map<string,string>")
+    m = F.from_json("value", RECORD_DDL)
     d = spark.read.parquet(f"{root}/dwd/dwd_display").select("seq", m.alias("m"))
-    d = d.where(F.col("m")["mid"] != SENTINEL_MID)
+    d = d.where(text_of("m", "mid") != SENTINEL_MID)
     return d.select(
         "seq",
-        (F.col("m")["order"].cast("int") - 1).alias("display_pos"),
-        F.col("m")["mid"].alias("mid"),
-        F.col("m")["is_new"].alias("is_new"),
-        F.col("m")["page_id"].alias("page_id"),
-        F.col("m")["last_page_id"].alias("last_page_id"),
-        F.col("m")["display_type"].alias("display_type"),
-        F.col("m")["item"].alias("item"),
-        F.col("m")["order"].cast("int").alias("display_order"),
-        F.col("m")["during_time"].cast("bigint").alias("during_time"),
-        F.col("m")["ts"].cast("bigint").alias("ts"),
+        (long_of("m", "order").cast("int") - 1).alias("display_pos"),
+        text_of("m", "mid").alias("mid"),
+        text_of("m", "is_new").alias("is_new"),
+        text_of("m", "page_id").alias("page_id"),
+        text_of("m", "last_page_id").alias("last_page_id"),
+        text_of("m", "display_type").alias("display_type"),
+        text_of("m", "item").alias("item"),
+        long_of("m", "order").cast("int").alias("display_order"),
+        long_of("m", "during_time").alias("during_time"),
+        long_of("m", "ts").alias("ts"),
     )
 
 

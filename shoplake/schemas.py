@@ -1,9 +1,9 @@
 """Schemas of the records that flow between the layers.
 
 Dynamic records (app logs, change records) keep their objects as
-``map<string,string>``: every key survives, numbers keep their original text,
-nested objects stay as JSON text, and values are typed on access with
-``functions.fields``. Fixed records (orders, config) get explicit types.
+``map<string,variant>``: every key survives with its JSON type, nested objects
+stay objects, and values are typed on access with ``functions.maps``. Fixed
+records (orders, config) get explicit types.
 """
 
 from pyspark.sql import types as T
@@ -14,24 +14,22 @@ RAW_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 
+# A JSON object whose fields keep their JSON types.
+RECORD_DDL = "map<string,variant>"
+
 # App log line (ods_log) after parsing: field -> type, in record order.
 LOG_FIELDS = {
-    "common": "map<string,string>",
-    "start": "string",
-    "page": "map<string,string>",
-    "displays": "array<map<string,string>>",
+    "common": "map<string,variant>",
+    "start": "variant",
+    "page": "map<string,variant>",
+    "displays": "array<map<string,variant>>",
     "ts": "bigint",
 }
-LOG_DDL = ", ".join(f"{k} {v}" for k, v in LOG_FIELDS.items())
-
-
-def log_ddl(fields=None) -> str:
-    """DDL of a subset of the log fields (``common`` and ``ts`` always kept)."""
-    want = set(fields or LOG_FIELDS) | {"common", "ts"}
-    return ", ".join(f"{k} {v}" for k, v in LOG_FIELDS.items() if k in want)
 
 # Change record (ods_db) after parsing.
-CHANGE_DDL = "database string, `table` string, type string, ts bigint, data map<string,string>"
+CHANGE_DDL = "database string, `table` string, type string, ts bigint, data map<string,variant>"
+# The same record's values as text, each as it is written (a dimension table's cells).
+CHANGE_TEXT_DDL = "data map<string,string>"
 
 # Routing config row (the table_process table); all text.
 TABLE_PROCESS_SCHEMA = T.StructType([

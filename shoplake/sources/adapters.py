@@ -35,34 +35,29 @@ PROVINCE_COUNT = 25
 SECONDS_PER_DAY = 86_400
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Stand in for a topic with at least one partition per core.
-
-    A scan coarser than the session's default parallelism (a test table in
-    one file) is spread round-robin; a large table scan already has far more
-    splits than cores and is left as it is (no shuffle).
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no classic SparkContext (e.g. a remote session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """events -> ods_log records ``(value, seq)``."""
+def log_lines(events: DataFrame, rich: bool = False) -> DataFrame:
+    """events -> ods_log records ``(value, seq)``.
+
+    ``rich`` adds what the job does not know: a top-level object ``err`` and
+    array ``actions``, a nested object and a number in ``common``; absent
+    fields are written as JSON nulls.
+    """
     k = _props_k()
     n_disp = k % 4
     signup = F.col("event_type") == "signup"
-    common = F.struct(
+    common = [
         F.col("user_id").cast("string").alias("mid"),
         F.when(signup, "1").otherwise("0").alias("is_new"),
-    )
+    ]
+    other = []
+    if rich:
+        common += [k.alias("vc"), F.struct((k + F.lit(0.5)).alias("lat"), F.lit("n").alias("zone")).alias("geo"), F.lit(None).cast("string").alias("gone")]
+        other = [F.struct(k.alias("code"), F.lit("7").alias("msg")).alias("err"), F.array(k, k + 1).alias("actions")]
+    common = F.struct(*common)
     start = F.when(signup, F.struct(F.lit("icon").alias("entry"), k.alias("loading_time")))
     page = F.when(~signup, F.struct(
         F.col("event_type").alias("page_id"),
@@ -80,9 +75,10 @@ def log_lines(events: DataFrame) -> DataFrame:
     ))
     record = F.struct(
         common.alias("common"), start.alias("start"), page.alias("page"),
-        displays.alias("displays"), ms_of_timestamp("ts").alias("ts"),
+        displays.alias("displays"), ms_of_timestamp("ts").alias("ts"), *other,
     )
-    return spread(events).select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
+    text = F.to_json(record, {"ignoreNullFields": "false"}) if rich else to_json_compact(record)
+    return events.select(text.alias("value"), F.col("event_id").alias("seq"))
 
 
 def change_lines(events: DataFrame) -> DataFrame:
@@ -98,7 +94,7 @@ def change_lines(events: DataFrame) -> DataFrame:
         ms_of_timestamp("ts").alias("ts"),
         data.alias("data"),
     )
-    return spread(events).select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
+    return events.select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
 
 
 def _shifted_datetime_text(ts_col: str, seconds: Column) -> Column:
@@ -122,7 +118,7 @@ def order_info_lines(orders: DataFrame) -> DataFrame:
         zero.alias("feight_fee"),
         _shifted_datetime_text("o_orderdate", F.col("o_orderkey") % SECONDS_PER_DAY).alias("create_time"),
     )
-    return spread(orders).select(to_json_compact(record).alias("value"), F.col("o_orderkey").alias("seq"))
+    return orders.select(to_json_compact(record).alias("value"), F.col("o_orderkey").alias("seq"))
 
 
 def order_detail_lines(lineitem: DataFrame) -> DataFrame:
@@ -140,4 +136,4 @@ def order_detail_lines(lineitem: DataFrame) -> DataFrame:
         F.col("l_discount").cast(MONEY).alias("split_activity_amount"),
         F.col("l_tax").cast(MONEY).alias("split_coupon_amount"),
     )
-    return spread(lineitem).select(to_json_compact(record).alias("value"), detail_id.alias("seq"))
+    return lineitem.select(to_json_compact(record).alias("value"), detail_id.alias("seq"))

@@ -54,7 +54,7 @@ def test_repair_and_unique_visitor_equal_sequential_rule(spark, recs):
     raw = topic(spark, [log_line(m, t, page="p") for m, t, _ in recs])
     log = log_split.parse_log_topic(raw)
     fixed = visitors.repair_new_visitor(log, log_split.log_keys(raw))
-    got_new = sorted(r.seq for r in fixed.collect() if r.common["is_new"] == "1")
+    got_new = sorted(r.seq for r in fixed.collect() if r.common["is_new"].toPython() == "1")
     df = pd.DataFrame(recs, columns=["mid", "ts", "seq"]).sort_values(["ts", "seq"])
     assert got_new == sorted(df.groupby("mid").head(1)["seq"])
     df["day"] = df["ts"] // 86_400_000
@@ -78,7 +78,7 @@ def test_overlay_equals_dict_merge(spark, maps):
     cols = [f"m{i}" for i in range(len(maps))]
     schema = ", ".join(f"{c} map<string,string>" for c in cols)
     df = spark.createDataFrame([tuple(maps)], schema)
-    got = df.select(overlay(*cols).alias("o")).first()["o"]
+    got = df.select(overlay(*cols, values="string").alias("o")).first()["o"]
     want = {}
     for m in maps:
         want.update(m or {})

@@ -16,6 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMOKE
+from shoplake.functions.maps import text_of
 from shoplake.operators import log_split, visitors, bounce, cdc, upsert
 from shoplake.plans.routing import ROUTING_ROWS
 from shoplake.sources import adapters
@@ -71,14 +72,14 @@ def test_repair_stream_equals_batch(spark, scratch):
     stream = read_topic(spark, "ods_log", streaming=True, path=scratch, max_files_per_trigger=1)
     out = run_memory(jobs.repaired_log_stream(stream), "repair_out", f"{scratch}/ck")
     got = sorted((r.seq, r.n) for r in out.where(F.col("mid") != SENTINEL)
-                 .select("seq", F.col("common")["is_new"].alias("n")).collect())
+                 .select("seq", text_of("common", "is_new").alias("n")).collect())
     batch = visitors.repair_new_visitor(log_split.parse_log_topic(raw))
-    want = sorted((r.seq, r.n) for r in batch.select("seq", F.col("common")["is_new"].alias("n")).collect())
+    want = sorted((r.seq, r.n) for r in batch.select("seq", text_of("common", "is_new").alias("n")).collect())
     assert got == want and len(got) == raw.count()
     stream = read_topic(spark, "ods_log", streaming=True, path=scratch, max_files_per_trigger=1)
     out2 = run_memory(jobs.repaired_log_stream(stream, skew_safe=True), "repair_out2", f"{scratch}/ck2")
     got2 = sorted((r.seq, r.n) for r in out2.where(F.col("mid") != SENTINEL)
-                  .select("seq", F.col("common")["is_new"].alias("n")).collect())
+                  .select("seq", text_of("common", "is_new").alias("n")).collect())
     assert got2 == want
 
 
@@ -222,7 +223,7 @@ def test_restart_from_checkpoint_keeps_state(spark, scratch):
 
     def run():
         stream = read_topic(spark, "ods_log", streaming=True, path=f"{scratch}/in", max_files_per_trigger=1)
-        df = jobs.repaired_log_stream(stream).select("seq", F.col("common")["is_new"].alias("is_new"),
+        df = jobs.repaired_log_stream(stream).select("seq", text_of("common", "is_new").alias("is_new"),
                                                      "mid")
         q = jobs.start_to_parquet(df, out_path, ck, "restart", trigger={"availableNow": True})
         q.awaitTermination(300)
@@ -241,7 +242,7 @@ def test_restart_from_checkpoint_keeps_state(spark, scratch):
     run()
     got = sorted((r.seq, r.is_new) for r in spark.read.parquet(out_path).where(F.col("mid") != SENTINEL).collect())
     batch = visitors.repair_new_visitor(log_split.parse_log_topic(raw))
-    want = sorted((r.seq, r.n) for r in batch.select("seq", F.col("common")["is_new"].alias("n")).collect())
+    want = sorted((r.seq, r.n) for r in batch.select("seq", text_of("common", "is_new").alias("n")).collect())
     assert got == want
 
 
@@ -320,8 +321,8 @@ def test_log_detail_by_batches_equals_batch(spark, scratch):
     parts = log_split.split_log(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
     page = spark.read.parquet(f"{scratch}/dwd/dwd_page").where(F.col("seq") != 10**9)
     got = sorted((r.seq, r.n) for r in log_split.parse_log_topic(page).select(
-        "seq", F.col("common")["is_new"].alias("n")).collect())
-    want = sorted((r.seq, r.n) for r in parts["page"].select("seq", F.col("common")["is_new"].alias("n")).collect())
+        "seq", text_of("common", "is_new").alias("n")).collect())
+    want = sorted((r.seq, r.n) for r in parts["page"].select("seq", text_of("common", "is_new").alias("n")).collect())
     assert got == want
     for name, kind in (("dwd_start", "start"), ("dwd_display", "display")):
         n = spark.read.parquet(f"{scratch}/dwd/{name}").where(F.col("seq") != 10**9).count()
@@ -339,7 +340,7 @@ def test_log_detail_by_batches_drops_late_rows(spark, scratch):
     q = jobs.start_log_detail_by_batches(stream, f"{scratch}/dwd", f"{scratch}/ck", trigger={"availableNow": True})
     jobs.await_job(q, 300)
     page = log_split.parse_log_topic(spark.read.parquet(f"{scratch}/dwd/dwd_page"))
-    got = sorted((r.seq, r.common["is_new"]) for r in page.collect() if r.seq != 99)
+    got = sorted((r.seq, r.common["is_new"].toPython()) for r in page.collect() if r.seq != 99)
     assert got == [(0, "1"), (1, "1")]
 
 
@@ -367,9 +368,9 @@ def test_log_detail_by_batches_restart(spark, scratch):
         os.utime(p, (t0 + i, t0 + i))
     run()
     page = log_split.parse_log_topic(spark.read.parquet(f"{scratch}/dwd/dwd_page")).where(F.col("seq") != 10**9)
-    got = sorted((r.seq, r.common["is_new"]) for r in page.collect())
+    got = sorted((r.seq, r.common["is_new"].toPython()) for r in page.collect())
     batch = log_split.page_rows(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
-    want = sorted((r.seq, r.common["is_new"]) for r in batch.collect())
+    want = sorted((r.seq, r.common["is_new"].toPython()) for r in batch.collect())
     assert got == want
 
 
@@ -383,9 +384,9 @@ def test_log_detail_by_batches_with_seen_snapshots(spark, scratch, monkeypatch):
     jobs.await_job(q, 300)
     assert os.path.isdir(f"{scratch}/dwd/_state/seen_snapshot/upto=2")
     page = log_split.parse_log_topic(spark.read.parquet(f"{scratch}/dwd/dwd_page")).where(F.col("seq") != 10**9)
-    got = sorted((r.seq, r.common["is_new"]) for r in page.collect())
+    got = sorted((r.seq, r.common["is_new"].toPython()) for r in page.collect())
     batch = log_split.page_rows(visitors.repair_new_visitor(log_split.parse_log_topic(raw)))
-    assert got == sorted((r.seq, r.common["is_new"]) for r in batch.collect())
+    assert got == sorted((r.seq, r.common["is_new"].toPython()) for r in batch.collect())
 
 
 def test_order_wide_by_batches_equals_batch(spark, scratch):
