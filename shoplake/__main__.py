@@ -9,9 +9,13 @@ folder under the session's ``spark.checkpoint.dir``. A failed job raises.
 from __future__ import annotations
 
 import argparse
+import json
 
 from shoplake import settings
+from shoplake.operators import log_split
+from shoplake.operators.order_wide import Dim
 from shoplake.session import build_session, scratch_dir
+from shoplake.sinks.dims import read_dims
 from shoplake.sources.config_source import read_config
 from shoplake.sources.topics import read_topic
 from shoplake.streaming import jobs
@@ -33,14 +37,18 @@ def _args(argv=None):
     p.add_argument("--by-batches", action="store_true",
                    help="log-detail / bounce / order-wide: micro-batch form without per-key state")
     p.add_argument("--kafka-out", action="store_true",
-                   help="log-detail / db-detail: write the topics to Kafka (--kafka-bootstrap)")
+                   help="write the output topics to Kafka (--kafka-bootstrap)")
+    p.add_argument("--malformed", default="quarantine", choices=jobs.MALFORMED, help="what to do with malformed records")
+    p.add_argument("--dims-root", help="order-wide: output folder of db-detail, whose dimension tables are joined")
+    p.add_argument("--dims-config", help="order-wide: JSON list of {table, wide_key, columns, key}")
+    p.add_argument("--time-zone", default="UTC", help="zone of days and create times")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
     a = _args(argv)
-    spark = build_session(a.master, app_name=f"shoplake-{a.job}")
+    spark = build_session(a.master, app_name=f"shoplake-{a.job}", time_zone=a.time_zone)
     kafka = {"kafka.bootstrap.servers": a.kafka_bootstrap} if a.kafka_bootstrap else None
 
     def topic(name):
@@ -48,34 +56,46 @@ def main(argv=None) -> None:
 
     ck = a.checkpoint or scratch_dir(spark, f"ck-{a.job}")
     trigger = {"availableNow": True} if a.once else None
+    kafka_out = kafka if a.kafka_out else None
+
+    def dims():
+        if not a.dims_root:
+            return ()
+        with open(a.dims_config) as f:
+            return read_dims(spark, a.dims_root, [Dim(**d) for d in json.load(f)])
+
+    aside = None
     if a.job == "log-detail" and a.by_batches:
-        q = jobs.start_log_detail_by_batches(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
+        q = jobs.start_log_detail_by_batches(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger, on_malformed=a.malformed)
     elif a.job == "log-detail":
-        q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger,
-                                  kafka=kafka if a.kafka_out else None)
+        aside = jobs.start_quarantine(topic(settings.TOPIC_ODS_LOG), log_split.malformed_log_rows, a.out, f"{ck}-malformed",
+                                      a.malformed, trigger)
+        q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger, kafka=kafka_out)
     elif a.job == "db-detail":
         if not a.config_path:
             raise SystemExit("db-detail needs --config-path")
         q = jobs.start_db_detail(topic(settings.TOPIC_ODS_DB), lambda: read_config(spark, path=a.config_path),
-                                 a.out, ck, trigger=trigger, kafka=kafka if a.kafka_out else None)
+                                 a.out, ck, trigger=trigger, kafka=kafka_out, on_malformed=a.malformed)
     elif a.job == "unique-visitor":
-        q = jobs.start_to_parquet(jobs.unique_visitor_stream(topic(settings.TOPIC_DWD_PAGE)),
-                                  a.out, ck, "unique_visitor", trigger=trigger)
+        q = jobs.start_unique_visitor(topic(settings.TOPIC_DWD_PAGE), a.out, ck, trigger, kafka_out)
     elif a.job == "bounce" and a.by_batches:
         q = jobs.start_bounce_by_batches(topic(settings.TOPIC_DWD_PAGE), a.out, ck, a.variant, a.gap_ms,
-                                         trigger=trigger)
+                                         trigger=trigger, on_malformed=a.malformed, kafka=kafka_out)
     elif a.job == "bounce":
-        q = jobs.start_to_parquet(jobs.bounce_stream(topic(settings.TOPIC_DWD_PAGE), a.variant, a.gap_ms),
-                                  a.out, ck, f"bounce_{a.variant}", trigger=trigger)
+        q = jobs.start_bounce(topic(settings.TOPIC_DWD_PAGE), a.out, ck, a.variant, a.gap_ms, trigger, kafka_out)
     elif a.job == "order-wide" and a.by_batches:
         q = jobs.start_order_wide_by_batches(topic(settings.TOPIC_DWD_ORDER_INFO),
-                                             topic(settings.TOPIC_DWD_ORDER_DETAIL), a.out, ck, trigger=trigger)
+                                             topic(settings.TOPIC_DWD_ORDER_DETAIL), a.out, ck, dims,
+                                             trigger=trigger, on_malformed=a.malformed)
     elif a.job == "order-wide":
-        wide = jobs.order_wide_stream(topic(settings.TOPIC_DWD_ORDER_INFO), topic(settings.TOPIC_DWD_ORDER_DETAIL))
+        wide = jobs.order_wide_stream(topic(settings.TOPIC_DWD_ORDER_INFO), topic(settings.TOPIC_DWD_ORDER_DETAIL), dims())
         q = jobs.start_to_parquet(wide, a.out, ck, "order_wide", trigger=trigger)
     else:
         q = jobs.start_landing(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
-    jobs.await_job(q)
+    if aside is not None and not a.once:
+        spark.streams.awaitAnyTermination()  # raises when either fails
+    for query in filter(None, (aside, q)):
+        jobs.await_job(query)
 
 
 if __name__ == "__main__":

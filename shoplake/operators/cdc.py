@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import parse_once
+from shoplake.functions.jsonio import is_object, parse_once
 from shoplake.functions.maps import keep_keys, without_nulls
 from shoplake.schemas import CHANGE_DDL, CHANGE_TEXT_DDL, TABLE_PROCESS_COLUMNS
 from shoplake.settings import BOOTSTRAP_PREFIX, KEPT_CHANGE_TYPES, SINK_TO_HBASE, SINK_TO_KAFKA
@@ -41,6 +41,11 @@ def clean_changes(raw: DataFrame) -> DataFrame:
     return r.where(keep)
 
 
+def malformed_changes(raw: DataFrame) -> DataFrame:
+    """Rows whose text is no JSON object (others that ``clean_changes`` drops are left out by rule)."""
+    return raw.where(~F.coalesce(is_object(strip_bootstrap("value")), F.lit(False))).select("value", "seq")
+
+
 def one_per_key(config: DataFrame) -> DataFrame:
     """One config row per (``source_table``, ``operate_type``)."""
     rest = [c for c in TABLE_PROCESS_COLUMNS if c not in ("source_table", "operate_type")]

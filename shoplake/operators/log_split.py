@@ -105,6 +105,13 @@ def malformed_log_rows(raw: DataFrame) -> DataFrame:
     return r.where(~is_object("value") | ~_has_keys(F.col)).select("value", "seq")
 
 
+def malformed_page_rows(raw: DataFrame) -> DataFrame:
+    """Rows of a page topic that ``page_keys`` drops."""
+    r = parse_once(raw, PAGE_KEY_DDL, keep=("value", "seq"))
+    page = known(F.col("start")).isNull() & _field(F.col("page"), "page").isNotNull()
+    return r.where(~is_object("value") | ~_has_keys(F.col) | ~page).select("value", "seq")
+
+
 def start_rows(log: DataFrame) -> DataFrame:
     return log.where(F.col("start").isNotNull())
 

@@ -184,6 +184,24 @@ LEFT JOIN nation n ON w.province_id = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 LEFT JOIN customer c ON w.user_id = c.c_custkey
 LEFT JOIN part p ON w.sku_id = p.p_partkey
+""",
+    "order_wide_six_dims": _ORDERS + """,
+sku AS (SELECT p_partkey AS id, p_partkey % 500 AS spu_id, p_partkey % 100 AS tm_id,
+               length(p_type) * 256 + ascii(p_type) AS category3_id, p_name, p_type FROM part),
+spu AS (SELECT spu_id AS id, max_by(p_name, id) AS spu_name FROM sku GROUP BY 1),
+cat AS (SELECT DISTINCT category3_id AS id, p_type AS name FROM sku)
+SELECT w.detail_id, w.order_id, w.user_id, w.sku_id, n.n_name AS province_name, r.r_name AS province_area,
+       c.c_name AS user_name, c.c_mktsegment AS user_segment,
+       CAST(sku.spu_id AS VARCHAR) AS spu_id, CAST(sku.tm_id AS VARCHAR) AS tm_id, CAST(sku.category3_id AS VARCHAR) AS category3_id,
+       spu.spu_name, s.s_name AS tm_name, cat.name AS category3_name
+FROM w
+LEFT JOIN nation n ON w.province_id = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN customer c ON w.user_id = c.c_custkey AND c.c_mktsegment <> 'BUILDING'
+LEFT JOIN sku ON w.sku_id = sku.id
+LEFT JOIN spu ON sku.spu_id = spu.id
+LEFT JOIN supplier s ON sku.tm_id = s.s_suppkey
+LEFT JOIN cat ON sku.category3_id = cat.id
 """,
     "raw_landing_daily": """
 SELECT strftime(ts, '%Y-%m-%d') AS landing_date, count(*) AS n_lines,

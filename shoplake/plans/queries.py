@@ -18,6 +18,7 @@ from shoplake.functions.maps import double_of, long_of, text_of
 from shoplake.operators import bounce as bnc
 from shoplake.operators import cdc, log_split, order_wide, upsert, visitors
 from shoplake.operators.landing import landing_day_of_event
+from shoplake.plans.dimensions import STORED_OUTPUT, direct_dims, stored_dims
 from shoplake.plans.routing import routing_config
 from shoplake.session import scratch_dir
 from shoplake.sinks.landing import write_landing
@@ -273,17 +274,16 @@ def q_order_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_order_wide_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = wide_rows(spark, sf_dir)
-    prov = order_wide.province_dim(read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
-    out = order_wide.enrich_dims(
-        wide,
-        province=prov,
-        user=read_table(spark, sf_dir, "customer"),
-        sku=read_table(spark, sf_dir, "part"),
-    )
+    out = order_wide.enrich_dims(wide_rows(spark, sf_dir), direct_dims(spark, sf_dir))
     return _typed(out, WIDE_OUTPUT + DIM_OUTPUT)
 
 
+def q_order_wide_six_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rows with the six dimensions, joined to the tables that the upsert sink keeps."""
+    out = order_wide.enrich_dims(wide_rows(spark, sf_dir), stored_dims(spark, sf_dir))
+    return out.select("detail_id", "order_id", "user_id", "sku_id", *STORED_OUTPUT)
+
+
 def q_raw_landing_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the raw log as daily text folders (day of the event stands in for
     the arrival day), then read the landed lines back and summarize per day."""
@@ -318,5 +318,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_table_schema": q_dim_table_schema,
     "order_interval_join": q_order_interval_join,
     "order_wide_dims": q_order_wide_dims,
+    "order_wide_six_dims": q_order_wide_six_dims,
     "raw_landing_daily": q_raw_landing_daily,
 }

@@ -1,9 +1,12 @@
 """Registered queries that run the *streaming* forms end to end.
 
-Each one writes the table-derived raw topic (plus one far-future row under
-its own key, so the watermark passes every window and pattern limit) into a
-fresh folder under ``spark.checkpoint.dir``, runs the streaming job once with
-``availableNow``, and reads the job's file output back as the result. The
+Each one writes the table-derived raw topic into a fresh folder under
+``spark.checkpoint.dir``, in ``SLICES`` parts by event time (rows within a part
+in any order). After each part the streaming job goes on from its checkpoint
+with ``availableNow``, so state, carried rows and watermark pass from
+micro-batch to micro-batch. Log topics end with one far-future row under its
+own key, in a part of its own, so the watermark passes every window and
+pattern limit. The job's file output is read back as the result. The
 typed projection and the oracle SQL are the ones of the batch key: stream and
 batch must give the same rows.
 
@@ -33,6 +36,7 @@ from shoplake.streaming import jobs
 # --- fixed values: the flush row -------------------------------------------
 SENTINEL_MID = "~flush"
 SENTINEL_SEQ = -1
+SLICES = 5
 SENTINEL_TS = 4_102_444_800_000  # 2100-01-01, after any test event
 
 
@@ -52,55 +56,75 @@ def _flush_row(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(line, SENTINEL_SEQ)], "value string, seq bigint")
 
 
-def _write_topic(raw: DataFrame, root: str, topic: str) -> None:
-    raw.select("value", "seq").write.mode("overwrite").parquet(f"{root}/{topic}")
+def _add(raw: DataFrame, root: str, topic: str) -> None:
+    raw.select("value", "seq").write.mode("append").parquet(f"{root}/{topic}")
+
+
+def _bounds(df: DataFrame, time: str) -> list:
+    """The times that cut a table into ``SLICES`` parts of about equal size."""
+    at = [i / SLICES for i in range(1, SLICES)]
+    return df.select(F.percentile_approx(F.col(time).cast("timestamp"), at)).first()[0] or []
+
+
+def _slices(df: DataFrame, time: str, bounds: list) -> list[DataFrame]:
+    part = sum((F.when(F.col(time).cast("timestamp") > F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
+    return [df.where(part == i) for i in range(len(bounds) + 1)]
+
+
+def _slices_by_position(events: DataFrame) -> list[DataFrame]:
+    at = [i / SLICES for i in range(1, SLICES)]
+    bounds = events.select(F.percentile_approx("event_id", at)).first()[0] or []
+    part = sum((F.when(F.col("event_id") > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    return [events.where(part == i) for i in range(len(bounds) + 1)]
 
 
 def _run(query) -> None:
     jobs.await_job(query)
 
 
-def _log_topic(spark: SparkSession, sf_dir: str, root: str) -> None:
-    raw = adapters.log_lines(read_table(spark, sf_dir, "events"))
-    _write_topic(raw.unionByName(_flush_row(spark)), root, "ods_log")
+def _log_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The raw log in order of time, the flush row last."""
+    events = read_table(spark, sf_dir, "events")
+    return [adapters.log_lines(e) for e in _slices(events, "ts", _bounds(events, "ts"))] + [_flush_row(spark)]
 
 
-def _stream_log_detail(spark: SparkSession, sf_dir: str) -> str:
+def _stream_log_detail(spark: SparkSession, sf_dir: str, then=None) -> str:
     """ods_log -> streaming log detail job -> dwd_start / dwd_page / dwd_display folders.
 
     Uses the micro-batch form (no per-device state); ``new_visitor_repair_stream``
-    covers the stateful-processor form.
+    covers the stateful-processor form. ``then(session, root)`` runs after each part.
     """
     s = _job_session(spark)
     root = scratch_dir(s, "stream-log")
-    _log_topic(s, sf_dir, root)
-    src = read_topic(s, "ods_log", streaming=True, path=root)
-    _run(jobs.start_log_detail_by_batches(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
+    for part in _log_slices(s, sf_dir):
+        _add(part, root, "ods_log")
+        src = read_topic(s, "ods_log", streaming=True, path=root)
+        _run(jobs.start_log_detail_by_batches(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
+        if then is not None:
+            then(s, root)
     return root
 
 
 def q_new_visitor_repair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, "stream-repair")
-    _log_topic(s, sf_dir, root)
-    src = read_topic(s, "ods_log", streaming=True, path=root)
-    out = jobs.repaired_log_stream(src).select(
-        "seq", "mid", "ts", text_of("common", "is_new").alias("is_new"))
-    _run(jobs.start_to_parquet(out, f"{root}/out", f"{root}/ck", "repair",
-                               trigger={"availableNow": True}))
+    for part in _log_slices(s, sf_dir):
+        _add(part, root, "ods_log")
+        src = read_topic(s, "ods_log", streaming=True, path=root)
+        out = jobs.repaired_log_stream(src).select(
+            "seq", "mid", "ts", text_of("common", "is_new").alias("is_new"))
+        _run(jobs.start_to_parquet(out, f"{root}/out", f"{root}/ck", "repair",
+                                   trigger={"availableNow": True}))
     return spark.read.parquet(f"{root}/out").where(F.col("mid") != SENTINEL_MID)
 
 
-def _page_topic_root(spark: SparkSession, sf_dir: str) -> str:
-    return _stream_log_detail(spark, sf_dir)
-
-
 def q_unique_visitor_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _page_topic_root(spark, sf_dir)
-    s = _job_session(spark)
-    src = read_topic(s, "dwd_page", streaming=True, path=f"{root}/dwd")
-    _run(jobs.start_to_parquet(jobs.unique_visitor_stream(src), f"{root}/uv", f"{root}/ck_uv", "uv",
-                               trigger={"availableNow": True}))
+    def visitors(s: SparkSession, root: str) -> None:
+        src = read_topic(s, "dwd_page", streaming=True, path=f"{root}/dwd")
+        _run(jobs.start_to_parquet(jobs.unique_visitor_stream(src), f"{root}/uv", f"{root}/ck_uv", "uv",
+                                   trigger={"availableNow": True}))
+
+    root = _stream_log_detail(spark, sf_dir, visitors)
     uv = log_split.parse_records(spark.read.parquet(f"{root}/uv"), ("common", "page", "ts"),
                                  keep=("seq", "visit_date"))
     return uv.where(F.col("mid") != SENTINEL_MID).select(
@@ -114,16 +138,14 @@ def q_unique_visitor_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame
 def _bounce_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, f"stream-bounce-{variant}")
-    _log_topic(s, sf_dir, root)
-    raw = spark.read.parquet(f"{root}/ods_log")
-    # the bounce job reads the page topic: page rows of the log, as text
-    pages = log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(raw)), log_split.PAGE)
-    _write_topic(pages, root, "dwd_page")
-    src = read_topic(s, "dwd_page", streaming=True, path=root)
-    # the skew-safe form: the batch operator per micro-batch over a carried table
-    _run(jobs.start_bounce_by_batches(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS,
-                                      trigger={"availableNow": True}))
-    b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/bounces"), ("common", "page", "ts"))
+    for part in _log_slices(s, sf_dir):
+        # the bounce job reads the page topic: page rows of the log, as text
+        _add(log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(part)), log_split.PAGE), root, "dwd_page")
+        src = read_topic(s, "dwd_page", streaming=True, path=root)
+        # the skew-safe form: the batch operator per micro-batch over a carried table
+        _run(jobs.start_bounce_by_batches(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS,
+                                          trigger={"availableNow": True}))
+    b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/dwm_uj"), ("common", "page", "ts"))
     return b.where(F.col("mid") != SENTINEL_MID).select(
         "seq", "mid", "ts", text_of("page", "page_id").alias("page_id"))
 
@@ -139,11 +161,12 @@ def q_bounce_reentry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_order_interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, "stream-orders")
-    _write_topic(adapters.order_info_lines(read_table(s, sf_dir, "orders")), root, "dwd_order_info")
-    _write_topic(adapters.order_detail_lines(read_table(s, sf_dir, "lineitem")), root, "dwd_order_detail")
+    _add(adapters.order_info_lines(read_table(s, sf_dir, "orders")), root, "dwd_order_info")
+    _add(adapters.order_detail_lines(read_table(s, sf_dir, "lineitem")), root, "dwd_order_detail")
     o = read_topic(s, "dwd_order_info", streaming=True, path=root)
     d = read_topic(s, "dwd_order_detail", streaming=True, path=root)
-    wide = jobs.order_wide_stream(o, d, None, -ORDER_JOIN_TEST_MS, ORDER_JOIN_TEST_MS)
+    # one part: orders and lines of the test tables share no order of time
+    wide = jobs.order_wide_stream(o, d, (), -ORDER_JOIN_TEST_MS, ORDER_JOIN_TEST_MS)
     _run(jobs.start_to_parquet(wide, f"{root}/out", f"{root}/ck", "order_wide",
                                trigger={"availableNow": True}))
     return _typed(spark.read.parquet(f"{root}/out"), WIDE_OUTPUT)
@@ -152,10 +175,13 @@ def q_order_interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _db_detail_root(spark: SparkSession, sf_dir: str) -> str:
     s = _job_session(spark)
     root = scratch_dir(s, "stream-db")
-    _write_topic(adapters.change_lines(read_table(s, sf_dir, "events")), root, "ods_db")
-    src = read_topic(s, "ods_db", streaming=True, path=root)
-    _run(jobs.start_db_detail(src, lambda: routing_config(s), f"{root}/out", f"{root}/ck",
-                              trigger={"availableNow": True}))
+    events = read_table(s, sf_dir, "events")
+    # parts by position: a later micro-batch's upsert is the newer one
+    for part in _slices_by_position(events):
+        _add(adapters.change_lines(part), root, "ods_db")
+        src = read_topic(s, "ods_db", streaming=True, path=root)
+        _run(jobs.start_db_detail(src, lambda: routing_config(s), f"{root}/out", f"{root}/ck",
+                                  trigger={"availableNow": True}))
     return root
 
 

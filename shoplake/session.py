@@ -12,8 +12,6 @@ ROCKSDB_PROVIDER = (
 
 # Session settings every operator relies on.
 REQUIRED_CONF = {
-    # event days and create_time parsing follow the session zone
-    "spark.sql.session.timeZone": "UTC",
     # runtime re-planning: partition coalescing, skew-join splitting,
     # size-based broadcast conversion
     "spark.sql.adaptive.enabled": "true",
@@ -29,9 +27,12 @@ def build_session(
     app_name: str = "shoplake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    time_zone: str | None = "UTC",
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the library needs.
 
+    Event days and ``create_time`` texts follow ``time_zone``; None keeps the session's.
+
     On a cluster, pass ``master=None`` and let spark-submit decide; the
     cluster's ``spark.checkpoint.dir`` is kept as it is.
     """
@@ -47,16 +48,16 @@ def build_session(
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    ensure_session(spark)
-    return spark
+    return ensure_session(spark, time_zone)
 
 
-def ensure_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable settings to an existing session."""
+def ensure_session(spark: SparkSession, time_zone: str | None = "UTC") -> SparkSession:
+    """Apply the runtime-settable settings to an existing session (``time_zone`` None: keep its zone)."""
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if time_zone is not None:
+        spark.conf.set("spark.sql.session.timeZone", time_zone)
     # transformWithState requires RocksDB; a new query takes the provider
     # from the session (a restarted one keeps the one in its checkpoint)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:

@@ -1,20 +1,24 @@
 """Dimension tables kept as an append-only changelog plus compaction.
 
 There is no upsert-capable table format in this repository, so an upsert is
-an append of ``(sink_table, pk, seq, data)`` rows; the current table is the
-last row per ``(sink_table, pk)`` (``operators.upsert.current_rows``) and
-``compact`` rewrites it into a new folder. A table is created (empty, every
-column text) the first time a row for it arrives.
+an append of ``(sink_table, pk, seq, data)`` rows; the current table folds
+them per ``(sink_table, pk)`` and column (``operators.upsert.current_rows``).
+``compact`` writes the folded rows as a snapshot: a read opens the newest
+snapshot and the batches after it. A table is created (empty, every column
+text) the first time a row for it arrives.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplake.operators import upsert
+from shoplake.operators.order_wide import Dim
 
 
 def table_struct(sink_columns: str) -> T.StructType:
@@ -60,18 +64,50 @@ def append_changelog(upserts: DataFrame, root: str, batch_id: int | None = None)
             .partitionBy("sink_table").parquet(f"{base}/batch={batch_id}")
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The stored rows. A later micro-batch wins over ``seq``: positions of different
-    topic partitions say nothing about which row came first."""
-    log = spark.read.parquet(f"{root.rstrip('/')}/dim_changelog")
-    cols = ["sink_table", "pk", "seq", "data", "sink_columns", "sink_pk"]
-    batched = "batch_id" in log.columns
-    return upsert.current_rows(log.select(*cols, *(["batch_id"] if batched else [])), ["batch_id", "seq"] if batched else None)
+ROW = ["sink_table", "pk", "seq", "data", "sink_columns", "sink_pk"]
+
+
+def newest_snapshot(spark: SparkSession, root: str) -> int | None:
+    """The last batch of the newest snapshot; null when there is none."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/dim_snapshot").select(F.max("upto")).first()[0]
+    except AnalysisException:
+        return None
 
 
-def compact(spark: SparkSession, root: str, target: str) -> None:
-    """Write the current rows (one per key) into a new folder."""
-    read_current(spark, root).write.mode("overwrite").partitionBy("sink_table").parquet(target)
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """The stored rows: the newest snapshot and the batches after it. A later micro-batch wins over ``seq``:
+    positions of different topic partitions say nothing about which row came first."""
+    base = root.rstrip("/")
+    log = spark.read.parquet(f"{base}/dim_changelog")
+    if "batch_id" not in log.columns:
+        return upsert.current_rows(log.select(*ROW))
+    upto = newest_snapshot(spark, base)
+    if upto is not None:
+        log = log.where(F.col("batch") > upto).select(*ROW, "batch_id").unionByName(
+            spark.read.parquet(f"{base}/dim_snapshot/upto={upto}").select(*ROW, "batch_id"))
+    return upsert.current_rows(log.select(*ROW, "batch_id"), ["batch_id", "seq"])
+
+
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Fold all batches written so far into a new snapshot; returns its last batch.
+
+    A snapshot row is an upsert of all its columns, ranked at that batch.
+    """
+    base = root.rstrip("/")
+    log = spark.read.parquet(f"{base}/dim_changelog")
+    if "batch" not in log.columns:
+        raise ValueError("only a changelog written by batches can be compacted")
+    upto = log.select(F.max("batch")).first()[0]
+    if upto is not None and upto != newest_snapshot(spark, base):
+        rows = read_current(spark, base).withColumn("sink_columns", F.array_join(F.map_keys("data"), ","))
+        rows.withColumn("batch_id", F.lit(upto)).write.mode("overwrite").partitionBy("sink_table").parquet(f"{base}/dim_snapshot/upto={upto}")
+    return upto
+
+
+def read_dims(spark: SparkSession, root: str, specs: Sequence[Dim]) -> list[tuple[Dim, DataFrame]]:
+    """The stored tables of the given dimensions, for ``order_wide.enrich_dims``."""
+    return [(d, current_table(spark, root, d.table)) for d in specs]
 
 
 def current_table(spark: SparkSession, root: str, sink_table: str) -> DataFrame:

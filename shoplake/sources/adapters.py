@@ -97,6 +97,15 @@ def change_lines(events: DataFrame) -> DataFrame:
     return events.select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
 
 
+def insert_lines(rows: DataFrame, table: str, seq: Column, data: dict[str, Column]) -> DataFrame:
+    """Any table -> ods_db insert records ``(value, seq)`` of change table ``table``."""
+    record = F.struct(
+        F.lit(DATABASE_NAME).alias("database"), F.lit(table).alias("table"), F.lit("insert").alias("type"),
+        F.struct(*[c.alias(n) for n, c in data.items()]).alias("data"),
+    )
+    return rows.select(to_json_compact(record).alias("value"), seq.cast("bigint").alias("seq"))
+
+
 def _shifted_datetime_text(ts_col: str, seconds: Column) -> Column:
     ms = ms_of_timestamp(ts_col) + seconds * 1000
     return F.date_format(F.timestamp_millis(ms), DATETIME_FORMAT)

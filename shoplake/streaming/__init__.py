@@ -7,14 +7,20 @@ from shoplake.streaming.jobs import (
     order_wide_stream,
     read_dim_current,
     repaired_log_stream,
+    late_rows,
+    malformed_rows,
+    start_bounce,
     start_bounce_by_batches,
     start_db_detail,
     start_job,
     start_log_detail_by_batches,
     start_order_wide_by_batches,
     start_landing,
+    start_landing_and_publish,
     start_log_detail,
+    start_quarantine,
     start_to_parquet,
+    start_unique_visitor,
     late_rows_dropped,
     unique_visitor_stream,
 )
@@ -27,7 +33,8 @@ from shoplake.streaming.processors import (
 )
 
 __all__ = [
-    "await_job", "bounce_stream", "start_bounce_by_batches", "start_log_detail_by_batches", "start_order_wide_by_batches", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
+    "await_job", "bounce_stream", "late_rows", "malformed_rows", "start_bounce", "start_landing_and_publish", "start_quarantine",
+    "start_unique_visitor", "start_bounce_by_batches", "start_log_detail_by_batches", "start_order_wide_by_batches", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
     "repaired_log_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
     "BouncePattern", "FirstWindowFlag", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",

@@ -45,9 +45,9 @@ BOUNCE_COLS = ["ts", "seq", "is_entry", "value"]
 BOUNCE_OUTPUT = "value string, seq bigint, ts bigint"
 
 
-def day_text(ms: pd.Series) -> pd.Series:
-    """Epoch ms -> ``yyyy-MM-dd`` in UTC (the session zone of the jobs)."""
-    return pd.to_datetime(ms.astype("int64"), unit="ms", utc=True).dt.strftime("%Y-%m-%d")
+def day_text(ms: pd.Series, time_zone: str = "UTC") -> pd.Series:
+    """Epoch ms -> ``yyyy-MM-dd`` in a zone (the jobs give the session's)."""
+    return pd.to_datetime(ms.astype("int64"), unit="ms", utc=True).dt.tz_convert(time_zone).dt.strftime("%Y-%m-%d")
 
 
 def _concat(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -150,10 +150,10 @@ class FirstWindowFlag(StatefulProcessor):
         return iter([pd.DataFrame({"seq": df["seq"], "flag_time": df["flag_time"], "is_first": first})])
 
 
-def _first_per_day(firsts: pd.DataFrame, last_day: str | None) -> tuple[pd.DataFrame, str | None]:
+def _first_per_day(firsts: pd.DataFrame, last_day: str | None, time_zone: str = "UTC") -> tuple[pd.DataFrame, str | None]:
     """Rows in time order, one per closed window: keep those whose day differs
     from the previous row's day (the first compared with ``last_day``)."""
-    days = day_text(firsts["ts"]).to_numpy(dtype=object)
+    days = day_text(firsts["ts"], time_zone).to_numpy(dtype=object)
     prev = np.concatenate([np.array([last_day], dtype=object), days[:-1]])
     keep = days != prev
     out = pd.DataFrame({
@@ -168,13 +168,17 @@ def _first_per_day(firsts: pd.DataFrame, last_day: str | None) -> tuple[pd.DataF
 class UniqueVisitor(_WindowBuffer):
     """Emit the least row of a device's first closed window of each day."""
 
+    def __init__(self, window_ms: int = WINDOW_MS, time_zone: str = "UTC") -> None:
+        super().__init__(window_ms)
+        self.time_zone = time_zone
+
     def init_state(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day string")
 
     def on_windows(self, due: pd.DataFrame) -> pd.DataFrame:
         firsts = due.drop_duplicates("w_end", keep="first")
         last = self.last_day.get()[0] if self.last_day.exists() else None
-        out, last = _first_per_day(firsts, last)
+        out, last = _first_per_day(firsts, last, self.time_zone)
         if last is not None:
             self.last_day.update((str(last),))
         return out
@@ -189,6 +193,9 @@ class FirstWindowOfDay(StatefulProcessor):
     are sorted by ``(ts, seq)`` first. No timers are needed.
     """
 
+    def __init__(self, time_zone: str = "UTC") -> None:
+        self.time_zone = time_zone
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last_day = handle.getValueState("last_day", "day string")
 
@@ -198,7 +205,7 @@ class FirstWindowOfDay(StatefulProcessor):
             return iter([])
         df = df.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
         last = self.last_day.get()[0] if self.last_day.exists() else None
-        out, last = _first_per_day(df, last)
+        out, last = _first_per_day(df, last, self.time_zone)
         if last is not None:
             self.last_day.update((str(last),))
         return iter([out]) if len(out) else iter([])
