@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shoplake.functions.maps import text_of
 from shoplake.functions.predicates import is_entry
-from shoplake.settings import BOUNCE_GAP_MS
+from shoplake.settings import BOUNCE_BUCKET_MS, BOUNCE_GAP_MS
 
 STRICT, REENTRY = "strict", "reentry"
 
@@ -30,33 +30,40 @@ def next_within(
     gap_ms: int,
     carry: list[str],
     head_rows: DataFrame | None = None,
+    bucket_ms: int = BOUNCE_BUCKET_MS,
 ) -> DataFrame:
     """Add the strict successor of each row (same ``key``, ``(ts, seq)`` order)
     as ``next_ts``, ``next_seq`` and ``next_<c>``, or nulls when the
     successor is absent or ``gap_ms`` or more later.
 
     Distributed without a per-key sort: time is cut into buckets of width
-    ``gap_ms``; a successor within the limit lies in the row's bucket or the
-    next one. ``lead`` runs over (key, bucket) windows, and the last row of a
-    bucket takes the first row of bucket + 1 through an equi-join on
-    (key, bucket). A hot device is spread over its time buckets.
+    ``bucket_ms``, or ``gap_ms`` where that is less. ``lead`` runs over
+    (key, bucket) windows, and the last row of a bucket takes the first row of
+    the next bucket that has one, through an equi-join on (key, bucket). With
+    width ``gap_ms`` only bucket + 1 can be within the limit. Else the first
+    rows, one per key and bucket, find their own successors by this function,
+    in buckets as wide as the limit. A hot device is spread over its buckets
+    whatever the limit is.
 
     The first row of each bucket comes from a partial-aggregating ``min``;
     ``head_rows`` may supply ``key, ts, seq, *carry`` from a cheaper read of
     the same rows (a narrow parse), otherwise ``df`` is used.
     """
     nxt_cols = ["ts", "seq", *carry]
-    bucket = F.floor(F.col("ts") / F.lit(gap_ms)).cast("bigint")
+    width = min(bucket_ms, gap_ms)
+    bucket = F.floor(F.col("ts") / F.lit(width)).cast("bigint")
     w = Window.partitionBy(key, "_b").orderBy("ts", "seq")
     x = df.withColumn("_b", bucket)
     for c in nxt_cols:
         x = x.withColumn(f"_l_{c}", F.lead(c).over(w))
     src = (head_rows if head_rows is not None else df).withColumn("_b", bucket)
-    heads = (
-        src.groupBy(key, "_b")
-        .agg(F.min(F.struct(*[F.col(c) for c in nxt_cols])).alias("_h"))
-        .select(key, (F.col("_b") - 1).alias("_b"), *[F.col(f"_h.{c}").alias(f"_h_{c}") for c in nxt_cols])
-    )
+    heads = src.groupBy(key, "_b").agg(F.min(F.struct(*[F.col(c) for c in nxt_cols])).alias("_h"))
+    if width == gap_ms:
+        heads = heads.select(key, (F.col("_b") - 1).alias("_b"), *[F.col(f"_h.{c}").alias(f"_h_{c}") for c in nxt_cols])
+    else:
+        reach = gap_ms + width  # a bucket's last row is up to a width later than its first
+        heads = next_within(heads.select(key, F.col("_b").alias("_own"), "_h.*"), key, reach, carry, bucket_ms=reach)
+        heads = heads.select(key, F.col("_own").alias("_b"), *[F.col(f"next_{c}").alias(f"_h_{c}") for c in nxt_cols])
     y = x.join(heads, on=[key, "_b"], how="left")
     in_bucket = F.col("_l_ts").isNotNull()
     out = y

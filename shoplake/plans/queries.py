@@ -152,8 +152,10 @@ def q_new_visitor_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_unique_visitor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = log_split.page_rows(repaired_log(spark, sf_dir, PAGE_FIELDS))
-    uv = visitors.unique_visitors(pages)
+    """Reduced to one row per device and day first; only those are flagged."""
+    raw = adapters.log_lines(_events(spark, sf_dir))
+    uv = visitors.unique_visitors(log_split.page_rows(log_split.parse_log_topic(raw, PAGE_FIELDS)))
+    uv = visitors.repair_new_visitor(uv, log_split.log_keys(raw))
     return uv.select(
         "mid", "visit_date", "seq", "ts",
         text_of("page", "page_id").alias("page_id"),

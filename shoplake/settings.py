@@ -32,6 +32,9 @@ JOIN_LOWER_MS = -5_000            # interval join, detail time relative to order
 JOIN_UPPER_MS = 5_000
 TRIGGER_INTERVAL = "3 seconds"    # checkpoint / micro-batch period
 
+# --- how a device is split by time in the bounce search (any value gives the same rows)
+BOUNCE_BUCKET_MS = 600_000
+
 # --- fixed values: date formats --------------------------------------------
 DAY_FORMAT = "yyyy-MM-dd"
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"

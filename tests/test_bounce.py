@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -73,3 +74,23 @@ def test_next_within_matches_brute_force_with_hot_key(spark, variant):
         log_split.page_rows(log_split.parse_log_topic(topic(spark, lines))), 5000, variant).collect())
     df = pd.DataFrame(recs, columns=["mid", "ts", "seq", "entry"])
     assert got == _brute(df, 5000, variant)
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 100, 4999])
+def test_small_buckets_give_the_same_rows(spark, bucket):
+    """A hot device inside one limit span is split by buckets far smaller than the limit."""
+    rng = np.random.default_rng(bucket)
+    n = 1500
+    df = pd.DataFrame({
+        "mid": np.where(rng.random(n) < 0.6, "hot", rng.integers(0, 20, n).astype(str)),
+        "ts": np.where(rng.random(n) < 0.5, rng.integers(0, 5000, n), rng.integers(0, 200_000, n)),
+        "seq": np.arange(n), "entry": rng.random(n) < 0.5,
+    })
+    rows = spark.createDataFrame(df)
+    got = bounce.next_within(rows, "mid", 5000, ["entry"], bucket_ms=bucket).collect()
+    want = {}
+    for _, g in df.sort_values(["ts", "seq"]).groupby("mid"):
+        r = g.to_dict("records")
+        for a, b in zip(r, [*r[1:], None]):
+            want[a["seq"]] = b["seq"] if b is not None and b["ts"] - a["ts"] < 5000 else None
+    assert {r.seq: r.next_seq for r in got} == want
