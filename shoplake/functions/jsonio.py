@@ -23,6 +23,13 @@ def to_json_compact(c: Column | str) -> Column:
     return F.to_json(c, {"ignoreNullFields": "true"})
 
 
+def last_wins(m: Column) -> Column:
+    """A parsed map may repeat a key; as in a struct parse, its last value counts."""
+    keys = F.map_keys(m)
+    last = F.filter(F.map_entries(m), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(last)).otherwise(m)
+
+
 def parse_once(
     df: DataFrame,
     schema: StructType | str,
@@ -40,6 +47,8 @@ def parse_once(
     """
     v = F.col(value) if isinstance(value, str) else value
     parsed = F.from_json(v, schema, {"mode": mode})
+    if str(schema).startswith("map<"):  # bound by a one-element transform, so the text is parsed once
+        parsed = F.element_at(F.transform(F.array(parsed), last_wins), 1)
     row = F.struct(*[F.col(k) for k in keep], parsed.alias("_r"))
     fields = F.col("_r").alias("record") if str(schema).startswith("map<") else "_r.*"
     return df.select(F.inline(F.array(row))).select(*keep, fields)

@@ -133,3 +133,14 @@ def test_unique_visitor_per_day_across_midnight(spark):
     uv = visitors.unique_visitors(pages)
     assert _rows(uv, "mid", "visit_date", "seq") == [
         ("1", "1970-01-01", 0), ("1", "1970-01-02", 3), ("2", "1970-01-02", 4)]
+
+
+def test_repeated_keys(spark):
+    """At the top level the last one counts, as in the narrow parse; inside an object the record is malformed."""
+    lines = ['{"common":{"mid":"a","x":1,"x":2},"page":{"page_id":"p"},"ts":1}',
+             '{"common":{"mid":"b"},"page":{"page_id":"p"},"ts":1,"err":1,"err":2,"ts":9}']
+    raw = topic(spark, lines)
+    assert _rows(log_split.log_keys(raw), "seq", "ts") == _rows(log_split.parse_log_topic(raw), "seq", "ts") == [(1, 9)]
+    assert _rows(log_split.malformed_log_rows(raw), "seq") == [(0,)]
+    page = log_split.page_rows(log_split.parse_log_topic(raw))
+    assert [json.loads(r.value)["err"] for r in log_split.detail_json(page, log_split.PAGE).collect()] == [2]
