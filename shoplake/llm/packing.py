@@ -12,11 +12,11 @@ group is bounded, groups run in parallel and open windows at a group's end
 are a small share. Only lengths and places are shuffled, never ids.
 
 Tokenizers: the vocabulary is a rank file (``vocab``) read by its path on
-each worker; its ids are those of the JSON form of the same vocabulary, which
-a test compares.
+each worker, with the JSON form's added token (``SPECIAL``); its ids are those
+of the JSON form under ``tokenizers``, which a test compares.
 
 Null and edge cases: a null text counts as empty and still has its closing
-id; strings of special tokens are ordinary text; repeated rows are packed
+id; the added token's string inside a text is its one id; repeated rows are packed
 each; ``doc_id`` may be null; other columns are ignored. An empty table gives
 no rows.
 """
@@ -41,6 +41,8 @@ WINDOW = 1024
 GROUP = 32_768
 VOCAB = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 0
+#: The added token of byte_bpe_50k.json, which `tokenizers` matches inside text.
+SPECIAL = {"<|endoftext|>": 50256}
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
@@ -48,7 +50,7 @@ PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long"
 def encoder(vocab: str) -> tiktoken.Encoding:
     with open(vocab, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(vocab, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(vocab, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def token_pieces(docs: DataFrame, vocab: str = VOCAB, window: int = WINDOW) -> DataFrame:
@@ -67,7 +69,7 @@ def token_pieces(docs: DataFrame, vocab: str = VOCAB, window: int = WINDOW) -> D
         for b in batches:
             rows, held = [], 0
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.append(encode.encode_to_numpy(text.as_py() or "", disallowed_special=()), END_ID).astype("<u4")
+                ids = np.append(encode.encode_to_numpy(text.as_py() or "", allowed_special="all"), END_ID).astype("<u4")
                 for s in range(0, len(ids), window):
                     part = ids[s : s + window]
                     rows.append((doc_id, s, len(part), part.tobytes(), len(ids)))
