@@ -1,6 +1,7 @@
 """Licence scans with a trained paragraph classifier.
 
-Paragraphs (lines of text) become sparse word n-grams: those of the public
+Paragraphs (lines of text, and the joined lines between blank lines in spans of
+``SPAN`` words, for wrapped notices) become sparse word n-grams: those of the public
 notices below that are rare in the corpus. A multinomial logistic regression
 tells the licence families and an unknown class apart. It learns from the
 notices in many wordings, from sentences that only speak about licences, and
@@ -12,7 +13,8 @@ scored; the rest need no score to be unknown. The unknown class is
 calibrated on another such sample: a family counts only above the
 probability that ``FALSE_RATE`` of that sample would pass. Every prediction
 must then be confirmed by a template of its family: ``CONFIRM`` of the
-template's word pairs, or of a long paragraph's, are shared.
+template's word pairs, or of a long paragraph's, are shared; a bare name or SPDX
+id confirms a line that holds little else. "MIT" or "ISC" alone is not enough.
 
 All work on documents is DataFrame code (Spark SQL and Spark ML stages).
 Paragraphs are scored where they are read and only the few confirmed ones are
@@ -59,6 +61,7 @@ NOTICES = {
     ],
     "apache-2.0": [
         "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0",
+        "apache license version 2.0 january 2004 http www.apache.org licenses",
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis",
     ],
     "gpl": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"],
@@ -72,6 +75,13 @@ NOTICES = {
     "isc": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
     "public-domain": ["this is free and unencumbered software released into the public domain"],
 }
+#: SPDX ids (lower case, as tokens).
+IDS = {
+    "mit": ["mit"], "apache-2.0": ["apache-2.0"], "gpl": ["gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later", "gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later"],
+    "lgpl": ["lgpl-2.1", "lgpl-2.1-only", "lgpl-2.1-or-later", "lgpl-3.0", "lgpl-3.0-only", "lgpl-3.0-or-later"], "agpl": ["agpl-3.0", "agpl-3.0-only", "agpl-3.0-or-later"],
+    "bsd": ["bsd-2-clause", "bsd-3-clause"], "mpl-2.0": ["mpl-2.0"], "isc": ["isc"], "cc-by": ["cc-by-3.0", "cc-by-4.0"], "cc-by-sa": ["cc-by-sa-3.0", "cc-by-sa-4.0"],
+    "cc-by-nc": ["cc-by-nc-3.0", "cc-by-nc-4.0"], "public-domain": ["unlicense", "cc0-1.0"],
+}
 LEADS = ["licensed under the", "licensed under", "released under the", "this work is licensed under the", "this work is licensed under a", "distributed under the terms of the", "available under the", "published under", "this software is covered by the", "use is subject to the"]
 ABOUT = [
     "a driver license is needed to rent a car", "see the license file for details", "all rights reserved", "the license expired last year",
@@ -83,7 +93,10 @@ FAMILIES = ["unknown", *NAMES]
 BACKGROUND = 4000
 RARE = 0.01
 CONFIRM = 0.6
+SLACK = 2
+SPAN = 64
 FALSE_RATE = 0.0005
+BLANK = "(?:\\r\\n|\\n|\\r(?!\\n))[ \\t]*(?:\\r\\n|\\n|\\r(?!\\n))\\s*"
 TOKENS = "[^\\p{L}\\p{N}.-]+|[.-]+(?![\\p{L}\\p{N}])|(?<![\\p{L}\\p{N}])[.-]+"
 
 
@@ -93,6 +106,15 @@ def templates() -> list[tuple[str, str]]:
     return named + [(f, n) for f, notices in NOTICES.items() for n in notices]
 
 
+def headings() -> list[tuple[str, str]]:
+    """Family and text of lines that only name a licence: bare names, SPDX ids and lines that lead to one."""
+    named = [(f, form.format(n)) for f, names in NAMES.items() for n in names for form in ("{}", "the {}", "license {}", "licence {}", "license the {}")]
+    ids = [(f, form.format(i)) for f, own in IDS.items() for i in own for form in ("license {}", "licence {}", "spdx-license-identifier {}")]
+    # "mit" and "isc" alone are ordinary words or names
+    alone = [(f, i) for f, own in IDS.items() for i in own if "-" in i]
+    return [*named, *ids, *alone, ("mit", "the mit license mit")]
+
+
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKENS), lambda w: w != "")
 
@@ -102,12 +124,40 @@ def _pairs(words: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id, k, pos, paragraph``: the lines of every text that are not blank."""
-    body = docs.select("doc_id", text_or_empty().alias("text"))
-    lines = body.select("doc_id", F.xxhash64("text").alias("k"), F.posexplode(F.split("text", "[\\n\\r]+")).alias("pos", "paragraph"))
+    """``doc_id, k, block, pos, paragraph``: the lines of every text that are not blank, numbered in the blocks between blank lines."""
+    lines = _blocks(docs).select("doc_id", "k", "block", F.posexplode(F.split("body", "[\\n\\r]+")).alias("pos", "paragraph"))
     return lines.where(F.trim("paragraph") != "")
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """As ``paragraphs``, but the lines of a block joined: ``SPAN`` words each, half a span apart, so a wrapped notice falls whole into one."""
+    many = _blocks(docs).where(F.trim("body").rlike("[\\n\\r]")).withColumn("w", F.element_at(F.transform(F.array(_words(F.col("body"))), lambda w: w), 1))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - SPAN // 2 - 1, F.lit(0)), F.lit(SPAN // 2))
+    return many.select("doc_id", "k", "block", F.explode(F.transform(starts, lambda a: F.array_join(F.slice(F.col("w"), a + 1, SPAN), " "))).alias("paragraph")).select(
+        "doc_id", "k", "block", F.lit(-1).alias("pos"), "paragraph"
+    )
+
+
+def _blocks(docs: DataFrame) -> DataFrame:
+    body = docs.select("doc_id", text_or_empty().alias("text"))
+    return body.select("doc_id", F.xxhash64("text").alias("k"), F.posexplode(F.split("text", BLANK)).alias("block", "body"))
+
+
+def known_pairs(spark: SparkSession) -> DataFrame:
+    """A row per family: the word pairs of its templates (``ts``) and of its headings (``hs``), of fixed number."""
+    rows = [(f, t, True) for f, t in templates()] + [(f, t, False) for f, t in headings()]
+    one = spark.createDataFrame(rows, "family string, template string, long boolean").select("family", "long", _pairs(_words(F.col("template"))).alias("t"))
+    return one.groupBy("family").agg(F.collect_list(F.when(F.col("long"), F.col("t"))).alias("ts"), F.collect_list(F.when(~F.col("long"), F.col("t"))).alias("hs"))
+
+
+def similarity(own: Column, ts: Column, hs: Column) -> Column:
+    """The greatest share of a template's pairs, or of a long paragraph's, and of a heading's pairs in a line of little else (``SLACK`` pairs)."""
+    shared = lambda t: F.size(F.array_intersect(own, t)) / F.least(F.size(t), F.greatest(F.size(own), F.lit(3)))
+    named = lambda t: F.size(F.array_intersect(own, t)) / F.greatest(F.size(t), F.size(own) - SLACK)
+    short = F.when(F.size(own) <= 12 + SLACK, F.array_max(F.transform(hs, named)))
+    return F.greatest(F.array_max(F.transform(ts, shared)), short, F.lit(0.0))
+
+
 def _grams(text: Column) -> Column:
     """Words, word pairs and word triples."""
     def grams(w: Column) -> Column:
@@ -130,7 +180,7 @@ class LicenceModel:
 
 def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) -> LicenceModel:
     pool = written(bounded_sample(paragraphs(docs), 2 * background, "paragraph"), "licence-background")
-    known = spark.createDataFrame([(FAMILIES.index(f), t) for f, t in templates()], "label int, paragraph string")
+    known = spark.createDataFrame([(FAMILIES.index(f), t) for f, t in [*templates(), *headings()]], "label int, paragraph string")
     # corpus paragraphs that carry most of a template are no examples of the unknown class
     own_pairs = pool.select("paragraph", F.explode(_pairs(_words(F.col("paragraph")))).alias("pair"))
     known_pairs = known.select(F.col("paragraph").alias("template"), _pairs(_words(F.col("paragraph"))).alias("t"))
@@ -167,27 +217,29 @@ def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) ->
 
 
 def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
-    """``doc_id, k, pos, family, probability, similarity, paragraph`` of every confirmed paragraph."""
+    """``doc_id, k, block, pos, family, probability, similarity, paragraph`` of every confirmed paragraph."""
     spark = docs.sparkSession
     model = train(spark, docs, background)
-    may = paragraphs(docs.where(F.col("text").rlike(model.pattern))).where(F.col("paragraph").rlike(model.pattern))
+    likely_docs = docs.where(F.col("text").rlike(model.pattern))
+    may = paragraphs(likely_docs).unionByName(wrapped(likely_docs)).where(F.col("paragraph").rlike(model.pattern))
     scored = model.stages.transform(may.withColumn("grams", _grams(F.col("paragraph")))).withColumn("p", vector_to_array("probability"))
     family = F.element_at(F.lit(FAMILIES), F.col("prediction").cast("int") + 1)
     likely = scored.where(F.col("prediction") > 0).select(
-        "doc_id", "k", "pos", "paragraph", family.alias("family"), F.element_at("p", F.col("prediction").cast("int") + 1).alias("probability")
+        "doc_id", "k", "block", "pos", "paragraph", family.alias("family"), F.element_at("p", F.col("prediction").cast("int") + 1).alias("probability")
     ).where(F.col("probability") > model.limit)
-    known = spark.createDataFrame(templates(), "family string, template string").select("family", _pairs(_words(F.col("template"))).alias("t"))
-    known = known.groupBy("family").agg(F.collect_list("t").alias("ts"))  # a row per family, templates of fixed number
     own = likely.withColumn("own", _pairs(_words(F.col("paragraph"))))
-    shared = lambda t: F.size(F.array_intersect(F.col("own"), t)) / F.least(F.size(t), F.greatest(F.size("own"), F.lit(3)))
-    best = F.array_max(F.transform("ts", shared))
-    return own.join(F.broadcast(known), "family").withColumn("similarity", best).where(F.col("similarity") >= CONFIRM).drop("own", "ts")
+    alike = own.join(F.broadcast(known_pairs(spark)), "family").withColumn("similarity", similarity(F.col("own"), F.col("ts"), F.col("hs")))
+    return alike.where(F.col("similarity") >= CONFIRM).drop("own", "ts", "hs")
 
 
 def licence_scan(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     """One row per document: ``doc_id, n_paragraphs, n_licence, families, best_similarity``."""
-    found = find_licences(docs, background).groupBy("doc_id", "k").agg(
-        F.count_distinct("pos").alias("n_licence"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.max("similarity").alias("best_similarity")
+    # lines; a wrapped notice counts once where no line of its block has its family
+    one = find_licences(docs, background).groupBy("doc_id", "k", "block", "family").agg(
+        F.greatest(F.count_distinct(F.when(F.col("pos") >= 0, F.col("pos"))), F.lit(1)).alias("n"), F.max("similarity").alias("similarity")
+    )
+    found = one.groupBy("doc_id", "k").agg(
+        F.sum("n").alias("n_licence"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.max("similarity").alias("best_similarity")
     )
     body = docs.select("doc_id", text_or_empty().alias("text"))
     every = body.select("doc_id", F.xxhash64("text").alias("k"), F.size(F.filter(F.split("text", "[\\n\\r]+"), lambda x: F.trim(x) != "")).cast("bigint").alias("n_paragraphs"))

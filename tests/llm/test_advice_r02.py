@@ -5,7 +5,7 @@ import random
 import numpy as np
 from test_llm_operators import frame
 
-from shoplake.llm import packing
+from shoplake.llm import licences, packing
 
 # -- packing --------------------------------------------------------------------------------------
 
@@ -21,3 +21,31 @@ def test_ids_of_the_added_token(spark):
     rows = packing.pack_documents(frame(spark, texts), with_ids=True).collect()
     got = {r.doc_id: np.frombuffer(r.ids, dtype="<u4").tolist() for r in rows}
     assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, packing.END_ID] for i, t in enumerate(texts)}
+
+
+# -- licences -------------------------------------------------------------------------------------
+
+MARKS = {
+    "MIT License": "mit", "The MIT License (MIT)": "mit", "ISC License": "isc", "BSD License": "bsd", "MPL 2.0": "mpl-2.0", "CC BY 4.0": "cc-by",
+    "License: MIT": "mit", "# SPDX-License-Identifier: MIT": "mit", "// SPDX-License-Identifier: Apache-2.0": "apache-2.0", "Apache-2.0": "apache-2.0",
+    "                                 Apache License\n                           Version 2.0, January 2004": "apache-2.0",
+    "Released under the\nMIT License": "mit", "Licensed under the Apache\nLicense, Version 2.0": "apache-2.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal": "mit",
+    " * Redistribution and use in source and\n * binary forms, with or without modification, are\n * permitted provided that the following conditions\n * are met:": "bsd",
+    "The MIT team met the public.": "", "He got his\ndriver license in April.": "", "MIT": "",
+}
+
+
+def filler(rng, n):
+    return " ".join(rng.choice("sun sea sky tree bird road house mit the of under and".split()) for _ in range(n))
+
+
+def test_headings_ids_and_wrapped_notices(spark):
+    rng = random.Random(4)
+    texts = [f"{filler(rng, 30)}\n\n{m}\n\n{filler(rng, 30)}" for m in MARKS] + [f"{filler(rng, 30)}\n{m}\n{filler(rng, 30)}" for m in MARKS]
+    texts += ["\n".join(filler(rng, 12) for _ in range(20)) for _ in range(300)]
+    rows = {r.doc_id: r for r in licences.licence_scan(frame(spark, texts)).collect()}
+    want = [*MARKS.values(), *MARKS.values()] + [""] * 300
+    wrong = [(texts[i], w, rows[i].families) for i, w in enumerate(want) if rows[i].families != w]
+    assert not wrong
+    assert [rows[i].n_licence for i in range(len(want))] == [int(w != "") for w in want]
