@@ -27,12 +27,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def bounded_sample(df: DataFrame, bound: int, *cols: str) -> DataFrame:
     """Distinct values of ``cols``, at most ``bound``, the first by hash.
 
-    Rows are cut by a hash threshold that follows the row count before they
-    meet, so what is gathered stays near ``bound`` rows at any input size.
+    Rows are cut by a hash threshold that follows the number of distinct values
+    before they meet, so what is gathered stays near ``bound`` values at any input size.
     """
-    n = df.count()
-    share = min(1.0, 4 * bound / max(1, n))
     mark = F.xxhash64(F.lit(17), *cols)
+    n = df.select(F.approx_count_distinct(mark)).first()[0]
+    share = min(1.0, 4 * bound / max(1, n))
     some = df.select(*cols) if share == 1.0 else df.select(*cols).where(mark < F.lit(int(-(1 << 63) + share * (1 << 64))))
     return some.distinct().orderBy(mark, *cols).limit(bound)
 

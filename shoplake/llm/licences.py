@@ -2,16 +2,16 @@
 
 Paragraphs (lines of text, and the joined lines between blank lines in spans of
 ``SPAN`` words, for wrapped notices) become sparse word n-grams: those of the public
-notices below that are rare in the corpus. A multinomial logistic regression
+notices below that are rare in the corpus, by counts over all lines that no template confirms. A multinomial logistic regression
 tells the licence families and an unknown class apart. It learns from the
 notices in many wordings, from sentences that only speak about licences, and
-from a bounded sample of the corpus' own paragraphs as unknown
-(``BACKGROUND`` rows, first by hash). A paragraph can leave the unknown class
+from a bounded sample of the corpus' own unconfirmed lines as unknown
+(twice ``BACKGROUND`` distinct ones, first by hash). A paragraph can leave the unknown class
 only through an n-gram that speaks for a family more than for unknown, so one
 pattern over such n-grams' rarest words finds all paragraphs that must be
 scored; the rest need no score to be unknown. The unknown class is
-calibrated on another such sample: a family counts only above the
-probability that ``FALSE_RATE`` of that sample would pass. Every prediction
+calibrated on all lines: a family counts only above the probability that
+``FALSE_RATE`` of the unconfirmed lines would pass. Every prediction
 must then be confirmed by a template of its family: ``CONFIRM`` of the
 template's word pairs, or of a long paragraph's, are shared; a bare name or SPDX
 id confirms a line that holds little else. "MIT" or "ISC" alone is not enough.
@@ -150,12 +150,20 @@ def known_pairs(spark: SparkSession) -> DataFrame:
     return one.groupBy("family").agg(F.collect_list(F.when(F.col("long"), F.col("t"))).alias("ts"), F.collect_list(F.when(~F.col("long"), F.col("t"))).alias("hs"))
 
 
-def similarity(own: Column, ts: Column, hs: Column) -> Column:
+def with_pairs(rows: DataFrame, where: Column | None = None) -> DataFrame:
+    """Adds ``hit``, the paragraph's word pairs that some template holds, and ``n_own``, its number of pairs (null unless ``where``)."""
+    pairs = sorted({x for r in known_pairs(rows.sparkSession).collect() for t in [*r.ts, *r.hs] for x in t})  # of the templates
+    own = F.element_at(F.transform(F.array(_words(F.col("paragraph"))), _pairs), 1)
+    both = F.element_at(F.transform(F.array(own), lambda o: F.struct(F.filter(o, lambda x: x.isin(pairs)).alias("hit"), F.size(o).alias("n"))), 1)
+    return rows.withColumn("_both", both if where is None else F.when(where, both)).withColumns({"hit": F.col("_both.hit"), "n_own": F.col("_both.n")}).drop("_both")
+
+
+def similarity() -> Column:
     """The greatest share of a template's pairs, or of a long paragraph's, and of a heading's pairs in a line of little else (``SLACK`` pairs)."""
-    shared = lambda t: F.size(F.array_intersect(own, t)) / F.least(F.size(t), F.greatest(F.size(own), F.lit(3)))
-    named = lambda t: F.size(F.array_intersect(own, t)) / F.greatest(F.size(t), F.size(own) - SLACK)
-    short = F.when(F.size(own) <= 12 + SLACK, F.array_max(F.transform(hs, named)))
-    return F.greatest(F.array_max(F.transform(ts, shared)), short, F.lit(0.0))
+    shared = lambda t: F.size(F.array_intersect("hit", t)) / F.least(F.size(t), F.greatest(F.col("n_own"), F.lit(3)))
+    named = lambda t: F.size(F.array_intersect("hit", t)) / F.greatest(F.size(t), F.col("n_own") - SLACK)
+    short = F.when(F.col("n_own") <= 12 + SLACK, F.array_max(F.transform("hs", named)))
+    return F.when(F.size("hit") > 0, F.greatest(F.array_max(F.transform("ts", shared)), short, F.lit(0.0))).otherwise(0.0)
 
 
 def _grams(text: Column) -> Column:
@@ -171,34 +179,50 @@ def _grams(text: Column) -> Column:
 
 @dataclass
 class LicenceModel:
-    """The fitted stages, the probability a family must reach, and the pattern that every non-unknown paragraph matches."""
+    """The fitted stages, the number of unconfirmed lines, and the pattern that every non-unknown paragraph matches."""
 
     stages: PipelineModel
-    limit: float
+    lines: int
     pattern: str
 
 
+def _pattern(keys: list[str]) -> str:
+    return "(?iu)(?<![\\p{L}\\p{N}])(?:" + "|".join(re.escape(k) for k in keys) + ")(?![\\p{L}\\p{N}])" if keys else "(?!)"
+
+
+def _confirmed(rows: DataFrame, where: Column | None = None) -> DataFrame:
+    """Adds ``confirmed``: some template of any family confirms the paragraph (false unless ``where``)."""
+    every = known_pairs(rows.sparkSession).agg(F.flatten(F.collect_list("ts")).alias("ts"), F.flatten(F.collect_list("hs")).alias("hs"))  # one row, of fixed size
+    return with_pairs(rows, where).crossJoin(F.broadcast(every)).withColumn("confirmed", similarity() >= CONFIRM).drop("ts", "hs", "hit", "n_own")
+
+
 def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) -> LicenceModel:
-    pool = written(bounded_sample(paragraphs(docs), 2 * background, "paragraph"), "licence-background")
-    known = spark.createDataFrame([(FAMILIES.index(f), t) for f, t in [*templates(), *headings()]], "label int, paragraph string")
-    # corpus paragraphs that carry most of a template are no examples of the unknown class
-    own_pairs = pool.select("paragraph", F.explode(_pairs(_words(F.col("paragraph")))).alias("pair"))
-    known_pairs = known.select(F.col("paragraph").alias("template"), _pairs(_words(F.col("paragraph"))).alias("t"))
-    known_pairs = known_pairs.select("template", F.size("t").alias("size"), F.explode("t").alias("pair"))
-    met = own_pairs.join(known_pairs, "pair").groupBy("paragraph", "template").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
-    licensed = met.where(F.col("n") >= CONFIRM * F.col("size")).select("paragraph").distinct()
-    pool = written(pool.join(licensed, "paragraph", "left_anti").withColumn("fit", F.pmod(F.xxhash64(F.lit(1), "paragraph"), F.lit(2)) == 0), "licence-unknown")
-
-    n = max(1, pool.count())
-    words = known.select(F.explode(F.array_distinct(_words(F.col("paragraph")))).alias("word")).distinct()
-    seen = pool.select(F.explode(F.array_distinct(_words(F.col("paragraph")))).alias("word")).join(words, "word").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    often = {r.word: r.n / n for r in seen.collect()}  # words of the templates
+    every = [(FAMILIES.index(f), t) for f, t in [*templates(), *headings()]]
+    known = spark.createDataFrame(every, "label int, paragraph string")
+    # confirmed corpus paragraphs are no examples of the unknown class
+    pool = written(_confirmed(bounded_sample(paragraphs(docs), 2 * background, "paragraph")).where("not confirmed").select("paragraph"), "licence-background")
+
+    texts = [r.w for r in known.select(_words(F.col("paragraph")).alias("w")).collect()]  # of the templates
+    words = sorted({w for t in texts for w in t})
+    marks = F.array_distinct(F.filter(F.split(F.lower("paragraph"), TOKENS), lambda w: w.isin(words)))
+
+    def seen(lines: DataFrame) -> tuple[dict[str, float], int]:
+        """The share of lines that hold each word of the templates, and the number of lines."""
+        n = {r.word: r.n for r in lines.select(F.explode(F.concat(F.array(F.lit("")), marks)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+        total = n.pop("", 0)
+        return {w: k / max(1, total) for w, k in n.items()}, total
+
+    # a confirmed line holds a rare word of its template: only such lines are compared with the templates
+    guess, _ = seen(pool)
+    may = sorted({w for t in texts for w in t if guess.get(w, 0) < RARE} | {min(t, key=lambda w: guess.get(w, 0)) for t in texts})
+    lines = _confirmed(paragraphs(docs), F.col("paragraph").rlike(_pattern(may))).where("not confirmed").select("paragraph")
+    often, total = seen(lines)
     grams = {r.g for r in known.select(F.explode(_grams(F.col("paragraph"))).alias("g")).distinct().collect()}  # of the templates
     key = {g: min(g.split(" "), key=lambda w: (often.get(w, 0), -len(w), w)) for g in grams}
     vocab = sorted(g for g in grams if often.get(key[g], 0) < RARE)
 
     about = spark.createDataFrame([(t,) for t in ABOUT], "paragraph string")
-    unknown = pool.where("fit").select("paragraph").unionByName(about).select(F.lit(0).alias("label"), "paragraph")
+    unknown = pool.unionByName(about).select(F.lit(0).alias("label"), "paragraph")
     rows = known.unionByName(unknown).select(F.col("label").cast("double").alias("label"), _grams(F.col("paragraph")).alias("grams")).coalesce(4)
     count = CountVectorizerModel.from_vocabulary(vocab, inputCol="grams", outputCol="features")
     count.setBinary(True)
@@ -209,11 +233,7 @@ def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) ->
     if (lead[1:] >= lead[0]).any():
         raise ValueError("a paragraph without any n-gram must be unknown")
     keys = sorted({key[g] for j, g in enumerate(vocab) if (weight[1:, j] > weight[0, j]).any()})
-    pattern = "(?iu)(?<![\\p{L}\\p{N}])(?:" + "|".join(re.escape(k) for k in keys) + ")(?![\\p{L}\\p{N}])" if keys else "(?!)"
-    best = F.array_max(F.slice(vector_to_array("probability"), 2, len(FAMILIES) - 1))
-    calm = stages.transform(pool.where("not fit").withColumn("grams", _grams(F.col("paragraph")))).select(best.alias("p"))
-    limit = calm.select(F.percentile_approx("p", 1 - FALSE_RATE, 10_000)).first()[0]
-    return LicenceModel(stages, max(0.5, limit or 0.0), pattern)
+    return LicenceModel(stages, total, _pattern(keys))
 
 
 def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
@@ -226,10 +246,15 @@ def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     family = F.element_at(F.lit(FAMILIES), F.col("prediction").cast("int") + 1)
     likely = scored.where(F.col("prediction") > 0).select(
         "doc_id", "k", "block", "pos", "paragraph", family.alias("family"), F.element_at("p", F.col("prediction").cast("int") + 1).alias("probability")
-    ).where(F.col("probability") > model.limit)
-    own = likely.withColumn("own", _pairs(_words(F.col("paragraph"))))
-    alike = own.join(F.broadcast(known_pairs(spark)), "family").withColumn("similarity", similarity(F.col("own"), F.col("ts"), F.col("hs")))
-    return alike.where(F.col("similarity") >= CONFIRM).drop("own", "ts", "hs")
+    ).where(F.col("probability") > 0.5)  # the limit is not below
+    alike = with_pairs(likely).join(F.broadcast(known_pairs(spark)), "family").withColumn("similarity", similarity()).drop("hit", "n_own", "ts", "hs")
+    alike = written(_confirmed(alike), "licence-scores")
+    # the quantile over all unconfirmed lines: those not scored here are below 0.5
+    calm, passed = alike.where("pos >= 0 and not confirmed"), FALSE_RATE * model.lines
+    n, limit = calm.count(), 0.5
+    if n > passed:
+        limit = calm.select(F.percentile_approx("probability", 1 - passed / n, 10_000)).first()[0]
+    return alike.where((F.col("similarity") >= CONFIRM) & (F.col("probability") > max(0.5, limit))).drop("confirmed")
 
 
 def licence_scan(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 from test_llm_operators import frame
 
 from shoplake.llm import licences, packing
+from shoplake.llm.common import bounded_sample
 
 # -- packing --------------------------------------------------------------------------------------
 
@@ -49,3 +50,22 @@ def test_headings_ids_and_wrapped_notices(spark):
     wrong = [(texts[i], w, rows[i].families) for i, w in enumerate(want) if rows[i].families != w]
     assert not wrong
     assert [rows[i].n_licence for i in range(len(want))] == [int(w != "") for w in want]
+
+
+def test_licences_where_most_lines_are_licences(spark):
+    rng = random.Random(6)
+    words = (licences.NOTICES["mit"][0] + " " + licences.NOTICES["mit"][1]).split()
+    texts, want = [], []
+    for i in range(300):
+        w = rng.randint(6, 12)
+        body = "\n".join(" ".join(words[a : a + w]) for a in range(0, len(words), w)) if i % 3 else ["Released under the ISC License.", "CC BY 4.0", "License: MIT"][i // 3 % 3]
+        texts.append(f"{filler(rng, 20)} {i}\n\n{body}")
+        want.append("mit" if i % 3 else ["isc", "cc-by", "mit"][i // 3 % 3])
+    got = {r.doc_id: r.families for r in licences.licence_scan(frame(spark, texts)).collect()}
+    wrong = [(texts[i], w, got[i]) for i, w in enumerate(want) if got[i] != w]
+    assert not wrong
+
+
+def test_sample_of_many_repeats(spark):
+    df = spark.range(200_000).selectExpr("case when id < 199000 then 0 else id end as x")
+    assert bounded_sample(df, 100, "x").count() == 100
