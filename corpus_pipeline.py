@@ -33,11 +33,14 @@ def _one_row(docs: DataFrame, chosen: DataFrame, mark: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the reject mark go.
 
-    Rejected ids are few rows of one id each; a row without id is kept.
+    A row goes exactly when its own text is rejected, also without id or with another row's id.
     """
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
-    rejected = written(scored.where("predicted = 1 and doc_id is not null").select("doc_id").distinct(), "rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    mark = fresh("text_mark", docs.columns)
+    marked = docs.withColumn(mark, F.sha2(text_or_empty(), 256))
+    scored = score_toxicity(marked, table(spark, sf_dir, "labels"), keep=mark)
+    rejected = written(scored.where("predicted = 1").select(F.col("doc_id").alias("_id"), F.col("kept").alias("_m")).distinct(), "rejected")
+    own = (marked[mark] == rejected["_m"]) & marked["doc_id"].eqNullSafe(rejected["_id"])
+    return marked.join(rejected, own, "left_anti").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,20 @@ def test_licences_where_most_lines_are_licences(spark):
 def test_sample_of_many_repeats(spark):
     df = spark.range(200_000).selectExpr("case when id < 199000 then 0 else id end as x")
     assert bounded_sample(df, 100, "x").count() == 100
+
+
+# -- pipeline -------------------------------------------------------------------------------------
+
+
+def test_a_row_goes_by_its_own_text(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = random.Random(8)
+    body = lambda bad: " ".join([filler(rng, 40)] + ["blorf snarg"] * bad)
+    texts = [body(i % 5 == 0) for i in range(400)]
+    spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(400)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    bad, clean = body(True), body(False)
+    ids = [*range(400), None, None, 900, 900]
+    got = P.drop_toxic(spark, frame(spark, [*texts, bad, clean, bad, clean], ids), str(tmp_path)).collect()
+    want = [(i, t) for i, t in zip(ids, [*texts, bad, clean, bad, clean]) if "blorf" not in t]
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(want, key=repr)
