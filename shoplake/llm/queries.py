@@ -8,13 +8,16 @@ from shoplake.llm.common import table
 from shoplake.llm.decontam import leak_digests
 from shoplake.llm.exact_dedup import exact_dedup
 from shoplake.llm.licences import licence_scan
+from shoplake.llm.metric_tree import top_k
 from shoplake.llm.packing import pack_documents
 from shoplake.llm.pii import pii_digests
+from shoplake.llm.prefix_trie import prefix_trie
 from shoplake.llm.sharding import shard_digests
 from shoplake.llm.simhash import component_digests
 from shoplake.llm.suffix_dedup import remove_repeats
 from shoplake.llm.toxicity import score_toxicity
 from shoplake.llm.warc import archive_pages
+from shoplake.llm.whitening import whiten
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,6 +85,9 @@ QUERIES = {
         op8_pii,
         op9_simhash,
         op10_packing,
+        op11_whitening,
+        op12_prefix_trie,
+        op13_metric_tree,
     )
 }
 
@@ -97,4 +115,19 @@ ORACLE_SQL = {
                case when payload_bytes >= 1000 and page_id <> winner then winner end as refers_to
         from q
     """,
+    "op13_metric_tree": """
+        with v as (
+          select vec_id, list_transform(embedding, lambda c: cast(floor(256 * cast(c as double)) as bigint)) as x
+          from embeddings
+          where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+        ), s as (
+          select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.x, c.x) as bigint) as score
+          from v q join v c on q.vec_id <> c.vec_id
+          where q.vec_id % 50 = 0
+        )
+        select query_id, cast(row_number() over w as integer) as rank, vec_id, score
+        from s
+        window w as (partition by query_id order by score desc, vec_id)
+        qualify rank <= 5
+    """,
 }
