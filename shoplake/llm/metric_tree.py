@@ -47,6 +47,8 @@ from shoplake.llm.common import written
 from shoplake.llm.vectors import matrix, usable
 
 FACTOR = 256.0
+#: Scaled entries below this keep products of up to 2048 dimensions within a long.
+LIMIT = float(1 << 26)
 TOP = 5
 STEP = 50
 PART = 2000
@@ -236,12 +238,11 @@ def _between(a: str, b: str, most: float) -> Column:
 
 def build(rows: DataFrame, k: int = TOP, part: int = PART, fanout: int = FANOUT) -> MTree | None:
     """The tree over ``rows (vec_id, x)``; its tables are written to the shared folder."""
-    entries = written(entries_of(rows, k + 1), "tree-entries")
+    held = entries = written(entries_of(rows, k + 1).withColumn("node", F.lit(0).cast("bigint")), "tree-entries")
     n, most = entries.select(F.count(F.lit(1)), F.max(_dot("x", "x"))).first()
     if not n:
         return None
     root = entries.orderBy(F.xxhash64("x"), "x").first().x
-    held = entries.withColumn("node", F.lit(0).cast("bigint"))
     above = held.sparkSession.createDataFrame([(0, root)], "node long, centre array<long>")
     levels = []
     for _ in range(math.ceil(math.log(n / part, fanout)) if n > part else 0):
@@ -370,7 +371,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def top_k(embeddings: DataFrame, k: int = TOP, step: int = STEP, part: int = PART, fanout: int = FANOUT, block: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` highest products of each query row (ids divisible by ``step``)."""
-    rows = written(usable(embeddings, FACTOR), "tree-rows")
+    rows = written(usable(embeddings, FACTOR, limit=LIMIT), "tree-rows")
     tree = build(rows, k, part, fanout)
     if tree is None:
         return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")

@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 LIMIT = float(1 << 40)
 
 
-def scaled_entries(vector: Column, factor: float) -> Column:
+def scaled_entries(vector: Column, factor: float, limit: float = LIMIT) -> Column:
     """``floor(factor * c)`` of each entry as an array of longs; null for a vector that is null or holds a null, non-finite or too large entry."""
     v = F.transform(vector, lambda c: c.cast("double") * F.lit(factor))
-    sound = F.forall(v, lambda c: F.coalesce(F.abs(c) < F.lit(LIMIT), F.lit(False)) & ~F.isnan(c))
+    sound = F.forall(v, lambda c: F.coalesce(F.abs(c) < F.lit(limit), F.lit(False)) & ~F.isnan(c))
     return F.when(vector.isNotNull() & sound, F.transform(v, lambda c: F.floor(c).cast("bigint")))
 
 
-def usable(embeddings: DataFrame, factor: float, add: int = 0) -> DataFrame:
+def usable(embeddings: DataFrame, factor: float, add: int = 0, limit: float = LIMIT) -> DataFrame:
     """``vec_id, x`` of every row that takes part; a row shorter than the longest counts as filled up with zeros."""
-    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled_entries(F.col("embedding"), factor).alias("x")).where("x is not null")
+    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled_entries(F.col("embedding"), factor, limit).alias("x")).where("x is not null")
     size = rows.select(F.max(F.size("x"))).first()[0] or 0
     x = F.concat("x", F.array_repeat(F.lit(0).cast("bigint"), F.lit(size) - F.size("x")))
     return rows.withColumn("x", F.transform(x, lambda c: c + F.lit(add).cast("bigint")) if add else x)

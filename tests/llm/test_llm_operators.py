@@ -387,7 +387,6 @@ def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     df, texts, ids = docs
     odd = ["<|endoftext|> x", "  \U0001F600 ́é", "it's  we'll\r\n\t 3.14", "ﬀ中文字"]
     df = df.unionByName(frame(spark, odd, [1000 + i for i in range(len(odd))]))
