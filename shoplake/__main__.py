@@ -13,7 +13,7 @@ import json
 
 from shoplake import settings
 from shoplake.operators import log_split
-from shoplake.operators.order_wide import Dim
+from shoplake.operators.order_wide import Dim, malformed_orders
 from shoplake.session import build_session, scratch_dir
 from shoplake.sinks.dims import read_dims
 from shoplake.sources.config_source import read_config
@@ -34,8 +34,6 @@ def _args(argv=None):
     p.add_argument("--variant", default="reentry", choices=("strict", "reentry"), help="bounce variant")
     p.add_argument("--gap-ms", type=int, default=settings.BOUNCE_GAP_MS)
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
-    p.add_argument("--by-batches", action="store_true",
-                   help="log-detail / bounce / order-wide: micro-batch form without per-key state")
     p.add_argument("--kafka-out", action="store_true",
                    help="write the output topics to Kafka (--kafka-bootstrap)")
     p.add_argument("--malformed", default="quarantine", choices=jobs.MALFORMED, help="what to do with malformed records")
@@ -64,12 +62,12 @@ def main(argv=None) -> None:
         with open(a.dims_config) as f:
             return read_dims(spark, a.dims_root, [Dim(**d) for d in json.load(f)])
 
-    aside = None
-    if a.job == "log-detail" and a.by_batches:
-        q = jobs.start_log_detail_by_batches(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger, on_malformed=a.malformed)
-    elif a.job == "log-detail":
-        aside = jobs.start_quarantine(topic(settings.TOPIC_ODS_LOG), log_split.malformed_log_rows, a.out, f"{ck}-malformed",
-                                      a.malformed, trigger)
+    def set_aside(name, malformed):
+        return jobs.start_quarantine(topic(name), malformed, f"{a.out.rstrip('/')}/aside-{name}", f"{ck}-malformed-{name}", a.malformed, trigger)
+
+    aside = []
+    if a.job == "log-detail":
+        aside.append(set_aside(settings.TOPIC_ODS_LOG, log_split.malformed_log_rows))
         q = jobs.start_log_detail(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger, kafka=kafka_out)
     elif a.job == "db-detail":
         if not a.config_path:
@@ -78,23 +76,19 @@ def main(argv=None) -> None:
                                  a.out, ck, trigger=trigger, kafka=kafka_out, on_malformed=a.malformed)
     elif a.job == "unique-visitor":
         q = jobs.start_unique_visitor(topic(settings.TOPIC_DWD_PAGE), a.out, ck, trigger, kafka_out)
-    elif a.job == "bounce" and a.by_batches:
-        q = jobs.start_bounce_by_batches(topic(settings.TOPIC_DWD_PAGE), a.out, ck, a.variant, a.gap_ms,
-                                         trigger=trigger, on_malformed=a.malformed, kafka=kafka_out)
     elif a.job == "bounce":
+        aside.append(set_aside(settings.TOPIC_DWD_PAGE, log_split.malformed_page_rows))
         q = jobs.start_bounce(topic(settings.TOPIC_DWD_PAGE), a.out, ck, a.variant, a.gap_ms, trigger, kafka_out)
-    elif a.job == "order-wide" and a.by_batches:
-        q = jobs.start_order_wide_by_batches(topic(settings.TOPIC_DWD_ORDER_INFO),
-                                             topic(settings.TOPIC_DWD_ORDER_DETAIL), a.out, ck, dims,
-                                             trigger=trigger, on_malformed=a.malformed)
     elif a.job == "order-wide":
+        aside.append(set_aside(settings.TOPIC_DWD_ORDER_INFO, malformed_orders))
+        aside.append(set_aside(settings.TOPIC_DWD_ORDER_DETAIL, lambda rows: malformed_orders(rows, details=True)))
         wide = jobs.order_wide_stream(topic(settings.TOPIC_DWD_ORDER_INFO), topic(settings.TOPIC_DWD_ORDER_DETAIL), dims())
         q = jobs.start_to_parquet(wide, a.out, ck, "order_wide", trigger=trigger)
     else:
         q = jobs.start_landing(topic(settings.TOPIC_ODS_LOG), a.out, ck, trigger=trigger)
-    if aside is not None and not a.once:
-        spark.streams.awaitAnyTermination()  # raises when either fails
-    for query in filter(None, (aside, q)):
+    if aside and not a.once:
+        spark.streams.awaitAnyTermination()  # raises when one fails
+    for query in (*aside, q):
         jobs.await_job(query)
 
 

@@ -91,15 +91,14 @@ def _log_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def _stream_log_detail(spark: SparkSession, sf_dir: str, then=None) -> str:
     """ods_log -> streaming log detail job -> dwd_start / dwd_page / dwd_display folders.
 
-    Uses the micro-batch form (no per-device state); ``new_visitor_repair_stream``
-    covers the stateful-processor form. ``then(session, root)`` runs after each part.
+    ``then(session, root)`` runs after each part.
     """
     s = _job_session(spark)
     root = scratch_dir(s, "stream-log")
     for part in _log_slices(s, sf_dir):
         _add(part, root, "ods_log")
         src = read_topic(s, "ods_log", streaming=True, path=root)
-        _run(jobs.start_log_detail_by_batches(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
+        _run(jobs.start_log_detail(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
         if then is not None:
             then(s, root)
     return root
@@ -142,9 +141,7 @@ def _bounce_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
         # the bounce job reads the page topic: page rows of the log, as text
         _add(log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(part)), log_split.PAGE), root, "dwd_page")
         src = read_topic(s, "dwd_page", streaming=True, path=root)
-        # the skew-safe form: the batch operator per micro-batch over a carried table
-        _run(jobs.start_bounce_by_batches(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS,
-                                          trigger={"availableNow": True}))
+        _run(jobs.start_bounce(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS, trigger={"availableNow": True}))
     b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/dwm_uj"), ("common", "page", "ts"))
     return b.where(F.col("mid") != SENTINEL_MID).select(
         "seq", "mid", "ts", text_of("page", "page_id").alias("page_id"))
@@ -161,14 +158,16 @@ def q_bounce_reentry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_order_interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, "stream-orders")
-    _add(adapters.order_info_lines(read_table(s, sf_dir, "orders")), root, "dwd_order_info")
-    _add(adapters.order_detail_lines(read_table(s, sf_dir, "lineitem")), root, "dwd_order_detail")
-    o = read_topic(s, "dwd_order_info", streaming=True, path=root)
-    d = read_topic(s, "dwd_order_detail", streaming=True, path=root)
-    # one part: orders and lines of the test tables share no order of time
-    wide = jobs.order_wide_stream(o, d, (), -ORDER_JOIN_TEST_MS, ORDER_JOIN_TEST_MS)
-    _run(jobs.start_to_parquet(wide, f"{root}/out", f"{root}/ck", "order_wide",
-                               trigger={"availableNow": True}))
+    orders, lines = read_table(s, sf_dir, "orders"), read_table(s, sf_dir, "lineitem")
+    # both topics in parts by whole days, so no row is behind the watermark
+    bounds = [b.replace(hour=23, minute=59, second=59) for b in _bounds(orders, "o_orderdate")]
+    for o_part, d_part in zip(_slices(orders, "o_orderdate", bounds), _slices(lines, "l_shipdate", bounds)):
+        _add(adapters.order_info_lines(o_part), root, "dwd_order_info")
+        _add(adapters.order_detail_lines(d_part), root, "dwd_order_detail")
+        o = read_topic(s, "dwd_order_info", streaming=True, path=root)
+        d = read_topic(s, "dwd_order_detail", streaming=True, path=root)
+        wide = jobs.order_wide_stream(o, d, (), -ORDER_JOIN_TEST_MS, ORDER_JOIN_TEST_MS)
+        _run(jobs.start_to_parquet(wide, f"{root}/out", f"{root}/ck", "order_wide", trigger={"availableNow": True}))
     return _typed(spark.read.parquet(f"{root}/out"), WIDE_OUTPUT)
 
 

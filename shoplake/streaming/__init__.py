@@ -1,41 +1,40 @@
 """Structured Streaming forms of the warehouse jobs and their stateful processors."""
 
 from shoplake.streaming.jobs import (
+    LateRows,
     await_job,
+    bounce_parts_stream,
     bounce_stream,
     compact_dims,
     order_wide_stream,
     read_dim_current,
     repaired_log_stream,
-    late_rows,
+    repaired_parts_stream,
     malformed_rows,
     start_bounce,
-    start_bounce_by_batches,
     start_db_detail,
     start_job,
-    start_log_detail_by_batches,
-    start_order_wide_by_batches,
     start_landing,
     start_landing_and_publish,
     start_log_detail,
     start_quarantine,
     start_to_parquet,
     start_unique_visitor,
-    late_rows_dropped,
     unique_visitor_stream,
 )
 from shoplake.streaming.processors import (
-    BouncePattern,
-    FirstWindowFlag,
+    BounceBuckets,
+    BouncePairs,
+    ClosedWindow,
+    FirstOfDevice,
     FirstWindowOfDay,
-    NewVisitorRepair,
     UniqueVisitor,
 )
 
 __all__ = [
-    "await_job", "bounce_stream", "late_rows", "malformed_rows", "start_bounce", "start_landing_and_publish", "start_quarantine",
-    "start_unique_visitor", "start_bounce_by_batches", "start_log_detail_by_batches", "start_order_wide_by_batches", "compact_dims", "late_rows_dropped", "start_job", "order_wide_stream", "read_dim_current",
-    "repaired_log_stream", "start_db_detail", "start_landing", "start_log_detail",
+    "LateRows", "await_job", "bounce_parts_stream", "bounce_stream", "malformed_rows", "start_bounce", "start_landing_and_publish", "start_quarantine",
+    "start_unique_visitor", "compact_dims", "start_job", "order_wide_stream", "read_dim_current",
+    "repaired_log_stream", "repaired_parts_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
-    "BouncePattern", "FirstWindowFlag", "FirstWindowOfDay", "NewVisitorRepair", "UniqueVisitor",
+    "BounceBuckets", "BouncePairs", "ClosedWindow", "FirstOfDevice", "FirstWindowOfDay", "UniqueVisitor",
 ]

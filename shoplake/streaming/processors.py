@@ -6,15 +6,16 @@ Rows arrive and leave as pandas frames (Arrow batches); each step is
 vectorized over one key's rows of one micro-batch. Rows are kept in state as
 ``(ts, seq, value)``: the raw JSON text plus its event time in ms and
 arrival position. The text is parsed again downstream, so state stays small
-and typed. Each processor works per device key.
+and typed. A group is a device, or a device and a time bucket where a device
+of any share of the rows has to spread over tasks; such steps are chained.
 
 Timing follows the original's event-time rules:
 
 * a 5 s tumbling window closes when the watermark reaches its end (the timer
   is registered at the window end); a row whose window has already closed is
   late and dropped;
-* the pattern consumes rows in ``(ts, seq)`` order once the watermark passes
-  them, and times an entry out when the watermark reaches entry + limit.
+* the pattern looks at rows in ``(ts, seq)`` order once the watermark has passed
+  them, and times an entry out when the watermark has reached entry + limit.
 
 Every timer at or below the batch watermark fires in the same micro-batch,
 so the first callback of a key handles all of them (in time order) and
@@ -26,23 +27,25 @@ Given no late rows, each processor emits exactly the rows of its batch form.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from shoplake.settings import BOUNCE_GAP_MS, WINDOW_MS
+from shoplake.settings import WINDOW_MS
 
 BUFFER_DDL = "w_end bigint, ts bigint, seq bigint, value string"
 BUFFER_COLS = ["w_end", "ts", "seq", "value"]
 
-REPAIR_OUTPUT = "value string, seq bigint, ts bigint, is_new string"
-FLAG_OUTPUT = "seq bigint, flag_time timestamp, is_first boolean"
+WINDOW_PARTS = "mid string, part int, ts bigint, seq bigint, rows array<struct<ts: bigint, seq: bigint, value: string>>, at timestamp"
+REPAIR_OUTPUT = "rows array<struct<ts: bigint, seq: bigint, value: string>>, is_first boolean"
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
 BOUNCE_BUFFER_DDL = "ts bigint, seq bigint, is_entry boolean, value string"
 BOUNCE_COLS = ["ts", "seq", "is_entry", "value"]
-BOUNCE_OUTPUT = "value string, seq bigint, ts bigint"
+BOUNCE_PARTS = "mid string, kind string, ts bigint, seq bigint, is_entry boolean, value string, at timestamp"
+BOUNCE_OUTPUT = "kind string, value string, seq bigint, ts bigint"
 
 
 def day_text(ms: pd.Series, time_zone: str = "UTC") -> pd.Series:
@@ -113,32 +116,57 @@ class _WindowBuffer(StatefulProcessor):
         raise NotImplementedError
 
 
-class NewVisitorRepair(_WindowBuffer):
-    """A device's first closed window: its least row gets ``is_new`` "1",
-    every other row "0"; all later windows "0". The flag never expires."""
+class ClosedWindow(StatefulProcessor):
+    """Rows of one device, window and part of it, given out once, when the window closes.
 
-    def init_state(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
+    The least row goes on for the device's own group (``part`` 0), the others
+    for a group of their own. Rows whose window has closed are late; they go on with
+    ``part`` -1.
+    """
 
-    def on_windows(self, due: pd.DataFrame) -> pd.DataFrame:
-        flag = np.full(len(due), "0", dtype=object)
-        if not self.seen.exists():
-            flag[0] = "1"  # least row of the oldest closed window
-            self.seen.update((True,))
-        return pd.DataFrame({"value": due["value"], "seq": due["seq"], "ts": due["ts"], "is_new": flag})
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", "ts bigint, seq bigint, value string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if not len(df):
+            return iter([])
+        w_end, wm = int(key[1]), timerValues.getCurrentWatermarkInMs()
+        if w_end <= wm:
+            return iter([_closed_rows(key, -1, _records(df, ["ts", "seq", "value"]), wm + 1)])
+        if not self.buf.exists():
+            self.handle.registerTimer(w_end)
+        self.buf.appendList(_records(df, ["ts", "seq", "value"]))
+        return iter([])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = sorted(tuple(r) for r in self.buf.get()) if self.buf.exists() else []
+        self.buf.clear()
+        parts = [(0, rows[:1]), (int(key[2]) + 1, rows[1:])]
+        return iter([_closed_rows(key, part, some, int(key[1])) for part, some in parts if some])
+
+
+def _closed_rows(key, part: int, rows: list[tuple], at_ms: int) -> pd.DataFrame:
+    held = [{"ts": t, "seq": s, "value": v} for t, s, v in rows]
+    return pd.DataFrame({"mid": [key[0]], "part": [part], "ts": [rows[0][0]], "seq": [rows[0][1]], "rows": [held], "at": [pd.Timestamp(int(at_ms), unit="ms")]})
 
-class FirstWindowFlag(StatefulProcessor):
-    """New-visitor flag over pre-reduced input: each input row is the least
-    ``(ts, seq)`` of one closed window of the device, stamped with the
-    window's ``flag_time``. The first such row ever is the device's new-visitor
-    row. Every input row is passed on with ``is_first``, so the output's event
-    time keeps pace with the input (its watermark never holds the query back)."""
+
+class FirstOfDevice(StatefulProcessor):
+    """New-visitor flag over closed windows.
+
+    A device's own group (``part`` 0) gets the least row of each part of its closed
+    windows; the least of the first ones ever is the device's new-visitor row.
+    Its other rows come in groups of their own and only pass; the flag of late rows is null.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if int(key[1]):
+            flag = None if int(key[1]) < 0 else False
+            return (df.assign(is_first=pd.Series([flag] * len(df), dtype=object))[["rows", "is_first"]] for df in rows if len(df))
         df = _concat(rows)
         if not len(df):
             return iter([])
@@ -147,7 +175,7 @@ class FirstWindowFlag(StatefulProcessor):
         if not self.seen.exists():
             first[0] = True
             self.seen.update((True,))
-        return iter([pd.DataFrame({"seq": df["seq"], "flag_time": df["flag_time"], "is_first": first})])
+        return iter([df.assign(is_first=first)[["rows", "is_first"]]])
 
 
 def _first_per_day(firsts: pd.DataFrame, last_day: str | None, time_zone: str = "UTC") -> tuple[pd.DataFrame, str | None]:
@@ -211,87 +239,102 @@ class FirstWindowOfDay(StatefulProcessor):
         return iter([out]) if len(out) else iter([])
 
 
-class BouncePattern(StatefulProcessor):
-    """Two-row pattern per device, strict next, limit ``gap_ms``.
+class BounceBuckets(StatefulProcessor):
+    """Rows of one device and time bucket, decided as far as the bucket shows.
 
-    ``strict``: entry -> non-entry; only timeouts are emitted.
-    ``reentry``: entry -> entry; matches and timeouts are emitted.
-    A next row at or beyond entry + ``gap_ms`` times the entry out first.
-
-    Rows at or below the watermark are consumed in ``(ts, seq)`` order after
-    the pending entry (at most one). Each entry's fate depends only on its
-    strict successor, so a batch is decided with one shift; the last entry
-    stays pending until its successor arrives or its limit passes.
+    Rows wait until the watermark passes the bucket's end. Each row but the
+    last then has its strict successor beside it. What the bucket cannot
+    decide goes on: its first row (``head``, which may be an earlier bucket's
+    successor) and its last row where that is an entry (``tail``). Rows at or below the
+    watermark are late; they are given out as ``late``.
     """
 
-    def __init__(self, variant: str = "reentry", gap_ms: int = BOUNCE_GAP_MS) -> None:
-        if variant not in ("strict", "reentry"):
-            raise ValueError("variant must be 'strict' or 'reentry'")
+    def __init__(self, variant: str, bucket_ms: int) -> None:
         self.variant = variant
-        self.gap_ms = gap_ms
+        self.bucket_ms = bucket_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", BOUNCE_BUFFER_DDL)
-        self.pending = handle.getValueState("pending", "ts bigint, seq bigint, value string")
-        self.done = handle.getValueState("done_until", "wm bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _concat(rows)
-        if len(df):
-            fresh = df[df["ts"] > timerValues.getCurrentWatermarkInMs()]
-            if len(fresh):
-                fresh = fresh.assign(is_entry=fresh["is_entry"].astype(bool))
-                self.buf.appendList(_records(fresh, BOUNCE_COLS))
-                self.handle.registerTimer(int(fresh["ts"].min()))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expiry = expiredTimerInfo.getExpiryTimeInMs()
-        if self.done.exists() and expiry <= self.done.get()[0]:
+        if not len(df):
             return iter([])
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiry)
-        self.done.update((wm,))
-        buf = _state_frame(self.buf, BOUNCE_COLS)
-        ready = buf[buf["ts"] <= wm].sort_values(["ts", "seq"], kind="stable")
-        rest = buf[buf["ts"] > wm]
-        if len(ready):
-            self.buf.clear()
-            if len(rest):
-                self.buf.put(_records(rest, BOUNCE_COLS))
-        if len(rest):
-            self.handle.registerTimer(int(rest["ts"].min()))
+        wm = timerValues.getCurrentWatermarkInMs()
+        df = df.assign(is_entry=df["is_entry"].astype(bool))
+        late, fresh = df[df["ts"] <= wm], df[df["ts"] > wm]
+        if len(fresh):
+            if not self.buf.exists():
+                self.handle.registerTimer((int(key[1]) + 1) * self.bucket_ms)
+            self.buf.appendList(_records(fresh, BOUNCE_COLS))
+        return iter([_bounce_parts(key[0], late, "late", wm + 1)] if len(late) else [])
 
-        rows = ready
-        if self.pending.exists():
-            p_ts, p_seq, p_val = self.pending.get()
-            head = pd.DataFrame([(p_ts, p_seq, True, p_val)], columns=BOUNCE_COLS)
-            rows = pd.concat([head, ready], ignore_index=True) if len(ready) else head
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = _state_frame(self.buf, BOUNCE_COLS).sort_values(["ts", "seq"], kind="stable")
+        self.buf.clear()
         if not len(rows):
             return iter([])
-        ts = rows["ts"].to_numpy(dtype="int64")
+        end = (int(key[1]) + 1) * self.bucket_ms
         entry = rows["is_entry"].to_numpy(dtype=bool)
-        n = len(rows)
-        has_next = np.arange(n) < n - 1
-        next_ts = np.append(ts[1:], 0)
-        next_entry = np.append(entry[1:], False)
-        timed_out = has_next & (next_ts - ts >= self.gap_ms)
-        emit = entry & timed_out
+        parts = [_bounce_parts(key[0], rows[:1].assign(value=None), "head", end)]
+        if self.variant == "reentry":  # a strict pattern is over with any successor
+            parts.append(_bounce_parts(key[0], rows[:-1][entry[:-1] & entry[1:]], "out", end))
+        if entry[-1]:
+            parts.append(_bounce_parts(key[0], rows[-1:], "tail", end))
+        return iter([pd.concat([p for p in parts if len(p)], ignore_index=True)])
+
+
+def _bounce_parts(mid, rows: pd.DataFrame, kind: str, at_ms: int) -> pd.DataFrame:
+    out = rows[BOUNCE_COLS].assign(mid=mid, kind=kind, at=pd.Timestamp(int(at_ms), unit="ms"))
+    return out[["mid", "kind", "ts", "seq", "is_entry", "value", "at"]]
+
+
+class BouncePairs(StatefulProcessor):
+    """Tails and heads of one device and one span of the limit's length.
+
+    A tail belongs to its own span; a head also comes to the span before it,
+    whose tails it can end. One timer per span decides its tails, when every
+    head within their limit has arrived.
+    """
+
+    def __init__(self, variant: str, gap_ms: int, bucket_ms: int) -> None:
+        self.variant = variant
+        self.gap_ms = gap_ms
+        self.bucket_ms = bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.heads = handle.getListState("heads", "ts bigint, seq bigint, is_entry boolean")
+        self.tails = handle.getListState("tails", "ts bigint, seq bigint, value string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _concat(rows)
+        if not len(df):
+            return iter([])
+        head, tail = df[df["kind"] == "head"], df[df["kind"] == "tail"]
+        if len(head):
+            self.heads.appendList(_records(head.assign(is_entry=head["is_entry"].astype(bool)), ["ts", "seq", "is_entry"]))
+        if len(tail):
+            self.tails.appendList(_records(tail, ["ts", "seq", "value"]))
+        if len(head) or len(tail):
+            self.handle.registerTimer((int(key[1]) + 2) * self.gap_ms + self.bucket_ms)
+        done = df[df["kind"].isin(["out", "late"])]
+        return iter([done[["kind", "value", "seq", "ts"]]] if len(done) else [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        tails = _state_frame(self.tails, ["ts", "seq", "value"])
+        heads = _state_frame(self.heads, ["ts", "seq", "is_entry"]).sort_values(["ts", "seq"])
+        self.tails.clear()
+        self.heads.clear()
+        if not len(tails):
+            return iter([])
+        order = list(heads[["ts", "seq"]].itertuples(index=False, name=None))
+        nxt = np.array([bisect_right(order, t) for t in tails[["ts", "seq"]].itertuples(index=False, name=None)])
+        ts = np.append(heads["ts"].to_numpy(dtype="int64"), np.iinfo(np.int64).max)[nxt]
+        entry = np.append(heads["is_entry"].to_numpy(dtype=bool), False)[nxt]
+        bounced = ts - tails["ts"].to_numpy(dtype="int64") >= self.gap_ms
         if self.variant == "reentry":
-            emit |= entry & has_next & ~timed_out & next_entry
-        # the last row: an entry without successor times out now or stays pending
-        last_entry = bool(entry[-1])
-        last_due = last_entry and int(ts[-1]) + self.gap_ms <= wm
-        if last_due:
-            emit[-1] = True
-        if last_entry and not last_due:
-            self.pending.update((int(ts[-1]), int(rows["seq"].iloc[-1]), rows["value"].iloc[-1]))
-            self.handle.registerTimer(int(ts[-1]) + self.gap_ms)  # its timeout
-        else:
-            self.pending.clear()
-        out = pd.DataFrame({
-            "value": rows["value"].to_numpy()[emit],
-            "seq": rows["seq"].to_numpy()[emit],
-            "ts": ts[emit],
-        })
-        return iter([out]) if len(out) else iter([])
+            bounced |= entry
+        out = tails[bounced].assign(kind="out")
+        return iter([out[["kind", "value", "seq", "ts"]]] if len(out) else [])

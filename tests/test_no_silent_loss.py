@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import log_line, topic
-from shoplake.operators import cdc, log_split, upsert, visitors
+from shoplake.operators import cdc, log_split, order_wide, upsert, visitors
 from shoplake.session import ensure_session
 from shoplake.sinks import write_landing
 from shoplake.sinks.dims import append_changelog, compact, read_current
@@ -113,12 +113,11 @@ BAD_LOG = ["not json", log_line(1, 10_000, page="a"), '{"common":{"mid":"1"}}']
 def test_malformed_log_records_are_set_aside_or_fail_the_job(spark, scratch):
     raw = write_topic(spark, scratch, "l", BAD_LOG)
     once = {"availableNow": True}
-    run(jobs.start_log_detail_by_batches(raw, f"{scratch}/out", f"{scratch}/c1", trigger=once))
-    assert jobs.malformed_rows(spark, f"{scratch}/out") == 2
     run(jobs.start_quarantine(raw, log_split.malformed_log_rows, f"{scratch}/aside", f"{scratch}/c2", trigger=once))
     assert sorted(r.seq for r in spark.read.parquet(f"{scratch}/aside/malformed").collect()) == [0, 2]
+    assert jobs.malformed_rows(spark, f"{scratch}/aside") == 2
     with pytest.raises(Exception, match="malformed"):
-        run(jobs.start_log_detail_by_batches(raw, f"{scratch}/o3", f"{scratch}/c3", trigger=once, on_malformed="fail"))
+        run(jobs.start_quarantine(raw, log_split.malformed_log_rows, f"{scratch}/o3", f"{scratch}/c3", "fail", once))
 
 
 def test_malformed_changes_and_orders_are_set_aside(spark, scratch):
@@ -129,9 +128,11 @@ def test_malformed_changes_and_orders_are_set_aside(spark, scratch):
     assert jobs.malformed_rows(spark, f"{scratch}/db") == 1
     orders = write_topic(spark, scratch, "o", ['{"id":1,"create_time":"2021-01-01 00:00:00"}', '{"id":2,"create_time":"soon"}'])
     details = write_topic(spark, scratch, "d", ['{"id":5,"order_id":1,"create_time":"2021-01-01 00:00:01"}', "x", '{"order_id":1}'])
-    run(jobs.start_order_wide_by_batches(orders, details, f"{scratch}/w", f"{scratch}/c2", trigger=once))
-    assert jobs.malformed_rows(spark, f"{scratch}/w") == 3 and jobs.late_rows(spark, f"{scratch}/w") == 0
-    assert [r.detail_id for r in spark.read.parquet(f"{scratch}/w/wide").collect()] == [5]
+    run(jobs.start_quarantine(orders, order_wide.malformed_orders, f"{scratch}/ow", f"{scratch}/c2", trigger=once))
+    run(jobs.start_quarantine(details, lambda r: order_wide.malformed_orders(r, details=True), f"{scratch}/dw", f"{scratch}/c3", trigger=once))
+    assert jobs.malformed_rows(spark, f"{scratch}/ow") == 1 and jobs.malformed_rows(spark, f"{scratch}/dw") == 2
+    run(jobs.start_to_parquet(jobs.order_wide_stream(orders, details), f"{scratch}/w", f"{scratch}/c4", "wide", once))
+    assert [r.detail_id for r in spark.read.parquet(f"{scratch}/w").collect()] == [5]
 
 
 def test_visitor_days_follow_the_time_zone(spark, scratch):
