@@ -2,9 +2,9 @@
 
 Each one writes the table-derived raw topic into a fresh folder under
 ``spark.checkpoint.dir``, in ``SLICES`` parts by event time (rows within a part
-in any order). After each part the streaming job goes on from its checkpoint
-with ``availableNow``, so state, carried rows and watermark pass from
-micro-batch to micro-batch. Log topics end with one far-future row under its
+in any order), one micro-batch or more each. The streaming job runs over the first
+half of the parts (``availableNow``) and, restarted from its checkpoint, over the rest, so state and
+watermark pass from micro-batch to micro-batch and from run to run. Log topics end with one far-future row under its
 own key, in a part of its own, so the watermark passes every window and
 pattern limit. The job's file output is read back as the result. The
 typed projection and the oracle SQL are the ones of the batch key: stream and
@@ -36,7 +36,7 @@ from shoplake.streaming import jobs
 # --- fixed values: the flush row -------------------------------------------
 SENTINEL_MID = "~flush"
 SENTINEL_SEQ = -1
-SLICES = 5
+SLICES = 3
 SENTINEL_TS = 4_102_444_800_000  # 2100-01-01, after any test event
 
 
@@ -82,6 +82,18 @@ def _run(query) -> None:
     jobs.await_job(query)
 
 
+def _replay(s: SparkSession, parts: list[dict[str, DataFrame]], root: str, run) -> None:
+    """Adds parts (topic -> rows) to the topics; ``run(files)`` follows after half of them and at the end, with the most files a part has."""
+    known, files = set(), 1
+    for i, part in enumerate(parts):
+        for topic, rows in part.items():
+            _add(rows, root, topic)
+            now = {f for f in s.read.parquet(f"{root}/{topic}").inputFiles()} - known
+            known, files = known | now, max(files, len(now))
+        if i + 1 in (len(parts) // 2, len(parts)):
+            run(files)
+
+
 def _log_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The raw log in order of time, the flush row last."""
     events = read_table(spark, sf_dir, "events")
@@ -91,29 +103,33 @@ def _log_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def _stream_log_detail(spark: SparkSession, sf_dir: str, then=None) -> str:
     """ods_log -> streaming log detail job -> dwd_start / dwd_page / dwd_display folders.
 
-    ``then(session, root)`` runs after each part.
+    ``then(session, root)`` runs after each run.
     """
     s = _job_session(spark)
     root = scratch_dir(s, "stream-log")
-    for part in _log_slices(s, sf_dir):
-        _add(part, root, "ods_log")
-        src = read_topic(s, "ods_log", streaming=True, path=root)
+
+    def run(files: int) -> None:
+        src = read_topic(s, "ods_log", streaming=True, path=root, max_files_per_trigger=files)
         _run(jobs.start_log_detail(src, f"{root}/dwd", f"{root}/ck", trigger={"availableNow": True}))
         if then is not None:
             then(s, root)
+
+    _replay(s, [{"ods_log": part} for part in _log_slices(s, sf_dir)], root, run)
     return root
 
 
 def q_new_visitor_repair_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, "stream-repair")
-    for part in _log_slices(s, sf_dir):
-        _add(part, root, "ods_log")
-        src = read_topic(s, "ods_log", streaming=True, path=root)
+
+    def run(files: int) -> None:
+        src = read_topic(s, "ods_log", streaming=True, path=root, max_files_per_trigger=files)
         out = jobs.repaired_log_stream(src).select(
             "seq", "mid", "ts", text_of("common", "is_new").alias("is_new"))
         _run(jobs.start_to_parquet(out, f"{root}/out", f"{root}/ck", "repair",
                                    trigger={"availableNow": True}))
+
+    _replay(s, [{"ods_log": part} for part in _log_slices(s, sf_dir)], root, run)
     return spark.read.parquet(f"{root}/out").where(F.col("mid") != SENTINEL_MID)
 
 
@@ -137,11 +153,13 @@ def q_unique_visitor_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame
 def _bounce_stream(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     s = _job_session(spark)
     root = scratch_dir(s, f"stream-bounce-{variant}")
-    for part in _log_slices(s, sf_dir):
-        # the bounce job reads the page topic: page rows of the log, as text
-        _add(log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(part)), log_split.PAGE), root, "dwd_page")
-        src = read_topic(s, "dwd_page", streaming=True, path=root)
+    # the bounce job reads the page topic: page rows of the log, as text
+    pages = [log_split.detail_json(log_split.page_rows(log_split.parse_log_topic(part)), log_split.PAGE) for part in _log_slices(s, sf_dir)]
+
+    def run(files: int) -> None:
+        src = read_topic(s, "dwd_page", streaming=True, path=root, max_files_per_trigger=files)
         _run(jobs.start_bounce(src, f"{root}/out", f"{root}/ck", variant, BOUNCE_GAP_TEST_MS, trigger={"availableNow": True}))
+    _replay(s, [{"dwd_page": part} for part in pages], root, run)
     b = log_split.parse_log_topic(spark.read.parquet(f"{root}/out/dwm_uj"), ("common", "page", "ts"))
     return b.where(F.col("mid") != SENTINEL_MID).select(
         "seq", "mid", "ts", text_of("page", "page_id").alias("page_id"))
@@ -161,13 +179,18 @@ def q_order_interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = read_table(s, sf_dir, "orders"), read_table(s, sf_dir, "lineitem")
     # both topics in parts by whole days, so no row is behind the watermark
     bounds = [b.replace(hour=23, minute=59, second=59) for b in _bounds(orders, "o_orderdate")]
-    for o_part, d_part in zip(_slices(orders, "o_orderdate", bounds), _slices(lines, "l_shipdate", bounds)):
-        _add(adapters.order_info_lines(o_part), root, "dwd_order_info")
-        _add(adapters.order_detail_lines(d_part), root, "dwd_order_detail")
-        o = read_topic(s, "dwd_order_info", streaming=True, path=root)
-        d = read_topic(s, "dwd_order_detail", streaming=True, path=root)
+    parts = [
+        {"dwd_order_info": adapters.order_info_lines(o), "dwd_order_detail": adapters.order_detail_lines(d)}
+        for o, d in zip(_slices(orders, "o_orderdate", bounds), _slices(lines, "l_shipdate", bounds))
+    ]
+
+    def run(files: int) -> None:
+        o = read_topic(s, "dwd_order_info", streaming=True, path=root, max_files_per_trigger=files)
+        d = read_topic(s, "dwd_order_detail", streaming=True, path=root, max_files_per_trigger=files)
         wide = jobs.order_wide_stream(o, d, (), -ORDER_JOIN_TEST_MS, ORDER_JOIN_TEST_MS)
         _run(jobs.start_to_parquet(wide, f"{root}/out", f"{root}/ck", "order_wide", trigger={"availableNow": True}))
+
+    _replay(s, parts, root, run)
     return _typed(spark.read.parquet(f"{root}/out"), WIDE_OUTPUT)
 
 

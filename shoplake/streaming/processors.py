@@ -1,9 +1,9 @@
-"""Stateful processors (``transformWithStateInPandas``, event time) for the
-streaming forms of the new-visitor repair, the daily unique visitor and the
-bounce pattern.
+"""Stateful processors (event time) for the streaming forms of the new-visitor
+repair, the daily unique visitor and the bounce pattern.
 
-Rows arrive and leave as pandas frames (Arrow batches); each step is
-vectorized over one key's rows of one micro-batch. Rows are kept in state as
+Processors of a device and a short span of time (``transformWithState``) see
+few rows a group and take them one by one; those of a whole device
+(``transformWithStateInPandas``) are vectorized over its rows of a micro-batch. Rows are kept in state as
 ``(ts, seq, value)``: the raw JSON text plus its event time in ms and
 arrival position. The text is parsed again downstream, so state stays small
 and typed. A group is a device, or a device and a time bucket where a device
@@ -29,9 +29,11 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from shoplake.settings import WINDOW_MS
@@ -43,7 +45,6 @@ WINDOW_PARTS = "mid string, part int, ts bigint, seq bigint, rows array<struct<t
 REPAIR_OUTPUT = "rows array<struct<ts: bigint, seq: bigint, value: string>>, is_first boolean"
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
 BOUNCE_BUFFER_DDL = "ts bigint, seq bigint, is_entry boolean, value string"
-BOUNCE_COLS = ["ts", "seq", "is_entry", "value"]
 BOUNCE_PARTS = "mid string, kind string, ts bigint, seq bigint, is_entry boolean, value string, at timestamp"
 BOUNCE_OUTPUT = "kind string, value string, seq bigint, ts bigint"
 
@@ -128,28 +129,29 @@ class ClosedWindow(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", "ts bigint, seq bigint, value string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _concat(rows)
-        if not len(df):
-            return iter([])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = [(r.ts, r.seq, r.value) for r in rows]
         w_end, wm = int(key[1]), timerValues.getCurrentWatermarkInMs()
-        if w_end <= wm:
-            return iter([_closed_rows(key, -1, _records(df, ["ts", "seq", "value"]), wm + 1)])
-        if not self.buf.exists():
+        if held and w_end <= wm:
+            yield _closed_rows(key, -1, held, wm + 1)
+        elif held:
             self.handle.registerTimer(w_end)
-        self.buf.appendList(_records(df, ["ts", "seq", "value"]))
-        return iter([])
+            self.buf.appendList(held)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = sorted(tuple(r) for r in self.buf.get()) if self.buf.exists() else []
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = sorted(tuple(r) for r in self.buf.get())
         self.buf.clear()
-        parts = [(0, rows[:1]), (int(key[2]) + 1, rows[1:])]
-        return iter([_closed_rows(key, part, some, int(key[1])) for part, some in parts if some])
+        for part, some in ((0, rows[:1]), (int(key[2]) + 1, rows[1:])):
+            if some:
+                yield _closed_rows(key, part, some, int(key[1]))
+
 
+def _time(ms: int) -> datetime:
+    return datetime.fromtimestamp(ms / 1000, timezone.utc)
 
-def _closed_rows(key, part: int, rows: list[tuple], at_ms: int) -> pd.DataFrame:
-    held = [{"ts": t, "seq": s, "value": v} for t, s, v in rows]
-    return pd.DataFrame({"mid": [key[0]], "part": [part], "ts": [rows[0][0]], "seq": [rows[0][1]], "rows": [held], "at": [pd.Timestamp(int(at_ms), unit="ms")]})
+
+def _closed_rows(key, part: int, rows: list[tuple], at_ms: int) -> Row:
+    return Row(mid=key[0], part=part, ts=rows[0][0], seq=rows[0][1], rows=[Row(ts=t, seq=s, value=v) for t, s, v in rows], at=_time(at_ms))
 
 
 class FirstOfDevice(StatefulProcessor):
@@ -163,19 +165,18 @@ class FirstOfDevice(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if int(key[1]):
             flag = None if int(key[1]) < 0 else False
-            return (df.assign(is_first=pd.Series([flag] * len(df), dtype=object))[["rows", "is_first"]] for df in rows if len(df))
-        df = _concat(rows)
-        if not len(df):
-            return iter([])
-        df = df.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-        first = np.zeros(len(df), dtype=bool)
-        if not self.seen.exists():
-            first[0] = True
+            for r in rows:
+                yield Row(rows=r.rows, is_first=flag)
+            return
+        held = sorted(rows, key=lambda r: (r.ts, r.seq))
+        new = bool(held) and not self.seen.exists()
+        if new:
             self.seen.update((True,))
-        return iter([df.assign(is_first=first)[["rows", "is_first"]]])
+        for i, r in enumerate(held):
+            yield Row(rows=r.rows, is_first=new and i == 0)
 
 
 def _first_per_day(firsts: pd.DataFrame, last_day: str | None, time_zone: str = "UTC") -> tuple[pd.DataFrame, str | None]:
@@ -257,37 +258,36 @@ class BounceBuckets(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", BOUNCE_BUFFER_DDL)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _concat(rows)
-        if not len(df):
-            return iter([])
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        df = df.assign(is_entry=df["is_entry"].astype(bool))
-        late, fresh = df[df["ts"] <= wm], df[df["ts"] > wm]
-        if len(fresh):
-            if not self.buf.exists():
-                self.handle.registerTimer((int(key[1]) + 1) * self.bucket_ms)
-            self.buf.appendList(_records(fresh, BOUNCE_COLS))
-        return iter([_bounce_parts(key[0], late, "late", wm + 1)] if len(late) else [])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        rows = _state_frame(self.buf, BOUNCE_COLS).sort_values(["ts", "seq"], kind="stable")
+        fresh = []
+        for r in rows:
+            one = (r.ts, r.seq, bool(r.is_entry), r.value)
+            if r.ts > wm:
+                fresh.append(one)
+            else:
+                yield _bounce_part(key[0], "late", one, wm + 1)
+        if fresh:
+            self.handle.registerTimer((int(key[1]) + 1) * self.bucket_ms)
+            self.buf.appendList(fresh)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        rows = sorted((tuple(r) for r in self.buf.get()), key=lambda r: r[:2])
         self.buf.clear()
-        if not len(rows):
-            return iter([])
         end = (int(key[1]) + 1) * self.bucket_ms
-        entry = rows["is_entry"].to_numpy(dtype=bool)
-        parts = [_bounce_parts(key[0], rows[:1].assign(value=None), "head", end)]
+        if not rows:
+            return
+        yield _bounce_part(key[0], "head", (*rows[0][:3], None), end)
         if self.variant == "reentry":  # a strict pattern is over with any successor
-            parts.append(_bounce_parts(key[0], rows[:-1][entry[:-1] & entry[1:]], "out", end))
-        if entry[-1]:
-            parts.append(_bounce_parts(key[0], rows[-1:], "tail", end))
-        return iter([pd.concat([p for p in parts if len(p)], ignore_index=True)])
+            for one, nxt in zip(rows, rows[1:]):
+                if one[2] and nxt[2]:
+                    yield _bounce_part(key[0], "out", one, end)
+        if rows[-1][2]:
+            yield _bounce_part(key[0], "tail", rows[-1], end)
 
 
-def _bounce_parts(mid, rows: pd.DataFrame, kind: str, at_ms: int) -> pd.DataFrame:
-    out = rows[BOUNCE_COLS].assign(mid=mid, kind=kind, at=pd.Timestamp(int(at_ms), unit="ms"))
-    return out[["mid", "kind", "ts", "seq", "is_entry", "value", "at"]]
+def _bounce_part(mid, kind: str, row: tuple, at_ms: int) -> Row:
+    return Row(mid=mid, kind=kind, ts=row[0], seq=row[1], is_entry=row[2], value=row[3], at=_time(at_ms))
 
 
 class BouncePairs(StatefulProcessor):
@@ -308,33 +308,29 @@ class BouncePairs(StatefulProcessor):
         self.heads = handle.getListState("heads", "ts bigint, seq bigint, is_entry boolean")
         self.tails = handle.getListState("tails", "ts bigint, seq bigint, value string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _concat(rows)
-        if not len(df):
-            return iter([])
-        head, tail = df[df["kind"] == "head"], df[df["kind"] == "tail"]
-        if len(head):
-            self.heads.appendList(_records(head.assign(is_entry=head["is_entry"].astype(bool)), ["ts", "seq", "is_entry"]))
-        if len(tail):
-            self.tails.appendList(_records(tail, ["ts", "seq", "value"]))
-        if len(head) or len(tail):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        heads, tails = [], []
+        for r in rows:
+            if r.kind == "head":
+                heads.append((r.ts, r.seq, r.is_entry))
+            elif r.kind == "tail":
+                tails.append((r.ts, r.seq, r.value))
+            else:
+                yield Row(kind=r.kind, value=r.value, seq=r.seq, ts=r.ts)
+        for state, new in ((self.heads, heads), (self.tails, tails)):
+            if new:
+                state.appendList(new)
+        if heads or tails:
             self.handle.registerTimer((int(key[1]) + 2) * self.gap_ms + self.bucket_ms)
-        done = df[df["kind"].isin(["out", "late"])]
-        return iter([done[["kind", "value", "seq", "ts"]]] if len(done) else [])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        tails = _state_frame(self.tails, ["ts", "seq", "value"])
-        heads = _state_frame(self.heads, ["ts", "seq", "is_entry"]).sort_values(["ts", "seq"])
-        self.tails.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        heads = sorted(tuple(r) for r in self.heads.get()) if self.heads.exists() else []
+        tails = [tuple(r) for r in self.tails.get()] if self.tails.exists() else []
         self.heads.clear()
-        if not len(tails):
-            return iter([])
-        order = list(heads[["ts", "seq"]].itertuples(index=False, name=None))
-        nxt = np.array([bisect_right(order, t) for t in tails[["ts", "seq"]].itertuples(index=False, name=None)])
-        ts = np.append(heads["ts"].to_numpy(dtype="int64"), np.iinfo(np.int64).max)[nxt]
-        entry = np.append(heads["is_entry"].to_numpy(dtype=bool), False)[nxt]
-        bounced = ts - tails["ts"].to_numpy(dtype="int64") >= self.gap_ms
-        if self.variant == "reentry":
-            bounced |= entry
-        out = tails[bounced].assign(kind="out")
-        return iter([out[["kind", "value", "seq", "ts"]]] if len(out) else [])
+        self.tails.clear()
+        order = [h[:2] for h in heads]
+        for ts, seq, value in tails:
+            at = bisect_right(order, (ts, seq))
+            nxt = heads[at] if at < len(heads) else None
+            if nxt is None or nxt[0] - ts >= self.gap_ms or (self.variant == "reentry" and nxt[2]):
+                yield Row(kind="out", value=value, seq=seq, ts=ts)
