@@ -6,20 +6,25 @@ updates with a non-empty ``data`` -> inner join with the config on
 (kafka: topic rows, hbase: dimension rows, anything else: dropped).
 
 The planner picks the config join from run-time sizes (a config table is
-small, so it is broadcast and the change stream is not shuffled).
+small, so it is broadcast and the change stream is not shuffled). A change
+stream of the config is joined as of each change's position instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.functions.jsonio import is_object, parse_once
 from shoplake.functions.maps import keep_keys, without_nulls
 from shoplake.schemas import CHANGE_DDL, CHANGE_TEXT_DDL, TABLE_PROCESS_COLUMNS
+from shoplake.sources.config_source import keep_additions
 from shoplake.settings import BOOTSTRAP_PREFIX, KEPT_CHANGE_TYPES, SINK_TO_HBASE, SINK_TO_KAFKA
 
 
+POSITION_BUCKETS = 1024  # any value gives the same rows
+
+
 def strip_bootstrap(value: str = "value"):
     """Remove every ``bootstrap-`` in the whole text, before parsing.
 
@@ -72,6 +77,39 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
+def route_changes_as_of(changes: DataFrame, config_changes: DataFrame, buckets: int = POSITION_BUCKETS) -> DataFrame:
+    """Attach to each change the config row that was in force at its position.
+
+    ``config_changes`` has the config columns, ``op`` and ``seq``, on the same positions
+    as the changes; a config row is in force from its own position on,
+    until the next addition of its key. A deleted row stays in force. The columns are those of
+    ``route_changes`` and ``config_seq``, the position of the row used. A replayed
+    change always meets the same row.
+
+    Positions are cut into ``buckets`` spans; a version is copied to those that
+    it reaches, a change is in one, and they meet on (table, type, span). So a table with
+    any share of the changes spreads over tasks, and a version meets only its neighbours.
+    """
+    key = Window.partitionBy("source_table", "operate_type").orderBy("config_seq")
+    v = keep_additions(config_changes).withColumnRenamed("seq", "config_seq").withColumn("_until", F.lead("config_seq").over(key))
+    low, high = changes.agg(F.min("seq"), F.max("seq")).first()
+    if low is None:
+        low = high = 0
+    span = max(1, -(-(high - low + 1) // buckets))
+
+    def bucket(position):
+        return F.floor((position - F.lit(low)) / F.lit(span)).cast("bigint")
+
+    first = F.greatest(bucket(F.col("config_seq")), F.lit(0).cast("bigint"))
+    last = F.least(F.coalesce(bucket(F.col("_until") - 1), bucket(F.lit(high))), bucket(F.lit(high)))
+    v = v.where(first <= last).withColumn("_bucket", F.explode(F.sequence(first, last)))
+    c = changes.withColumn("_at", bucket(F.col("seq")))
+    in_force = (c["seq"] >= v["config_seq"]) & (v["_until"].isNull() | (c["seq"] < v["_until"]))
+    cond = (c["table"] == v["source_table"]) & (c["type"] == v["operate_type"]) & (c["_at"] == v["_bucket"]) & in_force
+    return c.join(v, cond, "inner").select(
+        "seq", "value", keep_keys("data", "sink_columns").alias("data"), *[v[x] for x in TABLE_PROCESS_COLUMNS], "config_seq")
+
+
 def topic_rows(routed: DataFrame) -> DataFrame:
     return routed.where(F.col("sink_type") == SINK_TO_KAFKA).drop("value")
 

@@ -151,6 +151,19 @@ SELECT seq, table_name, op_type, event_id, user_id, value, props FROM clean
 """,
     "cdc_route_topic": _CHANGES + """
 SELECT sink_table AS topic, seq, event_id, user_id, value FROM routed WHERE sink_type = 'kafka'
+""",
+    "cdc_route_versions": """
+WITH c AS (
+  SELECT event_id AS seq, event_type AS tbl, CASE WHEN event_id % 5 = 2 THEN 'update' ELSE 'insert' END AS typ, event_id, user_id, value
+  FROM events WHERE event_id % 5 IN (0, 1, 2)
+), v AS (
+  SELECT event_id AS config_seq, event_type AS tbl, event_id // 40 AS n,
+         CASE WHEN (event_id // 160) % 2 = 0 THEN 'insert' ELSE 'update' END AS typ
+  FROM events WHERE event_id % 40 = 0 AND (event_id // 40) % 4 IN (0, 2)
+)
+SELECT c.seq, v.config_seq, CASE WHEN n % 3 = 0 THEN 'hbase' ELSE 'kafka' END AS sink_type, 'v' || v.config_seq AS sink_table, c.tbl AS table_name,
+       c.event_id, CASE WHEN n % 2 = 0 THEN c.user_id END AS user_id, c.value
+FROM c ASOF JOIN v ON c.tbl = v.tbl AND c.typ = v.typ AND c.seq >= v.config_seq
 """,
     "cdc_route_dim": _CHANGES + """
 SELECT sink_table, seq, user_id AS pk, user_id, value FROM routed WHERE sink_type = 'hbase'
@@ -209,3 +222,4 @@ SELECT strftime(ts, '%Y-%m-%d') AS landing_date, count(*) AS n_lines,
 FROM events GROUP BY 1
 """,
 }
+ORACLE_SQL["cdc_route_versions_topic"] = f"SELECT sink_table AS topic, seq, event_id, user_id, value FROM ({ORACLE_SQL['cdc_route_versions']}) WHERE sink_type = 'kafka'"

@@ -213,6 +213,20 @@ def q_cdc_route_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_cdc_route_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change with the route in force at its position; routes change midway."""
+    routed = cdc.route_changes_as_of(clean_change_rows(spark, sf_dir), adapters.config_changes(_events(spark, sf_dir)))
+    return route_versions(routed)
+
+
+def route_versions(routed: DataFrame) -> DataFrame:
+    d = F.col("data")
+    return routed.where(F.col("sink_type").isin("kafka", "hbase")).select(
+        "seq", "config_seq", "sink_type", "sink_table", F.col("source_table").alias("table_name"),
+        long_of(d, "event_id").alias("event_id"), long_of(d, "user_id").alias("user_id"), double_of(d, "value").alias("value"),
+    )
+
+
 def q_cdc_route_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = upsert.upsert_rows(cdc.dim_rows(routed_changes(spark, sf_dir)))
     d = F.col("data")
@@ -315,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bounce_reentry": q_bounce_reentry,
     "cdc_clean": q_cdc_clean,
     "cdc_route_topic": q_cdc_route_topic,
+    "cdc_route_versions": q_cdc_route_versions,
     "cdc_route_dim": q_cdc_route_dim,
     "dim_upsert_latest": q_dim_upsert_latest,
     "dim_table_schema": q_dim_table_schema,

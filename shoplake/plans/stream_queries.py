@@ -251,7 +251,25 @@ def q_log_display_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_cdc_route_versions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic rows of the change job over a change stream of the config, routed as of each change."""
+    s = _job_session(spark)
+    root = scratch_dir(s, "stream-versions")
+    events = read_table(s, sf_dir, "events")
+    parts = _slices_by_position(events)
+    adapters.config_changes(events).write.parquet(f"{root}/config")
+
+    def run(files: int) -> None:
+        src = read_topic(s, "ods_db", streaming=True, path=root, max_files_per_trigger=files)
+        _run(jobs.start_db_detail(src, lambda: s.read.parquet(f"{root}/config"), f"{root}/out", f"{root}/ck", trigger={"availableNow": True}))
+
+    _replay(s, [{"ods_db": adapters.change_lines(part)} for part in parts], root, run)
+    topics = spark.read.parquet(f"{root}/out/topics").select("topic", "seq", F.from_json("value", RECORD_DDL).alias("d"))
+    return topics.select("topic", "seq", long_of("d", "event_id").alias("event_id"), long_of("d", "user_id").alias("user_id"), double_of("d", "value").alias("value"))
+
+
 STREAM_QUERIES = {
+    "cdc_route_versions_stream": (q_cdc_route_versions_stream, "cdc_route_versions_topic"),
     "new_visitor_repair_stream": (q_new_visitor_repair_stream, "new_visitor_repair"),
     "log_display_stream": (q_log_display_stream, "log_display"),
     "unique_visitor_daily_stream": (q_unique_visitor_daily_stream, "unique_visitor_daily"),

@@ -97,6 +97,30 @@ def change_lines(events: DataFrame) -> DataFrame:
     return events.select(to_json_compact(record).alias("value"), F.col("event_id").alias("seq"))
 
 
+CONFIG_EVERY = 40
+
+
+def config_changes(events: DataFrame) -> DataFrame:
+    """events -> changes of the routing config on the positions of ``change_lines``: columns of the config, ``op``, ``seq``.
+
+    Every ``CONFIG_EVERY``-th event changes the route of its own table: an
+    insert, the two images of an update and a delete in turn.
+    """
+    n = (F.col("event_id") / CONFIG_EVERY).cast("bigint")
+    ops = F.array(*[F.lit(o) for o in ("insert", "update_before", "update_after", "delete")])
+    return events.where(F.col("event_id") % CONFIG_EVERY == 0).select(
+        F.col("event_type").alias("source_table"),
+        F.when(F.floor(n / 4) % 2 == 0, F.lit("insert")).otherwise(F.lit("update")).alias("operate_type"),
+        F.when(n % 3 == 0, F.lit("hbase")).otherwise(F.lit("kafka")).alias("sink_type"),
+        F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("sink_table"),
+        F.when(n % 2 == 0, F.lit("event_id,user_id,value")).otherwise(F.lit("event_id,value")).alias("sink_columns"),
+        F.lit("event_id").alias("sink_pk"),
+        F.lit(None).cast("string").alias("sink_extend"),
+        F.element_at(ops, (n % 4 + 1).cast("int")).alias("op"),
+        F.col("event_id").alias("seq"),
+    )
+
+
 def insert_lines(rows: DataFrame, table: str, seq: Column, data: dict[str, Column]) -> DataFrame:
     """Any table -> ods_db insert records ``(value, seq)`` of change table ``table``."""
     record = F.struct(

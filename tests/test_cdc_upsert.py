@@ -98,3 +98,24 @@ def test_config_latest_keeps_additions(spark):
     got = {(r.source_table, r.operate_type): r.sink_columns for r in cur.collect()}
     assert len(got) == 5  # the deleted row stays active
     assert got[("purchase", "insert")] == "event_id"
+
+
+def test_routes_follow_the_config_of_the_change(spark):
+    """A route that changes midway, a repeat, a delete that stays in force, positions on and beside a version's own."""
+    from shoplake.schemas import TABLE_PROCESS_COLUMNS
+
+    versions = [("t", "insert", "kafka", f"o{s}", "a", None, None, op, s) for op, s in
+                (("insert", 10), ("update_before", 15), ("update_after", 20), ("delete", 30), ("insert", 10**9))]
+    versions += [("u", "insert", "hbase", "d", "a", "a", None, "insert", 0), ("u", "update", "kafka", "w", "a", None, None, "insert", 25)]
+    config = spark.createDataFrame(versions, ", ".join(f"{c} string" for c in TABLE_PROCESS_COLUMNS) + ", op string, seq bigint")
+    at = [0, 9, 10, 11, 15, 19, 20, 21, 30, 31, 500]
+    lines = [change(t, k, {"a": s}) for t in ("t", "u", "x") for k in ("insert", "update") for s in at]
+    raw = spark.createDataFrame([(v, s) for v, s in zip(lines, at * 6)], "value string, seq bigint")
+    want = []
+    for t, k in (("t", "insert"), ("u", "insert"), ("u", "update")):
+        own = sorted((v[8], v[3]) for v in versions if v[:2] == (t, k) and v[7] in ("insert", "update_after"))
+        want += [(t, k, s, *max(o for o in own if o[0] <= s)) for s in at if any(o[0] <= s for o in own)]
+    for buckets in (1, 7, 1024):
+        got = cdc.route_changes_as_of(cdc.clean_changes(raw), config, buckets)
+        assert sorted((r.source_table, r.operate_type, r.seq, r.config_seq, r.sink_table) for r in got.collect()) == sorted(want)
+    assert not cdc.route_changes_as_of(cdc.clean_changes(raw.limit(0)), config).collect()
