@@ -27,6 +27,7 @@ ids are kept; extra columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -158,12 +159,12 @@ def with_pairs(rows: DataFrame, where: Column | None = None) -> DataFrame:
     return rows.withColumn("_both", both if where is None else F.when(where, both)).withColumns({"hit": F.col("_both.hit"), "n_own": F.col("_both.n")}).drop("_both")
 
 
-def similarity() -> Column:
+def similarity(ts: Column, hs: Column) -> Column:
     """The greatest share of a template's pairs, or of a long paragraph's, and of a heading's pairs in a line of little else (``SLACK`` pairs)."""
     shared = lambda t: F.size(F.array_intersect("hit", t)) / F.least(F.size(t), F.greatest(F.col("n_own"), F.lit(3)))
     named = lambda t: F.size(F.array_intersect("hit", t)) / F.greatest(F.size(t), F.col("n_own") - SLACK)
-    short = F.when(F.col("n_own") <= 12 + SLACK, F.array_max(F.transform("hs", named)))
-    return F.when(F.size("hit") > 0, F.greatest(F.array_max(F.transform("ts", shared)), short, F.lit(0.0))).otherwise(0.0)
+    short = F.when(F.col("n_own") <= 12 + SLACK, F.array_max(F.transform(hs, named)))
+    return F.when(F.size("hit") > 0, F.greatest(F.array_max(F.transform(ts, shared)), short, F.lit(0.0))).otherwise(0.0)
 
 
 def _grams(text: Column) -> Column:
@@ -187,13 +188,29 @@ class LicenceModel:
 
 
 def _pattern(keys: list[str]) -> str:
-    return "(?iu)(?<![\\p{L}\\p{N}])(?:" + "|".join(re.escape(k) for k in keys) + ")(?![\\p{L}\\p{N}])" if keys else "(?!)"
+    """A pattern for lower-case text that holds one of the words ``keys``; shared beginnings are written once."""
+    tree: dict = {}
+    for key in keys:
+        at = tree
+        for c in key:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def branch(at: dict) -> str:
+        rest = [re.escape(c) + branch(below) for c, below in sorted(at.items()) if c]
+        if not rest:
+            return ""
+        one = rest[0] if len(rest) == 1 and "" not in at else "(?:" + "|".join(rest) + ")"
+        return one + ("?" if "" in at else "")
+
+    return f"(?<![\\p{{L}}\\p{{N}}]){branch(tree)}(?![\\p{{L}}\\p{{N}}])" if keys else "(?!)"
 
 
 def _confirmed(rows: DataFrame, where: Column | None = None) -> DataFrame:
     """Adds ``confirmed``: some template of any family confirms the paragraph (false unless ``where``)."""
-    every = known_pairs(rows.sparkSession).agg(F.flatten(F.collect_list("ts")).alias("ts"), F.flatten(F.collect_list("hs")).alias("hs"))  # one row, of fixed size
-    return with_pairs(rows, where).crossJoin(F.broadcast(every)).withColumn("confirmed", similarity() >= CONFIRM).drop("ts", "hs", "hit", "n_own")
+    known = known_pairs(rows.sparkSession).collect()  # of the templates, of fixed size: literals, so no row carries them
+    ts, hs = (F.from_json(F.lit(json.dumps([t for r in known for t in r[c]])), "array<array<string>>") for c in ("ts", "hs"))
+    return with_pairs(rows, where).withColumn("confirmed", similarity(ts, hs) >= CONFIRM).drop("hit", "n_own")
 
 
 def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) -> LicenceModel:
@@ -215,7 +232,7 @@ def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) ->
     # a confirmed line holds a rare word of its template: only such lines are compared with the templates
     guess, _ = seen(pool)
     may = sorted({w for t in texts for w in t if guess.get(w, 0) < RARE} | {min(t, key=lambda w: guess.get(w, 0)) for t in texts})
-    lines = _confirmed(paragraphs(docs), F.col("paragraph").rlike(_pattern(may))).where("not confirmed").select("paragraph")
+    lines = _confirmed(paragraphs(docs), F.lower("paragraph").rlike(_pattern(may))).where("not confirmed").select("paragraph")
     often, total = seen(lines)
     grams = {r.g for r in known.select(F.explode(_grams(F.col("paragraph"))).alias("g")).distinct().collect()}  # of the templates
     key = {g: min(g.split(" "), key=lambda w: (often.get(w, 0), -len(w), w)) for g in grams}
@@ -240,14 +257,14 @@ def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     """``doc_id, k, block, pos, family, probability, similarity, paragraph`` of every confirmed paragraph."""
     spark = docs.sparkSession
     model = train(spark, docs, background)
-    likely_docs = docs.where(F.col("text").rlike(model.pattern))
-    may = paragraphs(likely_docs).unionByName(wrapped(likely_docs)).where(F.col("paragraph").rlike(model.pattern))
+    likely_docs = docs.where(F.lower("text").rlike(model.pattern))
+    may = paragraphs(likely_docs).unionByName(wrapped(likely_docs)).where(F.lower("paragraph").rlike(model.pattern))
     scored = model.stages.transform(may.withColumn("grams", _grams(F.col("paragraph")))).withColumn("p", vector_to_array("probability"))
     family = F.element_at(F.lit(FAMILIES), F.col("prediction").cast("int") + 1)
     likely = scored.where(F.col("prediction") > 0).select(
         "doc_id", "k", "block", "pos", "paragraph", family.alias("family"), F.element_at("p", F.col("prediction").cast("int") + 1).alias("probability")
     ).where(F.col("probability") > 0.5)  # the limit is not below
-    alike = with_pairs(likely).join(F.broadcast(known_pairs(spark)), "family").withColumn("similarity", similarity()).drop("hit", "n_own", "ts", "hs")
+    alike = with_pairs(likely).join(F.broadcast(known_pairs(spark)), "family").withColumn("similarity", similarity(F.col("ts"), F.col("hs"))).drop("hit", "n_own", "ts", "hs")
     alike = written(_confirmed(alike), "licence-scores")
     # the quantile over all unconfirmed lines: those not scored here are below 0.5
     calm, passed = alike.where("pos >= 0 and not confirmed"), FALSE_RATE * model.lines
