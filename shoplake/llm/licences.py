@@ -98,7 +98,7 @@ SLACK = 2
 SPAN = 64
 FALSE_RATE = 0.0005
 BLANK = "(?:\\r\\n|\\n|\\r(?!\\n))[ \\t]*(?:\\r\\n|\\n|\\r(?!\\n))\\s*"
-TOKENS = "[^\\p{L}\\p{N}.-]+|[.-]+(?![\\p{L}\\p{N}])|(?<![\\p{L}\\p{N}])[.-]+"
+TOKENS = "[^\\p{L}\\p{N}.-]+|[.-]+(?![\\p{L}\\p{N}])|(?=[.-])(?<![\\p{L}\\p{N}])[.-]+"  # the lookahead first: it fails at once inside words
 
 
 def templates() -> list[tuple[str, str]]:
@@ -223,17 +223,20 @@ def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) ->
     words = sorted({w for t in texts for w in t})
     marks = F.array_distinct(F.filter(F.split(F.lower("paragraph"), TOKENS), lambda w: w.isin(words)))
 
+    def marked(lines: DataFrame) -> DataFrame:
+        """Adds the template words of each line; the generator keeps them from being computed again where they are used."""
+        return lines.select("paragraph", F.inline(F.array(F.struct(marks.alias("marks")))))
+
     def seen(lines: DataFrame) -> tuple[dict[str, float], int]:
         """The share of lines that hold each word of the templates, and the number of lines."""
-        n = {r.word: r.n for r in lines.select(F.explode(F.concat(F.array(F.lit("")), marks)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+        n = {r.word: r.n for r in lines.select(F.explode(F.concat(F.array(F.lit("")), "marks")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
         total = n.pop("", 0)
         return {w: k / max(1, total) for w, k in n.items()}, total
 
     # a confirmed line holds a rare word of its template: only such lines are compared with the templates
-    guess, _ = seen(pool)
+    guess, _ = seen(marked(pool))
     may = sorted({w for t in texts for w in t if guess.get(w, 0) < RARE} | {min(t, key=lambda w: guess.get(w, 0)) for t in texts})
-    lines = _confirmed(paragraphs(docs), F.lower("paragraph").rlike(_pattern(may))).where("not confirmed").select("paragraph")
-    often, total = seen(lines)
+    often, total = seen(_confirmed(marked(paragraphs(docs)), F.exists("marks", lambda w: w.isin(may))).where("not confirmed"))
     grams = {r.g for r in known.select(F.explode(_grams(F.col("paragraph"))).alias("g")).distinct().collect()}  # of the templates
     key = {g: min(g.split(" "), key=lambda w: (often.get(w, 0), -len(w), w)) for g in grams}
     vocab = sorted(g for g in grams if often.get(key[g], 0) < RARE)
