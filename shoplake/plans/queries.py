@@ -117,7 +117,7 @@ def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = log_split.page_rows(repaired_log(spark, sf_dir))
+    p = log_split.page_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays")))
     return p.select(
         *_common_cols(),
         text_of("page", "page_id").alias("page_id"),
@@ -129,7 +129,7 @@ def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = log_split.display_rows(repaired_log(spark, sf_dir))
+    d = log_split.display_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays")))
     m = F.col("display")
     return d.select(
         F.col("seq"),
