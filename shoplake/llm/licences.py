@@ -130,9 +130,13 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.where(F.trim("paragraph") != "")
 
 
-def wrapped(docs: DataFrame) -> DataFrame:
-    """As ``paragraphs``, but the lines of a block joined: ``SPAN`` words each, half a span apart, so a wrapped notice falls whole into one."""
-    many = _blocks(docs).where(F.trim("body").rlike("[\\n\\r]")).withColumn("w", F.element_at(F.transform(F.array(_words(F.col("body"))), lambda w: w), 1))
+def wrapped(docs: DataFrame, pattern: str = "") -> DataFrame:
+    """As ``paragraphs``, but the lines of a block joined: ``SPAN`` words each, half a span apart, so a wrapped notice falls whole into one.
+
+    Only blocks that match ``pattern`` (a word of theirs) are cut into words; no other block has a span that does.
+    """
+    blocks = _blocks(docs).where(F.trim("body").rlike("[\\n\\r]") & F.lower("body").rlike(pattern))
+    many = blocks.withColumn("w", F.element_at(F.transform(F.array(_words(F.col("body"))), lambda w: w), 1))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - SPAN // 2 - 1, F.lit(0)), F.lit(SPAN // 2))
     return many.select("doc_id", "k", "block", F.explode(F.transform(starts, lambda a: F.array_join(F.slice(F.col("w"), a + 1, SPAN), " "))).alias("paragraph")).select(
         "doc_id", "k", "block", F.lit(-1).alias("pos"), "paragraph"
@@ -261,7 +265,7 @@ def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     spark = docs.sparkSession
     model = train(spark, docs, background)
     likely_docs = docs.where(F.lower("text").rlike(model.pattern))
-    may = paragraphs(likely_docs).unionByName(wrapped(likely_docs)).where(F.lower("paragraph").rlike(model.pattern))
+    may = paragraphs(likely_docs).unionByName(wrapped(likely_docs, model.pattern)).where(F.lower("paragraph").rlike(model.pattern))
     scored = model.stages.transform(may.withColumn("grams", _grams(F.col("paragraph")))).withColumn("p", vector_to_array("probability"))
     family = F.element_at(F.lit(FAMILIES), F.col("prediction").cast("int") + 1)
     likely = scored.where(F.col("prediction") > 0).select(
