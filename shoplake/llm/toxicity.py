@@ -1,46 +1,51 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled rows (``EXAMPLES``) gives the examples and the
-terms: words whose share of toxic documents is surely (Wilson bound) above
-``LIFT`` times the usual share, strongest first, at most ``TERMS``. Term
-counts and document frequencies then come from the whole text of all
-documents. Examples with equal vectors are one entry with its label counts.
-
-The index keeps entries in blocks with the greatest weight of each term. A
-document's bound for a block is its dot product with those weights; blocks
-are opened in order of their bounds until no bound beats the k-th best cosine,
-so the neighbours are exactly those of a full scan. Their votes, weighted by
-distance, are smoothed by the usual share and mapped to a probability by
+A bounded sample of labelled rows gives the examples: at most ``EXAMPLES`` rows
+and ``EXAMPLE_BYTES`` bytes of text, the first by hash; a labelled text longer
+than a 64th of that is scored but is no example. All words of the examples are
+terms. Their document frequencies come from the whole text of all documents. A
+term's factor is its inverse document frequency times ``REST`` plus the
+logarithm of how far its share of toxic examples is surely (Wilson bound) above
+the usual share, so common words count little and none is left out. Words are
+told apart by 64-bit hashes. Examples with equal vectors are one entry with its
+label counts.
+
+The index holds a posting list per term, cut at blocks of entries, with the
+greatest weight of each list in each block. A document's bound for a block is
+the sum of those weights times its own; blocks are opened in order of their
+bounds until no bound reaches the k-th best cosine, so the neighbours are
+exactly those of a full scan (ties go to the smaller id). Their votes, weighted
+by distance, are smoothed by the usual share and mapped to a probability by
 isotonic regression on leave-one-out votes of the examples.
 
 Null and edge cases: null and empty texts, and texts without a term, get the
-share of toxic examples among those without a term; rows without ``doc_id``
+share of toxic examples among those without a word; rows without ``doc_id``
 or label never train; several labels of one document count as toxic if one
-is; repeated rows score alike; extra columns are ignored. Without labels
-every score is 0. An empty table gives no rows.
+is; of several texts under one id the least is the example; repeated rows score
+alike; extra columns are ignored. Without labels every score is 0. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import bounded_sample, written
-from shoplake.llm.decontam import CHUNK_BYTES, WORD, words_of, words_of_bytes
+from shoplake.llm.common import bounded_sample, text_or_empty, written
+from shoplake.llm.decontam import CHUNK_BYTES, words_of_bytes
 
-EXAMPLES = 20_000
-TERMS = 128
-LIFT = 4.0
+EXAMPLES = 10_000
+EXAMPLE_BYTES = 32 << 20
+REST = 0.1
 NEIGHBOURS = 25
 BLOCK = 64
 REJECT = 0.7
 Z = 2.58
+SLACK = 1e-9  # room for rounding in a bound
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -54,122 +59,146 @@ def training_labels(labels: DataFrame, bound: int = EXAMPLES) -> DataFrame:
     return written(one.join(bounded_sample(own, bound, "doc_id"), "doc_id", "left_semi"), "toxic-labels")
 
 
-def choose_terms(docs: DataFrame, sample: DataFrame, terms: int = TERMS) -> list[bytes]:
+def word_counts(raw: list[bytes], vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each text: where each text's begin, word hashes, counts.
+
+    With a sorted ``vocabulary`` of hashes, its positions stand for the hashes and other words are left out.
+    """
+    _, start, _, got = words_of_bytes(b"\0".join(raw))
+    doc = np.searchsorted(np.cumsum([len(t) + 1 for t in raw]), start, side="right")
+    word = got.view(np.int64)
+    if vocabulary is not None:
+        at = np.searchsorted(vocabulary, word)
+        known = np.append(vocabulary, 0)[at] == word
+        known &= at < len(vocabulary)
+        word, doc = at[known], doc[known]
+    order = np.lexsort((word, doc))
+    word, doc = word[order], doc[order]
+    first = np.flatnonzero(np.diff(word, prepend=0).astype(bool) | np.diff(doc, prepend=-1).astype(bool))
+    return np.searchsorted(doc[first], np.arange(len(raw) + 1)), word[first], np.diff(first, append=len(word))
+
+
+def in_chunks(texts: Iterable[pa.Scalar]) -> Iterator[list[bytes]]:
+    raw, size = [], 0
+    for t in texts:
+        raw.append((t.as_py() or "").encode())
+        size += len(raw[-1])
+        if size > CHUNK_BYTES:
+            yield raw
+            raw, size = [], 0
+    if raw:
+        yield raw
+
+
+def example_vectors(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES) -> DataFrame:
+    """``doc_id, words, counts, toxic, n``: the distinct word counts of the labelled sample, with the least id and the label counts (written)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, toxic = Counter(), Counter()
         for b in batches:
-            for text, y in zip(b.column(0), b.column(1).to_pylist()):
-                words = set(WORD.findall((text.as_py() or "").encode().lower()))
-                n.update(words)
-                if y:
-                    toxic.update(words)
-            if len(n) > 1 << 20:
-                yield table(n, toxic)
-                n, toxic = Counter(), Counter()
-        if n:
-            yield table(n, toxic)
-
-    def table(n, toxic):
-        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64()), pa.array([toxic[w] for w in n], pa.int64())], names=["term", "n", "a"])
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")  # the sample has at most EXAMPLES rows
-    total = sample.select(F.count(F.lit(1)), F.sum("toxic")).first()
-    if not total[1]:
-        return []
-    share = total[1] / total[0]
-    one = rows.mapInArrow(run, "term binary, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
-    p, n = F.col("a") / F.col("n"), F.col("n")
-    low = (p + Z * Z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
-    best = one.where((F.col("a") >= 3) & (low >= min(LIFT * share, 0.5 + share / 2))).orderBy((F.col("a") * low).desc(), "term").limit(terms)
-    return [bytes(r.term) for r in best.collect()]
-
-
-def term_counts(docs: DataFrame, terms: list[bytes], keep: str | None = None) -> DataFrame:
-    """``doc_id, terms, counts`` of every document (term numbers, sorted), and the text column ``keep`` as ``kept``."""
-    kept = [] if keep is None else ["kept"]
-    h = words_of(np.frombuffer(b" ".join(terms), dtype=np.uint8))[2] if terms else np.zeros(0, dtype=np.uint64)
-    order = np.argsort(h)
-    hashes, number = h[order], order.astype(np.int64)
-
-    def count(raw: list[bytes]) -> list[tuple[list[int], list[int]]]:
-        _, start, _, got = words_of_bytes(b"\0".join(raw))
-        if not len(hashes) or not len(got):
-            return [([], [])] * len(raw)
-        at = np.minimum(np.searchsorted(hashes, got), len(hashes) - 1)
-        hit = np.flatnonzero(hashes[at] == got)
-        bound = np.cumsum([0] + [len(t) + 1 for t in raw])
-        doc = np.searchsorted(bound, start[hit], side="right") - 1
-        key, n = np.unique(doc * len(hashes) + number[at[hit]], return_counts=True)
-        cut = np.searchsorted(key // len(hashes), np.arange(1, len(raw)))
-        return list(zip((x.tolist() for x in np.split(key % len(hashes), cut)), (x.tolist() for x in np.split(n, cut))))
+            words, counts = [], []
+            for raw in in_chunks(b.column(2)):
+                ptr, w, c = word_counts(raw)
+                words += np.split(w, ptr[1:-1])
+                counts += np.split(c, ptr[1:-1])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(words, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "counts"])
+
+    sample = training_labels(labels, examples).select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(sample), "doc_id")  # at most EXAMPLES rows
+    texts = written(rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "toxic-texts")
+    size = F.octet_length("text")
+    sizes = texts.where(size <= example_bytes // 64).select("doc_id", size.alias("size"), F.xxhash64(F.lit(17), "doc_id").alias("h"))
+    fit = sizes.withColumn("sum", F.sum("size").over(Window.orderBy("h", "doc_id"))).where(F.col("sum") <= example_bytes).select("doc_id")  # numbers of at most EXAMPLES rows
+    some = texts.join(F.broadcast(fit), "doc_id", "left_semi").select("doc_id", "toxic", "text")
+    vectors = some.mapInArrow(run, "doc_id long, toxic int, words array<long>, counts array<int>")
+    one = vectors.groupBy("words", "counts").agg(F.min("doc_id").alias("doc_id"), F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    return written(one.select("doc_id", "words", "counts", "toxic", "n").repartition(max(1, examples // 400), "doc_id"), "toxic-examples")
+
+
+def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those that hold each word."""
+    known = docs.sparkSession.sparkContext.broadcast(vocabulary)  # words of the bounded sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, df = 0, np.zeros(len(known.value), dtype=np.int64)
         for b in batches:
-            out, raw, size = [], [], 0
-            for t in b.column(1):
-                raw.append((t.as_py() or "").encode())
-                size += len(raw[-1])
-                if size > CHUNK_BYTES:
-                    out += count(raw)
-                    raw, size = [], 0
-            if raw:
-                out += count(raw)
-            t, n = zip(*out) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(t, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32())), *b.columns[2:]], names=["doc_id", "terms", "counts", *kept])
-
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text", *([] if keep is None else [keep]))
-    return rows.mapInArrow(run, ", ".join(["doc_id long, terms array<int>, counts array<int>", *(f"{c} string" for c in kept)]))
-
-
-def dense(terms: list, counts: list, idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF rows."""
-    x = np.zeros((len(terms), len(idf)), dtype=np.float32)
-    n = [len(t) for t in terms]
-    row = np.repeat(np.arange(len(terms)), n)
-    if len(row):
-        col = np.concatenate([np.asarray(t, dtype=np.int64) for t in terms if len(t)])
-        tf = np.concatenate([np.asarray(c, dtype=np.float64) for c in counts if len(c)])
-        x[row, col] = (1 + np.log(tf)) * idf[col]
-        norm = np.linalg.norm(x, axis=1)
-        x[norm > 0] /= norm[norm > 0, None]
-    return x
-
-
-@dataclass
+            n += b.num_rows
+            for raw in in_chunks(b.column(0)):
+                df += np.bincount(word_counts(raw, known.value)[1], minlength=len(df))
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(df[some], n), pa.int64())], names=["word", "n"])
+
+    got = docs.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # a row per word of the sample
+    word, n = got.column("word").to_numpy(), got.column("n").to_numpy()
+    out = np.zeros(len(vocabulary), dtype=np.int64)
+    out[word[word >= 0]] = n[word >= 0]
+    return int(n[word < 0].sum()), out
+
+
+def term_factors(total: int, df: np.ndarray, n: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
+    """Inverse document frequency times ``REST`` plus the sure lift of the toxic share (``n`` examples hold the word, ``toxic`` of them toxic)."""
+    p = toxic / n
+    low = (p + Z * Z / (2 * n) - Z * np.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+    lift = np.log(np.maximum(low / share, 1)) if share else 0
+    return (np.log((total + 1) / (df + 1)) + 1) * (REST + lift)
+
+
+def unit(ptr: np.ndarray, counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """Weights ``(1 + log count) * factor``, each text's of length 1."""
+    w = (1 + np.log(counts)) * factor
+    square = np.diff(np.append(0, np.cumsum(w * w))[ptr])
+    return w / np.sqrt(np.repeat(np.maximum(square, 1e-300), np.diff(ptr)))
+
+
+def spread(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    end = np.cumsum(length)
+    return np.repeat(first - end + length, length) + np.arange(end[-1] if len(end) else 0)
+
+
 class BlockMaxIndex:
-    """Example vectors in blocks, with the greatest weight of each term in each block."""
-
-    x: np.ndarray
-    block: int = BLOCK
-
-    def __post_init__(self):
-        self.order = np.lexsort((np.arange(len(self.x)), self.x.argmax(axis=1)))  # entries with the same strongest term are neighbours
-        self.sorted = self.x[self.order]
-        self.most = np.maximum.reduceat(self.sorted, np.arange(0, len(self.x), self.block), axis=0)
-
-    def search(self, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` greatest cosines of each row and their entries (-1 where there is none)."""
-        best = np.zeros((len(q), k), dtype=np.float32)
-        who = np.full((len(q), k), -1)
-        bound = q @ self.most.T + 1e-5  # room for rounding
-        first = np.argsort(-bound, axis=1)
-        live = np.arange(len(q))
-        for r in range(len(self.most)):
-            b = first[live, r]
-            live = live[bound[live, b] > np.maximum(best[live].min(axis=1), 2e-5)]
-            if not len(live):
-                break
-            b = first[live, r]
-            for one in np.unique(b):
-                rows = live[b == one]
-                a = one * self.block
-                part = self.sorted[a : a + self.block]
-                sims = np.concatenate((best[rows], q[rows] @ part.T), axis=1)
-                ids = np.concatenate((who[rows], np.broadcast_to(self.order[a : a + self.block], (len(rows), len(part)))), axis=1)
-                top = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                best[rows], who[rows] = np.take_along_axis(sims, top, 1), np.take_along_axis(ids, top, 1)
-        who[best <= 0] = -1
-        return best, who
+    """Posting lists of vectors that each have a term, with the greatest weight of each list in each block of entries."""
+
+    def __init__(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK):
+        n, row = len(ptr) - 1, np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+        strongest = term[np.lexsort((-weight, row))[ptr[:-1]]]
+        self.entry = np.lexsort((np.arange(n), strongest))  # entries with the same strongest term are neighbours
+        place = np.empty(n, dtype=np.int64)
+        place[self.entry] = np.arange(n)
+        order = np.lexsort((place[row], term))
+        term = term[order]
+        self.place, self.weight = place[row][order].astype(np.int32), weight[order].astype(np.float32)
+        self.blocks = -(-n // block)
+        cell = term * self.blocks + self.place // block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.cell_first = np.append(first, len(term)).astype(np.int32)
+        self.cell_block = (self.place[first] // block).astype(np.int32)
+        self.cell_max = np.maximum.reduceat(self.weight, first)
+        self.list_first = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
+
+    def search(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` greatest positive products (all, if fewer) and their entries, ties by entry."""
+        length = self.list_first[term + 1] - self.list_first[term]
+        cells, w = spread(self.list_first[term], length), np.repeat(weight, length)
+        block = self.cell_block[cells]
+        bound = np.bincount(block, w * self.cell_max[cells], self.blocks)
+        first = np.argsort(-bound, kind="stable")
+        bound = bound[first]
+        sims = np.zeros(len(self.entry))
+        at, step, least = 0, 4, 0.0  # the k-th best so far
+        while at < self.blocks and bound[at] > 0 and bound[at] >= least - SLACK:
+            opened = np.zeros(self.blocks, dtype=bool)
+            opened[first[at : at + step][bound[at : at + step] >= least - SLACK]] = True
+            mine = opened[block]
+            lo = self.cell_first[cells[mine]]
+            length = self.cell_first[cells[mine] + 1] - lo
+            post = spread(lo, length)
+            sims += np.bincount(self.place[post], np.repeat(w[mine], length) * self.weight[post], len(sims))
+            at, step = at + step, step * 4
+            if len(sims) > k:
+                least = np.partition(sims, len(sims) - k)[len(sims) - k]
+        best = np.flatnonzero((sims >= least) & (sims > 0))
+        best = best[np.lexsort((self.entry[best], -sims[best]))[:k]]
+        return sims[best], self.entry[best]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,78 +214,96 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class ToxicityModel:
-    def __init__(self, idf: np.ndarray, terms: list, counts: list, toxic: np.ndarray, n: np.ndarray, ids: list, k: int = NEIGHBOURS):
-        empty = np.array([not len(t) for t in terms], dtype=bool)
-        self.idf, self.k = idf, k
+    """Entries of the index with their label counts; ``knots`` maps a vote to a probability once it is calibrated."""
+
+    def __init__(self, rows: pa.Table, docs: DataFrame, k: int = NEIGHBOURS):
+        rows = rows.sort_by("doc_id").combine_chunks()
+        toxic, n = (rows.column(c).to_numpy().astype(float) for c in ("toxic", "n"))
+        length = np.array([len(x) for x in rows.column("words")], dtype=np.int64)
+        some = length > 0
+        self.k = k
         self.share = float(toxic.sum() / max(1, n.sum()))
-        self.none = float((toxic[empty].sum() + self.share) / (n[empty].sum() + 1))
-        self.toxic, self.n = toxic[~empty].astype(float), n[~empty].astype(float)
-        self.ids = [i for i, e in zip(ids, empty) if not e]
-        self.index = None
-        if len(self.n):
-            x = dense([t for t, e in zip(terms, empty) if not e], [c for c, e in zip(counts, empty) if not e], idf)
-            self.index = BlockMaxIndex(x)
-            self.knots = self._calibrate(x)
-
-    def _votes(self, sims, who, toxic, n):
-        w = np.where(who >= 0, 1 / (1.05 - np.minimum(sims, 1.0)), 0)
-        return ((w * toxic).sum(axis=1) + self.share) / ((w * n).sum(axis=1) + 1)
-
-    def _calibrate(self, x):
-        xs, ys, ws = [], [], []
-        for a in range(0, len(x), 4096):
-            sims, who = self.index.search(x[a : a + 4096], self.k + 1)
-            me = who == np.arange(a, a + len(who))[:, None]
-            t, n = self.toxic[who], self.n[who]
-            own_t, own_n = self.toxic[a : a + 4096], self.n[a : a + 4096]
-            for label, weight in ((1, own_t), (0, own_n - own_t)):  # one example of this label left out
-                some = weight > 0
-                raw = self._votes(sims, who, t - me * label, n - me)
-                xs.append(raw[some]), ys.append(np.full(some.sum(), float(label))), ws.append(weight[some])
-        knots, fit = isotonic(*(np.concatenate(v) for v in (xs, ys, ws)))
-        return knots, fit
-
-    def score(self, terms: list, counts: list) -> tuple[np.ndarray, list]:
-        out, evidence = np.full(len(terms), self.none), [[] for _ in terms]
-        some = np.array([i for i, t in enumerate(terms) if len(t)], dtype=np.int64)
+        self.none = float((toxic[~some].sum() + self.share) / (n[~some].sum() + 1))
+        self.toxic, self.n, self.ids = toxic[some], n[some], rows.column("doc_id").to_numpy()[some]
+        self.index, self.knots = None, None
+        if some.any():
+            ptr = np.append(0, np.cumsum(length[some]))
+            self.vocabulary, word = np.unique(flat(rows.column("words")), return_inverse=True)
+            row = np.repeat(np.arange(len(self.n)), length[some])
+            held = (np.bincount(word, self.n[row]), np.bincount(word, self.toxic[row]))
+            self.factor = term_factors(*document_frequencies(docs, self.vocabulary), *held, self.share)
+            self.index = BlockMaxIndex(ptr, word, unit(ptr, flat(rows.column("counts")), self.factor[word]), len(self.vocabulary))
+
+    def vote(self, sims: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> float:
+        w = 1 / (1.05 - np.minimum(sims, 1.0))
+        return float(((w * toxic).sum() + self.share) / ((w * n).sum() + 1))
+
+    def left_out(self, word: np.ndarray, counts: np.ndarray, doc_id: int) -> Iterator[tuple[float, float, float]]:
+        """Votes of an entry's neighbours with one of its examples of a label left out: vote, label, examples of it."""
+        sims, who = self.index.search(word, unit(np.array([0, len(word)]), counts, self.factor[word]), self.k + 1)
+        me = self.ids[who] == doc_id
+        own = int(np.searchsorted(self.ids, doc_id))
+        for label, weight in ((1.0, self.toxic[own]), (0.0, self.n[own] - self.toxic[own])):
+            if weight:
+                yield self.vote(sims, self.toxic[who] - me * label, self.n[who] - me), label, float(weight)
+
+    def score(self, raw: list[bytes]) -> Iterator[tuple[float, list]]:
         if self.index is None:
-            return out, evidence
-        for a in range(0, len(some), 4096):
-            at = some[a : a + 4096]
-            sims, who = self.index.search(dense([terms[i] for i in at], [counts[i] for i in at], self.idf), self.k)
-            raw = self._votes(sims, who, self.toxic[who], self.n[who])
-            out[at] = 0.99 * np.interp(raw, *self.knots) + 0.01 * raw
-            for i, s, w in zip(at.tolist(), sims[:, :3].tolist(), who[:, :3].tolist()):
-                evidence[i] = [{"doc_id": self.ids[j], "cosine": c, "toxic_share": self.toxic[j] / self.n[j]} for c, j in zip(s, w) if j >= 0]
-        return out, evidence
-
-
-def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, keep: str | None = None) -> tuple[ToxicityModel, DataFrame]:
-    """The model, and the term counts of all documents (written)."""
-    sample = training_labels(labels, examples)
-    words = choose_terms(docs, sample, terms)
-    counts = written(term_counts(docs, words, keep), "term-counts")
-    n = counts.count()
-    df = np.zeros(len(words))
-    for r in counts.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per term
-        df[r.t] = r.n
-    idf = np.log((n + 1) / (df + 1)) + 1
-    own = counts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    own = own.groupBy("terms", "counts").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).orderBy("doc_id").collect()  # at most EXAMPLES rows
-    model = ToxicityModel(idf, [r.terms for r in own], [r.counts for r in own], np.array([r.toxic for r in own], dtype=float), np.array([r.n for r in own], dtype=float), [r.doc_id for r in own])
-    return model, counts
-
-
-def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS, keep: str | None = None) -> DataFrame:
+            yield from ((self.none, []) for _ in raw)
+            return
+        ptr, word, counts = word_counts(raw, self.vocabulary)
+        w = unit(ptr, counts, self.factor[word])
+        seen = {}  # equal vectors of this chunk are searched once
+        for a, b in zip(ptr[:-1], ptr[1:]):
+            if a == b:
+                yield self.none, []
+                continue
+            key = word[a:b].tobytes(), counts[a:b].tobytes()
+            if key not in seen:
+                sims, who = self.index.search(word[a:b], w[a:b], self.k)
+                raw_vote = self.vote(sims, self.toxic[who], self.n[who])
+                evidence = [{"doc_id": int(self.ids[j]), "cosine": float(c), "toxic_share": float(self.toxic[j] / self.n[j])} for c, j in zip(sims[:3], who[:3])]
+                seen[key] = float(0.99 * np.interp(raw_vote, *self.knots) + 0.01 * raw_vote), evidence
+            yield seen[key]
+
+
+def flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in lists.chunks]) if lists.num_chunks else np.zeros(0, dtype=np.int64)
+
+
+def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES) -> ToxicityModel:
+    vectors = example_vectors(docs, labels, examples, example_bytes)
+    model = ToxicityModel(vectors.toArrow(), docs)  # at most EXAMPLES rows of EXAMPLE_BYTES of text
+    if model.index is None:
+        return model
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            got = []
+            for i, words, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                if len(words):
+                    got += m.left_out(np.searchsorted(m.vocabulary, words.values.to_numpy()), counts.values.to_numpy(), i)
+            v = list(zip(*got)) if got else [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()) for x in v], names=["vote", "label", "n"])
+
+    votes = vectors.select("doc_id", "words", "counts").mapInArrow(run, "vote double, label double, n double").orderBy("vote", "label", "n").toArrow()  # two rows an entry
+    model.knots = isotonic(*(votes.column(c).to_numpy() for c in ("vote", "label", "n")))
+    return model
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES, keep: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, evidence`` (the nearest examples), and the text column ``keep`` as ``kept``."""
-    model, counts = train(docs, labels, examples, terms, keep)
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, examples, example_bytes))
     kept = [] if keep is None else ["kept"]
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic_share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s, evidence = model.score(b.column(1).to_pylist(), b.column(2).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array(evidence, kind), *b.columns[3:]], names=["doc_id", "score", "evidence", *kept])
+            s, evidence = zip(*(x for raw in in_chunks(b.column(1)) for x in shared.value.score(raw))) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array(evidence, kind), *b.columns[2:]], names=["doc_id", "score", "evidence", *kept])
 
-    scored = counts.mapInArrow(run, ", ".join(["doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic_share:double>>", *(f"{c} string" for c in kept)]))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([] if keep is None else [keep]))
+    scored = rows.mapInArrow(run, ", ".join(["doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic_share:double>>", *(f"{c} string" for c in kept)]))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"), "evidence", *kept)
