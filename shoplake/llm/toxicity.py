@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import bounded_sample, text_or_empty, written
 from shoplake.llm.decontam import CHUNK_BYTES, words_of_bytes
 
-EXAMPLES = 10_000
-EXAMPLE_BYTES = 32 << 20
+EXAMPLES = 5_000
+EXAMPLE_BYTES = 16 << 20
 REST = 0.1
 NEIGHBOURS = 25
 BLOCK = 64
