@@ -11,10 +11,12 @@ told apart by 64-bit hashes. Examples with equal vectors are one entry with its
 label counts.
 
 The index holds a posting list per term, cut at blocks of entries, with the
-greatest weight of each list in each block. A document's bound for a block is
-the sum of those weights times its own; blocks are opened in order of their
-bounds until no bound reaches the k-th best cosine, so the neighbours are
-exactly those of a full scan (ties go to the smaller id). Their votes, weighted
+greatest weight of each list in each block. Lists that hold a sixteenth of the
+entries or more are kept dense, and their part of all products comes first. A
+document's bound for a block is the greatest of these plus the block's greatest
+weights times its own; blocks are opened in order of their bounds until no
+bound reaches the k-th best product, so the neighbours are exactly those of a
+full scan (cosines are rounded to 9 places, ties go to the smaller id). Their votes, weighted
 by distance, are smoothed by the usual share and mapped to a probability by
 isotonic regression on leave-one-out votes of the examples.
 
@@ -45,7 +47,8 @@ NEIGHBOURS = 25
 BLOCK = 64
 REJECT = 0.7
 Z = 2.58
-SLACK = 1e-9  # room for rounding in a bound
+SPARSE = 16
+SLACK = 2e-9  # room for rounding in a bound
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -156,7 +159,10 @@ def spread(first: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Posting lists of vectors that each have a term, with the greatest weight of each list in each block of entries."""
+    """Posting lists of vectors that each have a term, with the greatest weight of each list in each block of entries.
+
+    A list that holds more than a ``1 / SPARSE`` of the entries is kept dense, a row of ``common``.
+    """
 
     def __init__(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK):
         n, row = len(ptr) - 1, np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
@@ -164,41 +170,64 @@ class BlockMaxIndex:
         self.entry = np.lexsort((np.arange(n), strongest))  # entries with the same strongest term are neighbours
         place = np.empty(n, dtype=np.int64)
         place[self.entry] = np.arange(n)
-        order = np.lexsort((place[row], term))
-        term = term[order]
-        self.place, self.weight = place[row][order].astype(np.int32), weight[order].astype(np.float32)
-        self.blocks = -(-n // block)
-        cell = term * self.blocks + self.place // block
+        at = place[row]
+        often = np.bincount(term, minlength=n_terms) * SPARSE > n
+        self.dense = np.where(often, np.cumsum(often) - 1, -1)  # row of a dense list
+        self.common = np.zeros((int(often.sum()), n))
+        mine = often[term]
+        self.common[self.dense[term[mine]], at[mine]] = weight[mine]
+        term, at, weight = term[~mine], at[~mine], weight[~mine]
+        order = np.lexsort((at, term))
+        term, self.place, self.weight = term[order], at[order], weight[order]
+        self.starts = np.arange(0, n, block)
+        cell = term * len(self.starts) + self.place // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.cell_first = np.append(first, len(term)).astype(np.int32)
-        self.cell_block = (self.place[first] // block).astype(np.int32)
-        self.cell_max = np.maximum.reduceat(self.weight, first)
-        self.list_first = np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32)
-
-    def search(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` greatest positive products (all, if fewer) and their entries, ties by entry."""
+        self.cell_first = np.append(first, len(term))
+        self.cell_block = self.place[first] // block
+        self.cell_max = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        self.list_first = np.searchsorted(term[first], np.arange(n_terms + 1))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms, weights) the ``k`` greatest positive products (all, if fewer) and their entries, ties by entry."""
+        for a in range(0, len(queries), 256):
+            part = queries[a : a + 256]
+            q = np.zeros((len(part), len(self.common)))
+            for i, (term, weight) in enumerate(part):
+                d = self.dense[term]
+                q[i, d[d >= 0]] = weight[d >= 0]
+            for (term, weight), sims in zip(part, q @ self.common):
+                some = self.dense[term] < 0
+                yield self._rest(term[some], weight[some], sims, k)
+
+    def _rest(self, term: np.ndarray, weight: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The search of one query, whose products over the dense lists are ``sims``."""
         length = self.list_first[term + 1] - self.list_first[term]
         cells, w = spread(self.list_first[term], length), np.repeat(weight, length)
         block = self.cell_block[cells]
-        bound = np.bincount(block, w * self.cell_max[cells], self.blocks)
+        rest = np.bincount(block, w * self.cell_max[cells], len(self.starts))
+        bound = np.maximum.reduceat(sims, self.starts) + rest
         first = np.argsort(-bound, kind="stable")
-        bound = bound[first]
-        sims = np.zeros(len(self.entry))
-        at, step, least = 0, 4, 0.0  # the k-th best so far
-        while at < self.blocks and bound[at] > 0 and bound[at] >= least - SLACK:
-            opened = np.zeros(self.blocks, dtype=bool)
-            opened[first[at : at + step][bound[at : at + step] >= least - SLACK]] = True
+        first = first[rest[first] > 0]  # the others have their full products
+        at, step = 0, 8
+        while True:
+            least = np.partition(sims, len(sims) - k)[len(sims) - k] if len(sims) > k else 0.0  # products so far are lower bounds
+            some = first[at : at + step]
+            some = some[bound[some] >= least - SLACK]
+            if not len(some):
+                break
+            opened = np.zeros(len(self.starts), dtype=bool)
+            opened[some] = True
             mine = opened[block]
             lo = self.cell_first[cells[mine]]
             length = self.cell_first[cells[mine] + 1] - lo
             post = spread(lo, length)
             sims += np.bincount(self.place[post], np.repeat(w[mine], length) * self.weight[post], len(sims))
-            at, step = at + step, step * 4
-            if len(sims) > k:
-                least = np.partition(sims, len(sims) - k)[len(sims) - k]
-        best = np.flatnonzero((sims >= least) & (sims > 0))
-        best = best[np.lexsort((self.entry[best], -sims[best]))[:k]]
-        return sims[best], self.entry[best]
+            at, step = at + step, step * 8
+        best = np.flatnonzero((sims >= least - SLACK) & (sims > SLACK))
+        cosine = np.round(sims[best], 9)
+        best = self.entry[best]
+        order = np.lexsort((best, -cosine))[:k]
+        return cosine[order], best[order]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,14 +267,16 @@ class ToxicityModel:
         w = 1 / (1.05 - np.minimum(sims, 1.0))
         return float(((w * toxic).sum() + self.share) / ((w * n).sum() + 1))
 
-    def left_out(self, word: np.ndarray, counts: np.ndarray, doc_id: int) -> Iterator[tuple[float, float, float]]:
+    def left_out(self, words: list[np.ndarray], counts: list[np.ndarray], ids: list[int]) -> Iterator[tuple[float, float, float]]:
         """Votes of an entry's neighbours with one of its examples of a label left out: vote, label, examples of it."""
-        sims, who = self.index.search(word, unit(np.array([0, len(word)]), counts, self.factor[word]), self.k + 1)
-        me = self.ids[who] == doc_id
-        own = int(np.searchsorted(self.ids, doc_id))
-        for label, weight in ((1.0, self.toxic[own]), (0.0, self.n[own] - self.toxic[own])):
-            if weight:
-                yield self.vote(sims, self.toxic[who] - me * label, self.n[who] - me), label, float(weight)
+        at = [np.searchsorted(self.vocabulary, w) for w in words]
+        queries = [(t, unit(np.array([0, len(t)]), c, self.factor[t])) for t, c in zip(at, counts)]
+        for doc_id, (sims, who) in zip(ids, self.index.search(queries, self.k + 1)):
+            me = self.ids[who] == doc_id
+            own = int(np.searchsorted(self.ids, doc_id))
+            for label, weight in ((1.0, self.toxic[own]), (0.0, self.n[own] - self.toxic[own])):
+                if weight:
+                    yield self.vote(sims, self.toxic[who] - me * label, self.n[who] - me), label, float(weight)
 
     def score(self, raw: list[bytes]) -> Iterator[tuple[float, list]]:
         if self.index is None:
@@ -253,18 +284,16 @@ class ToxicityModel:
             return
         ptr, word, counts = word_counts(raw, self.vocabulary)
         w = unit(ptr, counts, self.factor[word])
-        seen = {}  # equal vectors of this chunk are searched once
-        for a, b in zip(ptr[:-1], ptr[1:]):
-            if a == b:
-                yield self.none, []
-                continue
-            key = word[a:b].tobytes(), counts[a:b].tobytes()
-            if key not in seen:
-                sims, who = self.index.search(word[a:b], w[a:b], self.k)
-                raw_vote = self.vote(sims, self.toxic[who], self.n[who])
-                evidence = [{"doc_id": int(self.ids[j]), "cosine": float(c), "toxic_share": float(self.toxic[j] / self.n[j])} for c, j in zip(sims[:3], who[:3])]
-                seen[key] = float(0.99 * np.interp(raw_vote, *self.knots) + 0.01 * raw_vote), evidence
-            yield seen[key]
+        keys = [(word[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(ptr[:-1], ptr[1:])]
+        first = {key: i for i, key in reversed(list(enumerate(keys))) if key[0]}  # equal vectors of this chunk are searched once
+        queries = [(word[ptr[i] : ptr[i + 1]], w[ptr[i] : ptr[i + 1]]) for i in first.values()]
+        found = {key: self._scored(sims, who) for key, (sims, who) in zip(first, self.index.search(queries, self.k))}
+        yield from (found.get(key, (self.none, [])) for key in keys)
+
+    def _scored(self, sims: np.ndarray, who: np.ndarray) -> tuple[float, list]:
+        raw = self.vote(sims, self.toxic[who], self.n[who])
+        evidence = [{"doc_id": int(self.ids[j]), "cosine": float(c), "toxic_share": float(self.toxic[j] / self.n[j])} for c, j in zip(sims[:3], who[:3])]
+        return float(0.99 * np.interp(raw, *self.knots) + 0.01 * raw), evidence
 
 
 def flat(lists: pa.ChunkedArray) -> np.ndarray:
@@ -281,10 +310,8 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            got = []
-            for i, words, counts in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
-                if len(words):
-                    got += m.left_out(np.searchsorted(m.vocabulary, words.values.to_numpy()), counts.values.to_numpy(), i)
+            rows = [(x.values.to_numpy(), c.values.to_numpy(), i) for x, c, i in zip(b.column(1), b.column(2), b.column(0).to_pylist()) if len(x)]
+            got = list(m.left_out(*zip(*rows))) if rows else []
             v = list(zip(*got)) if got else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()) for x in v], names=["vote", "label", "n"])
 

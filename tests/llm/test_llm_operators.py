@@ -1,9 +1,11 @@
 """The training-data operators against plain references, with odd rows in every column."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -224,16 +226,77 @@ def test_fm_index_finds_every_occurrence():
 # -- toxicity -------------------------------------------------------------------------------------
 
 
-def test_block_max_search_equals_a_full_scan():
+@pytest.mark.parametrize("share", [0.02, 0.15, 0.6])
+def test_block_max_search_equals_a_full_scan(share):
     rng = np.random.default_rng(4)
-    x = rng.random((300, 30)).astype(np.float32) * (rng.random((300, 30)) < 0.15)
+    x = rng.random((300, 60)) * (rng.random((300, 60)) < share * rng.random(60) * 2)
     x = x[x.any(axis=1)]
+    x = np.concatenate((x, x[:20]))  # ties
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    q = x[rng.permutation(len(x))[:60]]
-    sims, who = toxicity.BlockMaxIndex(x, 8).search(q, 7)
-    full = np.sort(q @ x.T, axis=1)[:, ::-1][:, :7]
-    assert np.allclose(sims, np.maximum(full, 0), atol=1e-5)
-    assert np.allclose(np.take_along_axis(q @ x.T, np.maximum(who, 0), 1)[who >= 0], sims[who >= 0], atol=1e-5)
+    row, term = np.nonzero(x)
+    index = toxicity.BlockMaxIndex(np.append(0, np.cumsum(np.bincount(row))), term, x[row, term], 60, 8)
+    q = [x[i] for i in rng.permutation(len(x))[:60]]
+    for one, (sims, who) in zip(q, index.search([(np.flatnonzero(v), v[v > 0]) for v in q], 7)):
+        full = np.round(x @ one, 9)
+        want = np.lexsort((np.arange(len(x)), -full))[:7]
+        want = want[full[want] > 0]
+        assert np.allclose(sims, full[want], atol=2e-9) and who.tolist() == want.tolist()
+
+
+def toxicity_reference(texts, labels, share_of):
+    """Scores before calibration: votes of the nearest examples by a full scan over all words."""
+    word = re.compile(rb"[0-9a-z\x80-\xff]+")
+    counts = [Counter(word.findall((t or "").encode().lower())) for t in texts]
+    df = Counter(w for c in counts for w in c)
+    entries = {}
+    for i, y in labels.items():
+        e = entries.setdefault(frozenset(counts[i].items()), [i, 0, 0])
+        e[0], e[1], e[2] = min(e[0], i), e[1] + y, e[2] + 1
+    held, bad = Counter(), Counter()
+    for key, (_, y, n) in entries.items():
+        for w, _ in key:
+            held[w] += n
+            bad[w] += y
+    z, factor = toxicity.Z, {}
+    for w, n in held.items():
+        p = bad[w] / n
+        low = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        factor[w] = (math.log((len(texts) + 1) / (df[w] + 1)) + 1) * (toxicity.REST + math.log(max(1, low / share_of)))
+
+    def vector(c):
+        v = {w: (1 + math.log(f)) * factor[w] for w, f in c if w in factor}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    index = sorted((i, y, n, vector(key)) for key, (i, y, n) in entries.items() if key)
+    votes = []
+    for c in counts:
+        v = vector(c.items())
+        near = [(-round(sum(x * e.get(w, 0) for w, x in v.items()), 9), i, y, n) for i, y, n, e in index]
+        near = [x for x in sorted(near) if x[0] < 0][: toxicity.NEIGHBOURS]
+        weight = [1 / (1.05 - min(-x[0], 1)) for x in near]
+        top, all_ = (sum(w * x[j] for w, x in zip(weight, near)) for j in (2, 3))
+        votes.append(((top + share_of) / (all_ + 1), [x[1] for x in near[:3]]) if v else None)
+    return votes
+
+
+def test_toxicity_equals_a_full_scan(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randint(1, 40)) + (" blorf" if i % 6 == 0 else "") + f" w{rng.randint(0, 60)}" for i in range(150)]
+    texts += ["", None, "!!", texts[3], texts[6], "sky " * 30000 + texts[12], "unheard of"]
+    labels = {i: int(i % 6 == 0) for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 != 1 and i % 7}
+    share = sum(labels.values()) / len(labels)
+    votes = toxicity_reference(texts, labels, share)
+    lab = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    docs = frame(spark, texts).repartition(4)
+    model = toxicity.train(docs, lab)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, lab).collect()}
+    for i, want in enumerate(votes):
+        if want is None:
+            assert got[i].score == model.none and got[i].evidence == []
+        else:
+            assert [e.doc_id for e in got[i].evidence] == want[1]
+            assert got[i].score == pytest.approx(0.99 * np.interp(want[0], *model.knots) + 0.01 * want[0], abs=1e-6)
 
 
 def test_toxicity(spark, docs, empty):
