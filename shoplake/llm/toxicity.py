@@ -34,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,6 +166,7 @@ class BlockMaxIndex:
     """
 
     def __init__(self, ptr: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int = BLOCK):
+        self.parts = ptr, term.astype(np.int32), weight, n_terms, block
         n, row = len(ptr) - 1, np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
         strongest = term[np.lexsort((-weight, row))[ptr[:-1]]]
         self.entry = np.lexsort((np.arange(n), strongest))  # entries with the same strongest term are neighbours
@@ -180,13 +182,16 @@ class BlockMaxIndex:
         order = np.lexsort((at, term))
         term, self.place, self.weight = term[order], at[order], weight[order]
         self.starts = np.arange(0, n, block)
-        cell = term * len(self.starts) + self.place // block
+        cell = term.astype(np.int64) * len(self.starts) + self.place // block
         first = np.flatnonzero(np.diff(cell, prepend=-1))
         self.cell_first = np.append(first, len(term))
         self.cell_block = self.place[first] // block
         self.cell_max = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
         self.list_first = np.searchsorted(term[first], np.arange(n_terms + 1))
 
+    def __reduce__(self):
+        return BlockMaxIndex, self.parts  # tasks get the vectors and build the lists
+
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each query (terms, weights) the ``k`` greatest positive products (all, if fewer) and their entries, ties by entry."""
         for a in range(0, len(queries), 256):
@@ -300,12 +305,13 @@ def flat(lists: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in lists.chunks]) if lists.num_chunks else np.zeros(0, dtype=np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES) -> tuple[ToxicityModel, Broadcast]:
+    """The calibrated model, and the model as it was broadcast before (without knots)."""
     vectors = example_vectors(docs, labels, examples, example_bytes)
     model = ToxicityModel(vectors.toArrow(), docs)  # at most EXAMPLES rows of EXAMPLE_BYTES of text
-    if model.index is None:
-        return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model.index is None:
+        return model, shared
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -317,18 +323,21 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_
 
     votes = vectors.select("doc_id", "words", "counts").mapInArrow(run, "vote double, label double, n double").orderBy("vote", "label", "n").toArrow()  # two rows an entry
     model.knots = isotonic(*(votes.column(c).to_numpy() for c in ("vote", "label", "n")))
-    return model
+    return model, shared
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, example_bytes: int = EXAMPLE_BYTES, keep: str | None = None) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted, evidence`` (the nearest examples), and the text column ``keep`` as ``kept``."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, examples, example_bytes))
+    model, shared = train(docs, labels, examples, example_bytes)
+    knots = model.knots
     kept = [] if keep is None else ["kept"]
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic_share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        m.knots = knots
         for b in batches:
-            s, evidence = zip(*(x for raw in in_chunks(b.column(1)) for x in shared.value.score(raw))) if b.num_rows else ((), ())
+            s, evidence = zip(*(x for raw in in_chunks(b.column(1)) for x in m.score(raw))) if b.num_rows else ((), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64()), pa.array(evidence, kind), *b.columns[2:]], names=["doc_id", "score", "evidence", *kept])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([] if keep is None else [keep]))
