@@ -155,12 +155,17 @@ def known_pairs(spark: SparkSession) -> DataFrame:
     return one.groupBy("family").agg(F.collect_list(F.when(F.col("long"), F.col("t"))).alias("ts"), F.collect_list(F.when(~F.col("long"), F.col("t"))).alias("hs"))
 
 
+def _once(rows: DataFrame, values: Column) -> DataFrame:
+    """Adds the fields of a struct; a filter on them is not pushed below the generator, where it would compute them again at each mention."""
+    return rows.select("*", F.inline(F.array(values)))
+
+
 def with_pairs(rows: DataFrame, where: Column | None = None) -> DataFrame:
     """Adds ``hit``, the paragraph's word pairs that some template holds, and ``n_own``, its number of pairs (null unless ``where``)."""
     pairs = sorted({x for r in known_pairs(rows.sparkSession).collect() for t in [*r.ts, *r.hs] for x in t})  # of the templates
     own = F.element_at(F.transform(F.array(_words(F.col("paragraph"))), _pairs), 1)
-    both = F.element_at(F.transform(F.array(own), lambda o: F.struct(F.filter(o, lambda x: x.isin(pairs)).alias("hit"), F.size(o).alias("n"))), 1)
-    return rows.withColumn("_both", both if where is None else F.when(where, both)).withColumns({"hit": F.col("_both.hit"), "n_own": F.col("_both.n")}).drop("_both")
+    both = F.element_at(F.transform(F.array(own), lambda o: F.struct(F.filter(o, lambda x: x.isin(pairs)).alias("hit"), F.size(o).alias("n_own"))), 1)
+    return _once(rows, both if where is None else F.when(where, both))
 
 
 def similarity(ts: Column, hs: Column) -> Column:
@@ -210,11 +215,26 @@ def _pattern(keys: list[str]) -> str:
     return f"(?<![\\p{{L}}\\p{{N}}]){branch(tree)}(?![\\p{{L}}\\p{{N}}])" if keys else "(?!)"
 
 
-def _confirmed(rows: DataFrame, where: Column | None = None) -> DataFrame:
-    """Adds ``confirmed``: some template of any family confirms the paragraph (false unless ``where``)."""
+def deciding_pairs(known: list[list[str]], share: dict[str, float]) -> list[str]:
+    """Of each template the pairs with the rarest words, so many that whoever shares ``CONFIRM`` of its pairs has one of them."""
+    out: set[str] = set()
+    for t in known:
+        least = next(k for k in range(len(t) + 1) if k / len(t) >= CONFIRM)
+        out.update(sorted(t, key=lambda x: (min(share.get(w, 0) for w in x.split(" ")), x))[: len(t) - least + 1])
+    return sorted(out)
+
+
+def _confirmed(rows: DataFrame, where: Column | None = None, share: dict[str, float] | None = None) -> DataFrame:
+    """Adds ``confirmed``: some template of any family confirms the paragraph (false unless ``where``).
+
+    Only a paragraph that shares ``CONFIRM`` of its own pairs or holds a deciding pair of a template is compared with
+    the templates: no other reaches the limit. ``share`` of the words in the corpus makes deciding pairs rare.
+    """
     known = known_pairs(rows.sparkSession).collect()  # of the templates, of fixed size: literals, so no row carries them
     ts, hs = (F.from_json(F.lit(json.dumps([t for r in known for t in r[c]])), "array<array<string>>") for c in ("ts", "hs"))
-    return with_pairs(rows, where).withColumn("confirmed", similarity(ts, hs) >= CONFIRM).drop("hit", "n_own")
+    rare = deciding_pairs([t for r in known for t in [*r.ts, *r.hs]], share or {})
+    may = (F.size("hit") / F.greatest(F.col("n_own"), F.lit(3)) >= CONFIRM) | F.exists("hit", lambda x: x.isin(rare))
+    return with_pairs(rows, where).withColumn("confirmed", F.when(may, similarity(ts, hs) >= CONFIRM).otherwise(False)).drop("hit", "n_own")
 
 
 def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) -> LicenceModel:
@@ -240,7 +260,7 @@ def train(spark: SparkSession, docs: DataFrame, background: int = BACKGROUND) ->
     # a confirmed line holds a rare word of its template: only such lines are compared with the templates
     guess, _ = seen(marked(pool))
     may = sorted({w for t in texts for w in t if guess.get(w, 0) < RARE} | {min(t, key=lambda w: guess.get(w, 0)) for t in texts})
-    often, total = seen(_confirmed(marked(paragraphs(docs)), F.exists("marks", lambda w: w.isin(may))).where("not confirmed"))
+    often, total = seen(_confirmed(marked(paragraphs(docs)), F.exists("marks", lambda w: w.isin(may)), guess).where("not confirmed"))
     grams = {r.g for r in known.select(F.explode(_grams(F.col("paragraph"))).alias("g")).distinct().collect()}  # of the templates
     key = {g: min(g.split(" "), key=lambda w: (often.get(w, 0), -len(w), w)) for g in grams}
     vocab = sorted(g for g in grams if often.get(key[g], 0) < RARE)
@@ -266,7 +286,10 @@ def find_licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     model = train(spark, docs, background)
     likely_docs = docs.where(F.lower("text").rlike(model.pattern))
     may = paragraphs(likely_docs).unionByName(wrapped(likely_docs, model.pattern)).where(F.lower("paragraph").rlike(model.pattern))
-    scored = model.stages.transform(may.withColumn("grams", _grams(F.col("paragraph")))).withColumn("p", vector_to_array("probability"))
+    count, logistic = model.stages.stages
+    counted = count.transform(_once(may, F.struct(_grams(F.col("paragraph")).alias("grams")))).withColumnRenamed("features", "_f").drop("grams")
+    scored = logistic.transform(_once(counted, F.struct(F.col("_f").alias("features"))).drop("_f"))
+    scored = _once(scored.select(*may.columns, F.col("prediction").alias("_n"), vector_to_array("probability").alias("_p")), F.struct(F.col("_n").alias("prediction"), F.col("_p").alias("p")))
     family = F.element_at(F.lit(FAMILIES), F.col("prediction").cast("int") + 1)
     likely = scored.where(F.col("prediction") > 0).select(
         "doc_id", "k", "block", "pos", "paragraph", family.alias("family"), F.element_at("p", F.col("prediction").cast("int") + 1).alias("probability")
