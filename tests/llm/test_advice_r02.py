@@ -86,3 +86,31 @@ def test_a_row_goes_by_its_own_text(spark, tmp_path):
     got = P.drop_toxic(spark, frame(spark, [*texts, bad, clean, bad, clean], ids), str(tmp_path)).collect()
     want = [(i, t) for i, t in zip(ids, [*texts, bad, clean, bad, clean]) if "blorf" not in t]
     assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_prefilter_of_templates_loses_no_confirmed_line(spark):
+    """Parts, mixtures and stretched forms of all templates, against the comparison with every template."""
+    every = [t.split() for _, t in [*licences.templates(), *licences.headings()]]
+    lines = {" ".join(w[a:b]) for w in every for a in range(0, len(w), 3) for b in range(a + 1, len(w) + 1, 2)}
+    lines |= {" ".join([*w[: len(w) // 2 + 1], "of", "the", "public", *v[len(v) // 3 :]]) for w, v in zip(every, reversed(every))}
+    lines |= {" ".join(x for i, word in enumerate(w) for x in ([word, "word"] if i % 4 == 3 else [word])) for w in every}
+    rows = spark.createDataFrame([(x,) for x in sorted(lines)], "paragraph string")
+    known = licences.known_pairs(spark).collect()
+    share = {"the": 0.5, "of": 0.4, "license": 0.01}
+
+    pairs = {r.paragraph: set(r.own) for r in rows.withColumn("own", licences._pairs(licences._words(rows["paragraph"]))).collect()}
+
+    def confirmed(line: str) -> bool:
+        own = pairs[line]
+        for r in known:
+            for t in r.ts:
+                if len(own & set(t)) / min(len(t), max(len(own), 3)) >= licences.CONFIRM:
+                    return True
+            for h in r.hs:
+                if len(own) <= 12 + licences.SLACK and len(own & set(h)) / max(len(h), len(own) - licences.SLACK) >= licences.CONFIRM:
+                    return True
+        return False
+
+    got = {r.paragraph: r.confirmed for r in licences._confirmed(rows, None, share).collect()}
+    assert got == {x: confirmed(x) for x in lines}
+    assert 0 < sum(got.values()) < len(got)
