@@ -16,7 +16,7 @@ def test_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
     assert len(P.STAGES) == 5 and P.ORACLE_SQL is None
 
 
