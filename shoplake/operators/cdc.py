@@ -5,9 +5,9 @@ updates with a non-empty ``data`` -> inner join with the config on
 (table, type) -> keep only the configured columns -> split by ``sink_type``
 (kafka: topic rows, hbase: dimension rows, anything else: dropped).
 
-The planner picks the config join from run-time sizes (a config table is
-small, so it is broadcast and the change stream is not shuffled). A change
-stream of the config is joined as of each change's position instead.
+The config table is small, so it is broadcast, by a hint, and the change stream is not shuffled:
+by its own estimate of parsed text the planner may broadcast the changes instead. A change
+stream of the config is joined as of each change's position instead, both sides shuffled.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """
     tp = one_per_key(config)
     cond = (changes["table"] == tp["source_table"]) & (changes["type"] == tp["operate_type"])
-    joined = changes.join(tp, cond, "inner")
+    joined = changes.join(F.broadcast(tp), cond, "inner")
     return joined.select(
         "seq",
         "value",
@@ -106,7 +106,7 @@ def route_changes_as_of(changes: DataFrame, config_changes: DataFrame, buckets:
     c = changes.withColumn("_at", bucket(F.col("seq")))
     in_force = (c["seq"] >= v["config_seq"]) & (v["_until"].isNull() | (c["seq"] < v["_until"]))
     cond = (c["table"] == v["source_table"]) & (c["type"] == v["operate_type"]) & (c["_at"] == v["_bucket"]) & in_force
-    return c.join(v, cond, "inner").select(
+    return c.join(v.hint("merge"), cond, "inner").select(
         "seq", "value", keep_keys("data", "sink_columns").alias("data"), *[v[x] for x in TABLE_PROCESS_COLUMNS], "config_seq")
 
 
