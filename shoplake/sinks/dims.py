@@ -13,55 +13,47 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shoplake.operators import upsert
 from shoplake.operators.order_wide import Dim
 
 
-def table_struct(sink_columns: str) -> T.StructType:
-    """All-text schema of a dimension table from its comma list of columns."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in sink_columns.split(",")])
+TABLE_PARTS = 16  # folders of a batch of the changelog
 
 
-def table_exists(spark: SparkSession, folder: str) -> bool:
+def table_part(sink_table) -> Column:
+    return F.pmod(F.xxhash64(sink_table), F.lit(TABLE_PARTS)).cast("int")
+
+
+def list_tables(spark: SparkSession, root: str) -> DataFrame:
+    """Every created table: ``sink_table, columns`` (in order, all text)."""
+    ddl = "sink_table string, columns array<string>"
     try:
-        spark.read.parquet(folder).schema
-        return True
+        return spark.read.schema(ddl).parquet(f"{root.rstrip('/')}/tables")
     except AnalysisException:
-        return False
+        return spark.createDataFrame([], ddl)
 
 
-def ensure_tables(spark: SparkSession, dim_rows: DataFrame, root: str) -> list[str]:
-    """Create the empty table of every target table first seen in ``dim_rows``.
-
-    Only the first row's config per target table is brought to the driver:
-    its size is bounded by the number of configured tables, not by the data.
-    Returns the names of tables created now.
-    """
-    firsts = upsert.table_schemas(dim_rows).groupBy("sink_table").agg(
-        F.sort_array(F.collect_list(F.struct("position", "column_name"))).alias("cols"))
-    created = []
-    for row in firsts.collect():
-        folder = f"{root.rstrip('/')}/tables/{row.sink_table}"
-        if table_exists(spark, folder):
-            continue
-        cols = ",".join(c.column_name for c in row.cols)
-        spark.createDataFrame([], table_struct(cols)).write.mode("ignore").parquet(folder)
-        created.append(row.sink_table)
-    return created
+def ensure_tables(spark: SparkSession, dim_rows: DataFrame, root: str) -> None:
+    """List every target table first seen in ``dim_rows``, one row a table, by its first row's config."""
+    cols = F.sort_array(F.collect_list(F.struct("position", "column_name")))
+    firsts = upsert.table_schemas(dim_rows).groupBy("sink_table").agg(F.transform(cols, lambda c: c["column_name"]).alias("columns"))
+    fresh = firsts.join(list_tables(spark, root), "sink_table", "left_anti")
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(f"{root.rstrip('/')}/tables")
 
 
 def append_changelog(upserts: DataFrame, root: str, batch_id: int | None = None) -> None:
     """Append upsert rows; with ``batch_id`` the write is idempotent per batch."""
     base = f"{root.rstrip('/')}/dim_changelog"
+    rows = upserts.withColumn("table_part", table_part("sink_table"))
     if batch_id is None:
-        upserts.write.mode("append").partitionBy("sink_table").parquet(base)
+        rows.write.mode("append").partitionBy("table_part").parquet(base)
     else:
-        upserts.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .partitionBy("sink_table").parquet(f"{base}/batch={batch_id}")
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+            .partitionBy("table_part").parquet(f"{base}/batch={batch_id}")
 
 
 ROW = ["sink_table", "pk", "seq", "data", "sink_columns", "sink_pk"]
@@ -75,17 +67,23 @@ def newest_snapshot(spark: SparkSession, root: str) -> int | None:
         return None
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The stored rows: the newest snapshot and the batches after it. A later micro-batch wins over ``seq``:
+def _of_table(rows: DataFrame, sink_table: str | None) -> DataFrame:
+    if sink_table is None:
+        return rows
+    return rows.where((F.col("table_part") == table_part(F.lit(sink_table))) & (F.col("sink_table") == sink_table))
+
+
+def read_current(spark: SparkSession, root: str, sink_table: str | None = None) -> DataFrame:
+    """The stored rows, of one table if it is named: the newest snapshot and the batches after it. A later micro-batch wins over ``seq``:
     positions of different topic partitions say nothing about which row came first."""
     base = root.rstrip("/")
-    log = spark.read.parquet(f"{base}/dim_changelog")
+    log = _of_table(spark.read.parquet(f"{base}/dim_changelog"), sink_table)
     if "batch_id" not in log.columns:
         return upsert.current_rows(log.select(*ROW))
     upto = newest_snapshot(spark, base)
     if upto is not None:
-        log = log.where(F.col("batch") > upto).select(*ROW, "batch_id").unionByName(
-            spark.read.parquet(f"{base}/dim_snapshot/upto={upto}").select(*ROW, "batch_id"))
+        snapshot = _of_table(spark.read.parquet(f"{base}/dim_snapshot/upto={upto}"), sink_table)
+        log = log.where(F.col("batch") > upto).select(*ROW, "batch_id").unionByName(snapshot.select(*ROW, "batch_id"))
     return upsert.current_rows(log.select(*ROW, "batch_id"), ["batch_id", "seq"])
 
 
@@ -101,7 +99,8 @@ def compact(spark: SparkSession, root: str) -> int | None:
     upto = log.select(F.max("batch")).first()[0]
     if upto is not None and upto != newest_snapshot(spark, base):
         rows = read_current(spark, base).withColumn("sink_columns", F.array_join(F.map_keys("data"), ","))
-        rows.withColumn("batch_id", F.lit(upto)).write.mode("overwrite").partitionBy("sink_table").parquet(f"{base}/dim_snapshot/upto={upto}")
+        rows = rows.withColumn("batch_id", F.lit(upto)).withColumn("table_part", table_part("sink_table"))
+        rows.write.mode("overwrite").partitionBy("table_part").parquet(f"{base}/dim_snapshot/upto={upto}")
     return upto
 
 
@@ -112,6 +111,8 @@ def read_dims(spark: SparkSession, root: str, specs: Sequence[Dim]) -> list[tupl
 
 def current_table(spark: SparkSession, root: str, sink_table: str) -> DataFrame:
     """One dimension table as columns: its configured columns, all text."""
-    cur = read_current(spark, root).where(F.col("sink_table") == sink_table)
-    cols = [f.name for f in spark.read.parquet(f"{root.rstrip('/')}/tables/{sink_table}").schema.fields]
-    return cur.select(*[F.col("data")[c].alias(c) for c in cols])
+    table = list_tables(spark, root).where(F.col("sink_table") == sink_table).first()
+    if table is None:
+        raise ValueError(f"no table {sink_table!r} under {root}")
+    cur = read_current(spark, root, sink_table)
+    return cur.select(*[F.col("data")[c].alias(c) for c in table.columns])
