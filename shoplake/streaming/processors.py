@@ -1,13 +1,14 @@
 """Stateful processors (event time) for the streaming forms of the new-visitor
 repair, the daily unique visitor and the bounce pattern.
 
-Processors of a device and a short span of time (``transformWithState``) see
-few rows a group and take them one by one; those of a whole device
+Processors of a span of time and one of its parts (``transformWithState``) take
+their rows one by one; those of a whole device
 (``transformWithStateInPandas``) are vectorized over its rows of a micro-batch. Rows are kept in state as
 ``(ts, seq, value)``: the raw JSON text plus its event time in ms and
 arrival position. The text is parsed again downstream, so state stays small
-and typed. A group is a device, or a device and a time bucket where a device
-of any share of the rows has to spread over tasks; such steps are chained.
+and typed. A call of the state store or a timer costs far more than a row, so
+a group holds many devices: a part is a hash of the arrival position, or of the device and
+its time bucket, so a device of any share of the rows spreads over tasks. Such steps are chained.
 
 Timing follows the original's event-time rules:
 
@@ -30,6 +31,8 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -41,12 +44,16 @@ from shoplake.settings import WINDOW_MS
 BUFFER_DDL = "w_end bigint, ts bigint, seq bigint, value string"
 BUFFER_COLS = ["w_end", "ts", "seq", "value"]
 
-WINDOW_PARTS = "mid string, part int, ts bigint, seq bigint, rows array<struct<ts: bigint, seq: bigint, value: string>>, at timestamp"
-REPAIR_OUTPUT = "rows array<struct<ts: bigint, seq: bigint, value: string>>, is_first boolean"
+WINDOW_PARTS = "mid string, part bigint, ts bigint, seq bigint, value string, at timestamp"
+REPAIR_OUTPUT = "value string, seq bigint, is_first boolean"
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
-BOUNCE_BUFFER_DDL = "ts bigint, seq bigint, is_entry boolean, value string"
+BOUNCE_BUFFER_DDL = "mid string, ts bigint, seq bigint, is_entry boolean, value string"
 BOUNCE_PARTS = "mid string, kind string, ts bigint, seq bigint, is_entry boolean, value string, at timestamp"
 BOUNCE_OUTPUT = "kind string, value string, seq bigint, ts bigint"
+CLOSED_ROW = Row("mid", "part", "ts", "seq", "value", "at")
+REPAIRED_ROW = Row("value", "seq", "is_first")
+BOUNCE_PART = Row("mid", "kind", "ts", "seq", "is_entry", "value", "at")
+BOUNCE_ROW = Row("kind", "value", "seq", "ts")
 
 
 def day_text(ms: pd.Series, time_zone: str = "UTC") -> pd.Series:
@@ -117,41 +124,86 @@ class _WindowBuffer(StatefulProcessor):
         raise NotImplementedError
 
 
-class ClosedWindow(StatefulProcessor):
-    """Rows of one device, window and part of it, given out once, when the window closes.
+class _OpenRows(StatefulProcessor):
+    """Keeps rows until the watermark reaches their last field. Only the earliest such time has a timer."""
 
-    The least row goes on for the device's own group (``part`` 0), the others
+    FIELDS: str
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", f"{self.FIELDS}, until bigint")
+        self.armed = handle.getValueState("armed", "until bigint")
+
+    def hold(self, rows: list[tuple]) -> None:
+        if not rows:
+            return
+        self.buf.appendList(rows)
+        first, armed = min(r[-1] for r in rows), self.armed.get()
+        if armed is None or first < armed[0]:
+            if armed is not None:
+                self.handle.deleteTimer(armed[0])
+            self._arm(first)
+
+    def _arm(self, until: int) -> None:
+        self.handle.registerTimer(until)
+        self.armed.update((until,))
+
+    def take(self, watermark: int) -> list[tuple]:
+        """The rows whose time has come; the others stay."""
+        due, rest = [], []
+        for r in self.buf.get():
+            (due if r[-1] <= watermark else rest).append(tuple(r))
+        if rest:
+            self.buf.put(rest)
+            self._arm(min(r[-1] for r in rest))
+        else:
+            self.buf.clear()
+            self.armed.clear()
+        return due
+
+
+class ClosedWindow(_OpenRows):
+    """Rows of the windows of one span of time and part of it, given out when their window closes.
+
+    The least row of each device goes on for the device's own group (``part`` 0), the others
     for a group of their own. Rows whose window has closed are late; they go on with
     ``part`` -1.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buf = handle.getListState("buf", "ts bigint, seq bigint, value string")
+    FIELDS = "mid string, ts bigint, seq bigint, value string"
+
+    def __init__(self, split: int) -> None:
+        self.split = split
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = [(r.ts, r.seq, r.value) for r in rows]
-        w_end, wm = int(key[1]), timerValues.getCurrentWatermarkInMs()
-        if held and w_end <= wm:
-            yield _closed_rows(key, -1, held, wm + 1)
-        elif held:
-            self.handle.registerTimer(w_end)
-            self.buf.appendList(held)
+        wm, held = timerValues.getCurrentWatermarkInMs(), []
+        for r in rows:
+            if r.w_end <= wm:
+                yield CLOSED_ROW(r.mid, -1, r.ts, r.seq, r.value, _time(wm + 1))
+            else:
+                held.append((r.mid, r.ts, r.seq, r.value, r.w_end))
+        self.hold(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        rows = sorted(tuple(r) for r in self.buf.get())
-        self.buf.clear()
-        for part, some in ((0, rows[:1]), (int(key[2]) + 1, rows[1:])):
-            if some:
-                yield _closed_rows(key, part, some, int(key[1]))
+        due = sorted(self.take(timerValues.getCurrentWatermarkInMs()), key=device_order)
+        others, last = int(key[0]) * self.split + int(key[1]) + 1, None
+        for mid, ts, seq, value, w_end in due:
+            yield CLOSED_ROW(mid, others if mid == last else 0, ts, seq, value, _time(w_end))
+            last = mid
 
 
 def _time(ms: int) -> datetime:
     return datetime.fromtimestamp(ms / 1000, timezone.utc)
 
 
-def _closed_rows(key, part: int, rows: list[tuple], at_ms: int) -> Row:
-    return Row(mid=key[0], part=part, ts=rows[0][0], seq=rows[0][1], rows=[Row(ts=t, seq=s, value=v) for t, s, v in rows], at=_time(at_ms))
+def row_order(r: tuple) -> tuple:
+    """``(ts, seq, ...)`` in the order of Spark, nulls first."""
+    return r[0], r[1] is not None, r[1] or 0
+
+
+def device_order(r: tuple) -> tuple:
+    """``(mid, ts, seq, ...)`` by device, then as ``row_order``."""
+    return r[0], *row_order(r[1:3])
 
 
 class FirstOfDevice(StatefulProcessor):
@@ -159,24 +211,26 @@ class FirstOfDevice(StatefulProcessor):
 
     A device's own group (``part`` 0) gets the least row of each part of its closed
     windows; the least of the first ones ever is the device's new-visitor row.
-    Its other rows come in groups of their own and only pass; the flag of late rows is null.
+    Other rows come in groups of their own and only pass; the flag of late rows is null.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if int(key[1]):
-            flag = None if int(key[1]) < 0 else False
+        part = int(key[1])
+        if part:
+            flag = None if part < 0 else False
             for r in rows:
-                yield Row(rows=r.rows, is_first=flag)
+                yield REPAIRED_ROW(r.value, r.seq, flag)
             return
-        held = sorted(rows, key=lambda r: (r.ts, r.seq))
-        new = bool(held) and not self.seen.exists()
+        new = not self.seen.exists()
         if new:
             self.seen.update((True,))
-        for i, r in enumerate(held):
-            yield Row(rows=r.rows, is_first=new and i == 0)
+        held = [(r.ts, r.seq, r.value) for r in rows]
+        first = min(range(len(held)), key=lambda i: row_order(held[i])) if new and held else -1
+        for i, (_, seq, value) in enumerate(held):
+            yield REPAIRED_ROW(value, seq, i == first)
 
 
 def _first_per_day(firsts: pd.DataFrame, last_day: str | None, time_zone: str = "UTC") -> tuple[pd.DataFrame, str | None]:
@@ -240,97 +294,86 @@ class FirstWindowOfDay(StatefulProcessor):
         return iter([out]) if len(out) else iter([])
 
 
-class BounceBuckets(StatefulProcessor):
-    """Rows of one device and time bucket, decided as far as the bucket shows.
+class BounceBuckets(_OpenRows):
+    """Rows of devices in short time buckets, decided as far as a bucket shows.
 
-    Rows wait until the watermark passes the bucket's end. Each row but the
+    Rows wait until the watermark passes the bucket's end. Each row of a device and bucket but the
     last then has its strict successor beside it. What the bucket cannot
-    decide goes on: its first row (``head``, which may be an earlier bucket's
-    successor) and its last row where that is an entry (``tail``). Rows at or below the
-    watermark are late; they are given out as ``late``.
+    decide goes on: the first row (``head``, which may be an earlier bucket's
+    successor) and the last row where that is an entry (``tail``). Rows at or below the
+    watermark are late; they are given out as ``late``. A group has all rows of a device and
+    bucket, of a part of the devices and buckets in one longer span.
     """
 
+    FIELDS = BOUNCE_BUFFER_DDL
+
     def __init__(self, variant: str, bucket_ms: int) -> None:
         self.variant = variant
         self.bucket_ms = bucket_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buf = handle.getListState("buf", BOUNCE_BUFFER_DDL)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        fresh = []
+        wm, fresh = timerValues.getCurrentWatermarkInMs(), []
         for r in rows:
-            one = (r.ts, r.seq, bool(r.is_entry), r.value)
+            one = (r.mid, r.ts, r.seq, bool(r.is_entry), r.value, (r.bucket + 1) * self.bucket_ms)
             if r.ts > wm:
                 fresh.append(one)
             else:
-                yield _bounce_part(key[0], "late", one, wm + 1)
-        if fresh:
-            self.handle.registerTimer((int(key[1]) + 1) * self.bucket_ms)
-            self.buf.appendList(fresh)
+                yield _bounce_part("late", one, wm + 1)
+        self.hold(fresh)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        rows = sorted((tuple(r) for r in self.buf.get()), key=lambda r: r[:2])
-        self.buf.clear()
-        end = (int(key[1]) + 1) * self.bucket_ms
-        if not rows:
-            return
-        yield _bounce_part(key[0], "head", (*rows[0][:3], None), end)
-        if self.variant == "reentry":  # a strict pattern is over with any successor
-            for one, nxt in zip(rows, rows[1:]):
-                if one[2] and nxt[2]:
-                    yield _bounce_part(key[0], "out", one, end)
-        if rows[-1][2]:
-            yield _bounce_part(key[0], "tail", rows[-1], end)
+        rows = sorted(self.take(timerValues.getCurrentWatermarkInMs()), key=device_order)
+        for (_, end), own in groupby(rows, key=itemgetter(0, -1)):
+            own = list(own)
+            yield _bounce_part("head", (*own[0][:4], None), end)
+            if self.variant == "reentry":  # a strict pattern is over with any successor
+                for one, nxt in zip(own, own[1:]):
+                    if one[3] and nxt[3]:
+                        yield _bounce_part("out", one, end)
+            if own[-1][3]:
+                yield _bounce_part("tail", own[-1], end)
 
 
-def _bounce_part(mid, kind: str, row: tuple, at_ms: int) -> Row:
-    return Row(mid=mid, kind=kind, ts=row[0], seq=row[1], is_entry=row[2], value=row[3], at=_time(at_ms))
+def _bounce_part(kind: str, row: tuple, at_ms: int) -> Row:
+    return BOUNCE_PART(row[0], kind, *row[1:5], _time(at_ms))
 
 
-class BouncePairs(StatefulProcessor):
-    """Tails and heads of one device and one span of the limit's length.
+class BouncePairs(_OpenRows):
+    """Tails and heads of devices in spans of the limit's length.
 
     A tail belongs to its own span; a head also comes to the span before it,
-    whose tails it can end. One timer per span decides its tails, when every
-    head within their limit has arrived.
+    whose tails it can end. A span's tails are decided when every head within
+    their limit has arrived. A group has all rows of a device and span, of a part of
+    the devices and spans in one longer span.
     """
 
+    FIELDS = f"{BOUNCE_BUFFER_DDL}, span bigint, is_tail boolean"
+
     def __init__(self, variant: str, gap_ms: int, bucket_ms: int) -> None:
         self.variant = variant
         self.gap_ms = gap_ms
         self.bucket_ms = bucket_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.heads = handle.getListState("heads", "ts bigint, seq bigint, is_entry boolean")
-        self.tails = handle.getListState("tails", "ts bigint, seq bigint, value string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        heads, tails = [], []
+        held = []
         for r in rows:
-            if r.kind == "head":
-                heads.append((r.ts, r.seq, r.is_entry))
-            elif r.kind == "tail":
-                tails.append((r.ts, r.seq, r.value))
+            if r.kind in ("head", "tail"):
+                until = (r.span + 2) * self.gap_ms + self.bucket_ms
+                held.append((r.mid, r.ts, r.seq, r.is_entry, r.value, r.span, r.kind == "tail", until))
             else:
-                yield Row(kind=r.kind, value=r.value, seq=r.seq, ts=r.ts)
-        for state, new in ((self.heads, heads), (self.tails, tails)):
-            if new:
-                state.appendList(new)
-        if heads or tails:
-            self.handle.registerTimer((int(key[1]) + 2) * self.gap_ms + self.bucket_ms)
+                yield BOUNCE_ROW(r.kind, r.value, r.seq, r.ts)
+        self.hold(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        heads = sorted(tuple(r) for r in self.heads.get()) if self.heads.exists() else []
-        tails = [tuple(r) for r in self.tails.get()] if self.tails.exists() else []
-        self.heads.clear()
-        self.tails.clear()
-        order = [h[:2] for h in heads]
-        for ts, seq, value in tails:
-            at = bisect_right(order, (ts, seq))
-            nxt = heads[at] if at < len(heads) else None
-            if nxt is None or nxt[0] - ts >= self.gap_ms or (self.variant == "reentry" and nxt[2]):
-                yield Row(kind="out", value=value, seq=seq, ts=ts)
+        rows = sorted(self.take(timerValues.getCurrentWatermarkInMs()), key=lambda r: (r[0], r[5], *row_order(r[1:3])))
+        for _, own in groupby(rows, key=itemgetter(0, 5)):
+            own = list(own)
+            heads = [r for r in own if not r[6]]
+            order = [row_order(h[1:3]) for h in heads]
+            for _, ts, seq, _, value, _, is_tail, _ in own:
+                if not is_tail:
+                    continue
+                at = bisect_right(order, row_order((ts, seq)))
+                nxt = heads[at] if at < len(heads) else None
+                if nxt is None or nxt[1] - ts >= self.gap_ms or (self.variant == "reentry" and nxt[3]):
+                    yield BOUNCE_ROW("out", value, seq, ts)

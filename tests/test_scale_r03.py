@@ -3,10 +3,13 @@
 import glob
 import json
 
+from pyspark.sql import Row
+
 from shoplake.operators import cdc, upsert
 from shoplake.sinks import dims
 from shoplake.sources.config_source import config_frame
 from shoplake.streaming import jobs
+from shoplake.streaming import processors as P
 
 
 def plan_of(df):
@@ -59,3 +62,57 @@ def test_many_target_tables_cost_no_folder_and_no_job_each(spark, scratch):
     assert tables.count() == 50 == tables.select("sink_table").distinct().count()
     one = dims.current_table(spark, f"{scratch}/out", "hbase_t7")
     assert one.columns == ["id", "a"] and sorted(r.id for r in one.collect()) == ["107", "207", "307", "7"]
+
+
+class _State:
+    """A state variable and its group's timers, as a processor sees them."""
+
+    def __init__(self):
+        self.rows, self.value, self.timers = [], None, set()
+
+    getListState = lambda self, name, ddl: self
+    getValueState = lambda self, name, ddl: _Value()
+    registerTimer = lambda self, ms: self.timers.add(ms)
+    deleteTimer = lambda self, ms: self.timers.remove(ms)
+    appendList = lambda self, rows: self.rows.extend(rows)
+    get = lambda self: list(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def clear(self):
+        self.rows = []
+
+
+class _Value:
+    value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_devices_share_a_group_with_one_timer():
+    state, p = _State(), P.ClosedWindow(4)
+    p.init(state)
+    rows = [Row(mid=m, ts=t, seq=s, value=f"v{s}", w_end=(t // 5 + 1) * 5) for s, (m, t) in enumerate([("a", 12), ("b", 3), ("a", 2), ("a", 1), ("c", 30)])]
+    assert list(p.handleInputRows((0, 1), iter(rows), _At(0))) == [] and state.timers == {5}
+    state.timers.clear()
+    out = [(r.mid, r.part, r.seq) for r in p.handleExpiredTimer((0, 1), _At(16), None)]
+    assert out == [("a", 0, 3), ("a", 2, 2), ("a", 2, 0), ("b", 0, 1)]
+    assert [r[0] for r in state.rows] == ["c"] and state.timers == {35}
+    late = list(p.handleInputRows((0, 1), iter(rows[:1]), _At(16)))
+    assert [(r.mid, r.part) for r in late] == [("a", -1)]
