@@ -4,7 +4,7 @@ An upsert sets the columns its config row lists (absent ones to null); other
 columns keep what is stored. All values are text. The key is the config's
 ``sink_pk`` (comma list allowed), ``id`` when null.
 
-The last value is a partial-aggregating ``max_by`` per key and column, so a
+The last upsert is a partial-aggregating ``max_by`` per key and list of columns, so a
 hot key never gathers in one task.
 """
 
@@ -34,22 +34,17 @@ def upsert_rows(dim_rows: DataFrame) -> DataFrame:
 def current_rows(upserts: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The stored table: per (sink_table, pk) and column, the value of the last upsert that lists the column.
 
-    ``order`` names the columns that rank upserts, ``seq`` by default.
+    ``order`` names the columns that rank upserts, ``seq`` by default. The last upsert per key and
+    list of columns is found first; of a key's lists, as few as its config rows, the later ones lie over the earlier.
     """
-    rank = F.struct(*(order or ["seq"]))
-    last = lambda c: F.max_by(c, "_rank").alias(c)
-    ranked = upserts.withColumn("_rank", rank)
-    cells = ranked.select(
-        "sink_table", "pk", "seq", "_rank", "sink_columns", "sink_pk", "data",
-        F.explode(F.array_distinct(F.split("sink_columns", ","))).alias("_column"),
-    ).withColumn("_value", F.col("data")[F.col("_column")])
-    cells = cells.groupBy("sink_table", "pk", "_column").agg(
-        last("_value"), last("seq"), last("sink_columns"), last("sink_pk"), F.max("_rank").alias("_r")
-    ).withColumnRenamed("_r", "_rank")
-    return cells.groupBy("sink_table", "pk").agg(
-        last("seq"), F.map_from_entries(F.collect_list(F.struct("_column", "_value"))).alias("data"),
-        last("sink_columns"), last("sink_pk"),
-    )
+    cells = F.transform(F.array_distinct(F.split("sink_columns", ",")), lambda c: F.struct(c.alias("column"), F.col("data")[c].alias("value")))
+    row = F.struct(F.struct(*(order or ["seq"])).alias("rank"), "sink_columns", "seq", "sink_pk", cells.alias("cells"))
+    lists = upserts.where("sink_columns is not null").groupBy("sink_table", "pk", "sink_columns").agg(F.max_by(row, row["rank"]).alias("_row"))
+    rows = lists.groupBy("sink_table", "pk").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+    rows = rows.withColumn("_last", F.element_at("_rows", -1)).withColumn("_cells", F.flatten(F.col("_rows.cells")))
+    columns = F.col("_cells.column")
+    newest = F.filter("_cells", lambda e, i: ~F.array_contains(F.slice(columns, i + 2, F.size(columns)), e["column"]))
+    return rows.select("sink_table", "pk", "_last.seq", F.map_from_entries(newest).alias("data"), "_last.sink_columns", "_last.sink_pk")
 
 
 def table_schemas(dim_rows: DataFrame) -> DataFrame:

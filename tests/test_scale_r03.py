@@ -116,3 +116,11 @@ def test_devices_share_a_group_with_one_timer():
     assert [r[0] for r in state.rows] == ["c"] and state.timers == {35}
     late = list(p.handleInputRows((0, 1), iter(rows[:1]), _At(16)))
     assert [(r.mid, r.part) for r in late] == [("a", -1)]
+
+
+def test_upserts_are_folded_by_column_list_not_by_cell(spark):
+    ddl = "sink_table string, pk array<string>, seq bigint, data map<string,string>, sink_columns string, sink_pk string"
+    rows = [("d", ["1"], 1, {"id": "1", "a": "x", "b": "y"}, "id,a,b", "id"), ("d", ["1"], 2, {"id": "1", "a": "z"}, "id,a", "id")]
+    out = upsert.current_rows(spark.createDataFrame(rows, ddl))
+    assert "Generate" not in plan_of(out)
+    assert [(r.seq, r.data) for r in out.collect()] == [(2, {"id": "1", "a": "z", "b": "y"})]
