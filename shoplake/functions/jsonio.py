@@ -30,6 +30,11 @@ def last_wins(m: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(last)).otherwise(m)
 
 
+def computed_once(df: DataFrame, *cols: Column | str) -> DataFrame:
+    """``df.select(*cols)`` behind a generator, so that a later filter does not compute the columns again."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def parse_once(
     df: DataFrame,
     schema: StructType | str,

@@ -49,8 +49,9 @@ def overlay(*maps: Column | str, values: str = "variant") -> Column:
 
 
 def put(m: Column | str, key: str, value: Column) -> Column:
-    """``m[key] := value``."""
-    return overlay(m, F.create_map(F.lit(key), value.cast("variant")))
+    """``m[key] := value``; the key moves to the end."""
+    rest = F.map_filter(F.coalesce(_c(m), F.create_map().cast("map<string,variant>")), lambda k, _: k != key)
+    return F.map_concat(rest, F.create_map(F.lit(key), value.cast("variant")))
 
 
 def keep_keys(m: Column | str, csv_columns: Column | str) -> Column:

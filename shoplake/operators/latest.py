@@ -7,8 +7,9 @@ All three helpers are aggregations with a map-side partial step, so a key
 that holds a third of all rows costs one partial row per map task at the
 final step, never one task holding the whole group. ``flag_first_per_key``
 then joins back on ``(key, order columns)``, which is close to unique and
-spreads the hot key evenly over the join's partitions; AQE turns that join
-into a broadcast at run time when the per-key table is small.
+spreads the hot key evenly over the join's partitions. That join hashes the
+one row per key and does not sort the others; both sides are shuffled, so the
+work after it does not hang on how few splits the input file has.
 """
 
 from __future__ import annotations
@@ -51,7 +52,9 @@ def flag_first_per_key(
     src = key_rows if key_rows is not None else df
     order = _order_code(order_cols)
     firsts = src.groupBy(*keys).agg(F.min(order).alias("_order")).withColumn(flag, F.lit(True))
-    joined = df.withColumn("_order", order).join(firsts, on=[*keys, "_order"], how="left")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number: few bytes a row may still be much work
+    rows = df.withColumn("_order", order).repartition(parts, *keys, "_order")
+    joined = rows.join(firsts.hint("shuffle_hash"), on=[*keys, "_order"], how="left")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*df.columns, flag)
 
 

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.functions.jsonio import is_object, parse_once
+from shoplake.functions.jsonio import computed_once, is_object, parse_once
 from shoplake.functions.maps import known, overlay, without_nulls
 from shoplake.functions.predicates import is_entry
 from shoplake.schemas import LOG_FIELDS, RECORD_DDL
@@ -42,23 +42,42 @@ def parse_log_topic(raw: DataFrame, fields: tuple[str, ...] | None = None) -> Da
 
 def parse_records(raw: DataFrame, fields: tuple[str, ...] | None = None, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
     """As ``parse_log_topic``, with the columns ``keep`` of ``raw``."""
-    if fields is None:
-        src = parse_once(raw, RECORD_DDL, keep=keep)
-        field = lambda name: F.col("record")[name]
-        names = list(LOG_FIELDS)
-    else:
-        names = [n for n in LOG_FIELDS if n in {*fields, "common", "ts"}]
-        src = parse_once(raw, ", ".join(f"{n} variant" for n in names), keep=keep)
-        field = F.col
+    if fields is not None:
+        return typed_records(keyed_records(raw, fields, keep))
+    src = parse_once(raw, RECORD_DDL, keep=keep)
+    field = lambda name: F.col("record")[name]
     src = src.where(_has_keys(field))
-    cols = {n: _field(field(n), n) for n in names}
+    cols = {n: _field(field(n), n) for n in LOG_FIELDS}
     out = [c.alias(n) for n, c in cols.items()]
-    if fields is None:
-        typed = F.array(*[F.when(c.isNotNull(), F.lit(n)) for n, c in cols.items()])
-        # bound by a one-element transform, so it is not computed again for every key
-        rest = F.transform(F.array(F.array_compact(typed)), lambda t: F.map_filter("record", lambda k, _: ~F.array_contains(t, k)))
-        out.append(F.element_at(rest, 1).alias("extra"))
-    return src.select(*keep, *out, _mid(field).alias("mid"))
+    typed = F.array(*[F.when(c.isNotNull(), F.lit(n)) for n, c in cols.items()])
+    # bound by a one-element transform, so it is not computed again for every key
+    rest = F.transform(F.array(F.array_compact(typed)), lambda t: F.map_filter("record", lambda k, _: ~F.array_contains(t, k)))
+    return src.select(*keep, *out, F.element_at(rest, 1).alias("extra"), _mid(field).alias("mid"))
+
+
+def keyed_records(raw: DataFrame, fields: tuple[str, ...], keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+    """``parse_records`` before its fields get their types: each but ``ts`` is one variant.
+
+    A variant moves through a shuffle in a fraction of the bytes of the map or
+    array of maps it becomes: join here, then call ``typed_records``.
+    """
+    names = [n for n in LOG_FIELDS if n in {*fields, "common", "ts"}]
+    src = parse_once(raw, ", ".join(f"{n} variant" for n in names), keep=keep)
+    cols = [_field(F.col(n), n).alias(n) if n == "ts" else F.col(n) for n in names]
+    src = computed_once(src, *keep, *cols, _mid(F.col).alias("mid"))
+    return src.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
+
+
+def typed_records(records: DataFrame) -> DataFrame:
+    """``keyed_records`` (and any further columns) with every field in its type."""
+    typed = [n for n in LOG_FIELDS if n != "ts"]
+    return computed_once(records, *[_field(F.col(n), n).alias(n) if n in typed else F.col(n) for n in records.columns])
+
+
+def of_kind(records: DataFrame, kind: str) -> DataFrame:
+    """Those of ``keyed_records`` that can give rows of ``kind``; the rest goes before a join."""
+    start, body = known(F.col("start")), {PAGE: "page", DISPLAY: "displays"}
+    return records.where(start.isNotNull() if kind == START else start.isNull() & known(F.col(body[kind])).isNotNull())
 
 
 def _field(value: Column, name: str) -> Column:
@@ -81,8 +100,9 @@ def log_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
 
     Same row set as ``parse_log_topic``; the parser skips every other field.
     """
-    k = parse_once(raw, LOG_KEY_DDL, keep=keep).where(_has_keys(F.col))
-    return k.select(_mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep)
+    k = parse_once(raw, LOG_KEY_DDL, keep=keep)
+    k = computed_once(k, _mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep)
+    return k.where(F.col("ts").isNotNull() & F.col("mid").isNotNull())
 
 
 PAGE_KEY_DDL = "common variant, start variant, page variant, ts variant"
@@ -121,16 +141,14 @@ def page_rows(log: DataFrame) -> DataFrame:
 
 
 def display_rows(log: DataFrame) -> DataFrame:
-    """One flat map per display element, plus the parent's ``seq`` and position."""
+    """One flat map per display element, plus the parent's ``seq`` and position.
+
+    What a record lays over its displays is merged once, before they are exploded.
+    """
     src = log.where(F.col("start").isNull() & F.col("displays").isNotNull())
-    ex = src.select("seq", "ts", "common", "page", F.posexplode("displays").alias("pos", "d"))
-    flat = overlay(
-        "d",
-        F.create_map(F.lit("ts"), F.col("ts").cast("variant")),
-        "common",
-        "page",
-    )
-    return ex.select("seq", "pos", flat.alias("display"))
+    over = overlay(F.create_map(F.lit("ts"), F.col("ts").cast("variant")), "common", "page")
+    ex = src.select("seq", "displays", over.alias("over")).select("seq", "over", F.posexplode("displays").alias("pos", "d"))
+    return ex.select("seq", "pos", overlay("d", "over").alias("display"))
 
 
 def split_log(log: DataFrame) -> dict[str, DataFrame]:

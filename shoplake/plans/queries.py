@@ -34,10 +34,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
-def repaired_log(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] | None = None) -> DataFrame:
-    """ods_log -> parsed -> new-visitor flag repaired (the log job's first half)."""
+def repaired_log(spark: SparkSession, sf_dir: str, fields: tuple[str, ...], kind: str | None = None) -> DataFrame:
+    """ods_log -> parsed -> new-visitor flag repaired (the log job's first half); ``kind`` keeps only records it can use."""
     raw = adapters.log_lines(_events(spark, sf_dir))
-    return visitors.repair_new_visitor(log_split.parse_log_topic(raw, fields), log_split.log_keys(raw))
+    log = log_split.keyed_records(raw, fields)
+    log = log_split.of_kind(log, kind) if kind else log
+    return visitors.repair_new_visitor(log, log_split.log_keys(raw), typed=log_split.typed_records)
 
 
 START_FIELDS = ("common", "start", "ts")
@@ -107,7 +109,7 @@ def _common_cols() -> list:
 
 
 def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = log_split.start_rows(repaired_log(spark, sf_dir, START_FIELDS))
+    s = log_split.start_rows(repaired_log(spark, sf_dir, START_FIELDS, log_split.START))
     return s.select(
         *_common_cols(),
         F.try_variant_get("start", "$.entry", "string").alias("start_entry"),
@@ -117,7 +119,7 @@ def q_log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = log_split.page_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays")))
+    p = log_split.page_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays"), log_split.PAGE))
     return p.select(
         *_common_cols(),
         text_of("page", "page_id").alias("page_id"),
@@ -129,7 +131,7 @@ def q_log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = log_split.display_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays")))
+    d = log_split.display_rows(repaired_log(spark, sf_dir, (*PAGE_FIELDS, "displays"), log_split.DISPLAY))
     m = F.col("display")
     return d.select(
         F.col("seq"),

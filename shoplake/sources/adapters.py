@@ -46,7 +46,8 @@ def log_lines(events: DataFrame, rich: bool = False) -> DataFrame:
     array ``actions``, a nested object and a number in ``common``; absent
     fields are written as JSON nulls.
     """
-    k = _props_k()
+    events = events.withColumn("_k", _props_k())  # read from the text once, not at each use
+    k = F.col("_k")
     n_disp = k % 4
     signup = F.col("event_type") == "signup"
     common = [
