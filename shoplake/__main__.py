@@ -34,6 +34,7 @@ def _args(argv=None):
     p.add_argument("--variant", default="reentry", choices=("strict", "reentry"), help="bounce variant")
     p.add_argument("--gap-ms", type=int, default=settings.BOUNCE_GAP_MS)
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
+    p.add_argument("--by-batches", action="store_true", help="accepted from older command lines, no effect: each job has one form")
     p.add_argument("--kafka-out", action="store_true",
                    help="write the output topics to Kafka (--kafka-bootstrap)")
     p.add_argument("--malformed", default="quarantine", choices=jobs.MALFORMED, help="what to do with malformed records")
