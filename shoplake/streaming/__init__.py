@@ -26,8 +26,8 @@ from shoplake.streaming.processors import (
     BounceBuckets,
     BouncePairs,
     ClosedWindow,
+    ClosedWindowFrames,
     FirstOfDevice,
-    FirstWindowOfDay,
     UniqueVisitor,
 )
 
@@ -36,5 +36,5 @@ __all__ = [
     "start_unique_visitor", "compact_dims", "start_job", "order_wide_stream", "read_dim_current",
     "repaired_log_stream", "repaired_parts_stream", "start_db_detail", "start_landing", "start_log_detail",
     "start_to_parquet", "unique_visitor_stream",
-    "BounceBuckets", "BouncePairs", "ClosedWindow", "FirstOfDevice", "FirstWindowOfDay", "UniqueVisitor",
+    "BounceBuckets", "BouncePairs", "ClosedWindow", "ClosedWindowFrames", "FirstOfDevice", "UniqueVisitor",
 ]

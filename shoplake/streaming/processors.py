@@ -1,9 +1,9 @@
 """Stateful processors (event time) for the streaming forms of the new-visitor
 repair, the daily unique visitor and the bounce pattern.
 
-Processors of a span of time and one of its parts (``transformWithState``) take
-their rows one by one; those of a whole device
-(``transformWithStateInPandas``) are vectorized over its rows of a micro-batch. Rows are kept in state as
+The bounce processors (``transformWithState``) take their rows one by one;
+those of the repair and of a whole device (``transformWithStateInPandas``) take
+frames. Rows are kept in state as
 ``(ts, seq, value)``: the raw JSON text plus its event time in ms and
 arrival position. The text is parsed again downstream, so state stays small
 and typed. A call of the state store or a timer costs far more than a row, so
@@ -36,6 +36,8 @@ from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -45,13 +47,15 @@ BUFFER_DDL = "w_end bigint, ts bigint, seq bigint, value string"
 BUFFER_COLS = ["w_end", "ts", "seq", "value"]
 
 WINDOW_PARTS = "mid string, part bigint, ts bigint, seq bigint, value string, at timestamp"
+NO_SEQ = -(2**63)  # a missing position: before every other, as nulls are in Spark's order
 REPAIR_OUTPUT = "value string, seq bigint, is_first boolean"
+UV_DAYS = "mid string, visit_date string, ts bigint, seq bigint, value string"
+FIRST_OF_DAY_ROWS = 20_000  # sorted at once, at least
 UV_OUTPUT = "value string, seq bigint, ts bigint, visit_date string"
 BOUNCE_BUFFER_DDL = "mid string, ts bigint, seq bigint, is_entry boolean, value string"
 BOUNCE_PARTS = "mid string, kind string, ts bigint, seq bigint, is_entry boolean, value string, at timestamp"
 BOUNCE_OUTPUT = "kind string, value string, seq bigint, ts bigint"
 CLOSED_ROW = Row("mid", "part", "ts", "seq", "value", "at")
-REPAIRED_ROW = Row("value", "seq", "is_first")
 BOUNCE_PART = Row("mid", "kind", "ts", "seq", "is_entry", "value", "at")
 BOUNCE_ROW = Row("kind", "value", "seq", "ts")
 
@@ -206,31 +210,124 @@ def device_order(r: tuple) -> tuple:
     return r[0], *row_order(r[1:3])
 
 
+class ClosedWindowFrames(StatefulProcessor):
+    """``ClosedWindow`` by frames: the rows of a group that come together are one element of its state, as Arrow bytes.
+
+    ``seq`` is never null here (``NO_SEQ``), so it stays an exact integer.
+    """
+
+    FIELDS = ["mid", "ts", "seq", "value", "w_end"]
+
+    def __init__(self, split: int) -> None:
+        self.split = split
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getListState("buf", "frame binary, until bigint")
+        self.armed = handle.getValueState("armed", "until bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm, held = timerValues.getCurrentWatermarkInMs(), []
+        for df in rows:
+            late = df["w_end"] <= wm
+            if late.any():
+                yield _closed(df[late], -1, _times(pd.Series(wm + 1, df.index[late])))
+                df = df[~late]
+            if len(df):
+                held.append(_packed(pa.Table.from_pandas(df[self.FIELDS], preserve_index=False)))
+        if not held:
+            return
+        self.buf.appendList(held)
+        first, armed = min(h[1] for h in held), self.armed.get()
+        if armed is None or first < armed[0]:
+            if armed is not None:
+                self.handle.deleteTimer(armed[0])
+            self._arm(first)
+
+    def _arm(self, until: int) -> None:
+        self.handle.registerTimer(until)
+        self.armed.update((until,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm, due, rest = timerValues.getCurrentWatermarkInMs(), [], []
+        for frame, until in self.buf.get():
+            if until > wm:
+                rest.append((bytes(frame), until))
+                continue
+            rows = pa.ipc.open_stream(bytes(frame)).read_all()
+            open_rows = rows.filter(pc.greater(rows["w_end"], wm))
+            if len(open_rows):
+                rest.append(_packed(open_rows))
+            due.append(rows.filter(pc.less_equal(rows["w_end"], wm)))
+        if rest:
+            self.buf.put(rest)
+            self._arm(min(r[1] for r in rest))
+        else:
+            self.buf.clear()
+            self.armed.clear()
+        if due:
+            df = pa.concat_tables(due).sort_by([(c, "ascending") for c in ("mid", "ts", "seq")]).to_pandas()
+            others = int(key[0]) * self.split + int(key[1]) + 1
+            yield _closed(df, np.where(df["mid"] == df["mid"].shift(), others, 0), _times(df["w_end"]))
+
+
+def _packed(rows: pa.Table) -> tuple[bytes, int]:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes(), pc.min(rows["w_end"]).as_py()
+
+
+def _closed(df: pd.DataFrame, part, at: pd.Series) -> pd.DataFrame:
+    return df[["mid", "ts", "seq", "value"]].assign(part=part, at=at)[["mid", "part", "ts", "seq", "value", "at"]]
+
+
+def _times(ms: pd.Series) -> pd.Series:
+    return pd.to_datetime(ms, unit="ms", utc=True)
+
+
 class FirstOfDevice(StatefulProcessor):
-    """New-visitor flag over closed windows.
+    """New-visitor flag over closed windows, by frames.
 
-    A device's own group (``part`` 0) gets the least row of each part of its closed
-    windows; the least of the first ones ever is the device's new-visitor row.
+    Group ``part`` 0 has the least row of each part of the closed windows, for many
+    devices: all of a device's in one group. The least of the first ones ever is the device's
+    new-visitor row. Of a device not seen before, one row is held at a time.
     Other rows come in groups of their own and only pass; the flag of late rows is null.
+    ``seq`` is never null here (``NO_SEQ``).
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
+        self.seen = handle.getMapState("seen", "mid string", "seen boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         part = int(key[1])
         if part:
-            flag = None if part < 0 else False
-            for r in rows:
-                yield REPAIRED_ROW(r.value, r.seq, flag)
+            for df in rows:
+                yield _flagged(df, None if part < 0 else False)
             return
-        new = not self.seen.exists()
-        if new:
-            self.seen.update((True,))
-        held = [(r.ts, r.seq, r.value) for r in rows]
-        first = min(range(len(held)), key=lambda i: row_order(held[i])) if new and held else -1
-        for i, (_, seq, value) in enumerate(held):
-            yield REPAIRED_ROW(value, seq, i == first)
+        known, first = {}, None  # the state is asked once for a device and micro-batch
+        for df in rows:
+            for mid in df["mid"].unique():
+                if mid not in known:
+                    known[mid] = self.seen.containsKey((mid,))
+            old = df["mid"].map(known).astype(bool)
+            rest, new = [df[old]], df[~old]
+            if len(new):
+                new = (new if first is None else pd.concat([first, new])).sort_values(["ts", "seq"], kind="stable")
+                again = new.duplicated("mid")
+                rest.append(new[again])
+                first = new[~again]
+            for f in rest:
+                if len(f):
+                    yield _flagged(f, False)
+        if first is not None:
+            for mid in first["mid"]:
+                self.seen.updateValue((mid,), (True,))
+            yield _flagged(first, True)
+
+
+def _flagged(df: pd.DataFrame, flag: bool | None) -> pd.DataFrame:
+    return df[["value", "seq"]].assign(is_first=pd.Series([flag] * len(df), df.index, dtype="object"))
 
 
 def _first_per_day(firsts: pd.DataFrame, last_day: str | None, time_zone: str = "UTC") -> tuple[pd.DataFrame, str | None]:
@@ -267,31 +364,30 @@ class UniqueVisitor(_WindowBuffer):
         return out
 
 
-class FirstWindowOfDay(StatefulProcessor):
-    """Unique visitor over pre-reduced input: each input row is the least row
-    of one closed 5 s window of the device (reduced in the JVM by a windowed
-    ``min_by``). Emit it when it is the device's first window of its day.
+def first_of_day(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The row of least ``ts`` of each device and day, of all rows of a partition (any order; a device's differ in ``ts``).
 
-    Windows reach the processor in closing order; rows of one micro-batch
-    are sorted by ``(ts, seq)`` first. No timers are needed.
+    Rows wait until there are as many as least rows, so each is sorted a few times at most
+    and memory follows the number of devices and days.
     """
-
-    def __init__(self, time_zone: str = "UTC") -> None:
-        self.time_zone = time_zone
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last_day = handle.getValueState("last_day", "day string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _concat(rows)
-        if not len(df):
-            return iter([])
-        df = df.sort_values(["ts", "seq"], kind="stable").reset_index(drop=True)
-        last = self.last_day.get()[0] if self.last_day.exists() else None
-        out, last = _first_per_day(df, last, self.time_zone)
-        if last is not None:
-            self.last_day.update((str(last),))
-        return iter([out]) if len(out) else iter([])
+    least, waiting, n = None, [], 0
+
+    def reduced() -> pa.Table:
+        t = pa.Table.from_batches(waiting) if least is None else pa.concat_tables([least, pa.Table.from_batches(waiting)])
+        t = t.sort_by([("mid", "ascending"), ("visit_date", "ascending"), ("ts", "ascending")]).combine_chunks()
+        other = pc.or_(*[pc.not_equal(t[c].slice(1), t[c].slice(0, len(t) - 1)) for c in ("mid", "visit_date")])
+        return t.filter(pa.chunked_array([[True], *other.chunks], pa.bool_()))
+
+    for b in batches:
+        if b.num_rows:
+            waiting.append(b)
+            n += b.num_rows
+        if n >= max(FIRST_OF_DAY_ROWS, 0 if least is None else len(least)):
+            least, waiting, n = reduced(), [], 0
+    if waiting:
+        least = reduced()
+    if least is not None:
+        yield from least.to_batches(FIRST_OF_DAY_ROWS)
 
 
 class BounceBuckets(_OpenRows):
