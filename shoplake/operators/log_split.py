@@ -108,15 +108,16 @@ def log_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
 PAGE_KEY_DDL = "common variant, start variant, page variant, ts variant"
 
 
-def page_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",)) -> DataFrame:
+def page_keys(raw: DataFrame, keep: tuple[str, ...] = ("seq",), with_flag: bool = False) -> DataFrame:
     """``(value, seq)`` -> ``mid, ts``, the columns ``keep`` and ``is_entry`` of the page rows, narrow parse.
 
-    Same row set as ``page_rows(parse_log_topic(raw))``.
+    Same row set as ``page_rows(parse_log_topic(raw))``. ``with_flag`` adds ``is_new``.
     """
     k = parse_once(raw, PAGE_KEY_DDL, keep=keep).where(_has_keys(F.col))
     k = k.where(known(F.col("start")).isNull() & _field(F.col("page"), "page").isNotNull())
     entry = is_entry(F.try_variant_get("page", "$.last_page_id", "string"))
-    return k.select(_mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep, entry.alias("is_entry"))
+    flag = [F.try_variant_get("common", "$.is_new", "string").alias("is_new")] if with_flag else []
+    return k.select(_mid(F.col).alias("mid"), _field(F.col("ts"), "ts").alias("ts"), *keep, entry.alias("is_entry"), *flag)
 
 
 def malformed_log_rows(raw: DataFrame) -> DataFrame:

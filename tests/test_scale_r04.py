@@ -122,6 +122,8 @@ def test_unique_visitors_over_micro_batches_and_days(spark, scratch):
     parts = [lines_of(rows[a : a + 120]) for a in range(0, len(rows), 120)]
     for p in parts:
         rng.shuffle(p)
+    twice = [json.dumps({"common": {"mid": "twice", "is_new": n}, "page": {"page_id": "p"}, "ts": 71 * hour}) for n in "0100"]
+    parts[-1] += [(t, 2000) for t in twice]  # one row that came four times, flagged once
     write_parts([*parts, [(sentinel_line(10**10), 99_999)]], f"{scratch}/p")
     stream = read_topic(spark, "p", streaming=True, path=scratch, max_files_per_trigger=1)
     q = (jobs.unique_visitor_stream(stream).writeStream.format("memory").queryName("uv_days").option("checkpointLocation", f"{scratch}/ck")
@@ -132,6 +134,8 @@ def test_unique_visitors_over_micro_batches_and_days(spark, scratch):
     want = {}
     for m, t, _, s in rows:
         want.setdefault((m, t // (24 * hour)), s)
-    assert sorted(r.seq for r in spark.table("uv_days").collect() if r.seq != 99_999) == sorted(want.values())
+    out = spark.table("uv_days").where("seq != 99999").collect()
+    assert sorted(r.seq for r in out) == sorted([*want.values(), 2000])
+    assert [r.value for r in out if r.seq == 2000] == [twice[1]]
     left = spark.read.format("statestore").option("operatorId", 0).load(f"{scratch}/ck").count()
     assert left <= 1  # the flush row's own day at most
